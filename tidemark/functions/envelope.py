@@ -42,10 +42,14 @@ def event_time(ts_ms: Column) -> Column:
     return F.timestamp_millis(ts_ms)
 
 
+def topic_table(topic: Column) -> Column:
+    """Table a topic is named after: its third dot-part, NULL if it has fewer parts."""
+    return F.get(F.split(topic, r"\."), F.lit(2))
+
+
 def routed_table(topic: Column, source_table: Column) -> Column:
-    """Third dot-part of the topic if there is one, else the event's own table field."""
-    part = F.get(F.split(topic, r"\."), F.lit(2))
-    return F.coalesce(part, source_table)
+    """Table of the topic if it names one, else the event's own table field."""
+    return F.coalesce(topic_table(topic), source_table)
 
 
 def has(names: Column, name: str) -> Column:
@@ -89,16 +93,16 @@ def parse(log: DataFrame) -> DataFrame:
         (body.isNotNull() & F.rtrim("value").endswith("}")) | json_null
     )
     usable = F.coalesce(one_object & body.isNotNull(), F.lit(False))
-    arrays = parsed.select(
-        "topic",
-        "partition",
-        "offset",
-        "timestamp",
-        F.col("value").alias("raw"),
+    found = F.struct(
         (F.col("value").isNotNull() & ~F.coalesce(one_object, F.lit(False))).alias("parse_error"),
         F.when(usable, F.reverse(F.transform(F.map_keys(body), F.lower))).otherwise(empty).alias("names"),
         F.when(usable, F.reverse(F.map_values(body))).otherwise(empty).alias("texts"),
     )
+    # A generated row, not a projection: filters on what was parsed stay above it, so
+    # that no event is parsed again to decide whether to keep it.
+    arrays = parsed.select(
+        "topic", "partition", "offset", "timestamp", F.col("value").alias("raw"), F.inline(F.array(found))
+    )
     names, texts = F.col("names"), F.col("texts")
     tombstone = F.col("raw").isNull()
     op = F.when(tombstone, F.lit("d")).otherwise(text_of(names, texts, "__op"))
@@ -139,5 +143,5 @@ def exclude_topics(log: DataFrame, tables: Iterable[str]) -> DataFrame:
     names = list(tables)
     if not names:
         return log
-    part = F.get(F.split("topic", r"\."), F.lit(2))
-    return log.filter(part.isNull() | ~part.isin(names))
+    named = topic_table(F.col("topic"))
+    return log.filter(named.isNull() | ~named.isin(names))

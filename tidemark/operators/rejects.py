@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.convert import Policy
-from tidemark.functions.envelope import UNKNOWN
+from tidemark.functions.envelope import topic_table
 from tidemark.functions.types import TableSchema
 from tidemark.operators.typed import (
     EVENT_COLUMNS,
@@ -25,13 +25,14 @@ STAGE_SINK = "sink"
 SINK_ERROR = "sink_error"
 DEADLOCK_EXHAUSTED = "deadlock_exhausted"
 
-_COLUMNS = (*EVENT_COLUMNS, "reason")
-
 
 def unroutable(events: DataFrame, tables: Iterable[str]) -> DataFrame:
     """Events that reach no table: malformed, or of a table the catalog does not have."""
-    known = F.lower("source_table").isin([t.lower() for t in tables])
-    lost = F.col("source_table").isNull() | ~known
+    known = [t.lower() for t in tables]
+    named = topic_table(F.col("topic"))
+    lost = (named.isNull() | ~F.lower(named).isin(known)) & (
+        F.col("source_table").isNull() | ~F.lower("source_table").isin(known)
+    )
     reason = F.when(F.col("parse_error"), F.lit(PARSE_ERROR)).otherwise(F.lit(UNKNOWN_TABLE))
     return events.filter(lost).select(*EVENT_COLUMNS, reason.alias("reason"))
 
@@ -46,7 +47,10 @@ def rejected(events: DataFrame, catalog: dict[str, TableSchema], policy: Policy
 
 def rejected_of(typed: DataFrame) -> DataFrame:
     """The rejected ones among the typed events of a table."""
-    return typed.filter(F.col("reason").isNotNull()).select(*_COLUMNS)
+    # The outcome goes through a generated column, so that the filter on it does not make
+    # every event be converted twice.
+    settled = typed.select(*EVENT_COLUMNS, F.explode(F.array("reason")).alias("reason"))
+    return settled.filter(F.col("reason").isNotNull())
 
 
 def sink_failure(events: DataFrame, error: str) -> DataFrame:

@@ -11,8 +11,8 @@ DURATION_BUCKETS = (0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.
 
 def processed(typed: DataFrame) -> DataFrame:
     """Applied events by table and operation."""
-    fine = typed.filter(F.col("reason").isNull())
-    return fine.groupBy("source_table", "operation").agg(F.count(F.lit(1)).alias("events"))
+    counted = typed.groupBy("source_table", "operation").agg(F.count_if(F.col("reason").isNull()).alias("events"))
+    return counted.filter(F.col("events") > 0)
 
 
 def failed(rejects: DataFrame) -> DataFrame:
@@ -22,17 +22,14 @@ def failed(rejects: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("events"))
 
 
-def statement_durations(applied: DataFrame, batch: str, seconds: str) -> DataFrame:
+def statement_durations(batches: DataFrame) -> DataFrame:
     """Share of its batch's duration each event gets.
 
-    ``applied`` has one row per event with its batch and the batch's duration. Batch
-    sizes come from one row per (batch, table, operation), so nothing of event size moves.
+    ``batches`` has one row per (batch_id, source_table, operation) with the number of
+    events and the seconds the whole batch took.
     """
-    per_group = applied.groupBy(batch, "source_table", "operation").agg(
-        F.count(F.lit(1)).alias("events"), F.max(seconds).alias("batch_seconds")
-    )
-    sizes = per_group.groupBy(batch).agg(F.sum("events").alias("batch_size"), F.max("batch_seconds").alias("seconds"))
-    return per_group.drop("batch_seconds").join(sizes, batch).select(
+    sizes = batches.groupBy("batch_id").agg(F.sum("events").alias("batch_size"))
+    return batches.join(sizes, "batch_id").select(
         "source_table", "operation", "events", (F.col("seconds") / F.col("batch_size")).alias("duration")
     )
 

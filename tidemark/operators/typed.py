@@ -19,6 +19,7 @@ from tidemark.functions.envelope import (
     event_time,
     has,
     text_of,
+    topic_table,
 )
 from tidemark.functions.types import DELETED_AT, ColumnSpec, TableSchema, spark_type
 
@@ -48,8 +49,14 @@ EVENT_COLUMNS = (
 
 
 def table_events(events: DataFrame, table: TableSchema) -> DataFrame:
-    """Parsed events routed to a table; table names match without regard to case."""
-    return events.filter(F.lower("source_table") == table.table.lower())
+    """Parsed events routed to a table; table names match without regard to case.
+
+    The test on the topic is implied by the other, but it can run before the parse, so
+    that the events of other tables are not parsed at all.
+    """
+    name = table.table.lower()
+    named = topic_table(F.col("topic"))
+    return events.filter((named.isNull() | (F.lower(named) == name)) & (F.lower("source_table") == name))
 
 
 def payload_columns(table: TableSchema) -> list[ColumnSpec]:
