@@ -21,6 +21,8 @@ from tidemark.operators.typed import payload_columns
 
 FIRST_INSERT = "__first_insert"
 EVENTS = "__events"
+INSERTS = "__inserts"
+UPDATES = "__updates"
 FIRST_SLOT = "__first_slot"
 LAST_SLOT = "__last_slot"
 
@@ -49,6 +51,8 @@ def fold(typed: DataFrame, table: TableSchema, order: tuple[str, ...] = LOG_ORDE
     values = [c.name for c in payload_columns(table) if c.name not in set(keys)]
     folded = grouped.agg(
         F.count_if(fine).alias(EVENTS),
+        F.count_if(inserts).alias(INSERTS),
+        F.count_if(fine & (F.col("operation") == UPDATE)).alias(UPDATES),
         F.min(slot).alias(FIRST_SLOT),
         F.max(slot).alias(LAST_SLOT),
         F.min(F.when(inserts, F.struct(*position))).alias(FIRST_INSERT),
@@ -62,7 +66,7 @@ def combine(changes: DataFrame, table: TableSchema) -> DataFrame:
     """Change rows of several batches, as the change rows of all their events."""
     values = [c.name for c in payload_columns(table) if c.name not in set(table.keys)]
     return changes.groupBy(*table.keys).agg(
-        F.sum(EVENTS).alias(EVENTS),
+        *[F.sum(name).alias(name) for name in (EVENTS, INSERTS, UPDATES)],
         F.min(FIRST_SLOT).alias(FIRST_SLOT),
         F.max(LAST_SLOT).alias(LAST_SLOT),
         F.min(FIRST_INSERT).alias(FIRST_INSERT),
@@ -70,6 +74,15 @@ def combine(changes: DataFrame, table: TableSchema) -> DataFrame:
     )
 
 
+def operation_counts(changes: DataFrame) -> DataFrame:
+    """Number of folded events by operation."""
+    counted = changes.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in (EVENTS, INSERTS, UPDATES)])
+    deletes = F.col(EVENTS) - F.col(INSERTS) - F.col(UPDATES)
+    pairs = ((INSERT, F.col(INSERTS)), (UPDATE, F.col(UPDATES)), (DELETE, deletes))
+    rows = F.array(*[F.struct(F.lit(op).alias("operation"), n.alias("events")) for op, n in pairs])
+    return counted.select(F.inline(rows)).filter(F.col("events") > 0)
+
+
 def keys_in_two_places(changes: DataFrame) -> DataFrame:
     """Change rows whose events came from more than one log partition.
 

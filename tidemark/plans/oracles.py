@@ -349,3 +349,7 @@ ORACLES: dict[str, str] = {
         UNION ALL
         SELECT table_name, 'missing_in_source' FROM (SELECT table_name FROM target EXCEPT SELECT table_name FROM seen)""",
 }
+ORACLES["cdc_stream_replica"] = _STATE_ROWS
+ORACLES["cdc_stream_resume"] = _STATE_ROWS
+ORACLES["cdc_stream_tables"] = f"""{ORACLES["cdc_multi_table"]}
+    UNION ALL SELECT 'dead_letters', count(*), count(*) FROM hostile WHERE {_REJECTED}"""

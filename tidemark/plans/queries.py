@@ -13,7 +13,9 @@ from tidemark.functions.types import DELETED_AT, ColumnSpec, TableSchema, replic
 from tidemark.operators import bootstrap, fold, merge, reconcile, rejects, replay, stats
 from tidemark.operators.typed import typed_events, typed_rows
 from tidemark.plans import changelogs as logs
+from tidemark.session import shared_dir
 from tidemark.sources import catalog, changelog
+from tidemark.streaming.replicate import Replication
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -458,6 +460,74 @@ def reconcile_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.tables_apart(source, target, logs.EXCLUDED)
 
 
+# --- streaming -----------------------------------------------------------------------
+
+# Ends of the slices the log arrives in: 11 and 21 January 2024, then the rest.
+_SLICE_ENDS = (1704931200000, 1705795200000, None)
+_LOG_PARTITIONS = 4
+
+
+def _arrive(log: DataFrame, path: str, slices: range) -> None:
+    """Append slices of a log to a folder, oldest first, one file per log partition."""
+    at = F.unix_millis("timestamp")
+    for i in slices:
+        start, end = (_SLICE_ENDS[i - 1] if i else None), _SLICE_ENDS[i]
+        mine = log if start is None else log.filter(at >= start)
+        mine = mine if end is None else mine.filter(at < end)
+        mine.repartition(_LOG_PARTITIONS, "partition").write.mode("append").parquet(path)
+
+
+def _job(root: str) -> Replication:
+    return Replication(f"{root}/target", logs.CATALOG, POLICY, tuple(logs.EXCLUDED), buckets=8)
+
+
+def cdc_stream_replica(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log arrives in three slices; the stream drains them and stops."""
+    root = shared_dir(spark, "stream")
+    _arrive(logs.user_state_log(spark, sf_dir), f"{root}/log", range(3))
+    job = _job(root)
+    stream = changelog.stream_files(spark, f"{root}/log", _LOG_PARTITIONS)
+    job.start(stream, f"{root}/checkpoint").awaitTermination()
+    return _user_state(job.read(spark, "user_state"))
+
+
+def cdc_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stopped after the first slice, resumed with the rest, last batch delivered twice."""
+    root = shared_dir(spark, "resume")
+    log = logs.user_state_log(spark, sf_dir)
+    job = _job(root)
+    _arrive(log, f"{root}/log", range(1))
+    stream = changelog.stream_files(spark, f"{root}/log", _LOG_PARTITIONS)
+    job.start(stream, f"{root}/checkpoint").awaitTermination()
+    _arrive(log, f"{root}/log", range(1, 3))
+    job.start(stream, f"{root}/checkpoint").awaitTermination()
+    last, _ = job.replica("user_state").manifest(spark)
+    job.apply_batch(changelog.read_files(spark, f"{root}/log"), last)
+    return _user_state(job.read(spark, "user_state"))
+
+
+def cdc_stream_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All topics in one stream, hostile rows included: rows per replica, and dead letters."""
+    root = shared_dir(spark, "tables")
+    _arrive(logs.shop_log(spark, sf_dir), f"{root}/log", range(3))
+    job = _job(root)
+    stream = changelog.stream_files(spark, f"{root}/log", _LOG_PARTITIONS)
+    job.start(stream, f"{root}/checkpoint").awaitTermination()
+    keyed = [name for name, table in logs.CATALOG.items() if table.keys]
+    counts = [job.read(spark, name).select(F.lit(name).alias("table_name"), DELETED_AT) for name in keyed]
+    refused = spark.read.json(job.dead_letter_path).select(
+        F.lit("dead_letters").alias("table_name"), F.lit(None).cast("timestamp").alias(DELETED_AT)
+    )
+    every = refused
+    for rows in counts:
+        every = every.unionByName(rows)
+    return every.groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(DELETED_AT).isNull()).alias("n_live")
+    )
+
+
+STREAM_QUERIES: dict[str, Query] = {f.__name__: f for f in (cdc_stream_replica, cdc_stream_resume, cdc_stream_tables)}
+
 BATCH_QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
