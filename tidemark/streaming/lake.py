@@ -11,6 +11,10 @@ whose folder has the current rows of each bucket.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
+
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,11 +22,12 @@ from pyspark.sql import types as T
 
 from tidemark.functions.convert import Policy
 from tidemark.functions.types import TableSchema, replica_schema
-from tidemark.operators.fold import FIRST_SLOT, LAST_SLOT
+from tidemark.operators.fold import FIRST_INSERT, FIRST_SLOT, LAST_SLOT
 from tidemark.operators.merge import empty_replica, merge, merge_broadcast, rows_created
 
 BUCKET = "bucket"
-_MANIFEST = "bucket int, data_batch long, batch long"
+_MANIFEST = "bucket int, data_batch long"
+_BATCH_FOLDER = re.compile(r"/batch=(\d+)/")
 # Room for a cell's position and row overhead, on top of its text.
 _CELL_BYTES = 32
 
@@ -79,11 +84,12 @@ class ReplicaTable:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return None, {}
             raise
-        last = commits.agg(F.max("batch").alias("batch")).first().batch
-        if last is None:
+        batches = [int(found) for file in commits.inputFiles() for found in _BATCH_FOLDER.findall(file)]
+        if not batches:
             return None, {}
-        rows = commits.filter((F.col("batch") == last) & (F.col(BUCKET) >= 0)).collect()
-        return last, {row[BUCKET]: row.data_batch for row in rows}
+        last = max(batches)
+        rows = spark.read.schema(_MANIFEST).parquet(f"{self.path}/commits/batch={last}").collect()
+        return last, {row[BUCKET]: row.data_batch for row in rows if row[BUCKET] >= 0}
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The current rows."""
@@ -105,6 +111,7 @@ class ReplicaTable:
             .agg(
                 F.sum(_row_bytes(changes)).alias("size"),
                 F.count_if(F.col(FIRST_SLOT) != F.col(LAST_SLOT)).alias("split"),
+                F.count(FIRST_INSERT).alias("inserted"),
             )
             .collect()
         )
@@ -114,7 +121,11 @@ class ReplicaTable:
             raise SplitKeyError(f"{self.table.table}: keys moved between log partitions; fold in TIME_ORDER")
         old = {row[BUCKET]: current[row[BUCKET]] for row in touched if row[BUCKET] in current}
         size = sum(row.size for row in touched)
-        self._write(spark, self._merged(spark, changes, old, size, len(touched)), batch_id, current)
+        # A bucket without rows gets some only from inserts.
+        filled = [row[BUCKET] for row in touched if row[BUCKET] in old or row.inserted]
+        if filled:
+            self._write(self._merged(spark, changes, old, size, len(touched)), batch_id)
+        self._commit(spark, batch_id, current, filled)
         return True
 
     def _merged(self, spark: SparkSession, changes: DataFrame, old: dict[int, int], size: int, touched: int) -> DataFrame:
@@ -135,19 +146,26 @@ class ReplicaTable:
         last, _ = self.manifest(spark)
         if last is not None and batch_id <= last:
             raise ValueError(f"batch {batch_id} is not after the last applied one, {last}")
-        self._write(spark, rows.repartition(self.buckets, *self.table.keys), batch_id, {})
+        folder = self._write(rows.repartition(self.buckets, *self.table.keys), batch_id)
+        filled = spark.read.schema(self._stored()).parquet(folder).select(BUCKET).distinct().collect()
+        self._commit(spark, batch_id, {}, [row[BUCKET] for row in filled])
 
     def _bucket(self) -> Column:
         return bucket_of(self.table.keys, self.buckets)
 
-    def _write(self, spark: SparkSession, rows: DataFrame, batch_id: int, current: dict[int, int]) -> None:
+    def _write(self, rows: DataFrame, batch_id: int) -> str:
         folder = f"{self.path}/data/batch={batch_id}"
         rows.withColumn(BUCKET, self._bucket()).write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
-        written = spark.read.schema(self._stored()).parquet(folder).select(BUCKET).distinct().collect()
-        buckets = {**current, **{row[BUCKET]: batch_id for row in written}}
-        # A batch without rows still counts as applied.
-        entries = sorted(buckets.items()) or [(-1, batch_id)]
-        commit = spark.createDataFrame(entries, "bucket int, data_batch long").coalesce(1)
+        return folder
+
+    def _commit(self, spark: SparkSession, batch_id: int, current: dict[int, int], filled: Iterable[int]) -> None:
+        """Make a batch visible. One without rows still counts as applied."""
+        buckets = {**current, **dict.fromkeys(filled, batch_id)} or {-1: batch_id}
+        entries = {
+            "bucket": pa.array(list(buckets), pa.int32()),
+            "data_batch": pa.array(list(buckets.values()), pa.int64()),
+        }
+        commit = spark.createDataFrame(pa.table(entries)).coalesce(1)
         commit.write.mode("overwrite").parquet(f"{self.path}/commits/batch={batch_id}")
 
     def _stored(self) -> T.StructType:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,15 @@ from tidemark.streaming.retry import SinkFailure
 
 Sink = Callable[[TableSchema, DataFrame, int], bool]
 Counted = tuple[str, str, int]
-BATCH_STATISTICS = "batch_id long, source_table string, operation string, events long, seconds double"
+BATCH_STATISTICS = pa.schema(
+    [
+        ("batch_id", pa.int64()),
+        ("source_table", pa.string()),
+        ("operation", pa.string()),
+        ("events", pa.int64()),
+        ("seconds", pa.float64()),
+    ]
+)
 
 
 @dataclass
@@ -109,9 +118,11 @@ class Replication:
 
     def _record(self, spark: SparkSession, counts: list[Counted], batch_id: int, seconds: float) -> None:
         """Number of applied events by table and operation, with the seconds of the batch."""
-        rows = [(batch_id, *counted, seconds) for counted in counts]
-        frame = spark.createDataFrame(rows, BATCH_STATISTICS).coalesce(1)
-        frame.write.mode("overwrite").parquet(f"{self.statistics_path}/batch={batch_id}")
+        names = BATCH_STATISTICS.names
+        columns = list(zip(*[(batch_id, *counted, seconds) for counted in counts])) or [()] * len(names)
+        frame = pa.table([pa.array(c, f.type) for c, f in zip(columns, BATCH_STATISTICS)], schema=BATCH_STATISTICS)
+        rows = spark.createDataFrame(frame).coalesce(1)
+        rows.write.mode("overwrite").parquet(f"{self.statistics_path}/batch={batch_id}")
 
     def start(self, stream: DataFrame, checkpoint: str, every: str | None = None) -> StreamingQuery:
         """Run on a stream. Without an interval it takes all that is there and stops."""
