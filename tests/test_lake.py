@@ -78,3 +78,15 @@ def test_a_key_in_two_log_partitions_is_an_error(spark, tmp_path):
     rows = [("pairs", 0, 0, event("c", 1, a=1, b=1)), ("pairs", 1, 0, event("u", 2, a=1, b=1, x=1))]
     with pytest.raises(SplitKeyError):
         table.apply(replay.changes(log_frame(spark, rows), PAIRS), 0)
+
+
+def test_old_versions_expire_and_the_current_one_stays(spark, tmp_path):
+    table = ReplicaTable(str(tmp_path / "r"), PAIRS, buckets=4)
+    events = random_events(15, 80)
+    for batch, start in enumerate((0, 20, 40, 60)):
+        table.apply(changes(spark, events[start : start + 20], start), batch)
+    assert table.expire(spark, keep=1) > 0
+    assert table.expired(spark, keep=1) == []
+    assert as_dict(table.read(spark)) == interpret(events)
+    with pytest.raises(ValueError):
+        table.expire(spark, keep=0)

@@ -44,7 +44,7 @@ def event_time(ts_ms: Column) -> Column:
 
 def topic_table(topic: Column) -> Column:
     """Table a topic is named after: its third dot-part, NULL if it has fewer parts."""
-    return F.get(F.split(topic, r"\."), F.lit(2))
+    return F.nullif(F.split_part(topic, F.lit("."), F.lit(3)), F.lit(""))
 
 
 def routed_table(topic: Column, source_table: Column) -> Column:

@@ -464,17 +464,20 @@ def reconcile_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Ends of the slices the log arrives in: 11 and 21 January 2024, then the rest.
 _SLICE_ENDS = (1704931200000, 1705795200000, None)
-_LOG_PARTITIONS = 4
 
 
-def _arrive(log: DataFrame, path: str, slices: range) -> None:
-    """Append slices of a log to a folder, oldest first, one file per log partition."""
+def _arrive(log: DataFrame, path: str, i: int) -> None:
+    """Append one slice of a log to a folder."""
     at = F.unix_millis("timestamp")
-    for i in slices:
-        start, end = (_SLICE_ENDS[i - 1] if i else None), _SLICE_ENDS[i]
-        mine = log if start is None else log.filter(at >= start)
-        mine = mine if end is None else mine.filter(at < end)
-        mine.repartition(_LOG_PARTITIONS, "partition").write.mode("append").parquet(path)
+    start, end = (_SLICE_ENDS[i - 1] if i else None), _SLICE_ENDS[i]
+    mine = log if start is None else log.filter(at >= start)
+    mine = mine if end is None else mine.filter(at < end)
+    mine.write.mode("append").parquet(path)
+
+
+def _drain(spark: SparkSession, job: Replication, root: str) -> None:
+    """Apply what has arrived since the last run, and stop."""
+    job.start(changelog.stream_files(spark, f"{root}/log"), f"{root}/checkpoint").awaitTermination()
 
 
 def _job(root: str) -> Replication:
@@ -482,12 +485,12 @@ def _job(root: str) -> Replication:
 
 
 def cdc_stream_replica(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log arrives in three slices; the stream drains them and stops."""
+    """The log arrives in three slices, each drained as it comes."""
     root = shared_dir(spark, "stream")
-    _arrive(logs.user_state_log(spark, sf_dir), f"{root}/log", range(3))
     job = _job(root)
-    stream = changelog.stream_files(spark, f"{root}/log", _LOG_PARTITIONS)
-    job.start(stream, f"{root}/checkpoint").awaitTermination()
+    for i in range(len(_SLICE_ENDS)):
+        _arrive(logs.user_state_log(spark, sf_dir), f"{root}/log", i)
+        _drain(spark, job, root)
     return _user_state(job.read(spark, "user_state"))
 
 
@@ -495,12 +498,12 @@ def cdc_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stopped after the first slice, resumed with the rest, last batch delivered twice."""
     root = shared_dir(spark, "resume")
     log = logs.user_state_log(spark, sf_dir)
+    _arrive(log, f"{root}/log", 0)
+    _drain(spark, _job(root), root)
+    _arrive(log, f"{root}/log", 1)
+    _arrive(log, f"{root}/log", 2)
     job = _job(root)
-    _arrive(log, f"{root}/log", range(1))
-    stream = changelog.stream_files(spark, f"{root}/log", _LOG_PARTITIONS)
-    job.start(stream, f"{root}/checkpoint").awaitTermination()
-    _arrive(log, f"{root}/log", range(1, 3))
-    job.start(stream, f"{root}/checkpoint").awaitTermination()
+    _drain(spark, job, root)
     last, _ = job.replica("user_state").manifest(spark)
     job.apply_batch(changelog.read_files(spark, f"{root}/log"), last)
     return _user_state(job.read(spark, "user_state"))
@@ -509,10 +512,10 @@ def cdc_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cdc_stream_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All topics in one stream, hostile rows included: rows per replica, and dead letters."""
     root = shared_dir(spark, "tables")
-    _arrive(logs.shop_log(spark, sf_dir), f"{root}/log", range(3))
     job = _job(root)
-    stream = changelog.stream_files(spark, f"{root}/log", _LOG_PARTITIONS)
-    job.start(stream, f"{root}/checkpoint").awaitTermination()
+    for i in range(len(_SLICE_ENDS)):
+        _arrive(logs.shop_log(spark, sf_dir), f"{root}/log", i)
+        _drain(spark, job, root)
     keyed = [name for name, table in logs.CATALOG.items() if table.keys]
     counts = [job.read(spark, name).select(F.lit(name).alias("table_name"), DELETED_AT) for name in keyed]
     refused = spark.read.json(job.dead_letter_path).select(

@@ -64,7 +64,11 @@ def _log_columns(frame: DataFrame) -> DataFrame:
 
 
 def stream_files(spark: SparkSession, path: str, files_per_trigger: int | None = None, form: str = "parquet") -> DataFrame:
-    """Stream of log files as they arrive."""
+    """Stream of log files as they arrive.
+
+    With a limit per trigger, files that hold events of the same key must arrive in log
+    order, because a micro-batch is only ordered within itself.
+    """
     reader = spark.readStream.schema(LOG_SCHEMA).format(form)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
@@ -84,11 +88,12 @@ def with_prefix(log: DataFrame, prefix: str) -> DataFrame:
 def after_positions(log: DataFrame, positions: DataFrame) -> DataFrame:
     """Rows past the position recorded for their topic and partition.
 
-    ``positions`` has topic, partition and the last offset already taken, so one row per
-    log partition. Partitions without a position start at the earliest row.
+    ``positions`` has topic, partition and the last offset already taken. Partitions
+    without a position start at the earliest row. Grouped, the positions are one row per
+    log partition, which bounds what is broadcast; the log itself is not moved.
     """
-    taken = positions.select("topic", "partition", F.col("offset").alias("__taken"))
-    joined = log.join(taken, ["topic", "partition"], "left")
+    taken = positions.groupBy("topic", "partition").agg(F.max("offset").alias("__taken"))
+    joined = log.join(F.broadcast(taken), ["topic", "partition"], "left")
     return joined.filter(F.col("__taken").isNull() | (F.col("offset") > F.col("__taken"))).drop("__taken")
 
 

@@ -150,6 +150,34 @@ class ReplicaTable:
         filled = spark.read.schema(self._stored()).parquet(folder).select(BUCKET).distinct().collect()
         self._commit(spark, batch_id, {}, [row[BUCKET] for row in filled])
 
+    def expired(self, spark: SparkSession, keep: int) -> list[str]:
+        """Folders that none of the last ``keep`` versions needs.
+
+        At most one per bucket and version written since they were last deleted.
+        """
+        commits = spark.read.schema(f"{_MANIFEST}, batch long").parquet(f"{self.path}/commits")
+        batches = sorted(row.batch for row in commits.select("batch").distinct().collect())
+        kept = batches[-keep:]
+        parts = ["data_batch", BUCKET]
+        needed = commits.filter(F.col("batch") >= kept[0]).select(*parts).distinct()
+        older = commits.filter((F.col("batch") < kept[0]) & (F.col(BUCKET) >= 0)).select(*parts).distinct()
+        data = [
+            f"{self.path}/data/batch={row.data_batch}/{BUCKET}={row[BUCKET]}"
+            for row in older.join(needed, parts, "left_anti").collect()
+        ]
+        return data + [f"{self.path}/commits/batch={batch}" for batch in batches if batch < kept[0]]
+
+    def expire(self, spark: SparkSession, keep: int = 2) -> int:
+        """Delete what :meth:`expired` lists; readers of the last ``keep`` versions go on."""
+        if keep < 1:
+            raise ValueError("the current version cannot expire")
+        folders = self.expired(spark, keep)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for folder in folders:
+            path = hadoop(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        return len(folders)
+
     def _bucket(self) -> Column:
         return bucket_of(self.table.keys, self.buckets)
 
