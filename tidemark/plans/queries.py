@@ -372,8 +372,9 @@ def cdc_dlq_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.dead_letter_count(rejects.dead_letters(_rejected(spark, sf_dir)))
 
 
-def _processed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = replay.parsed(logs.shop_log(spark, sf_dir), logs.EXCLUDED)
+def processed_in(log: DataFrame) -> DataFrame:
+    """Applied events of every catalog table."""
+    events = replay.parsed(log, logs.EXCLUDED)
     result = None
     for schema in logs.CATALOG.values():
         mine = stats.processed(typed_events(events, schema, POLICY))
@@ -382,7 +383,7 @@ def _processed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stats_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _processed(spark, sf_dir)
+    return processed_in(logs.shop_log(spark, sf_dir))
 
 
 def stats_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -402,14 +403,19 @@ def stats_duration_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stats_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = changelog.with_prefix(logs.shop_log(spark, sf_dir), logs.PREFIX)
+def lag_in(log: DataFrame) -> DataFrame:
+    """Lag if the last insert of each log partition is the last event applied."""
+    log = changelog.with_prefix(log, logs.PREFIX)
     applied = envelope.parse(log).select(
         "topic", "partition", F.when(F.col("operation") == envelope.INSERT, F.col("offset")).alias("offset")
     )
     return stats.lag(log, applied)
 
 
+def stats_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lag_in(logs.shop_log(spark, sf_dir))
+
+
 # --- bootstrap and reconcile ---------------------------------------------------------
 
 
