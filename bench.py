@@ -37,7 +37,7 @@ def drain(frame: DataFrame) -> None:
 
 def stage(spark: SparkSession, root: str, name: str, log: DataFrame) -> DataFrame:
     path = f"{root}/{name}"
-    log.repartition(int(CPUS), "key").write.parquet(path)
+    changelog.archive(log.repartition(int(CPUS), "key"), path)
     return changelog.read_files(spark, path)
 
 

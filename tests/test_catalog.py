@@ -1,10 +1,11 @@
 """Catalogs, topic options, bootstrap and reconcile."""
 
 import pytest
+from helpers import event, log_frame
 from pyspark.sql import functions as F
 
 from tidemark.functions.convert import Policy
-from tidemark.operators import bootstrap, reconcile, stats
+from tidemark.operators import bootstrap, reconcile, replay, stats
 from tidemark.plans import changelogs as logs
 from tidemark.sources import catalog, changelog
 
@@ -100,3 +101,15 @@ def test_duration_histogram(spark):
     inserts = {r.le: r.cumulative for r in rows if r.operation == "INSERT"}
     assert inserts["0.05"] == 0 and inserts["0.1"] == 9 and inserts["10"] == 9 and inserts["+Inf"] == 10
     assert [r.observations for r in rows if r.operation == "DELETE"][0] == 1
+
+
+def test_an_archived_log_is_read_by_topic(spark, tmp_path):
+    path = str(tmp_path / "log")
+    rows = [("orders", 0, 0, event("c", 1, o_orderkey=1)), ("messages", 0, 0, event("c", 1, conv_id=1, turn=2))]
+    changelog.archive(log_frame(spark, rows), path)
+    log = changelog.read_files(spark, path)
+    assert log.columns == changelog.LOG_SCHEMA.fieldNames()
+    replica = replay.rebuild(log, logs.MESSAGES)
+    assert [(r.conv_id, r.turn) for r in replica.collect()] == [(1, 2)]
+    plan = replica._jdf.queryExecution().executedPlan().toString()
+    assert "topic" in plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]

@@ -3,11 +3,12 @@
 import duckdb
 import pytest
 from helpers import PAIRS, event, interpret, log_frame
-from test_fold import as_log, random_events
+from test_fold import as_dict, as_log, random_events
 
 from tidemark.functions.convert import Policy
 from tidemark.operators import replay
 from tidemark.operators.rejects import DEADLOCK_EXHAUSTED, SINK_ERROR
+from tidemark.sources import changelog
 from tidemark.streaming import jdbc
 from tidemark.streaming.replicate import Replication
 from tidemark.streaming.retry import SinkFailure, with_retry
@@ -126,3 +127,25 @@ def test_a_batch_records_its_statistics(spark, tmp_path):
     found = {(r.operation, r.events) for r in spark.read.parquet(job.statistics_path).collect()}
     assert found == {("INSERT", 5), ("DELETE", 1)}
     assert job.read(spark, "pairs").count() == 5
+
+
+def test_stream_replay_and_a_new_stream_agree(spark, tmp_path):
+    events = random_events(31, 90)
+    path = str(tmp_path / "log")
+    job = Replication(str(tmp_path / "target"), {"pairs": PAIRS}, buckets=4)
+
+    def drain(job, checkpoint):
+        job.start(changelog.stream_files(spark, path), str(tmp_path / checkpoint)).awaitTermination()
+        return as_dict(job.read(spark, "pairs"))
+
+    for start in (0, 30):
+        as_log(spark, events[start : start + 30], start).coalesce(1).write.mode("append").parquet(path)
+        assert drain(job, "first") == interpret(events[: start + 30])
+    version = job.rebuild(changelog.read_files(spark, path))
+    assert as_dict(job.read(spark, "pairs")) == interpret(events[:60])
+    with pytest.raises(ValueError, match="first_batch"):
+        drain(job, "second")
+    path = str(tmp_path / "rest")
+    as_log(spark, events[60:], 60).write.parquet(path)
+    again = Replication(str(tmp_path / "target"), {"pairs": PAIRS}, buckets=4, first_batch=version + 1)
+    assert drain(again, "second") == interpret(events)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import convert, envelope, temporal
 from tidemark.functions.convert import Policy
 from tidemark.functions.types import DELETED_AT, ColumnSpec, TableSchema, replica_schema
-from tidemark.operators import bootstrap, fold, merge, reconcile, rejects, replay, stats
+from tidemark.operators import bootstrap, fold, reconcile, rejects, replay, stats
 from tidemark.operators.typed import typed_events, typed_rows
 from tidemark.plans import changelogs as logs
 from tidemark.session import shared_dir

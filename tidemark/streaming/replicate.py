@@ -9,15 +9,15 @@ from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.convert import Policy
 from tidemark.functions.types import TableSchema
-from tidemark.operators import rejects
+from tidemark.operators import rejects, replay
 from tidemark.operators.fold import LOG_ORDER, fold, operation_counts
-from tidemark.operators.replay import parsed
 from tidemark.operators.typed import table_events, typed_events
 from tidemark.streaming.lake import ReplicaTable
 from tidemark.streaming.retry import SinkFailure
@@ -41,7 +41,9 @@ class Replication:
 
     Replicas, dead letters and statistics are written below ``root``, all of them keyed
     by batch, so that a repeated micro-batch leaves no second trace. ``sink`` replaces the
-    parquet replicas by another target.
+    parquet replicas by another target. A stream counts its batches from zero in each
+    checkpoint, so a job that starts anew on existing replicas sets ``first_batch`` to
+    their next version and keeps it for as long as it uses that checkpoint.
     """
 
     root: str
@@ -52,6 +54,7 @@ class Replication:
     buckets: int = 64
     tables_at_once: int = 4
     sink: Sink | None = None
+    first_batch: int = 0
 
     def replica(self, name: str) -> ReplicaTable:
         return ReplicaTable(
@@ -73,32 +76,46 @@ class Replication:
     def apply_batch(self, log: DataFrame, batch_id: int) -> None:
         """Apply one micro-batch to every table it has events of."""
         started = time.time()
-        # Read by every table, so parsed once; spills to disk, recomputed if lost.
-        events = parsed(log, self.excluded).persist(StorageLevel.MEMORY_AND_DISK)
+        # Read by every table, so parsed once; spills to disk, recomputed if lost. Sorted,
+        # so that a table skips the cached blocks of the others by their bounds.
+        events = replay.parsed(log, self.excluded)
+        if len(self.catalog) > 1:
+            events = events.sortWithinPartitions("source_table")
+        events = events.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             present = self._tables_in(events)
             with ThreadPoolExecutor(max(1, self.tables_at_once)) as pool:
-                outcomes = list(pool.map(lambda name: self._apply_table(events, name, batch_id), present))
+                outcomes = dict(zip(present, pool.map(lambda n: self._apply_table(present[n], n, batch_id), present)))
             refused = rejects.unroutable(events, self.catalog)
-            for name, outcome in zip(present, outcomes):
+            for name, outcome in outcomes.items():
                 table = self.catalog[name]
                 if isinstance(outcome, SinkFailure):
-                    lost = rejects.sink_failure(table_events(events, table), outcome.reason)
+                    lost = rejects.sink_failure(table_events(present[name], table), outcome.reason)
                 else:
-                    lost = rejects.rejected_of(typed_events(events, table, self.policy))
+                    lost = rejects.rejected_of(typed_events(present[name], table, self.policy))
                 refused = refused.unionByName(lost)
             rejects.append_dead_letters(refused, self.dead_letter_path, batch_id)
-            counts = [row for outcome in outcomes if not isinstance(outcome, SinkFailure) for row in outcome]
+            counts = [row for outcome in outcomes.values() if not isinstance(outcome, SinkFailure) for row in outcome]
             self._record(events.sparkSession, counts, batch_id, time.time() - started)
         finally:
             events.unpersist()
 
-    def _tables_in(self, events: DataFrame) -> list[str]:
-        """Catalog tables with events in the batch; at most one row per catalog table."""
+    def _tables_in(self, events: DataFrame) -> dict[str, DataFrame]:
+        """Events by catalog table they name; the driver sees at most one row per table."""
         name = F.lower("source_table")
         by_name = {known.lower(): known for known in self.catalog}
-        found = events.filter(name.isin(list(by_name))).groupBy(name.alias("name")).count().collect()
-        return sorted(by_name[row.name] for row in found)
+        found = (
+            events.filter(name.isin(list(by_name)))
+            .groupBy(name.alias("name"))
+            .agg(F.min("source_table").alias("first"), F.max("source_table").alias("last"))
+            .collect()
+        )
+
+        def of(row: Row) -> DataFrame:
+            # Spelled in one way, the name can be compared with the bounds of a cached block.
+            return events.filter(F.col("source_table") == row["first"]) if row["first"] == row["last"] else events
+
+        return {by_name[row["name"]]: of(row) for row in sorted(found, key=lambda row: row["name"])}
 
     def _apply_table(self, events: DataFrame, name: str, batch_id: int) -> SinkFailure | list[Counted]:
         """Apply one table's events; gives the number applied by operation, at most three rows."""
@@ -126,10 +143,43 @@ class Replication:
 
     def start(self, stream: DataFrame, checkpoint: str, every: str | None = None) -> StreamingQuery:
         """Run on a stream. Without an interval it takes all that is there and stops."""
-        writer = stream.writeStream.foreachBatch(self.apply_batch).option("checkpointLocation", checkpoint)
+        spark = stream.sparkSession
+        last = self.last_version(spark)
+        if last is not None and last >= self.first_batch and _is_new(spark, checkpoint):
+            raise ValueError(f"a new checkpoint would repeat batch numbers: set first_batch to {last + 1}")
+        writer = stream.writeStream.foreachBatch(lambda rows, batch: self.apply_batch(rows, self.first_batch + batch))
         trigger = {"processingTime": every} if every else {"availableNow": True}
-        return writer.trigger(**trigger).start()
+        return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+    def last_version(self, spark: SparkSession) -> int | None:
+        """Last version of any replica; None if there is no replica yet, or another sink."""
+        if self.sink is not None:
+            return None
+        keyed = [name for name, table in self.catalog.items() if table.keys]
+        versions = [self.replica(name).manifest(spark)[0] for name in keyed]
+        return max((v for v in versions if v is not None), default=None)
+
+    def rebuild(self, log: DataFrame) -> int:
+        """Replace every replica by what the retained log gives; returns the new version."""
+        last = self.last_version(log.sparkSession)
+        version = 0 if last is None else last + 1
+        for name, table in self.catalog.items():
+            if table.keys:
+                rows = replay.rebuild(log, table, self.policy, self.excluded, self.order)
+                self.replica(name).overwrite(rows, version)
+        return version
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         """Current rows of a replica."""
         return self.replica(name).read(spark)
+
+
+def _is_new(spark: SparkSession, checkpoint: str) -> bool:
+    """Whether no stream has used the checkpoint."""
+    try:
+        spark.read.text(f"{checkpoint.rstrip('/')}/metadata")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return True
+        raise
+    return False
