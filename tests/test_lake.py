@@ -90,3 +90,18 @@ def test_old_versions_expire_and_the_current_one_stays(spark, tmp_path):
     assert as_dict(table.read(spark)) == interpret(events)
     with pytest.raises(ValueError):
         table.expire(spark, keep=0)
+
+
+def test_large_change_sets_are_joined_by_key_and_small_ones_sent(spark, tmp_path):
+    table = ReplicaTable(str(tmp_path / "r"), PAIRS, buckets=6)
+    events = random_events(16, 60)
+    table.apply(changes(spark, events[:30]), 0)
+    later, current = changes(spark, events[30:], 30), table.manifest(spark)[1]
+
+    def exchanges_after_the_fold(size):
+        plan = table._merged(spark, later, current, size, 6)._jdf.queryExecution().executedPlan().toString()
+        return plan.count("REPARTITION_BY_NUM"), plan.count("SortMergeJoin") + plan.count("ShuffledHashJoin")
+
+    # Both sides once, by key, and nothing after the join; or the result once, by bucket.
+    assert exchanges_after_the_fold(table.broadcast_bytes + 1)[0] == 2
+    assert exchanges_after_the_fold(0) == (1, 0)

@@ -34,7 +34,7 @@ def tuned(spark: SparkSession) -> SparkSession:
     The virtual machine does not compile methods over 8000 bytes of code. With Spark's
     default limit, one method holds the conversion of all columns of a wide table and is
     interpreted for every event; with this one, Spark splits such stages into small
-    methods instead, which halves the time per event. A limit set by the user is kept.
+    methods instead, which halves the time of the conversion. A limit set by the user is kept.
     """
     if spark.conf.get(HUGE_METHOD_LIMIT, None) in (None, DEFAULT_METHOD_LIMIT):
         spark.conf.set(HUGE_METHOD_LIMIT, COMPILED_METHOD_LIMIT)
