@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate
+from tidemark.llm import decontaminate, quality
 from tidemark.llm.frames import table
 
 
+def op5_risk_controlled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {
+    "op5_risk_controlled_quality": op5_risk_controlled_quality,
     "op9_winnowing_decontamination": op9_winnowing_decontamination,
 }
 ORACLES: dict[str, str] = {}
