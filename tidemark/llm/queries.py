@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, quality
+from tidemark.llm import decontaminate, language, quality
 from tidemark.llm.frames import table
 
 
+def op2_hierarchical_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op5_risk_controlled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -17,6 +21,7 @@ def op9_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 QUERIES = {
+    "op2_hierarchical_language": op2_hierarchical_language,
     "op5_risk_controlled_quality": op5_risk_controlled_quality,
     "op9_winnowing_decontamination": op9_winnowing_decontamination,
 }
