@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, language, quality
+from tidemark.llm import decontaminate, language, quality, toxicity
 from tidemark.llm.frames import table
 
 
@@ -12,6 +12,10 @@ def op2_hierarchical_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op3_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_risk_controlled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -22,6 +26,7 @@ def op9_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 QUERIES = {
     "op2_hierarchical_language": op2_hierarchical_language,
+    "op3_crf_toxicity": op3_crf_toxicity,
     "op5_risk_controlled_quality": op5_risk_controlled_quality,
     "op9_winnowing_decontamination": op9_winnowing_decontamination,
 }
