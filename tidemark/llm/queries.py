@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, language, quality, toxicity
+from tidemark.llm import decontaminate, language, mainpage, quality, toxicity
 from tidemark.llm.frames import table
 
 
+def op1_composite_density_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mainpage.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_hierarchical_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -25,6 +29,7 @@ def op9_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 QUERIES = {
+    "op1_composite_density_extraction": op1_composite_density_extraction,
     "op2_hierarchical_language": op2_hierarchical_language,
     "op3_crf_toxicity": op3_crf_toxicity,
     "op5_risk_controlled_quality": op5_risk_controlled_quality,
