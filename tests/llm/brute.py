@@ -33,3 +33,33 @@ def contamination(docs, items):
         digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
         out[doc] = (len(words), len(hit), len(found), digest, bool(hit) and 20 * len(hit) >= len(words))
     return out
+
+
+def shingles(text, size):
+    words = WORD.findall(lower(text))
+    if len(words) < size:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
+
+
+def near_groups(docs, size, per_cent=80):
+    """[(doc_id, n_shingles, component_id)] with links between all pairs of rows."""
+    sets = [shingles(text, size) for _, text in docs]
+    root = list(range(len(docs)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, x in enumerate(sets):
+        for j in range(i):
+            y = sets[j]
+            if x and y and 100 * min(len(x), len(y)) >= per_cent * max(len(x), len(y)):
+                both = len(x & y)
+                if 100 * both >= per_cent * (len(x) + len(y) - both):
+                    root[find(i)] = find(j)
+    least = {}
+    for i, (doc, _) in enumerate(docs):
+        least[find(i)] = min(least.get(find(i), doc), doc)
+    return sorted((doc, len(sets[i]), least[find(i)]) for i, (doc, _) in enumerate(docs))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, language, mainpage, quality, toxicity
+from tidemark.llm import decontaminate, language, mainpage, neardup, quality, toxicity
 from tidemark.llm.frames import table
 
 
@@ -24,6 +24,10 @@ def op5_risk_controlled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_bayesian_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=2)
+
+
 def op9_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -33,6 +37,7 @@ QUERIES = {
     "op2_hierarchical_language": op2_hierarchical_language,
     "op3_crf_toxicity": op3_crf_toxicity,
     "op5_risk_controlled_quality": op5_risk_controlled_quality,
+    "op6_bayesian_minhash": op6_bayesian_minhash,
     "op9_winnowing_decontamination": op9_winnowing_decontamination,
 }
 ORACLES: dict[str, str] = {}
