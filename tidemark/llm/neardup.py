@@ -16,7 +16,7 @@ is either compared or joined through others, and components are as if all had be
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -159,7 +159,7 @@ def _surviving(pairs: DataFrame, signed: DataFrame, per_cent: int) -> DataFrame:
     return pairs.join(b, "b").join(a, "a").select("a", "b", "sa", "sb").mapInArrow(compare, "a bigint, b bigint")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
     """Pairs (a, b) whose sets are similar enough: 100 x intersection >= per_cent x union."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,7 +183,7 @@ def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_column: str
         return left
     nodes = left.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = kept(classes.select("node", "id", "digest").join(nodes, "node"))
-    return kept(_verified(left, kept(sets_of(docs, id_column, size, wanted)), per_cent))
+    return kept(verified(left, kept(sets_of(docs, id_column, size, wanted)), per_cent))
 
 
 def _apart(buckets: DataFrame, labels: DataFrame) -> DataFrame:
@@ -207,26 +207,11 @@ def _across(apart: DataFrame) -> DataFrame:
     return both.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
 
 
-def linked(docs: DataFrame, id_column: str, size: int, per_cent: int) -> tuple[DataFrame, DataFrame]:
-    """All rows as (id, n_shingles, digest), and (digest, component): the smallest id reachable by links.
-
-    A null id counts only if nothing else is in its component. Empty sets have a null digest and no component.
-    """
-    rows = kept(described(docs, id_column, size))
-    first = F.min_by(F.struct("id", "signature"), F.struct(F.col("id").isNull(), F.col("id")))
-    classes = kept(
-        rows.filter("digest IS NOT NULL").groupBy("digest").agg(first.alias("first"))
-        .select(F.monotonically_increasing_id().alias("node"), "digest", "first.*")
-    )
-    numbers = F.sequence(F.lit(0), F.lit(BANDS - 1))
-    band = F.transform(numbers, lambda i: F.xxhash64(i, F.substring("signature", i * (4 * ROWS) + 1, F.lit(4 * ROWS))))
-    keyed = classes.select("node", F.explode(band).alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("least")).filter("n > 1")
-    buckets = kept(keyed.join(shared.select("key", "least"), "key"))
-
+def joined(buckets: DataFrame, links_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(node, label) of linked nodes, from bands (key, node, least) and a function that keeps the similar pairs (a, b)."""
     pairs = buckets.filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
     compared = kept(pairs)
-    links = _links(compared, classes, docs, id_column, size, per_cent)
+    links = links_of(compared)
     labels = kept(components(links))
     for turn in range(ROUNDS + 1):
         apart = kept(_apart(buckets, labels))
@@ -240,10 +225,31 @@ def linked(docs: DataFrame, id_column: str, size: int, per_cent: int) -> tuple[D
         if pairs.isEmpty():
             continue
         compared = compared.union(pairs)
-        more = _links(pairs, classes, docs, id_column, size, per_cent)
+        more = links_of(pairs)
         if not more.isEmpty():
             links = kept(links.union(more))
             labels = kept(components(links))
+    return labels
+
+
+def linked(docs: DataFrame, id_column: str, size: int, per_cent: int) -> tuple[DataFrame, DataFrame]:
+    """All rows as (id, n_shingles, digest), and (digest, component): the smallest id reachable by links.
+
+    A null id counts only if nothing else is in its component. Empty sets have a null digest and no component.
+    """
+    rows = kept(described(docs, id_column, size))
+    first = F.min_by(F.struct("id", "signature"), F.struct(F.col("id").isNull(), F.col("id")))
+    classes = kept(
+        rows.filter("digest IS NOT NULL").groupBy("digest").agg(first.alias("first"))
+        .select(F.monotonically_increasing_id().alias("node"), "digest", "first.*")
+    )
+    numbers = F.sequence(F.lit(0), F.lit(BANDS - 1))
+    band = F.transform(numbers, lambda i: F.xxhash64(i, F.substring("signature", i * (4 * ROWS) + 1, F.lit(4 * ROWS))))
+    keyed = classes.select("node", F.explode(band).alias("key"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("least")).filter("n > 1")
+    buckets = kept(keyed.join(shared.select("key", "least"), "key"))
+
+    labels = joined(buckets, lambda pairs: _links(pairs, classes, docs, id_column, size, per_cent))
     named = classes.select("node", "id", "digest").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("id").alias("component"))
     return rows.drop("signature"), named.join(least, "label").select("digest", "component")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, language, mainpage, neardup, quality, toxicity
+from tidemark.llm import decontaminate, language, mainpage, neardup, paragraphs, quality, toxicity
 from tidemark.llm.frames import table
 
 
@@ -32,6 +32,11 @@ def op9_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_paragraph_banding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document, with the words before, the words removed and the runs removed."""
+    return paragraphs.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_composite_density_extraction": op1_composite_density_extraction,
     "op2_hierarchical_language": op2_hierarchical_language,
@@ -39,5 +44,6 @@ QUERIES = {
     "op5_risk_controlled_quality": op5_risk_controlled_quality,
     "op6_bayesian_minhash": op6_bayesian_minhash,
     "op9_winnowing_decontamination": op9_winnowing_decontamination,
+    "op10_paragraph_banding": op10_paragraph_banding,
 }
 ORACLES: dict[str, str] = {}
