@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, language, mainpage, neardup, paragraphs, quality, toxicity
+from tidemark.llm import decontaminate, language, mainpage, neardup, packing, paragraphs, quality, tokencounts, toxicity
 from tidemark.llm.frames import table
 
 
@@ -28,6 +28,14 @@ def op6_bayesian_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=2)
 
 
+def op7_variable_capacity_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit(table(spark, sf_dir, "documents"))
+
+
+def op8_offset_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.count(table(spark, sf_dir, "documents"))
+
+
 def op9_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -43,6 +51,8 @@ QUERIES = {
     "op3_crf_toxicity": op3_crf_toxicity,
     "op5_risk_controlled_quality": op5_risk_controlled_quality,
     "op6_bayesian_minhash": op6_bayesian_minhash,
+    "op7_variable_capacity_packing": op7_variable_capacity_packing,
+    "op8_offset_token_counts": op8_offset_token_counts,
     "op9_winnowing_decontamination": op9_winnowing_decontamination,
     "op10_paragraph_banding": op10_paragraph_banding,
 }
