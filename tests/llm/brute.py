@@ -63,3 +63,20 @@ def near_groups(docs, size, per_cent=80):
     for i, (doc, _) in enumerate(docs):
         least[find(i)] = min(least.get(find(i), doc), doc)
     return sorted((doc, len(sets[i]), least[find(i)]) for i, (doc, _) in enumerate(docs))
+
+
+def byte_repeats(docs, length=100):
+    """{doc_id: (n_bytes, n_removed, n_spans, kept_sha256)} by looking up every byte string."""
+    seen, out = set(), {}
+    for doc, text in sorted(docs):
+        data = (text or "").encode()
+        gone = bytearray(len(data))
+        for i in range(len(data) - length + 1):
+            window = data[i : i + length]
+            if window in seen:
+                gone[i : i + length] = b"\1" * length
+            seen.add(window)
+        kept = bytes(b for b, g in zip(data, gone) if not g)
+        spans = len(re.findall(rb"\x01+", bytes(gone)))
+        out[doc] = (len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest())
+    return out

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, language, mainpage, neardup, packing, paragraphs, quality, tokencounts, toxicity
+from tidemark.llm import decontaminate, language, mainpage, neardup, packing, paragraphs, quality, suffixes, tokencounts, toxicity
 from tidemark.llm.frames import table
 
 
@@ -20,6 +20,10 @@ def op3_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_difference_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op5_risk_controlled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -49,6 +53,7 @@ QUERIES = {
     "op1_composite_density_extraction": op1_composite_density_extraction,
     "op2_hierarchical_language": op2_hierarchical_language,
     "op3_crf_toxicity": op3_crf_toxicity,
+    "op4_difference_cover_dedup": op4_difference_cover_dedup,
     "op5_risk_controlled_quality": op5_risk_controlled_quality,
     "op6_bayesian_minhash": op6_bayesian_minhash,
     "op7_variable_capacity_packing": op7_variable_capacity_packing,
