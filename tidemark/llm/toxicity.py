@@ -165,7 +165,8 @@ def fit_field(rows: np.ndarray, y: np.ndarray, first: np.ndarray, steps: int = 8
 def _drawn(known: DataFrame, most: int, seed: str) -> DataFrame:
     """About ``most`` rows of each label, drawn by the hash of the key."""
     sizes = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
-    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    key = F.col("doc_id" if "doc_id" in known.columns else "labelled")
+    draw = F.pmod(F.xxhash64(key.cast("string"), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     share = F.when(F.col("toxic"), most / max(1, sizes.get(True, 0))).otherwise(most / max(1, sizes.get(False, 0)))
     return known.filter(draw < share)
 
@@ -224,14 +225,13 @@ def _label_words(rows: np.ndarray, text: np.ndarray, toxic: np.ndarray, known: t
 def train(docs: DataFrame, labels: DataFrame) -> Field | None:
     """The field of the labelled documents outside the held-out fold, or None if one of the labels is missing."""
     judged = (
-        labels.filter(F.col("toxic").isNotNull()).groupBy(F.col("doc_id").alias("labelled"))
+        labels.filter(F.col("toxic").isNotNull() & in_third("doc_id", 3, 1)).groupBy(F.col("doc_id").alias("labelled"))
         .agg((F.max(F.col("toxic").cast("int")) > 0).alias("toxic"))
     )
-    known = (
-        docs.filter(in_third("doc_id", 3, 1)).select("doc_id", F.col("text").cast("string").alias("text"))
-        .join(judged, F.col("doc_id") == F.col("labelled")).select("doc_id", "text", "toxic")
-    )
-    known = kept(_drawn(known, COUNTED, "evidence"))
+    # The draw is made among the labels, so that few keys instead of all texts are moved; the limit bounds them.
+    chosen = F.broadcast(_drawn(judged, COUNTED, "evidence").limit(4 * COUNTED))
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    known = kept(texts.join(chosen, F.col("doc_id") == F.col("labelled")).select("doc_id", "text", "toxic"))
     found = evidence(known)
     if not found:
         return None
