@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import math
 import tempfile
+import uuid
+import zipfile
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +21,7 @@ MAX_BITS = 27
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Small Arrow batches and a checkpoint folder.
+    """Small Arrow batches, a checkpoint folder, and this package on the executors.
 
     The folder is the session's ``spark.checkpoint.dir``; only a local session may go without
     one and gets a folder of its own.
@@ -33,9 +36,25 @@ def prepare(spark: SparkSession) -> SparkSession:
                 raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
             root = tempfile.mkdtemp(prefix="tidemark-llm-")
         context.setCheckpointDir(root)
+    _ship(context)
     return spark
 
 
+def _ship(context) -> None:
+    """Give the executors this package, once per context: they may not have it on their path."""
+    if getattr(context, "_tidemark_shipped", False):
+        return
+    context._tidemark_shipped = True
+    package = Path(__file__).resolve().parent.parent
+    if not package.is_dir():  # it already comes from an archive
+        return
+    archive = Path(tempfile.mkdtemp(prefix="tidemark-code-")) / "tidemark_code.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -46,6 +65,14 @@ def kept(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+def stored(frame: DataFrame) -> DataFrame:
+    """The rows, written as a table in the shared checkpoint folder: smaller than ``kept`` for many rows."""
+    spark = prepare(frame.sparkSession)
+    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
 class Bitmap:
     """Which hashed values may be in a set. A value in the set always passes; the size has a fixed bound."""
 
