@@ -55,10 +55,10 @@ def seconds_of(run: Callable[[], None]) -> float:
 def small_merge(spark: SparkSession, root: str, orders: DataFrame) -> Callable[[], None]:
     """One micro-batch that touches one percent of the keys of a replica."""
     table = ReplicaTable(f"{root}/merge", logs.ORDERS, queries.POLICY, buckets=32)
-    table.overwrite(replay.rebuild(orders, logs.ORDERS, queries.POLICY), 0)
+    table.overwrite(replay.rebuild(orders, logs.ORDERS, queries.POLICY))
     some = orders.filter(F.get_json_object("value", "$.O_OrderKey").cast("bigint") % 100 == 0)
     batch = stage(spark, root, "one_percent", some)
-    batches = iter(range(1, 1000))
+    batches = iter(range(1000))
 
     def run() -> None:
         changes = replay.changes(batch, logs.ORDERS, queries.POLICY).persist()

@@ -67,10 +67,22 @@ def test_replay_replaces_all_rows(spark, tmp_path):
     table = ReplicaTable(str(tmp_path / "r"), PAIRS, buckets=4)
     events = random_events(14, 60)
     table.apply(changes(spark, events[:20]), 0)
-    table.overwrite(replay.rebuild(as_log(spark, events), PAIRS), 1)
+    assert table.overwrite(replay.rebuild(as_log(spark, events[:40]), PAIRS)) == 1
+    assert as_dict(table.read(spark)) == interpret(events[:40])
+    assert not table.apply(changes(spark, events[:20]), 0)
+    assert table.apply(changes(spark, events[40:], 40), 1)
     assert as_dict(table.read(spark)) == interpret(events)
-    with pytest.raises(ValueError):
-        table.overwrite(table.read(spark), 1)
+
+
+def test_batches_of_two_sources_do_not_hide_each_other(spark, tmp_path):
+    table = ReplicaTable(str(tmp_path / "r"), PAIRS, buckets=4)
+    events = random_events(17, 60)
+    assert table.apply(changes(spark, events[:30]), 7, "one")
+    assert table.apply(changes(spark, events[30:], 30), 0, "two")
+    assert not table.apply(changes(spark, events[:30]), 7, "one")
+    assert not table.apply(changes(spark, events[30:], 30), 0, "two")
+    assert as_dict(table.read(spark)) == interpret(events)
+    assert table.applied(spark) == {"one": 7, "two": 0}
 
 
 def test_a_key_in_two_log_partitions_is_an_error(spark, tmp_path):

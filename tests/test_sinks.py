@@ -39,7 +39,7 @@ def test_only_deadlocks_are_retried():
 
 def test_mysql_statements():
     record, update, insert = jdbc.merge_statements(PAIRS, "pairs_changes", 3, "mysql")
-    assert record == "INSERT INTO `applied_batches` (`table_name`, `batch_id`) VALUES ('pairs', 3)"
+    assert record == "INSERT INTO `applied_batches` (`table_name`, `source`, `batch_id`) VALUES ('pairs', '', 3)"
     assert update.startswith("UPDATE `pairs` t JOIN `pairs_changes` s ON t.`a` = s.`a` AND t.`b` = s.`b` SET t.`x` =")
     assert "NOT EXISTS" in insert and insert.startswith("INSERT INTO `pairs` (`a`, `b`, `x`, `y`, `deleted_at`)")
 
@@ -49,7 +49,7 @@ def test_statements_apply_batches_once(spark):
     db = duckdb.connect()
     db.execute("SET TimeZone = 'UTC'")
     db.execute("CREATE TABLE pairs (a INT, b INT, x INT, y VARCHAR, deleted_at TIMESTAMPTZ, PRIMARY KEY (a, b))")
-    db.execute("CREATE TABLE applied_batches (table_name VARCHAR, batch_id BIGINT, PRIMARY KEY (table_name, batch_id))")
+    db.execute(jdbc.batches_table("postgres"))
     sink = jdbc.DatabaseSink(db.cursor, "", Policy())
     events = random_events(21, 90)
     for batch, start in enumerate((0, 30, 60)):
@@ -62,6 +62,7 @@ def test_statements_apply_batches_once(spark):
         with pytest.raises(duckdb.ConstraintException):
             transact(db, statements)
         assert sink.already_applied(PAIRS, batch)
+        assert not sink.already_applied(PAIRS, 0, "a new checkpoint")
     rows = db.execute("SELECT a, b, x, y, epoch_ms(deleted_at) FROM pairs").fetchall()
     assert {(a, b): {"x": x, "y": y, "deleted": d} for a, b, x, y, d in rows} == interpret(events)
 
@@ -105,7 +106,7 @@ def test_transaction_is_rolled_back_on_failure():
 
 
 def test_a_failed_sink_dead_letters_its_whole_batch(spark, tmp_path):
-    def refuse(table, changes, batch_id):
+    def refuse(table, changes, batch_id, source):
         raise SinkFailure(DEADLOCK_EXHAUSTED, RuntimeError("deadlock"), 4)
 
     job = Replication(str(tmp_path), {"pairs": PAIRS}, sink=refuse)
@@ -141,11 +142,14 @@ def test_stream_replay_and_a_new_stream_agree(spark, tmp_path):
     for start in (0, 30):
         as_log(spark, events[start : start + 30], start).coalesce(1).write.mode("append").parquet(path)
         assert drain(job, "first") == interpret(events[: start + 30])
-    version = job.rebuild(changelog.read_files(spark, path))
+    job.rebuild(changelog.read_files(spark, path))
     assert as_dict(job.read(spark, "pairs")) == interpret(events[:60])
-    with pytest.raises(ValueError, match="first_batch"):
-        drain(job, "second")
+    # The same checkpoint goes on, and a new one takes up where it ends.
+    as_log(spark, events[60:75], 60).coalesce(1).write.mode("append").parquet(path)
+    assert drain(job, "first") == interpret(events[:75])
     path = str(tmp_path / "rest")
-    as_log(spark, events[60:], 60).write.parquet(path)
-    again = Replication(str(tmp_path / "target"), {"pairs": PAIRS}, buckets=4, first_batch=version + 1)
-    assert drain(again, "second") == interpret(events)
+    as_log(spark, events[75:], 75).write.parquet(path)
+    assert drain(job, "second") == interpret(events)
+    assert len(job.replica("pairs").applied(spark)) == 2
+    sources = {row.batch.rsplit("-", 1)[0] for row in spark.read.parquet(job.statistics_path).select("batch").collect()}
+    assert sources == set(job.replica("pairs").applied(spark))

@@ -90,9 +90,9 @@ def dead_letters(rejects: DataFrame, at: Column | None = None, retries: int = 0)
     )
 
 
-def append_dead_letters(rejects: DataFrame, path: str, batch_id: int) -> None:
+def append_dead_letters(rejects: DataFrame, path: str, batch: int | str) -> None:
     """Write a batch's entries as JSON lines. Writing a batch again replaces it."""
-    dead_letters(rejects).write.mode("overwrite").json(f"{path.rstrip('/')}/batch={batch_id}")
+    dead_letters(rejects).write.mode("overwrite").json(f"{path.rstrip('/')}/batch={batch}")
 
 
 def dead_letter_count(entries: DataFrame) -> DataFrame:

@@ -351,5 +351,6 @@ ORACLES: dict[str, str] = {
 }
 ORACLES["cdc_stream_replica"] = _STATE_ROWS
 ORACLES["cdc_stream_resume"] = _STATE_ROWS
+ORACLES["cdc_rebuild_then_stream"] = _STATE_ROWS
 ORACLES["cdc_stream_tables"] = f"""{ORACLES["cdc_multi_table"]}
     UNION ALL SELECT 'dead_letters', count(*), count(*) FROM hostile WHERE {_REJECTED}"""

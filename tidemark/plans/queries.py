@@ -477,7 +477,9 @@ def _arrive(log: DataFrame, path: str, i: int) -> None:
     at = F.unix_millis("timestamp")
     start, end = (_SLICE_ENDS[i - 1] if i else None), _SLICE_ENDS[i]
     mine = log if start is None else log.filter(at >= start)
+    # Rows without a time arrive last.
     mine = mine if end is None else mine.filter(at < end)
+    mine = mine if end is not None else mine.unionByName(log.filter(at.isNull()))
     mine.write.mode("append").parquet(path)
 
 
@@ -510,8 +512,20 @@ def cdc_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     _arrive(log, f"{root}/log", 2)
     job = _job(root)
     _drain(spark, job, root)
-    last, _ = job.replica("user_state").manifest(spark)
-    job.apply_batch(changelog.read_files(spark, f"{root}/log"), last)
+    for source, last in job.replica("user_state").applied(spark).items():
+        job.apply_batch(changelog.read_files(spark, f"{root}/log"), last, source)
+    return _user_state(job.read(spark, "user_state"))
+
+
+def cdc_rebuild_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drained once, rebuilt from the log, and then the rest on the same checkpoint: no batch is lost."""
+    root = shared_dir(spark, "rebuilt")
+    job = _job(root)
+    for i in range(len(_SLICE_ENDS)):
+        _arrive(logs.user_state_log(spark, sf_dir), f"{root}/log", i)
+        _drain(spark, job, root)
+        if not i:
+            job.rebuild(changelog.read_files(spark, f"{root}/log"))
     return _user_state(job.read(spark, "user_state"))
 
 
@@ -535,7 +549,7 @@ def cdc_stream_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-STREAM_QUERIES: dict[str, Query] = {f.__name__: f for f in (cdc_stream_replica, cdc_stream_resume, cdc_stream_tables)}
+STREAM_QUERIES: dict[str, Query] = {f.__name__: f for f in (cdc_stream_replica, cdc_stream_resume, cdc_rebuild_then_stream, cdc_stream_tables)}
 
 BATCH_QUERIES: dict[str, Query] = {
     f.__name__: f

@@ -52,7 +52,18 @@ def _quote(name: str, dialect: str) -> str:
     return '"' + name.replace('"', '""') + '"'
 
 
-def merge_statements(table: TableSchema, staging: str, batch_id: int, dialect: str) -> list[str]:
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def batches_table(dialect: str) -> str:
+    """The statement that creates the table of applied batches. A batch is one of a table, a source and a number."""
+    name, source, batch = (_quote(n, dialect) for n in ("table_name", "source", "batch_id"))
+    columns = f"{name} VARCHAR(255) NOT NULL, {source} VARCHAR(64) NOT NULL, {batch} BIGINT NOT NULL"
+    return f"CREATE TABLE IF NOT EXISTS {_quote(BATCHES, dialect)} ({columns}, PRIMARY KEY ({name}, {source}, {batch}))"
+
+
+def merge_statements(table: TableSchema, staging: str, batch_id: int, dialect: str, batch_source: str = "") -> list[str]:
     """The statements of one batch: record it, change existing rows, create new ones."""
 
     def q(name: str) -> str:
@@ -74,16 +85,15 @@ def merge_statements(table: TableSchema, staging: str, batch_id: int, dialect: s
         f"INSERT INTO {target} ({columns}) SELECT {fresh} FROM {source} s WHERE s.{q(CREATES)} = 1"
         f" AND NOT EXISTS (SELECT 1 FROM {target} t WHERE {same})"
     )
-    name = table.table.replace("'", "''")
-    record = f"INSERT INTO {q(BATCHES)} ({q('table_name')}, {q('batch_id')}) VALUES ('{name}', {int(batch_id)})"
+    batch = f"{_text(table.table)}, {_text(batch_source)}, {int(batch_id)}"
+    record = f"INSERT INTO {q(BATCHES)} ({q('table_name')}, {q('source')}, {q('batch_id')}) VALUES ({batch})"
     return [record, update, insert]
 
 
-def applied_query(table: TableSchema, dialect: str) -> str:
-    """Last batch recorded for a table."""
-    name = table.table.replace("'", "''")
-    column, batches, of = (_quote(n, dialect) for n in ("batch_id", BATCHES, "table_name"))
-    return f"SELECT max({column}) FROM {batches} WHERE {of} = '{name}'"
+def applied_query(table: TableSchema, dialect: str, batch_source: str = "") -> str:
+    """Last batch of a source recorded for a table."""
+    column, batches, of, source = (_quote(n, dialect) for n in ("batch_id", BATCHES, "table_name", "source"))
+    return f"SELECT max({column}) FROM {batches} WHERE {of} = {_text(table.table)} AND {source} = {_text(batch_source)}"
 
 
 class DatabaseSink:
@@ -102,21 +112,21 @@ class DatabaseSink:
         self.policy = policy
         self.options = options or {}
 
-    def __call__(self, table: TableSchema, changes: DataFrame, batch_id: int) -> bool:
-        if self.already_applied(table, batch_id):
+    def __call__(self, table: TableSchema, changes: DataFrame, batch_id: int, source: str = "") -> bool:
+        if self.already_applied(table, batch_id, source):
             return False
         staging = f"{table.table}_changes"
         rows = staged(changes, table, self.policy)
         rows.write.format("jdbc").mode("overwrite").options(url=self.url, dbtable=staging, **self.options).save()
-        statements = merge_statements(table, staging, batch_id, self.policy.dialect)
+        statements = merge_statements(table, staging, batch_id, self.policy.dialect, source)
         with_retry(lambda: self.transact(statements), self.policy.dialect)
         return True
 
-    def already_applied(self, table: TableSchema, batch_id: int) -> bool:
+    def already_applied(self, table: TableSchema, batch_id: int, source: str = "") -> bool:
         connection = self.connect()
         try:
             cursor = connection.cursor()
-            cursor.execute(applied_query(table, self.policy.dialect))
+            cursor.execute(applied_query(table, self.policy.dialect, source))
             last = cursor.fetchone()[0]
             return last is not None and batch_id <= last
         finally:

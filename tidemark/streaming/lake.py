@@ -5,8 +5,10 @@ alone; it becomes visible when its one-file manifest is written. A batch that is
 again, after a lost driver or executor, writes the same folder and changes nothing once
 its manifest exists.
 
-``path/data/batch=<id>/bucket=<n>`` holds rows, ``path/commits/batch=<id>`` the batch
-whose folder has the current rows of each bucket.
+``path/data/batch=<version>/bucket=<n>`` holds rows, ``path/commits/batch=<version>`` the version
+whose folder has the current rows of each bucket. Versions are the replica's own count. A commit also
+names the last batch applied of each source, so a batch is known by its stream and its number
+in that stream, and no stream's numbers hide another's batches.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from tidemark.operators.fold import FIRST_INSERT, FIRST_SLOT, LAST_SLOT
 from tidemark.operators.merge import empty_replica, merge, merge_broadcast, rows_created
 
 BUCKET = "bucket"
-_MANIFEST = "bucket int, data_batch long"
+_MANIFEST = "bucket int, data_batch long, source string"
 _BATCH_FOLDER = re.compile(r"/batch=(\d+)/")
 # Room for a cell's position and row overhead, on top of its text.
 _CELL_BYTES = 32
@@ -36,6 +38,10 @@ class SplitKeyError(ValueError):
     """A key's events came from two log partitions, so their log order is undefined."""
 
 
+def _after(version: int | None) -> int:
+    return 0 if version is None else version + 1
+
+
 def bucket_of(keys: list[str], buckets: int) -> Column:
     """Bucket of a row. It equals the partition that ``repartition(buckets, *keys)`` puts
     the row in, so a frame partitioned by key is already laid out by bucket."""
@@ -77,33 +83,43 @@ class ReplicaTable:
         self.allow_split_keys = allow_split_keys
 
     def manifest(self, spark: SparkSession) -> tuple[int | None, dict[int, int]]:
-        """Last applied batch, and the batch that wrote each bucket; at most one entry per bucket."""
+        """Last version, and the version that wrote each bucket; at most one entry per bucket."""
+        version, buckets, _ = self._state(spark)
+        return version, buckets
+
+    def applied(self, spark: SparkSession) -> dict[str, int]:
+        """Number of the last batch applied of each source."""
+        return self._state(spark)[2]
+
+    def _state(self, spark: SparkSession) -> tuple[int | None, dict[int, int], dict[str, int]]:
         try:
             commits = spark.read.schema(_MANIFEST).parquet(f"{self.path}/commits")
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
-                return None, {}
+                return None, {}, {}
             raise
-        batches = [int(found) for file in commits.inputFiles() for found in _BATCH_FOLDER.findall(file)]
-        if not batches:
-            return None, {}
-        last = max(batches)
+        versions = [int(found) for file in commits.inputFiles() for found in _BATCH_FOLDER.findall(file)]
+        if not versions:
+            return None, {}, {}
+        last = max(versions)
         rows = spark.read.schema(_MANIFEST).parquet(f"{self.path}/commits/batch={last}").collect()
-        return last, {row[BUCKET]: row.data_batch for row in rows if row[BUCKET] >= 0}
+        buckets = {row[BUCKET]: row.data_batch for row in rows if row[BUCKET] >= 0}
+        return last, buckets, {row.source: row.data_batch for row in rows if row[BUCKET] < 0}
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The current rows."""
         return self._rows(spark, self.manifest(spark)[1]).drop(BUCKET)
 
-    def apply(self, changes: DataFrame, batch_id: int) -> bool:
-        """Merge the change rows of a batch; False if the batch was applied before.
+    def apply(self, changes: DataFrame, batch_id: int, source: str = "") -> bool:
+        """Merge the change rows of a batch; False if this batch of this source was applied before.
 
-        The changes are read several times, so persist them if they are costly to compute.
+        A source counts its batches upwards and repeats none but its last. The changes are read several times, so persist them if they are costly to compute.
         """
         spark = changes.sparkSession
-        last, current = self.manifest(spark)
-        if last is not None and batch_id <= last:
+        last, current, applied = self._state(spark)
+        if batch_id <= applied.get(source, -1):
             return False
+        version = _after(last)
         marked = changes.withColumn(BUCKET, self._bucket())
         # At most one row per bucket.
         touched = (
@@ -116,6 +132,7 @@ class ReplicaTable:
             .collect()
         )
         if not touched:
+            self._commit(spark, version, current, [], {**applied, source: batch_id})
             return True
         if any(row.split for row in touched) and not self.allow_split_keys:
             raise SplitKeyError(f"{self.table.table}: keys moved between log partitions; fold in TIME_ORDER")
@@ -124,8 +141,8 @@ class ReplicaTable:
         # A bucket without rows gets some only from inserts.
         filled = [row[BUCKET] for row in touched if row[BUCKET] in old or row.inserted]
         if filled:
-            self._write(self._merged(spark, changes, old, size, len(touched)), batch_id)
-        self._commit(spark, batch_id, current, filled)
+            self._write(self._merged(spark, changes, old, size, len(touched)), version)
+        self._commit(spark, version, current, filled, {**applied, source: batch_id})
         return True
 
     def _merged(self, spark: SparkSession, changes: DataFrame, old: dict[int, int], size: int, touched: int) -> DataFrame:
@@ -140,15 +157,18 @@ class ReplicaTable:
         left, right = (side.repartition(self.buckets, *keys) for side in (rows, changes))
         return merge(left, right, self.table, self.policy)
 
-    def overwrite(self, rows: DataFrame, batch_id: int) -> None:
-        """Replace all rows, for a replay. Older versions stay readable until expired."""
+    def overwrite(self, rows: DataFrame) -> int:
+        """Replace all rows, for a replay; gives the new version. Older ones stay readable until expired.
+
+        What was applied of each source stays known, so running streams go on with their next batch.
+        """
         spark = rows.sparkSession
-        last, _ = self.manifest(spark)
-        if last is not None and batch_id <= last:
-            raise ValueError(f"batch {batch_id} is not after the last applied one, {last}")
-        folder = self._write(rows.repartition(self.buckets, *self.table.keys), batch_id)
+        last, _, applied = self._state(spark)
+        version = _after(last)
+        folder = self._write(rows.repartition(self.buckets, *self.table.keys), version)
         filled = spark.read.schema(self._stored()).parquet(folder).select(BUCKET).distinct().collect()
-        self._commit(spark, batch_id, {}, [row[BUCKET] for row in filled])
+        self._commit(spark, version, {}, [row[BUCKET] for row in filled], applied)
+        return version
 
     def expired(self, spark: SparkSession, keep: int) -> list[str]:
         """Folders that none of the last ``keep`` versions needs.
@@ -181,20 +201,24 @@ class ReplicaTable:
     def _bucket(self) -> Column:
         return bucket_of(self.table.keys, self.buckets)
 
-    def _write(self, rows: DataFrame, batch_id: int) -> str:
-        folder = f"{self.path}/data/batch={batch_id}"
+    def _write(self, rows: DataFrame, version: int) -> str:
+        folder = f"{self.path}/data/batch={version}"
         rows.withColumn(BUCKET, self._bucket()).write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
         return folder
 
-    def _commit(self, spark: SparkSession, batch_id: int, current: dict[int, int], filled: Iterable[int]) -> None:
-        """Make a batch visible. One without rows still counts as applied."""
-        buckets = {**current, **dict.fromkeys(filled, batch_id)} or {-1: batch_id}
+    def _commit(
+        self, spark: SparkSession, version: int, current: dict[int, int], filled: Iterable[int], applied: dict[str, int]
+    ) -> None:
+        """Make a version visible. It also says which batches it includes, even one without rows."""
+        buckets = {**current, **dict.fromkeys(filled, version)}
+        numbers = [*buckets, *[-1] * len(applied)]
         entries = {
-            "bucket": pa.array(list(buckets), pa.int32()),
-            "data_batch": pa.array(list(buckets.values()), pa.int64()),
+            "bucket": pa.array(numbers, pa.int32()),
+            "data_batch": pa.array([*buckets.values(), *applied.values()], pa.int64()),
+            "source": pa.array([*[None] * len(buckets), *applied], pa.string()),
         }
         commit = spark.createDataFrame(pa.table(entries)).coalesce(1)
-        commit.write.mode("overwrite").parquet(f"{self.path}/commits/batch={batch_id}")
+        commit.write.mode("overwrite").parquet(f"{self.path}/commits/batch={version}")
 
     def _stored(self) -> T.StructType:
         return T.StructType([*replica_schema(self.table, self.policy.dialect).fields, T.StructField(BUCKET, T.IntegerType())])

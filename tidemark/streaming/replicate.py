@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -9,7 +10,6 @@ from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -22,7 +22,7 @@ from tidemark.operators.typed import table_events, typed_events
 from tidemark.streaming.lake import ReplicaTable
 from tidemark.streaming.retry import SinkFailure
 
-Sink = Callable[[TableSchema, DataFrame, int], bool]
+Sink = Callable[[TableSchema, DataFrame, int, str], bool]
 Counted = tuple[str, str, int]
 BATCH_STATISTICS = pa.schema(
     [
@@ -41,9 +41,8 @@ class Replication:
 
     Replicas, dead letters and statistics are written below ``root``, all of them keyed
     by batch, so that a repeated micro-batch leaves no second trace. ``sink`` replaces the
-    parquet replicas by another target. A stream counts its batches from zero in each
-    checkpoint, so a job that starts anew on existing replicas sets ``first_batch`` to
-    their next version and keeps it for as long as it uses that checkpoint.
+    parquet replicas by another target. A batch is known by the id of its checkpoint and its
+    number there, so streams with new checkpoints, old ones and rebuilds can follow each other.
     """
 
     root: str
@@ -54,7 +53,6 @@ class Replication:
     buckets: int = 64
     tables_at_once: int = 4
     sink: Sink | None = None
-    first_batch: int = 0
 
     def replica(self, name: str) -> ReplicaTable:
         return ReplicaTable(
@@ -73,8 +71,8 @@ class Replication:
     def statistics_path(self) -> str:
         return f"{self.root.rstrip('/')}/statistics"
 
-    def apply_batch(self, log: DataFrame, batch_id: int) -> None:
-        """Apply one micro-batch to every table it has events of."""
+    def apply_batch(self, log: DataFrame, batch_id: int, source: str = "") -> None:
+        """Apply one micro-batch to every table it has events of. A batch that comes again leaves what it left before."""
         started = time.time()
         # Read by every table, so parsed once; spills to disk, recomputed if lost. Sorted,
         # so that a table skips the cached blocks of the others by their bounds.
@@ -85,7 +83,7 @@ class Replication:
         try:
             present = self._tables_in(events)
             with ThreadPoolExecutor(max(1, self.tables_at_once)) as pool:
-                outcomes = dict(zip(present, pool.map(lambda n: self._apply_table(present[n], n, batch_id), present)))
+                outcomes = dict(zip(present, pool.map(lambda n: self._apply_table(present[n], n, batch_id, source), present)))
             refused = rejects.unroutable(events, self.catalog)
             for name, outcome in outcomes.items():
                 table = self.catalog[name]
@@ -94,9 +92,9 @@ class Replication:
                 else:
                     lost = rejects.rejected_of(typed_events(present[name], table, self.policy))
                 refused = refused.unionByName(lost)
-            rejects.append_dead_letters(refused, self.dead_letter_path, batch_id)
+            rejects.append_dead_letters(refused, self.dead_letter_path, _folder(batch_id, source))
             counts = [row for outcome in outcomes.values() if not isinstance(outcome, SinkFailure) for row in outcome]
-            self._record(events.sparkSession, counts, batch_id, time.time() - started)
+            self._record(events.sparkSession, counts, batch_id, source, time.time() - started)
         finally:
             events.unpersist()
 
@@ -117,69 +115,67 @@ class Replication:
 
         return {by_name[row["name"]]: of(row) for row in sorted(found, key=lambda row: row["name"])}
 
-    def _apply_table(self, events: DataFrame, name: str, batch_id: int) -> SinkFailure | list[Counted]:
-        """Apply one table's events; gives the number applied by operation, at most three rows."""
+    def _apply_table(self, events: DataFrame, name: str, batch_id: int, source: str) -> SinkFailure | list[Counted]:
+        """Apply one table's events; gives the number applied by operation, at most three rows.
+
+        A sink that skips has applied this very batch before, in an attempt that may have ended before
+        its counts were recorded, so they are given again: the same numbers, in the same place.
+        """
         table = self.catalog[name]
         if not table.keys:
             return []
-        sink = self.sink or (lambda _, rows, batch: self.replica(name).apply(rows, batch))
+        sink = self.sink or (lambda _, rows, batch, of: self.replica(name).apply(rows, batch, of))
         changes = fold(typed_events(events, table, self.policy), table, self.order)
         changes = changes.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            sink(table, changes, batch_id)
+            sink(table, changes, batch_id, source)
             return [(name, row.operation, row.events) for row in operation_counts(changes).collect()]
         except SinkFailure as failure:
             return failure
         finally:
             changes.unpersist()
 
-    def _record(self, spark: SparkSession, counts: list[Counted], batch_id: int, seconds: float) -> None:
+    def _record(self, spark: SparkSession, counts: list[Counted], batch_id: int, source: str, seconds: float) -> None:
         """Number of applied events by table and operation, with the seconds of the batch."""
         names = BATCH_STATISTICS.names
         columns = list(zip(*[(batch_id, *counted, seconds) for counted in counts])) or [()] * len(names)
         frame = pa.table([pa.array(c, f.type) for c, f in zip(columns, BATCH_STATISTICS)], schema=BATCH_STATISTICS)
         rows = spark.createDataFrame(frame).coalesce(1)
-        rows.write.mode("overwrite").parquet(f"{self.statistics_path}/batch={batch_id}")
+        rows.write.mode("overwrite").parquet(f"{self.statistics_path}/batch={_folder(batch_id, source)}")
 
     def start(self, stream: DataFrame, checkpoint: str, every: str | None = None) -> StreamingQuery:
         """Run on a stream. Without an interval it takes all that is there and stops."""
-        spark = stream.sparkSession
-        last = self.last_version(spark)
-        if last is not None and last >= self.first_batch and _is_new(spark, checkpoint):
-            raise ValueError(f"a new checkpoint would repeat batch numbers: set first_batch to {last + 1}")
-        writer = stream.writeStream.foreachBatch(lambda rows, batch: self.apply_batch(rows, self.first_batch + batch))
+        source: list[str] = []
+
+        def apply(rows: DataFrame, batch: int) -> None:
+            source[:] = source or [source_of(rows.sparkSession, checkpoint)]
+            self.apply_batch(rows, batch, source[0])
+
+        writer = stream.writeStream.foreachBatch(apply)
         trigger = {"processingTime": every} if every else {"availableNow": True}
         return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
-    def last_version(self, spark: SparkSession) -> int | None:
-        """Last version of any replica; None if there is no replica yet, or another sink."""
-        if self.sink is not None:
-            return None
-        keyed = [name for name, table in self.catalog.items() if table.keys]
-        versions = [self.replica(name).manifest(spark)[0] for name in keyed]
-        return max((v for v in versions if v is not None), default=None)
-
-    def rebuild(self, log: DataFrame) -> int:
-        """Replace every replica by what the retained log gives; returns the new version."""
-        last = self.last_version(log.sparkSession)
-        version = 0 if last is None else last + 1
+    def rebuild(self, log: DataFrame) -> dict[str, int]:
+        """Replace every replica by what the retained log gives; returns the new versions.
+
+        Streams go on from where they are, so give it the part of the log that they have read.
+        """
+        versions = {}
         for name, table in self.catalog.items():
             if table.keys:
                 rows = replay.rebuild(log, table, self.policy, self.excluded, self.order)
-                self.replica(name).overwrite(rows, version)
-        return version
+                versions[name] = self.replica(name).overwrite(rows)
+        return versions
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         """Current rows of a replica."""
         return self.replica(name).read(spark)
 
 
-def _is_new(spark: SparkSession, checkpoint: str) -> bool:
-    """Whether no stream has used the checkpoint."""
-    try:
-        spark.read.text(f"{checkpoint.rstrip('/')}/metadata")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return True
-        raise
-    return False
+def _folder(batch_id: int, source: str) -> str:
+    return f"{source}-{batch_id}" if source else str(batch_id)
+
+
+def source_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the stream of a checkpoint; it lasts as long as the checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
