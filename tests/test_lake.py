@@ -5,7 +5,7 @@ from helpers import PAIRS, event, interpret, log_frame
 from test_fold import as_dict, as_log, random_events
 
 from tidemark.operators import replay
-from tidemark.streaming.lake import ReplicaTable, SplitKeyError, bucket_of
+from tidemark.streaming.lake import BUCKET, ReplicaTable, SplitKeyError, bucket_of
 
 
 def changes(spark, events, first=0):
@@ -49,7 +49,7 @@ def test_an_unfinished_batch_is_invisible_and_can_be_repeated(spark, tmp_path):
     table.apply(changes(spark, events[:30]), 0)
     # Rows of the next batch were written, then the job died before its manifest.
     half = replay.rebuild(as_log(spark, events[30:], 30), PAIRS)
-    half.withColumn("bucket", bucket_of(PAIRS.keys, 4)).write.partitionBy("bucket").parquet(f"{tmp_path}/r/data/batch=1")
+    half.withColumn(BUCKET, bucket_of(PAIRS.keys, 4)).write.partitionBy(BUCKET).parquet(f"{tmp_path}/r/data/batch=1")
     assert as_dict(table.read(spark)) == interpret(events[:30])
     assert table.apply(changes(spark, events[30:], 30), 1)
     assert as_dict(table.read(spark)) == interpret(events)

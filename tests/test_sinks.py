@@ -120,6 +120,16 @@ def test_a_failed_sink_dead_letters_its_whole_batch(spark, tmp_path):
     assert spark.read.parquet(job.statistics_path).count() == 0
 
 
+def test_keys_from_two_log_partitions_are_rejected_and_the_others_applied(spark, tmp_path):
+    job = Replication(str(tmp_path), {"pairs": PAIRS}, buckets=2)
+    rows = [("pairs", 0, i, event("c", 1, a=i, b=1)) for i in range(5)] + [("pairs", 1, 0, event("u", 2, a=3, b=1, x=1))]
+    job.apply_batch(log_frame(spark, rows), 0)
+    assert {r.a for r in job.read(spark, "pairs").collect()} == {0, 1, 2, 4}
+    entries = spark.read.json(job.dead_letter_path).select("error", "partition", "offset").collect()
+    assert {tuple(r) for r in entries} == {("split_key", 0, 3), ("split_key", 1, 0)}
+    assert {(r.operation, r.events) for r in spark.read.parquet(job.statistics_path).collect()} == {("INSERT", 4)}
+
+
 def test_a_batch_records_its_statistics(spark, tmp_path):
     job = Replication(str(tmp_path), {"pairs": PAIRS}, buckets=2)
     rows = [("pairs", 0, i, event("c", 1, a=i, b=1)) for i in range(5)] + [("pairs", 0, 9, event("d", 2, a=1, b=1))]

@@ -75,6 +75,11 @@ class TableSchema:
         return TableSchema(self.table, columns)
 
 
+def quoted(name: str) -> str:
+    """A column name as Spark reads it, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def spark_type(column: ColumnSpec, dialect: str = "postgres") -> T.DataType:
     """Spark type of a replica column.
 

@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.envelope import DELETE, INSERT, UPDATE
-from tidemark.functions.types import DELETED_AT, TableSchema
-from tidemark.operators.typed import payload_columns
+from tidemark.functions.types import DELETED_AT, TableSchema, quoted
+from tidemark.operators.typed import cell_of, payload_columns
 
 FIRST_INSERT = "__first_insert"
 EVENTS = "__events"
@@ -45,10 +45,11 @@ def fold(typed: DataFrame, table: TableSchema, order: tuple[str, ...] = LOG_ORDE
         return F.max(F.when(when, F.struct(*position, value.alias("v"))))
 
     slot = F.when(fine, F.xxhash64("topic", "partition"))
-    grouped = typed.select("*", *[F.col(f"`{k}`.v").alias(f"__key_{k}") for k in keys]).groupBy(
-        *[F.col(f"__key_{k}").alias(k) for k in keys]
+    grouped = typed.select("*", *[F.col(f"{quoted(cell_of(k))}.v").alias(f"__key_{k}") for k in keys]).groupBy(
+        *[F.col(quoted(f"__key_{k}")).alias(k) for k in keys]
     )
     values = [c.name for c in payload_columns(table) if c.name not in set(keys)]
+    cells = [(c, quoted(cell_of(c))) for c in values]
     folded = grouped.agg(
         F.count_if(fine).alias(EVENTS),
         F.count_if(inserts).alias(INSERTS),
@@ -56,7 +57,7 @@ def fold(typed: DataFrame, table: TableSchema, order: tuple[str, ...] = LOG_ORDE
         F.min(slot).alias(FIRST_SLOT),
         F.max(slot).alias(LAST_SLOT),
         F.min(F.when(inserts, F.struct(*position))).alias(FIRST_INSERT),
-        *[last(writes & F.col(c).isNotNull(), F.col(f"`{c}`.v")).alias(c) for c in values],
+        *[last(writes & F.col(cell).isNotNull(), F.col(f"{cell}.v")).alias(c) for c, cell in cells],
         last(stamps, F.col("delete_time")).alias(DELETED_AT),
     )
     return folded.filter(F.col(EVENTS) > 0)
@@ -65,12 +66,12 @@ def fold(typed: DataFrame, table: TableSchema, order: tuple[str, ...] = LOG_ORDE
 def combine(changes: DataFrame, table: TableSchema) -> DataFrame:
     """Change rows of several batches, as the change rows of all their events."""
     values = [c.name for c in payload_columns(table) if c.name not in set(table.keys)]
-    return changes.groupBy(*table.keys).agg(
+    return changes.groupBy(*map(quoted, table.keys)).agg(
         *[F.sum(name).alias(name) for name in (EVENTS, INSERTS, UPDATES)],
         F.min(FIRST_SLOT).alias(FIRST_SLOT),
         F.max(LAST_SLOT).alias(LAST_SLOT),
         F.min(FIRST_INSERT).alias(FIRST_INSERT),
-        *[F.max(c).alias(c) for c in [*values, DELETED_AT]],
+        *[F.max(quoted(c)).alias(c) for c in [*values, DELETED_AT]],
     )
 
 
@@ -83,6 +84,11 @@ def operation_counts(changes: DataFrame) -> DataFrame:
     return counted.select(F.inline(rows)).filter(F.col("events") > 0)
 
 
+def keys_in_one_place(changes: DataFrame) -> DataFrame:
+    """Change rows whose events all came from one log partition."""
+    return changes.filter(F.col(FIRST_SLOT) == F.col(LAST_SLOT))
+
+
 def keys_in_two_places(changes: DataFrame) -> DataFrame:
     """Change rows whose events came from more than one log partition.
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.convert import Policy, default_value
-from tidemark.functions.types import DELETED_AT, TableSchema, replica_schema
+from tidemark.functions.types import DELETED_AT, TableSchema, quoted, replica_schema
 from tidemark.operators.fold import FIRST_INSERT
 from tidemark.operators.typed import payload_columns
 
@@ -25,11 +25,11 @@ def rows_created(changes: DataFrame, table: TableSchema, policy: Policy = Policy
 
     def counts(column: str) -> Column:
         position = F.struct(*[F.col(f"`{column}`.`{name}`").alias(name) for name in order])
-        return F.col(column).isNotNull() & (position >= F.col(FIRST_INSERT))
+        return F.col(quoted(column)).isNotNull() & (position >= F.col(FIRST_INSERT))
 
     keys = set(table.keys)
     values = [
-        F.col(c.name)
+        F.col(quoted(c.name))
         if c.name in keys
         else F.when(counts(c.name), F.col(f"`{c.name}`.v")).otherwise(default_value(c, policy)).alias(c.name)
         for c in payload_columns(table)
@@ -93,7 +93,8 @@ def merge_broadcast(replica: DataFrame, changes: DataFrame, table: TableSchema,
         F.col(f"old.`{c.name}`").alias(c.name) if c.name in keys else value(c.name) for c in payload_columns(table)
     ]
     kept = _as_replica(joined.select(*columns, value(DELETED_AT)), table, policy)
-    hits = replica.select(*keys).join(F.broadcast(changes.select(*keys)), keys, "left_semi")
+    named = [quoted(k) for k in keys]
+    hits = replica.select(*named).join(F.broadcast(changes.select(*named)), keys, "left_semi")
     fresh = changes.join(F.broadcast(hits), keys, "left_anti")
     return kept.unionByName(rows_created(fresh, table, policy))
 

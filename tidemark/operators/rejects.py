@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.convert import Policy
 from tidemark.functions.envelope import topic_table
-from tidemark.functions.types import TableSchema
+from tidemark.functions.types import TableSchema, quoted
+from tidemark.operators.fold import keys_in_two_places
 from tidemark.operators.typed import (
     EVENT_COLUMNS,
     PARSE_ERROR,
     UNKNOWN_OPERATION,
     UNKNOWN_TABLE,
+    cell_of,
     typed_events,
 )
 
@@ -24,6 +26,7 @@ STAGE_APPLY = "apply"
 STAGE_SINK = "sink"
 SINK_ERROR = "sink_error"
 DEADLOCK_EXHAUSTED = "deadlock_exhausted"
+SPLIT_KEY = "split_key"
 
 
 def unroutable(events: DataFrame, tables: Iterable[str]) -> DataFrame:
@@ -53,6 +56,14 @@ def rejected_of(typed: DataFrame) -> DataFrame:
     return settled.filter(F.col("reason").isNotNull())
 
 
+def split_keys(typed: DataFrame, changes: DataFrame, table: TableSchema) -> DataFrame:
+    """The applicable events of keys that came from several log partitions, so that their order is undefined."""
+    keys = keys_in_two_places(changes).select(*[F.col(quoted(k)).alias(f"__split_{i}") for i, k in enumerate(table.keys)])
+    same = [F.col(f"{quoted(cell_of(k))}.v") == F.col(f"__split_{i}") for i, k in enumerate(table.keys)]
+    found = typed.filter(F.col("reason").isNull()).join(keys, same, "left_semi")
+    return found.select(*EVENT_COLUMNS, F.lit(SPLIT_KEY).alias("reason"))
+
+
 def sink_failure(events: DataFrame, error: str) -> DataFrame:
     """A whole batch whose sink failed, as rejects."""
     return events.select(*EVENT_COLUMNS, F.lit(error).alias("reason"))

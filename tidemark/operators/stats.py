@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Upper bounds, in seconds, of the duration histogram.
@@ -28,10 +28,9 @@ def statement_durations(batches: DataFrame) -> DataFrame:
     ``batches`` has one row per (batch_id, source_table, operation) with the number of
     events and the seconds the whole batch took.
     """
-    sizes = batches.groupBy("batch_id").agg(F.sum("events").alias("batch_size"))
-    return batches.join(sizes, "batch_id").select(
-        "source_table", "operation", "events", (F.col("seconds") / F.col("batch_size")).alias("duration")
-    )
+    # A batch has a few rows only, one per table and operation.
+    batch_size = F.sum("events").over(Window.partitionBy("batch_id"))
+    return batches.select("source_table", "operation", "events", (F.col("seconds") / batch_size).alias("duration"))
 
 
 def duration_histogram(durations: DataFrame, buckets: tuple[float, ...] = DURATION_BUCKETS) -> DataFrame:

@@ -21,7 +21,7 @@ from tidemark.functions.envelope import (
     text_of,
     topic_table,
 )
-from tidemark.functions.types import DELETED_AT, ColumnSpec, TableSchema, spark_type
+from tidemark.functions.types import DELETED_AT, ColumnSpec, TableSchema, spark_type, quoted
 
 # Reject reasons, in the order they are tested.
 PARSE_ERROR = "parse_error"
@@ -59,6 +59,11 @@ def table_events(events: DataFrame, table: TableSchema) -> DataFrame:
     return events.filter((named.isNull() | (F.lower(named) == name)) & (F.lower("source_table") == name))
 
 
+def cell_of(name: str) -> str:
+    """Name of the cell of a column in typed events; source columns may be named like an event's own fields."""
+    return f"__cell_{name}"
+
+
 def payload_columns(table: TableSchema) -> list[ColumnSpec]:
     """Columns events may set. The delete stamp belongs to the replica, not to the source."""
     return [c for c in table.columns if c.name != DELETED_AT]
@@ -67,7 +72,7 @@ def payload_columns(table: TableSchema) -> list[ColumnSpec]:
 def typed_events(events: DataFrame, table: TableSchema, policy: Policy = Policy()) -> DataFrame:
     """Convert the events of one table.
 
-    Every column of the table becomes a cell ``STRUCT<v>``: a NULL cell is a column the
+    Every column of the table becomes a cell ``STRUCT<v>``, named by :func:`cell_of`: a NULL cell is a column the
     event does not mention, a cell with a NULL ``v`` an explicit null. ``reason`` is NULL
     for events that can be applied.
     """
@@ -88,11 +93,11 @@ def typed_events(events: DataFrame, table: TableSchema, policy: Policy = Policy(
         *[has(names, c.name).alias(f"__has_{c.name}") for c in columns if c.name not in keys],
     )
     converted = mentioned.select(
-        "*", *[convert(F.col(f"__text_{c.name}"), c, policy).alias(f"__typed_{c.name}") for c in columns]
+        "*", *[convert(F.col(quoted(f"__text_{c.name}")), c, policy).alias(f"__typed_{c.name}") for c in columns]
     )
 
     def misfit(column: ColumnSpec) -> Column:
-        bad = F.col(f"__text_{column.name}").isNotNull() & F.col(f"__typed_{column.name}").isNull()
+        bad = F.col(quoted(f"__text_{column.name}")).isNotNull() & F.col(quoted(f"__typed_{column.name}")).isNull()
         # A delete uses its key only, so its other columns need not fit.
         return bad if column.name in keys else bad & writes
 
@@ -106,16 +111,17 @@ def typed_events(events: DataFrame, table: TableSchema, policy: Policy = Policy(
         F.when(F.col("parse_error"), F.lit(PARSE_ERROR))
         .when(F.col("operation") == UNKNOWN, F.lit(UNKNOWN_OPERATION))
         .when(F.lit(not keys), F.lit(NO_PRIMARY_KEY))
-        .when(any_of([F.col(f"__text_{k}").isNull() for k in table.keys]), F.lit(MISSING_KEY))
+        .when(any_of([F.col(quoted(f"__text_{k}")).isNull() for k in table.keys]), F.lit(MISSING_KEY))
         .when((F.col("operation") == UPDATE) & ~F.col("__touched"), F.lit(NO_COLUMNS_TO_UPDATE))
         .when(F.col("__stray"), F.lit(UNKNOWN_COLUMN))
         .when(any_of([misfit(c) for c in columns]), F.lit(CAST_ERROR))
     )
 
     def cell(column: ColumnSpec) -> Column:
-        value = F.struct(F.col(f"__typed_{column.name}").alias("v"))
-        present = F.col(f"__text_{column.name}").isNotNull() if column.name in keys else F.col(f"__has_{column.name}")
-        return F.when(present, value).alias(column.name)
+        value = F.struct(F.col(quoted(f"__typed_{column.name}")).alias("v"))
+        text, carried = quoted(f"__text_{column.name}"), quoted(f"__has_{column.name}")
+        present = F.col(text).isNotNull() if column.name in keys else F.col(carried)
+        return F.when(present, value).alias(cell_of(column.name))
 
     stamp = F.current_timestamp()
     if policy.delete_time == "event_time":
@@ -135,5 +141,5 @@ def applicable(typed: DataFrame) -> DataFrame:
 
 def typed_rows(typed: DataFrame, table: TableSchema, policy: Policy = Policy()) -> DataFrame:
     """Typed events with plain values instead of cells."""
-    values = [F.col(f"`{c.name}`.v").cast(spark_type(c, policy.dialect)).alias(c.name) for c in payload_columns(table)]
+    values = [F.col(f"{quoted(cell_of(c.name))}.v").cast(spark_type(c, policy.dialect)).alias(c.name) for c in payload_columns(table)]
     return typed.select("topic", "partition", "offset", "operation", "reason", *values)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import convert, envelope, temporal
@@ -396,8 +396,9 @@ def stats_duration_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = events.groupBy(
         F.floor(F.col("offset") / 100).alias("batch_id"), "source_table", "operation"
     ).agg(F.count(F.lit(1)).alias("events"), F.min("ts_ms").alias("lo"), F.max("ts_ms").alias("hi"))
-    spans = groups.groupBy("batch_id").agg(((F.max("hi") - F.min("lo")) / 100000).alias("seconds"))
-    batches = groups.join(spans, "batch_id")
+    of_batch = Window.partitionBy("batch_id")
+    seconds = (F.max("hi").over(of_batch) - F.min("lo").over(of_batch)) / 100000
+    batches = groups.select("batch_id", "source_table", "operation", "events", seconds.alias("seconds"))
     return stats.duration_histogram(stats.statement_durations(batches)).withColumn(
         "total_seconds", F.round("total_seconds", 3)
     )

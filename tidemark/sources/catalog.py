@@ -117,7 +117,8 @@ def compile_catalog(catalog: DataFrame) -> dict[str, TableSchema]:
 
 
 def table_schema(catalog: DataFrame, table: str) -> TableSchema:
-    """Schema of one table; an unknown table is an error."""
+    """Schema of one table, named in any case; an unknown table is an error."""
+    table = table.lower()
     found = compile_catalog(catalog.filter(F.col("table_name") == table))
     if table not in found:
         raise LookupError(f"table {table} not found in the catalog")
@@ -126,13 +127,13 @@ def table_schema(catalog: DataFrame, table: str) -> TableSchema:
 
 def primary_keys(catalog: DataFrame, table: str) -> DataFrame:
     """Key columns of a table in key order."""
-    mine = catalog.filter((F.col("table_name") == table) & F.col("pk_pos").isNotNull())
+    mine = catalog.filter((F.col("table_name") == table.lower()) & F.col("pk_pos").isNotNull())
     return mine.orderBy("pk_pos").select("column_name", "pk_pos")
 
 
 def column_info(catalog: DataFrame, table: str, column: str) -> DataFrame:
     """The catalog row of one column."""
-    return catalog.filter((F.col("table_name") == table) & (F.col("column_name") == column.lower()))
+    return catalog.filter((F.col("table_name") == table.lower()) & (F.col("column_name") == column.lower()))
 
 
 def column_type(catalog: DataFrame, table: str, column: str) -> str | None:

@@ -13,20 +13,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.convert import Policy, default_value
-from tidemark.functions.types import DELETED_AT, TableSchema, replica_schema
+from tidemark.functions.types import DELETED_AT, TableSchema, quoted, replica_schema
 from tidemark.operators.fold import FIRST_INSERT
 from tidemark.operators.typed import payload_columns
 from tidemark.streaming.retry import with_retry
 
 BATCHES = "applied_batches"
-CREATES = "row_created"
+CREATES = "__row_created"
 
 
 def staged(changes: DataFrame, table: TableSchema, policy: Policy) -> DataFrame:
     """Change rows flattened for a staging table.
 
     Per column: its last value, ``<c>_set`` whether an existing row takes it, and
-    ``<c>_new`` the value a created row gets. ``row_created`` is set where an insert may
+    ``<c>_new`` the value a created row gets. ``__row_created`` is set where an insert may
     create the row.
     """
     order = changes.schema[FIRST_INSERT].dataType.fieldNames()
@@ -43,7 +43,7 @@ def staged(changes: DataFrame, table: TableSchema, policy: Policy) -> DataFrame:
             F.when(after, value).otherwise(defaults.get(name, F.lit(None))).cast(kinds[name]).alias(f"{name}_new"),
         ]
     created = F.col(FIRST_INSERT).isNotNull().cast("int").alias(CREATES)
-    return changes.select(*table.keys, created, *columns)
+    return changes.select(*map(quoted, table.keys), created, *columns)
 
 
 def _quote(name: str, dialect: str) -> str:

@@ -5,7 +5,7 @@ alone; it becomes visible when its one-file manifest is written. A batch that is
 again, after a lost driver or executor, writes the same folder and changes nothing once
 its manifest exists.
 
-``path/data/batch=<version>/bucket=<n>`` holds rows, ``path/commits/batch=<version>`` the version
+``path/data/batch=<version>/__bucket=<n>`` holds rows, ``path/commits/batch=<version>`` the version
 whose folder has the current rows of each bucket. Versions are the replica's own count. A commit also
 names the last batch applied of each source, so a batch is known by its stream and its number
 in that stream, and no stream's numbers hide another's batches.
@@ -23,12 +23,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.convert import Policy
-from tidemark.functions.types import TableSchema, replica_schema
+from tidemark.functions.types import TableSchema, quoted, replica_schema
 from tidemark.operators.fold import FIRST_INSERT, FIRST_SLOT, LAST_SLOT
 from tidemark.operators.merge import empty_replica, merge, merge_broadcast, rows_created
 
-BUCKET = "bucket"
-_MANIFEST = "bucket int, data_batch long, source string"
+# Internal, so that a source column may be called anything.
+BUCKET = "__bucket"
+_MANIFEST = f"{BUCKET} int, data_batch long, source string"
 _BATCH_FOLDER = re.compile(r"/batch=(\d+)/")
 # Room for a cell's position and row overhead, on top of its text.
 _CELL_BYTES = 32
@@ -45,14 +46,14 @@ def _after(version: int | None) -> int:
 def bucket_of(keys: list[str], buckets: int) -> Column:
     """Bucket of a row. It equals the partition that ``repartition(buckets, *keys)`` puts
     the row in, so a frame partitioned by key is already laid out by bucket."""
-    return F.pmod(F.hash(*keys), F.lit(buckets)).alias(BUCKET)
+    return F.pmod(F.hash(*map(quoted, keys)), F.lit(buckets)).alias(BUCKET)
 
 
 def _row_bytes(frame: DataFrame) -> Column:
     """Upper estimate of the size of a change row."""
     total = F.lit(0).cast("long")
     for field in frame.schema.fields:
-        value, kind = F.col(f"`{field.name}`"), field.dataType
+        value, kind = F.col(quoted(field.name)), field.dataType
         if isinstance(kind, T.StructType) and "v" in kind.fieldNames():
             value, kind = value["v"], kind["v"].dataType
         total = total + _CELL_BYTES
@@ -154,7 +155,7 @@ class ReplicaTable:
             merged = merge_broadcast(rows, changes, self.table, self.policy)
             return merged.repartition(min(touched, self.buckets), self._bucket())
         # Both sides arrive laid out by bucket, so neither the join nor the write moves a row again.
-        left, right = (side.repartition(self.buckets, *keys) for side in (rows, changes))
+        left, right = (side.repartition(self.buckets, *map(quoted, keys)) for side in (rows, changes))
         return merge(left, right, self.table, self.policy)
 
     def overwrite(self, rows: DataFrame) -> int:
@@ -165,7 +166,7 @@ class ReplicaTable:
         spark = rows.sparkSession
         last, _, applied = self._state(spark)
         version = _after(last)
-        folder = self._write(rows.repartition(self.buckets, *self.table.keys), version)
+        folder = self._write(rows.repartition(self.buckets, *map(quoted, self.table.keys)), version)
         filled = spark.read.schema(self._stored()).parquet(folder).select(BUCKET).distinct().collect()
         self._commit(spark, version, {}, [row[BUCKET] for row in filled], applied)
         return version
@@ -213,7 +214,7 @@ class ReplicaTable:
         buckets = {**current, **dict.fromkeys(filled, version)}
         numbers = [*buckets, *[-1] * len(applied)]
         entries = {
-            "bucket": pa.array(numbers, pa.int32()),
+            BUCKET: pa.array(numbers, pa.int32()),
             "data_batch": pa.array([*buckets.values(), *applied.values()], pa.int64()),
             "source": pa.array([*[None] * len(buckets), *applied], pa.string()),
         }
@@ -228,4 +229,4 @@ class ReplicaTable:
             return empty_replica(spark, self.table, self.policy).withColumn(BUCKET, F.lit(None).cast("int"))
         folders = [f"{self.path}/data/batch={batch}/{BUCKET}={bucket}" for bucket, batch in sorted(buckets.items())]
         reader = spark.read.schema(self._stored()).option("basePath", f"{self.path}/data")
-        return reader.parquet(*folders).select(*self._stored().fieldNames())
+        return reader.parquet(*folders).select(*map(quoted, self._stored().fieldNames()))

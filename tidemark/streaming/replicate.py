@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions.convert import Policy
 from tidemark.functions.types import TableSchema
 from tidemark.operators import rejects, replay
-from tidemark.operators.fold import LOG_ORDER, fold, operation_counts
+from tidemark.operators.fold import LOG_ORDER, fold, keys_in_one_place, keys_in_two_places, operation_counts
 from tidemark.operators.typed import table_events, typed_events
 from tidemark.streaming.lake import ReplicaTable
 from tidemark.streaming.retry import SinkFailure
@@ -35,6 +35,14 @@ BATCH_STATISTICS = pa.schema(
 )
 
 
+@dataclass
+class Applied:
+    """What a batch did to a table: events by operation, and whether keys came from several log partitions."""
+
+    counts: list[Counted]
+    split: bool
+
+
 @dataclass
 class Replication:
     """Settings of a job, and what it does with one micro-batch.
@@ -90,10 +98,13 @@ class Replication:
                 if isinstance(outcome, SinkFailure):
                     lost = rejects.sink_failure(table_events(present[name], table), outcome.reason)
                 else:
-                    lost = rejects.rejected_of(typed_events(present[name], table, self.policy))
+                    typed = typed_events(present[name], table, self.policy)
+                    lost = rejects.rejected_of(typed)
+                    if outcome.split:
+                        lost = lost.unionByName(rejects.split_keys(typed, fold(typed, table, self.order), table))
                 refused = refused.unionByName(lost)
             rejects.append_dead_letters(refused, self.dead_letter_path, _folder(batch_id, source))
-            counts = [row for outcome in outcomes.values() if not isinstance(outcome, SinkFailure) for row in outcome]
+            counts = [row for outcome in outcomes.values() if isinstance(outcome, Applied) for row in outcome.counts]
             self._record(events.sparkSession, counts, batch_id, source, time.time() - started)
         finally:
             events.unpersist()
@@ -115,7 +126,7 @@ class Replication:
 
         return {by_name[row["name"]]: of(row) for row in sorted(found, key=lambda row: row["name"])}
 
-    def _apply_table(self, events: DataFrame, name: str, batch_id: int, source: str) -> SinkFailure | list[Counted]:
+    def _apply_table(self, events: DataFrame, name: str, batch_id: int, source: str) -> SinkFailure | Applied:
         """Apply one table's events; gives the number applied by operation, at most three rows.
 
         A sink that skips has applied this very batch before, in an attempt that may have ended before
@@ -123,13 +134,16 @@ class Replication:
         """
         table = self.catalog[name]
         if not table.keys:
-            return []
+            return Applied([], False)
         sink = self.sink or (lambda _, rows, batch, of: self.replica(name).apply(rows, batch, of))
         changes = fold(typed_events(events, table, self.policy), table, self.order)
         changes = changes.persist(StorageLevel.MEMORY_AND_DISK)
+        # Keys whose order the log does not give are rejected; the others go on.
+        sound = keys_in_one_place(changes) if self.order == LOG_ORDER else changes
         try:
-            sink(table, changes, batch_id, source)
-            return [(name, row.operation, row.events) for row in operation_counts(changes).collect()]
+            sink(table, sound, batch_id, source)
+            split = self.order == LOG_ORDER and not keys_in_two_places(changes).isEmpty()
+            return Applied([(name, row.operation, row.events) for row in operation_counts(sound).collect()], split)
         except SinkFailure as failure:
             return failure
         finally:
