@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import envelope
 from tidemark.functions.convert import Policy
 from tidemark.functions.types import ColumnSpec, TableSchema
-from tidemark.operators import rejects
+from tidemark.operators import rejects, replay
 from tidemark.operators.typed import typed_events, typed_rows
 
 GOOD = ['{"a":1}', '  {"a":1}  ', "{}", '{"a":1,"a":2}', '{"a":{"b":[1,2]}}', "null", " null "]
@@ -134,3 +134,13 @@ def test_dead_letters_keep_what_is_needed_to_replay(spark, tmp_path):
     first = entries.filter("error = 'unknown_table'").select("event.*", "stage", "retries").first()
     assert (first["__op"], first["__ts_ms"], first["__source_db"], first["__source_table"]) == ("c", 1, "", "nosuch")
     assert (first.stage, first.retries) == ("parse", 0)
+
+
+def test_rejects_of_many_tables_read_and_parse_the_log_once(spark):
+    catalog = {f"t{i}": TableSchema(f"t{i}", PAIRS.columns) for i in range(20)}
+    rows = [(f"t{i}", 0, i, event("c", 1, a=i, b="x" if i % 2 else 1)) for i in range(20)] + [("other", 0, 99, "{bad")]
+    found = rejects.rejected(replay.parsed(log_frame(spark, rows)), catalog)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1 and "Union" not in plan and "Exchange" not in plan
+    want = {(i, "cast_error") for i in range(1, 20, 2)} | {(99, "parse_error")}
+    assert {(r.offset, r.reason) for r in found.collect()} == want

@@ -17,7 +17,7 @@ from tidemark.operators.typed import (
     UNKNOWN_OPERATION,
     UNKNOWN_TABLE,
     cell_of,
-    typed_events,
+    validated,
 )
 
 # Stages an event can be rejected in.
@@ -29,23 +29,29 @@ DEADLOCK_EXHAUSTED = "deadlock_exhausted"
 SPLIT_KEY = "split_key"
 
 
-def unroutable(events: DataFrame, tables: Iterable[str]) -> DataFrame:
-    """Events that reach no table: malformed, or of a table the catalog does not have."""
+def _lost(tables: Iterable[str]) -> Column:
+    """Whether neither the topic nor the event names a known table."""
     known = [t.lower() for t in tables]
     named = topic_table(F.col("topic"))
-    lost = (named.isNull() | ~F.lower(named).isin(known)) & (
+    return (named.isNull() | ~F.lower(named).isin(known)) & (
         F.col("source_table").isNull() | ~F.lower("source_table").isin(known)
     )
-    reason = F.when(F.col("parse_error"), F.lit(PARSE_ERROR)).otherwise(F.lit(UNKNOWN_TABLE))
-    return events.filter(lost).select(*EVENT_COLUMNS, reason.alias("reason"))
+
+
+def _lost_reason() -> Column:
+    return F.when(F.col("parse_error"), F.lit(PARSE_ERROR)).otherwise(F.lit(UNKNOWN_TABLE))
+
+
+def unroutable(events: DataFrame, tables: Iterable[str]) -> DataFrame:
+    """Events that reach no table: malformed, or of a table the catalog does not have."""
+    return events.filter(_lost(tables)).select(*EVENT_COLUMNS, _lost_reason().alias("reason"))
 
 
 def rejected(events: DataFrame, catalog: dict[str, TableSchema], policy: Policy = Policy()) -> DataFrame:
-    """All events of a parsed log that cannot be applied, with their reason."""
-    result = unroutable(events, catalog)
-    for table in catalog.values():
-        result = result.unionByName(rejected_of(typed_events(events, table, policy)))
-    return result
+    """All events of a parsed log that cannot be applied, with their reason, in one pass."""
+    outcome = validated(events, catalog, policy)
+    reason = F.when(F.col("table_name").isNull() & _lost(catalog), _lost_reason()).otherwise(F.col("reason"))
+    return outcome.select(*EVENT_COLUMNS, reason.alias("reason")).filter(F.col("reason").isNotNull())
 
 
 def rejected_of(typed: DataFrame) -> DataFrame:

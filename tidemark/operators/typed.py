@@ -21,7 +21,7 @@ from tidemark.functions.envelope import (
     text_of,
     topic_table,
 )
-from tidemark.functions.types import DELETED_AT, ColumnSpec, TableSchema, spark_type, quoted
+from tidemark.functions.types import DELETED_AT, ColumnSpec, TableSchema, quoted, spark_type
 
 # Reject reasons, in the order they are tested.
 PARSE_ERROR = "parse_error"
@@ -48,15 +48,19 @@ EVENT_COLUMNS = (
 )
 
 
-def table_events(events: DataFrame, table: TableSchema) -> DataFrame:
-    """Parsed events routed to a table; table names match without regard to case.
+def belongs_to(table: str) -> Column:
+    """Whether a parsed event is routed to a table; names match without regard to case.
 
     The test on the topic is implied by the other, but it can run before the parse, so
     that the events of other tables are not parsed at all.
     """
-    name = table.table.lower()
     named = topic_table(F.col("topic"))
-    return events.filter((named.isNull() | (F.lower(named) == name)) & (F.lower("source_table") == name))
+    return (named.isNull() | (F.lower(named) == table.lower())) & (F.lower("source_table") == table.lower())
+
+
+def table_events(events: DataFrame, table: TableSchema) -> DataFrame:
+    """Parsed events routed to a table."""
+    return events.filter(belongs_to(table.table))
 
 
 def cell_of(name: str) -> str:
@@ -69,6 +73,65 @@ def payload_columns(table: TableSchema) -> list[ColumnSpec]:
     return [c for c in table.columns if c.name != DELETED_AT]
 
 
+def _stray(table: TableSchema, policy: Policy) -> Column:
+    """Whether a write mentions a column that the table does not have."""
+    known = [c.name for c in payload_columns(table)] + [DELETED_AT]
+    stray = F.exists("names", lambda n: ~n.isin(known) & ~n.startswith(META_PREFIX))
+    return F.lit(False) if policy.unknown_columns == "ignore" else F.col("operation").isin(INSERT, UPDATE) & stray
+
+
+def _touched(table: TableSchema) -> Column:
+    """Whether an event mentions a column outside the key."""
+    if not table.keys:
+        return F.lit(True)
+    return F.exists("names", lambda n: ~n.isin(sorted(table.keys)) & ~n.startswith(META_PREFIX))
+
+
+def _reason(table: TableSchema, stray: Column, touched: Column, text: dict[str, Column], typed: dict[str, Column]) -> Column:
+    """Why an event cannot be applied, NULL if it can."""
+    writes = F.col("operation").isin(INSERT, UPDATE)
+    keys = set(table.keys)
+
+    def misfit(name: str) -> Column:
+        bad = text[name].isNotNull() & typed[name].isNull()
+        # A delete uses its key only, so its other columns need not fit.
+        return bad if name in keys else bad & writes
+
+    def any_of(tests: list[Column]) -> Column:
+        result = F.lit(False)
+        for test in tests:
+            result = result | test
+        return result
+
+    return (
+        F.when(F.col("parse_error"), F.lit(PARSE_ERROR))
+        .when(F.col("operation") == UNKNOWN, F.lit(UNKNOWN_OPERATION))
+        .when(F.lit(not keys), F.lit(NO_PRIMARY_KEY))
+        .when(any_of([text[k].isNull() for k in table.keys]), F.lit(MISSING_KEY))
+        .when((F.col("operation") == UPDATE) & ~touched, F.lit(NO_COLUMNS_TO_UPDATE))
+        .when(stray, F.lit(UNKNOWN_COLUMN))
+        .when(any_of([misfit(name) for name in text]), F.lit(CAST_ERROR))
+    )
+
+
+def validated(events: DataFrame, catalog: dict[str, TableSchema], policy: Policy = Policy()) -> DataFrame:
+    """Every parsed event once, with the catalog table it belongs to (or NULL) and the reason it cannot be applied there.
+
+    One pass over the log however many tables there are: the table picks the test.
+    """
+    names, texts = F.col("names"), F.col("texts")
+    where, reason = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for name, table in catalog.items():
+        text = {c.name: text_of(names, texts, c.name) for c in payload_columns(table)}
+        typed = {c.name: convert(text[c.name], c, policy) for c in payload_columns(table)}
+        mine = belongs_to(table.table)
+        where = F.when(mine, F.lit(name)).otherwise(where)
+        reason = F.when(mine, _reason(table, _stray(table, policy), _touched(table), text, typed)).otherwise(reason)
+    # The outcome goes through a generated row, so that a filter on it does not make every event be converted twice.
+    outcome = F.struct(where.alias("table_name"), reason.alias("reason"))
+    return events.select(*EVENT_COLUMNS, "parse_error", F.inline(F.array(outcome)))
+
+
 def typed_events(events: DataFrame, table: TableSchema, policy: Policy = Policy()) -> DataFrame:
     """Convert the events of one table.
 
@@ -80,41 +143,23 @@ def typed_events(events: DataFrame, table: TableSchema, policy: Policy = Policy(
     mine = table_events(events, table)
     names, texts = F.col("names"), F.col("texts")
     keys = set(table.keys)
-    writes = F.col("operation").isin(INSERT, UPDATE)
-    known = [c.name for c in columns] + [DELETED_AT]
-    stray = F.exists(names, lambda n: ~n.isin(known) & ~n.startswith(META_PREFIX))
-    touched = F.exists(names, lambda n: ~n.isin(sorted(keys)) & ~n.startswith(META_PREFIX)) if keys else F.lit(True)
     mentioned = mine.select(
         *EVENT_COLUMNS,
         "parse_error",
-        (F.lit(False) if policy.unknown_columns == "ignore" else writes & stray).alias("__stray"),
-        touched.alias("__touched"),
+        _stray(table, policy).alias("__stray"),
+        _touched(table).alias("__touched"),
         *[text_of(names, texts, c.name).alias(f"__text_{c.name}") for c in columns],
         *[has(names, c.name).alias(f"__has_{c.name}") for c in columns if c.name not in keys],
     )
     converted = mentioned.select(
         "*", *[convert(F.col(quoted(f"__text_{c.name}")), c, policy).alias(f"__typed_{c.name}") for c in columns]
     )
-
-    def misfit(column: ColumnSpec) -> Column:
-        bad = F.col(quoted(f"__text_{column.name}")).isNotNull() & F.col(quoted(f"__typed_{column.name}")).isNull()
-        # A delete uses its key only, so its other columns need not fit.
-        return bad if column.name in keys else bad & writes
-
-    def any_of(tests: list[Column]) -> Column:
-        result = F.lit(False)
-        for test in tests:
-            result = result | test
-        return result
-
-    reason = (
-        F.when(F.col("parse_error"), F.lit(PARSE_ERROR))
-        .when(F.col("operation") == UNKNOWN, F.lit(UNKNOWN_OPERATION))
-        .when(F.lit(not keys), F.lit(NO_PRIMARY_KEY))
-        .when(any_of([F.col(quoted(f"__text_{k}")).isNull() for k in table.keys]), F.lit(MISSING_KEY))
-        .when((F.col("operation") == UPDATE) & ~F.col("__touched"), F.lit(NO_COLUMNS_TO_UPDATE))
-        .when(F.col("__stray"), F.lit(UNKNOWN_COLUMN))
-        .when(any_of([misfit(c) for c in columns]), F.lit(CAST_ERROR))
+    reason = _reason(
+        table,
+        F.col("__stray"),
+        F.col("__touched"),
+        {c.name: F.col(quoted(f"__text_{c.name}")) for c in columns},
+        {c.name: F.col(quoted(f"__typed_{c.name}")) for c in columns},
     )
 
     def cell(column: ColumnSpec) -> Column:

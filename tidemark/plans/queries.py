@@ -11,7 +11,7 @@ from tidemark.functions import convert, envelope, temporal
 from tidemark.functions.convert import Policy
 from tidemark.functions.types import DELETED_AT, ColumnSpec, TableSchema, replica_schema
 from tidemark.operators import bootstrap, fold, reconcile, rejects, replay, stats
-from tidemark.operators.typed import typed_events, typed_rows
+from tidemark.operators.typed import typed_events, typed_rows, validated
 from tidemark.plans import changelogs as logs
 from tidemark.session import shared_dir
 from tidemark.sources import catalog, changelog
@@ -375,11 +375,8 @@ def cdc_dlq_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def processed_in(log: DataFrame) -> DataFrame:
     """Applied events of every catalog table."""
     events = replay.parsed(log, logs.EXCLUDED)
-    result = None
-    for schema in logs.CATALOG.values():
-        mine = stats.processed(typed_events(events, schema, POLICY))
-        result = mine if result is None else result.unionByName(mine)
-    return result
+    outcome = validated(events, logs.CATALOG, POLICY)
+    return stats.processed(outcome.filter(F.col("table_name").isNotNull()))
 
 
 def stats_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
