@@ -113,3 +113,36 @@ def test_an_archived_log_is_read_by_topic(spark, tmp_path):
     assert [(r.conv_id, r.turn) for r in replica.collect()] == [(1, 2)]
     plan = replica._jdf.queryExecution().executedPlan().toString()
     assert "topic" in plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+
+
+def test_defaults_of_both_dialects(spark):
+    cases = {
+        "'none'::character varying": "none",
+        "'it''s'::text": "it's",
+        "'0.00'::numeric": "0.00",
+        "'0.00'::numeric(8,2)": "0.00",
+        "'a::b'::character varying(20)": "a::b",
+        "5": "5",
+        "(-1)": "-1",
+        "'-1'::integer": "-1",
+        "true": "true",
+        "NULL::character varying": None,
+        "now()": "CURRENT_TIMESTAMP",
+        "CURRENT_TIMESTAMP": "CURRENT_TIMESTAMP",
+        "nextval('t_id_seq'::regclass)": catalog.UNREADABLE + "nextval('t_id_seq'::regclass)",
+    }
+    frame = spark.createDataFrame([(c,) for c in cases], "d string")
+    rows = frame.select("d", catalog.plain_default(F.col("d"), "postgres").alias("v"), catalog.plain_default(F.col("d"), "mysql").alias("m"))
+    assert {r.d: r.v for r in rows.collect()} == cases
+    assert all(r.m == r.d for r in rows.collect())
+
+
+def test_lookups_take_names_in_any_case_and_unreadable_defaults_are_errors(spark):
+    rows = [("t", "id", 1, "int", None, None, False, False, catalog.UNREADABLE + "nextval('s')"), ("t", "v", 2, "int", None, None, False, True, "1")]
+    keys = spark.createDataFrame([("t", ["id"])], "table_name string, key_columns array<string>")
+    built = catalog.build_catalog(spark.createDataFrame(rows, COLUMNS), keys)
+    assert catalog.table_schema(built, "T").keys == ["id"] or catalog.table_schema(built, "T").keys == ("id",)
+    assert catalog.is_primary_key(built, "T", "ID")
+    bad = catalog.build_catalog(spark.createDataFrame([*rows[:1], (*rows[1][:8], catalog.UNREADABLE + "f()")], COLUMNS), keys)
+    with pytest.raises(ValueError, match="t.v"):
+        catalog.table_schema(bad, "t")

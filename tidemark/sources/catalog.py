@@ -6,7 +6,7 @@ compiling it on the driver is bounded by the number of columns.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,6 +43,33 @@ WHERE c.constraint_type = 'PRIMARY KEY' AND c.table_schema = '{database}'
 """
 
 
+# Marks a default that is an expression whose value only the database knows.
+UNREADABLE = "unreadable default: "
+
+
+def plain_default(default: Column, dialect: str) -> Column:
+    """A column default as a plain value.
+
+    PostgreSQL writes defaults as expressions: casts and quotes go, the current time gets one name, and
+    any other call is marked unreadable. MySQL writes values.
+    """
+    if dialect == "mysql":
+        return default
+    bare = F.regexp_replace(F.trim(default), r"(?s)^(.*?)(::[a-z][a-z0-9_ ]*(\([0-9, ]*\))?(\[\])?)+$", "$1")
+    bare = F.regexp_replace(bare, r"^\((-?[0-9.]+)\)$", "$1")
+    return (
+        F.when(bare.rlike(r"(?s)^'.*'$"), F.replace(_inside(bare), F.lit("''"), F.lit("'")))
+        .when(F.upper(bare) == "NULL", F.lit(None).cast("string"))
+        .when(bare.rlike(r"(?i)^(now\(\)|current_timestamp(\([0-9]*\))?|localtimestamp(\([0-9]*\))?|transaction_timestamp\(\))$"), F.lit("CURRENT_TIMESTAMP"))
+        .when(bare.rlike(r"(?i)^(-?[0-9.]+|true|false)$"), bare)
+        .otherwise(F.concat(F.lit(UNREADABLE), default))
+    )
+
+
+def _inside(quoted: Column) -> Column:
+    return quoted.substr(F.lit(2), F.length(quoted) - 2)
+
+
 def read_database_catalog(spark: SparkSession, url: str, database: str, dialect: str, **options: str) -> DataFrame:
     """Catalog of a live database, from its information schema."""
     full_type = "column_type" if dialect == "mysql" else "data_type"
@@ -61,7 +88,7 @@ def read_database_catalog(spark: SparkSession, url: str, database: str, dialect:
         F.col("num_scale").cast("int").alias("scale"),
         F.lower("full_type").contains("unsigned").alias("unsigned"),
         (F.upper("is_nullable") == "YES").alias("nullable"),
-        "default_value",
+        plain_default(F.col("default_value"), dialect).alias("default_value"),
     )
     keys = query(_KEYS_SQL).groupBy("table_name").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pk_pos", "column_name"))), lambda k: k.column_name).alias(
@@ -113,6 +140,11 @@ def compile_catalog(catalog: DataFrame) -> dict[str, TableSchema]:
             default=row.default_value,
         )
         tables.setdefault(row.table_name, []).append(spec)
+    unreadable = [
+        f"{name}.{c.name}" for name, columns in tables.items() for c in columns if c.pk_pos is None and (c.default or "").startswith(UNREADABLE)
+    ]
+    if unreadable:
+        raise ValueError(f"give plain values for the defaults of {', '.join(unreadable)}")
     return {name: TableSchema(name, tuple(columns)) for name, columns in tables.items()}
 
 
