@@ -130,6 +130,14 @@ def test_keys_from_two_log_partitions_are_rejected_and_the_others_applied(spark,
     assert {(r.operation, r.events) for r in spark.read.parquet(job.statistics_path).collect()} == {("INSERT", 4)}
 
 
+def test_old_versions_expire_after_a_batch(spark, tmp_path):
+    job = Replication(str(tmp_path), {"pairs": PAIRS}, buckets=2, keep_versions=1)
+    for i in range(3):
+        job.apply_batch(log_frame(spark, [("pairs", 0, i, event("c", 1, a=i, b=1))]), i)
+    assert job.replica("pairs").expired(spark, keep=1) == []
+    assert job.read(spark, "pairs").count() == 3
+
+
 def test_a_batch_records_its_statistics(spark, tmp_path):
     job = Replication(str(tmp_path), {"pairs": PAIRS}, buckets=2)
     rows = [("pairs", 0, i, event("c", 1, a=i, b=1)) for i in range(5)] + [("pairs", 0, 9, event("d", 2, a=1, b=1))]

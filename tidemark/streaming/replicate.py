@@ -51,6 +51,7 @@ class Replication:
     by batch, so that a repeated micro-batch leaves no second trace. ``sink`` replaces the
     parquet replicas by another target. A batch is known by the id of its checkpoint and its
     number there, so streams with new checkpoints, old ones and rebuilds can follow each other.
+    ``keep_versions`` is how many versions of a replica stay after a batch that changed it; None keeps all.
     """
 
     root: str
@@ -61,6 +62,7 @@ class Replication:
     buckets: int = 64
     tables_at_once: int = 4
     sink: Sink | None = None
+    keep_versions: int | None = None
 
     def replica(self, name: str) -> ReplicaTable:
         return ReplicaTable(
@@ -106,6 +108,10 @@ class Replication:
             rejects.append_dead_letters(refused, self.dead_letter_path, _folder(batch_id, source))
             counts = [row for outcome in outcomes.values() if isinstance(outcome, Applied) for row in outcome.counts]
             self._record(events.sparkSession, counts, batch_id, source, time.time() - started)
+            if self.keep_versions and self.sink is None:
+                for name, outcome in outcomes.items():
+                    if isinstance(outcome, Applied) and self.catalog[name].keys:
+                        self.replica(name).expire(events.sparkSession, self.keep_versions)
         finally:
             events.unpersist()
 
