@@ -32,8 +32,11 @@ def edited(words, n, pick):
     return " ".join(words)
 
 
-def test_large_groups_whose_members_are_not_all_alike(spark):
-    """Groups round a base that is not there: copies are linked through some others only."""
+@pytest.mark.parametrize(("small", "block"), [(neardup.SMALL_BAND, neardup.BLOCK), (10**6, 1), (2, 7)])
+def test_large_groups_whose_members_are_not_all_alike(spark, monkeypatch, small, block):
+    """Groups round a base that is not there: copies are linked through some others only. By pairs, and by blocks."""
+    monkeypatch.setattr(neardup, "SMALL_BAND", small)
+    monkeypatch.setattr(neardup, "BLOCK", block)
     pick = random.Random(3)
     docs = []
     for g in range(4):

@@ -125,7 +125,7 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.filter("a <> b").distinct()
+        large = large.filter("a <> b")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(
             F.struct(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b")),

@@ -6,11 +6,11 @@ the other; after each batch the pair is dropped if, given the matches so far, th
 probability that its similarity reaches the threshold is below ``MISS``. Survivors are verified
 exactly on their whole sets. Classes are joined by components.
 
-A band shared by many classes is not turned into all its pairs. Each class is first compared with the
-band's smallest class only. Classes that the links found so far join need no comparison any more; those of
-a band that are still apart from its smallest class are compared with the smallest among themselves, and after
-``ROUNDS`` such rounds with every member of the band that is in another component. So in the end each pair of a band
-is either compared or joined through others, and components are as if all had been compared.
+A band shared by many classes is not turned into all its pairs. Each class is first compared with the band's
+smallest class only, and classes that these links join need no comparison any more. Where classes of a band are still apart,
+bands of up to ``SMALL_BAND`` classes give their remaining pairs of different components. Larger bands are united
+into clusters, whose members are compared block against block: signature batches with the same pruning,
+then the sets. So each pair of a band is either compared or joined through others, and components are as if all had been compared.
 """
 
 from __future__ import annotations
@@ -24,13 +24,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import bytegrams as bg
-from tidemark.llm.frames import bitmap, components, kept
+from tidemark.llm.frames import bitmap, components, kept, stored
 
 #: Bands x rows hashes. A pair of similarity 0.8 shares no band with probability (1 - 0.8**4)**28 < 4e-7.
 BANDS, ROWS = 28, 4
 #: Signature values compared before each decision, and the accepted posterior probability of a miss.
 BATCH, MISS = 16, 1e-7
-ROUNDS = 3
+#: Bands of up to so many classes give pairs; members of larger ones are compared in blocks of about BLOCK.
+SMALL_BAND, BLOCK = 24, 1024
+#: Elements of sets that two blocks are compared on at once.
+ELEMENTS = 8192
 _HASHES = BANDS * ROWS
 _STEPS = bg.mix(np.arange(1, _HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -119,7 +122,8 @@ def sets_of(docs: DataFrame, id_column: str, size: int, wanted: DataFrame) -> Da
     source = docs.select(F.col(id_column).alias("id"), F.col("text").cast("string").alias("text"))
     source = source.select("id", "text", hashed.alias("h"))
     read = source.mapInArrow(scan, "digest binary, shingles binary").filter("digest IS NOT NULL")
-    return read.join(wanted.select("node", "digest"), "digest").groupBy("node").agg(F.first("shingles").alias("shingles"))
+    # One copy of each class, and then the join where it lies: the sets move once.
+    return read.dropDuplicates(["digest"]).join(wanted.select("node", "digest"), "digest").select("node", "shingles")
 
 
 def least_matches(threshold: float, miss: float = MISS) -> list[int]:
@@ -187,7 +191,7 @@ def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_column: str
 
 
 def _apart(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members (key, node, label, of_least) of bands in which some pair is neither compared nor joined.
+    """Members (key, node, label, of_least, n) of bands in which some pair is neither compared nor joined.
 
     All members were compared with the band's least; a pair is left if one is in another component
     than the least and there is a third member.
@@ -197,7 +201,7 @@ def _apart(buckets: DataFrame, labels: DataFrame) -> DataFrame:
         F.max(F.when(F.col("node") == F.col("least"), F.col("label"))).alias("of_least"),
         F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"),
     ).filter("n > 2 AND low < high")
-    return labelled.join(state.select("key", "of_least"), "key").select("key", "node", "label", "of_least")
+    return labelled.join(state.select("key", "of_least", "n"), "key").select("key", "node", "label", "least", "of_least", "n")
 
 
 def _across(apart: DataFrame) -> DataFrame:
@@ -207,29 +211,102 @@ def _across(apart: DataFrame) -> DataFrame:
     return both.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
 
 
-def joined(buckets: DataFrame, links_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """(node, label) of linked nodes, from bands (key, node, least) and a function that keeps the similar pairs (a, b)."""
-    pairs = buckets.filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    compared = kept(pairs)
+def _membership(sets: list[np.ndarray], elements: np.ndarray) -> np.ndarray:
+    """One row of 0 and 1 per set: which of the sorted elements it has."""
+    out = np.zeros((len(sets), len(elements)), dtype=np.float32)
+    for row, values in enumerate(sets):
+        at = np.searchsorted(elements, values)
+        at[at == len(elements)] = 0
+        out[row, at[elements[at] == values]] = 1
+    return out
+
+
+def _similar_in_blocks(left: list, right: list, per_cent: int, needed: list[int], same: bool) -> list[tuple[int, int]]:
+    """Similar pairs (a, b) of members (node, label, signature, set) of two blocks that are in different components."""
+    if not left or not right:
+        return []
+    (n1, l1, s1, x1), (n2, l2, s2, x2) = (list(zip(*side)) for side in (left, right))
+    alive = np.array(l1)[:, None] != np.array(l2)[None, :]
+    if same:
+        alive &= np.array(n1)[:, None] < np.array(n2)[None, :]
+    if s1[0] is not None:
+        s1, s2 = (np.frombuffer(b"".join(s), dtype=np.uint32).reshape(len(s), -1) for s in (s1, s2))
+        seen = np.zeros(alive.shape, dtype=np.int16)
+        for step, least in enumerate(needed):
+            for k in range(step * BATCH, (step + 1) * BATCH):
+                seen += s1[:, k, None] == s2[None, :, k]
+            alive &= seen >= least
+            if not alive.any():
+                return []
+    x1, x2 = ([np.frombuffer(x, dtype=np.uint64) for x in side] for side in (x1, x2))
+    rows, columns = np.flatnonzero(alive.any(axis=1)), np.flatnonzero(alive.any(axis=0))
+    if not len(rows):
+        return []
+    # Sets as rows of 0 and 1 over the elements that both sides have: the product counts common elements.
+    common = np.intersect1d(np.concatenate([x1[i] for i in rows]), np.concatenate([x2[j] for j in columns]))
+    both = np.zeros((len(rows), len(columns)), dtype=np.float32)
+    for begin in range(0, len(common), ELEMENTS):
+        part = common[begin : begin + ELEMENTS]
+        both += _membership([x1[i] for i in rows], part) @ _membership([x2[j] for j in columns], part).T
+    sizes = np.array([len(x1[i]) for i in rows])[:, None] + np.array([len(x2[j]) for j in columns])[None, :]
+    good = alive[np.ix_(rows, columns)] & (100 * both >= per_cent * (sizes - both))
+    return [(n1[rows[i]], n2[columns[j]]) for i, j in zip(*np.nonzero(good))]
+
+
+def _in_blocks(members: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
+    """Similar pairs (a, b) of different components within the clusters of ``members`` (node, label, cluster).
+
+    ``sets`` has (node, signature, shingles). A cluster is dealt into blocks of about BLOCK members by their hash, and each
+    pair of blocks is one row: a task compares a block's signatures, and then its sets, side by side. So rows grow with
+    the number of pairs of blocks, and only similar pairs come out.
+    """
+    needed = least_matches(per_cent / 100)
+    blocks = members.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    held = (
+        members.join(blocks, "cluster").join(sets, "node")
+        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+        .groupBy("cluster", "blocks", "block")
+        .agg(F.collect_list(F.struct("node", "label", "signature", "shingles")).alias("held"))
+    )
+    held = stored(held)
+    last = F.col("blocks") - 1
+    left = held.select("cluster", F.col("block").alias("i"), F.explode(F.sequence("block", last)).alias("j"), F.col("held").alias("left"))
+    right = held.select("cluster", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("block"))).alias("i"), F.col("block").alias("j"), F.col("held").alias("right"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                i, j, one, two = (batch.column(c)[row].as_py() for c in range(4))
+                one, two = ([tuple(m.values()) for m in side] for side in (one, two))
+                found = _similar_in_blocks(one, two, per_cent, needed, i == j)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([f[k] for f in found], type=pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return left.join(right, ["cluster", "i", "j"]).select("i", "j", "left", "right").mapInArrow(compare, "a bigint, b bigint")
+
+
+def joined(
+    buckets: DataFrame, links_of: Callable[[DataFrame], DataFrame], sets_for: Callable[[DataFrame], DataFrame], per_cent: int
+) -> DataFrame:
+    """(node, label) of linked nodes, from the bands (key, node, least).
+
+    ``links_of`` keeps the similar ones of pairs (a, b); ``sets_for`` gives (node, signature or null, shingles) of nodes.
+    """
+    compared = kept(buckets.filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct())
     links = links_of(compared)
     labels = kept(components(links))
-    for turn in range(ROUNDS + 1):
-        apart = kept(_apart(buckets, labels))
-        if turn < ROUNDS:
-            outside = apart.filter("label <> of_least")
-            least = outside.groupBy("key").agg(F.min("node").alias("a"))
-            pairs = outside.join(least, "key").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
-        else:
-            pairs = _across(apart)
-        pairs = kept(pairs.join(compared, ["a", "b"], "left_anti"))
-        if pairs.isEmpty():
-            continue
-        compared = compared.union(pairs)
-        more = links_of(pairs)
-        if not more.isEmpty():
-            links = kept(links.union(more))
-            labels = kept(components(links))
-    return labels
+    apart = kept(_apart(buckets, labels))
+    pairs = kept(_across(apart.filter(F.col("n") <= SMALL_BAND)).join(compared, ["a", "b"], "left_anti"))
+    more = links.limit(0) if pairs.isEmpty() else links_of(pairs)
+    large = apart.filter(F.col("n") > SMALL_BAND)
+    if not large.isEmpty():
+        clusters = components(large.select(F.col("least").alias("a"), F.col("node").alias("b")))
+        members = kept(clusters.withColumnRenamed("label", "cluster").join(labels, "node", "left").select(
+            "node", "cluster", F.coalesce("label", "node").alias("label")))
+        more = more.union(kept(_in_blocks(members, sets_for(members.select("node")), per_cent)))
+    if more.isEmpty():
+        return labels
+    return kept(components(links.union(more)))
 
 
 def linked(docs: DataFrame, id_column: str, size: int, per_cent: int) -> tuple[DataFrame, DataFrame]:
@@ -249,7 +326,11 @@ def linked(docs: DataFrame, id_column: str, size: int, per_cent: int) -> tuple[D
     shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("least")).filter("n > 1")
     buckets = kept(keyed.join(shared.select("key", "least"), "key"))
 
-    labels = joined(buckets, lambda pairs: _links(pairs, classes, docs, id_column, size, per_cent))
+    def sets_for(nodes: DataFrame) -> DataFrame:
+        known = kept(classes.join(nodes, "node", "left_semi"))
+        return sets_of(docs, id_column, size, known.select("node", "id", "digest")).join(known.select("node", "signature"), "node")
+
+    labels = joined(buckets, lambda pairs: _links(pairs, classes, docs, id_column, size, per_cent), sets_for, per_cent)
     named = classes.select("node", "id", "digest").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("id").alias("component"))
     return rows.drop("signature"), named.join(least, "label").select("digest", "component")

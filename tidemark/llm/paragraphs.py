@@ -130,8 +130,8 @@ def _near_lines(docs: DataFrame, kind: str) -> DataFrame:
     members = _scan(docs, shared_keys, "key bigint, node bigint").distinct()
     buckets = kept(members.join(shared, "key"))
 
-    def links_of(pairs: DataFrame) -> DataFrame:
-        nodes = kept(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    def sets_for(nodes: DataFrame) -> DataFrame:
+        nodes = kept(nodes)
         wanted = spark.sparkContext.broadcast(bitmap(nodes, "node"))
 
         def sets(piece, _):
@@ -140,9 +140,13 @@ def _near_lines(docs: DataFrame, kind: str) -> DataFrame:
             return [_signed(nodes[good]), pa.array([values[bounds[i] : bounds[i + 1]].tobytes() for i in good], type=pa.binary())]
 
         read = _scan(docs, sets, "node bigint, shingles binary").join(nodes, "node", "left_semi")
-        return kept(verified(pairs, kept(read.groupBy("node").agg(F.first("shingles").alias("shingles"))), PER_CENT))
+        return read.dropDuplicates(["node"]).select("node", F.lit(None).cast("binary").alias("signature"), "shingles")
+
+    def links_of(pairs: DataFrame) -> DataFrame:
+        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        return kept(verified(pairs, kept(sets_for(nodes)), PER_CENT))
 
-    labels = joined(buckets, links_of)
+    labels = joined(buckets, links_of, sets_for, PER_CENT)
     wanted = spark.sparkContext.broadcast(bitmap(labels, "node"))
 
     def places(piece, keys):
