@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import decontaminate, language, mainpage, neardup, packing, paragraphs, quality, suffixes, tokencounts, toxicity
 from tidemark.llm.frames import table
+from tidemark.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def op1_composite_density_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,4 +64,3 @@ QUERIES = {
     "op9_winnowing_decontamination": op9_winnowing_decontamination,
     "op10_paragraph_banding": op10_paragraph_banding,
 }
-ORACLES: dict[str, str] = {}
