@@ -3,16 +3,17 @@
 A byte goes if a string of ``LENGTH`` bytes that covers it also starts earlier. Three steps keep what is sorted small
 and the result exact:
 
-1. Every window of LENGTH bytes has one anchor: its 32-byte gram with the smallest hash, the rightmost of equals. Equal
-   windows have equal anchors, so windows whose anchor's gram occurs once anywhere are unique. The grams are counted.
-2. The windows that share an anchor follow each other; together they are a stretch of LENGTH bytes and a few more.
-   Equal stretches are one class, and all but its first occurrence go entirely. So copies are never sorted.
-3. What remains are different stretches round the same gram, at the edges of repeated passages. They are dealt out
-   by gram, and each task sorts their suffixes by a difference cover modulo 3: it sorts the triples at the positions of the
+1. Every window of LENGTH bytes has one anchor: its 32-byte gram with the smallest hash, the rightmost of equals. The
+   windows that share an anchor, and have it in the same half, follow each other; together they are a stretch of LENGTH bytes and a few
+   more, and all hold the same core of 66 bytes. Equal windows have equal cores, so windows whose core
+   occurs once anywhere are unique. The cores are counted.
+2. Equal stretches are one class, and all but its first occurrence go entirely. So copies are never sorted.
+3. What remains are different stretches round the same core, at the edges of repeated passages. They are dealt out
+   by core, and each task sorts their suffixes by a difference cover modulo 3: it sorts the triples at the positions of the
    cover, names them, recurses on the names, sorts the other suffixes by their first byte and the rank that follows,
    and merges. Neighbours in that order with equal first LENGTH bytes are equal windows, and all but the earliest go.
 
-A gram with more than ``MOST`` different stretches is not sorted by one task: the windows in its stretches are grouped by
+A core with more than ``MOST`` different stretches is not sorted by one task: the windows in its stretches are grouped by
 a 128-bit hash instead, which Spark combines before the shuffle.
 """
 
@@ -28,13 +29,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import bytegrams as bg
-from tidemark.llm.frames import bitmap, kept
+from tidemark.llm.frames import bitmap, kept, stored
 
 LENGTH, GRAM = 100, 32
 WIDTH = LENGTH - GRAM + 1
-#: Most different stretches round a gram that one task sorts together, and bytes that it sorts at once.
-MOST, SORTED_BYTES = 2000, 1 << 20
-SLICE = 1 << 20
+HALF = (WIDTH + 1) // 2
+CORE = LENGTH - HALF + 1
+#: A place in a document is one number: 24 bits of the text's hash, the stretch's start, and its length beyond LENGTH.
+TAG_BITS, START_BITS, MORE_BITS = 24, 31, 7
+#: Most different stretches round a core that one task sorts together, and bytes that it sorts at once.
+MOST, SORTED_BYTES = 2000, 1 << 19
+SLICE = 1 << 19
 _SECOND = 0xC2B2AE3D27D4EB4F
 
 
@@ -71,45 +76,47 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
 
 
 def anchors(piece: bg.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Text, first and last window start of each stretch of windows with the same anchor, and the anchor's hash."""
+    """Text, first and last window start and hash of the core of each stretch."""
     data, bounds = piece.data, piece.bounds
     n = len(data) - LENGTH + 1
     empty = np.zeros(0, dtype=np.int64)
     if n <= 0:
         return empty, empty, empty, empty.view(np.uint64)
-    grams = bg.byte_grams(data, GRAM)
+    running = bg.sums(bg.BYTE_CODES[data], bg._PRIME)
+    at = np.arange(len(data) - GRAM + 1)
     low = np.uint64(0xFFFFFFFF)
-    least = (grams & ~low) | (low - np.arange(len(grams), dtype=np.uint64))
+    least = (bg.span_hash(running, at, at + GRAM, bg._PRIME) & ~low) | (low - at.astype(np.uint64))
     span = 1
     while 2 * span <= WIDTH:
         least = np.minimum(least[:-span], least[span:])
         span *= 2
-    least = np.minimum(least[: n], least[WIDTH - span : WIDTH - span + n])
+    least = np.minimum(least[:n], least[WIDTH - span : WIDTH - span + n])
     place = (low - (least & low)).astype(np.int64)
     size = np.diff(bounds)
     text = np.repeat(np.arange(len(size)), size)[:n]
-    fits = np.arange(n) + LENGTH <= bounds[1:][text]
-    start = np.flatnonzero(fits)
+    start = np.flatnonzero(np.arange(n) + LENGTH <= bounds[1:][text])
     place, text = place[start], text[start]
+    half = (place - start) // HALF
     new = np.ones(len(start), dtype=bool)
-    new[1:] = (place[1:] != place[:-1]) | (text[1:] != text[:-1])
+    new[1:] = (place[1:] != place[:-1]) | (text[1:] != text[:-1]) | (half[1:] != half[:-1])
     at = np.flatnonzero(new)
     last = np.append(at[1:], len(start))[: len(at)] - 1
-    return text[at], start[at], start[last], grams[place[at]]
+    core = place[at] - HALF * half[at]
+    return text[at], start[at], start[last], bg.span_hash(running, core, core + CORE, bg._PRIME) ^ half[at].astype(np.uint64)
 
 
 def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(values).view(np.int64))
 
 
-def _hashes(piece: bg.Slice, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two hashes of each stretch."""
-    codes = bg.BYTE_CODES[piece.data]
-    return tuple(bg.span_hash(bg.sums(codes, base), first, last + LENGTH, base) for base in (bg._PRIME, _SECOND))
+def _spots(piece: bg.Slice, row: np.ndarray, text: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    start = first - piece.bounds[:-1][text]
+    tag = row[text] & ((1 << TAG_BITS) - 1)
+    return tag << (START_BITS + MORE_BITS) | start << MORE_BITS | last - first
 
 
-def _place_hash(row: np.ndarray, start: np.ndarray, gram: np.ndarray) -> np.ndarray:
-    return bg.mix(bg.mix(row.view(np.uint64) ^ bg.mix(start.astype(np.uint64))) ^ gram)
+def _place_hash(spot: np.ndarray, core: np.ndarray) -> np.ndarray:
+    return bg.mix(bg.mix(spot.view(np.uint64)) ^ core.view(np.uint64))
 
 
 def _scan(docs: DataFrame, emit, names: str) -> DataFrame:
@@ -117,75 +124,62 @@ def _scan(docs: DataFrame, emit, names: str) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            row = batch.column(1).to_numpy()
             for piece in bg.slices(batch.column(2), SLICE):
-                keys = batch.select([0, 1]).slice(piece.first, piece.last - piece.first)
-                yield pa.RecordBatch.from_arrays(emit(piece, keys), names=plain)
+                ids = batch.column(0).slice(piece.first, piece.last - piece.first)
+                yield pa.RecordBatch.from_arrays(emit(piece, ids, row[piece.first : piece.last]), names=plain)
 
     return docs.select("doc_id", "row", "text").mapInArrow(scan, names)
 
 
 def _stretches(docs: DataFrame, kind: str) -> DataFrame:
-    """(doc_id, row, start, stop, gram, c1, c2) of the stretches whose anchor's gram occurs more than once."""
+    """(core, whole, doc_id, spot) of the stretches whose core may occur more than once; ``whole`` is the hash of a stretch."""
 
-    def grams(piece, _):
+    def cores(piece, *_):
         names, times = np.unique(anchors(piece)[3], return_counts=True)
         return [_signed(names), pa.array(times, type=pa.int64())]
 
-    counted = _scan(docs, grams, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
-    repeated = kept(counted.filter("n > 1").select("gram"))
-    sent = docs.sparkSession.sparkContext.broadcast(bitmap(repeated, "gram"))
+    counted = _scan(docs, cores, "core bigint, n bigint").groupBy("core").agg(F.sum("n").alias("n"))
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap(kept(counted.filter("n > 1").select("core")), "core"))
 
-    def places(piece, keys):
-        text, first, last, gram = anchors(piece)
-        good = sent.value.has(gram)
-        text, first, last, gram = text[good], first[good], last[good], gram[good]
-        begin = piece.bounds[:-1][text]
-        return [
-            *keys.take(pa.array(text)).columns,
-            pa.array((first - begin).astype(np.int32)),
-            pa.array((last + LENGTH - begin).astype(np.int32)),
-            _signed(gram),
-            *map(_signed, _hashes(piece, first, last)),
-        ]
+    def places(piece, ids, row):
+        text, first, last, core = anchors(piece)
+        good = sent.value.has(core)
+        text, first, last, core = text[good], first[good], last[good], core[good]
+        whole = bg.span_hash(bg.sums(bg.BYTE_CODES[piece.data], _SECOND), first, last + LENGTH, _SECOND)
+        return [_signed(core), _signed(whole), ids.take(pa.array(text)), pa.array(_spots(piece, row, text, first, last))]
 
-    found = _scan(docs, places, f"doc_id {kind}, row bigint, start int, stop int, gram bigint, c1 bigint, c2 bigint")
-    return found.join(repeated, "gram", "left_semi")
+    return _scan(docs, places, f"core bigint, whole bigint, doc_id {kind}, spot bigint")
 
 
 def _with_place(wanted: DataFrame, kind: str) -> DataFrame:
-    """The rows (gram, doc_id, row, start) with the hash by which tasks know them again."""
+    """The rows (core, doc_id, spot) with the hash by which tasks know them again."""
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            gram, row, start = (batch.column(i).to_numpy() for i in (0, 2, 3))
-            hashed = _signed(_place_hash(row, start, gram.view(np.uint64)))
+            hashed = _signed(_place_hash(batch.column(2).to_numpy(), batch.column(0).to_numpy()))
             yield pa.RecordBatch.from_arrays([*batch.columns, hashed], names=[*batch.schema.names, "place"])
 
-    return wanted.select("gram", "doc_id", "row", "start").mapInArrow(
-        place, f"gram bigint, doc_id {kind}, row bigint, start int, place bigint")
+    return wanted.select("core", "doc_id", "spot").mapInArrow(place, f"core bigint, doc_id {kind}, spot bigint, place bigint")
 
 
 def _strings(docs: DataFrame, wanted: DataFrame, kind: str) -> DataFrame:
-    """(gram, doc_id, row, start, bytes) of the stretches in ``wanted`` (gram, doc_id, row, start, place)."""
+    """(core, doc_id, spot, bytes) of the stretches in ``wanted`` (core, doc_id, spot, place)."""
     sent = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, "place"))
 
-    def read(piece, keys):
-        text, first, last, gram = anchors(piece)
-        start = first - piece.bounds[:-1][text]
-        place = _place_hash(keys.column(1).to_numpy()[text], start, gram)
+    def read(piece, ids, row):
+        text, first, last, core = anchors(piece)
+        spot = _spots(piece, row, text, first, last)
+        place = _place_hash(spot, core)
         good = np.flatnonzero(sent.value.has(place))
         data = [piece.data[first[i] : last[i] + LENGTH].tobytes() for i in good]
         return [
-            _signed(gram[good]),
-            *keys.take(pa.array(text[good])).columns,
-            pa.array(start[good].astype(np.int32)),
-            _signed(place[good]),
-            pa.array(data, type=pa.binary()),
+            _signed(core[good]), ids.take(pa.array(text[good])), pa.array(spot[good]), _signed(place[good]), pa.array(data, type=pa.binary())
         ]
 
-    found = _scan(docs, read, f"gram bigint, doc_id {kind}, row bigint, start int, place bigint, bytes binary")
-    same = [F.col(f"f.{c}").eqNullSafe(F.col(f"w.{c}")) for c in ("place", "gram", "row", "start", "doc_id")]
-    return found.alias("f").join(wanted.alias("w"), same, "left_semi").dropDuplicates(["gram", "doc_id", "row", "start"])
+    found = _scan(docs, read, f"core bigint, doc_id {kind}, spot bigint, place bigint, bytes binary")
+    same = [F.col(f"f.{c}").eqNullSafe(F.col(f"w.{c}")) for c in ("place", "core", "spot", "doc_id")]
+    return found.alias("f").join(wanted.alias("w"), same, "left_semi").dropDuplicates(["core", "doc_id", "spot"])
 
 
 def repeated_windows(strings: list[bytes], groups: np.ndarray) -> list[np.ndarray]:
@@ -214,11 +208,13 @@ def repeated_windows(strings: list[bytes], groups: np.ndarray) -> list[np.ndarra
     return [again[a:b] - at for a, b, at in zip(split, split[1:], begin)]
 
 
-_SPAN = ["doc_id", "row", "start", "stop"]
+def _windows(kind: str) -> str:
+    return f"doc_id {kind}, spot bigint, start bigint, stop bigint"
 
 
 def _sorted_spans(strings: DataFrame, kind: str) -> DataFrame:
-    """Spans (doc_id, row, start, stop) that suffix sorting finds, gram by gram."""
+    """Spans (doc_id, spot, start, stop) that suffix sorting finds, core by core. Offsets count from the stretch's start."""
+    columns = ["core", "doc_id", "spot", "bytes"]
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
@@ -228,92 +224,88 @@ def _sorted_spans(strings: DataFrame, kind: str) -> DataFrame:
             size += batch.nbytes
             if size >= SORTED_BYTES:
                 table = pa.Table.from_batches(waiting).combine_chunks()
-                grams = table["gram"].to_numpy()
-                cut = int(np.searchsorted(grams, grams[-1]))  # the last gram's stretches may go on
-                if cut:
-                    yield from spans(table.slice(0, cut))
+                cores = table["core"].to_numpy()
+                cut = int(np.searchsorted(cores, cores[-1]))  # the last core's stretches may go on
+                yield from spans(table.slice(0, cut))
                 waiting = table.slice(cut).to_batches()
                 size = sum(b.nbytes for b in waiting)
         if waiting:
             yield from spans(pa.Table.from_batches(waiting))
 
     def spans(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        order = pc.sort_indices(table, sort_keys=[(c, "ascending") for c in ("gram", "doc_id", "row", "start")], null_placement="at_start")
-        table = table.take(order)
-        strings, (_, groups) = table["bytes"].to_pylist(), np.unique(table["gram"].to_numpy(), return_inverse=True)
+        order = pc.sort_indices(table, sort_keys=[(c, "ascending") for c in columns[:3]], null_placement="at_start")
+        table = table.take(order).combine_chunks()
+        strings, (_, groups) = table["bytes"].to_pylist(), np.unique(table["core"].to_numpy(), return_inverse=True)
         bounds, done = np.concatenate([[0], np.cumsum([len(x) for x in strings])]), 0
         while done < len(strings):
             last = int(np.searchsorted(bounds, bounds[done] + SORTED_BYTES))
             last = len(strings) if last >= len(strings) else int(np.searchsorted(groups, groups[last], side="left"))
             last = last if last > done else int(np.searchsorted(groups, groups[done], side="right"))
-            found = repeated_windows(strings[done:last], groups[done:last])
             row, start, stop = [], [], []
-            base = table["start"].to_numpy()
-            for i, windows in enumerate(found, done):
+            for i, windows in enumerate(repeated_windows(strings[done:last], groups[done:last]), done):
                 if len(windows):
                     breaks = np.flatnonzero(np.diff(windows) > LENGTH)
-                    a, b = windows[np.concatenate([[0], breaks + 1])], windows[np.append(breaks, len(windows) - 1)] + LENGTH
-                    row += [i] * len(a)
-                    start += (a + base[i]).tolist()
-                    stop += (b + base[i]).tolist()
-            if row:
-                keys = table.select(["doc_id", "row"]).take(pa.array(row)).combine_chunks()
+                    row += [i] * (len(breaks) + 1)
+                    start += windows[np.concatenate([[0], breaks + 1])].tolist()
+                    stop += (windows[np.append(breaks, len(windows) - 1)] + LENGTH).tolist()
+            keys = table.select(columns[1:3]).take(pa.array(row, type=pa.int64())).combine_chunks()
+            for batch in keys.to_batches():
                 yield pa.RecordBatch.from_arrays(
-                    [keys["doc_id"].chunk(0), keys["row"].chunk(0), pa.array(start, type=pa.int32()), pa.array(stop, type=pa.int32())], names=_SPAN)
+                    [*batch.columns, pa.array(start, type=pa.int64()), pa.array(stop, type=pa.int64())], names=["doc_id", "spot", "start", "stop"])
             done = last
 
-    dealt = strings.select("gram", "doc_id", "row", "start", "bytes").repartition("gram").sortWithinPartitions("gram")
-    return dealt.mapInArrow(sort, f"doc_id {kind}, row bigint, start int, stop int")
+    dealt = strings.select(columns).repartition("core").sortWithinPartitions("core")
+    return dealt.mapInArrow(sort, _windows(kind))
 
 
 def _grouped_spans(strings: DataFrame, kind: str) -> DataFrame:
-    """The same spans for grams with very many stretches, from the windows' hashes."""
+    """The same spans for cores with very many stretches, from the windows' hashes."""
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data = batch.column(3).to_pylist()
+            data = batch.column(2).to_pylist()
             sizes = np.array([len(x) for x in data], dtype=np.int64)
-            bounds = np.concatenate([[0], np.cumsum(sizes)])
-            of = np.repeat(np.arange(len(sizes)), sizes - LENGTH + 1)
-            inner = np.arange(len(of)) - np.repeat(np.cumsum(sizes - LENGTH + 1) - (sizes - LENGTH + 1), sizes - LENGTH + 1)
-            piece = bg.Slice(0, len(sizes), np.frombuffer(b"".join(data), dtype=np.uint8), bounds)
-            at = bounds[of] + inner
+            bounds, n = np.concatenate([[0], np.cumsum(sizes)]), sizes - LENGTH + 1
+            of = np.repeat(np.arange(len(n)), n)
+            inner = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+            at, codes = bounds[of] + inner, bg.BYTE_CODES[np.frombuffer(b"".join(data), dtype=np.uint8)]
+            hashes = [_signed(bg.span_hash(bg.sums(codes, base), at, at + LENGTH, base)) for base in (bg._PRIME, _SECOND)]
             yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.select([0, 1]).take(pa.array(of)).columns,
-                    pa.array((batch.column(2).to_numpy()[of] + inner).astype(np.int32)),
-                    *map(_signed, _hashes(piece, at, at)),
-                ],
-                names=["doc_id", "row", "start", "c1", "c2"],
-            )
+                [*batch.select([0, 1]).take(pa.array(of)).columns, pa.array(inner), *hashes], names=["doc_id", "spot", "start", "one", "two"])
+
+    every = strings.select("doc_id", "spot", "bytes").mapInArrow(windows, f"doc_id {kind}, spot bigint, start bigint, one bigint, two bigint")
+    # The stretches of a document follow each other by spot, and the windows of a stretch by start.
+    later = _later(every, ["one", "two"], ["doc_id", "spot", "start"])
+    return later.select("doc_id", "spot", "start", (F.col("start") + LENGTH).alias("stop"))
+
 
-    every = strings.select("doc_id", "row", "start", "bytes").mapInArrow(windows, f"doc_id {kind}, row bigint, start int, c1 bigint, c2 bigint")
-    return _later(every, ["c1", "c2"]).withColumn("stop", F.col("start") + LENGTH).select(*_SPAN)
+def _first(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The first row of each group, as struct ``first``, and the group's size. Nulls come first."""
+    return rows.groupBy(*keys).agg(F.min(F.struct(*order)).alias("first"), F.count("*").alias("n"))
 
 
-def _later(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The rows whose keys occur in an earlier row too. The order is doc_id, row, start; a null doc_id comes first."""
-    place = F.struct("doc_id", "row", "start")
-    first = rows.groupBy(*keys).agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    return rows.join(first, keys).filter(~place.eqNullSafe(F.col("first"))).drop("first")
+def _later(rows: DataFrame, keys: list[str], order: list[str], first: DataFrame | None = None) -> DataFrame:
+    """The rows of each group but the first."""
+    first = (_first(rows, keys, order) if first is None else first).filter("n > 1").drop("n")
+    return rows.join(first, keys).filter(~F.struct(*order).eqNullSafe(F.col("first"))).drop("first")
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """(doc_id, row, spans) of the documents (doc_id, row, text) in which bytes go; spans are (start, stop) and may overlap."""
+    """(doc_id, tag, spans) of the documents (doc_id, row, text) in which bytes go; spans are (start, stop) and may overlap."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    found = kept(_stretches(docs, kind))
-    classes = kept(
-        found.groupBy("gram", "c1", "c2").agg(F.min(F.struct("doc_id", "row", "start")).alias("first"), F.count("*").alias("n"))
-    )
-    copies = found.join(classes.filter("n > 1").drop("n"), ["gram", "c1", "c2"]).filter(
-        ~F.struct("doc_id", "row", "start").eqNullSafe(F.col("first"))).select(*_SPAN)
-    several = classes.groupBy("gram").agg(F.count("*").alias("classes")).filter("classes > 1")
-    wanted = kept(_with_place(classes.join(several, "gram").select("gram", "first.*"), kind))
-    strings = _strings(docs, wanted, kind)
-    hot = several.filter(F.col("classes") > MOST).select("gram", F.lit(True).alias("hot"))
-    strings = kept(strings.join(hot, "gram", "left"))
+    keys, order = ["core", "whole"], ["doc_id", "spot"]
+    found = stored(_stretches(docs, kind))
+    classes = stored(_first(found, keys, order))
+    more = F.col("spot").bitwiseAND((1 << MORE_BITS) - 1)
+    copies = _later(found, keys, order, classes).select("doc_id", "spot", F.lit(0).cast("bigint").alias("start"), (more + LENGTH).alias("stop"))
+    several = classes.groupBy("core").agg(F.count("*").alias("classes")).filter("classes > 1")
+    wanted = stored(_with_place(classes.join(several, "core").select("core", "first.*"), kind))
+    hot = several.filter(F.col("classes") > MOST).select("core", F.lit(True).alias("hot"))
+    strings = stored(_strings(docs, wanted, kind).join(hot, "core", "left"))
     spans = copies.union(_sorted_spans(strings.filter("hot IS NULL"), kind)).union(_grouped_spans(strings.filter("hot"), kind))
-    return spans.groupBy("doc_id", "row").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    begin = F.shiftright("spot", MORE_BITS).bitwiseAND((1 << START_BITS) - 1)
+    return spans.groupBy("doc_id", F.shiftright("spot", START_BITS + MORE_BITS).alias("tag")).agg(
+        F.collect_set(F.struct((begin + F.col("start")).alias("start"), (begin + F.col("stop")).alias("stop"))).alias("spans"))
 
 
 def removed(size: int, spans: list[dict] | None) -> np.ndarray:
@@ -355,13 +347,26 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans and kept_sha256.
 
     A null text counts as empty. Rows equal in doc_id and text are one document and have the same result; rows with one
-    doc_id and different texts are documents of their own, in the order of the texts' hashes. A null doc_id comes
+    doc_id and different texts are documents of their own, in the order of 24 bits of the texts' hashes. A null doc_id comes
     first. Other columns are not read. ``repeats`` gives the spans themselves.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.select("doc_id", F.xxhash64(F.col("doc_id").cast("string"), text).alias("row"), text.alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    spans = kept(repeats(keyed))
-    same = F.col("d.row").eqNullSafe(F.col("s.row")) & F.col("d.doc_id").eqNullSafe(F.col("s.doc_id"))
-    joint = keyed.alias("d").join(spans.alias("s"), same, "left").select("d.doc_id", "d.text", "s.spans")
-    return _digest(joint, kind)
+    spans = stored(repeats(keyed))
+    # Only texts that may have spans are moved to them; the bitmap lets others through by chance, and they find none.
+    key = F.xxhash64(F.col("doc_id").cast("string"), "tag")
+    keyed = keyed.withColumn("tag", F.col("row").bitwiseAND((1 << TAG_BITS) - 1)).withColumn("key", key)
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap(spans.select(key.alias("key")), "key"))
+
+    def part(cut: bool) -> DataFrame:
+        def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.select([0, 1, 2]).filter(pa.array(sent.value.has(batch.column(3).to_numpy()) == cut))
+
+        return keyed.select("doc_id", "tag", "text", "key").mapInArrow(choose, f"doc_id {kind}, tag bigint, text string")
+
+    same = F.col("d.tag").eqNullSafe(F.col("s.tag")) & F.col("d.doc_id").eqNullSafe(F.col("s.doc_id"))
+    joint = part(True).alias("d").join(spans.alias("s"), same, "left").select("d.doc_id", "d.text", "s.spans")
+    whole = part(False).select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
+    return _digest(joint, kind).union(_digest(whole, kind))
