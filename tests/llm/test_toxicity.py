@@ -62,6 +62,26 @@ def test_held_out_documents(spark):
     assert "idiot" in found and len(found) < 200
 
 
+def test_held_out_recall_of_every_language(spark):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    rows = toxicity.judge(docs, labels).join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
+    found = {}
+    for r in rows.filter("held_out AND toxic = 1").collect():
+        found.setdefault(r.lang, []).append(r.predicted)
+    assert set(found) == {"en", "de", "fr", "es"}
+    assert {g: sum(x) / len(x) for g, x in found.items() if sum(x) < 0.5 * len(x)} == {}, found
+
+
+def test_beyond_chance():
+    assert toxicity.beyond_chance({(20, 20): 64, (5, 5): 8, (4, 4): 11}, 60_000, 0.115) == [(20, 20), (5, 5)]
+    assert toxicity.beyond_chance({(9, 9): 1, (5, 5): 1}, 60_000, 0.5) == []
+
+
+def test_copies_count_once(spark):
+    rows = [("same rare words", True)] * 40 + [(f"plain text {i}", i % 5 == 0) for i in range(100)]
+    assert toxicity.evidence(spark.createDataFrame(rows, "text string, toxic boolean")) == {}
+
+
 def test_hostile_rows(spark):
     bad = lambda i: f"some words here vile{'abcdef'[i % 6]} and others {i}"
     rows = [(i, bad(i) if i % 3 == 0 else f"some words here and others {i} nice", 0.5) for i in range(300)]

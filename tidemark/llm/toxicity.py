@@ -2,7 +2,8 @@
 
 Labels are given per document, so the words' labels are derived first: a feature of words (the word
 itself, or its beginning) is evidence if at least ``PRECISION`` of the documents that hold it are
-toxic. In a toxic document, the words are labelled toxic whose evidence is supported by a fair share
+toxic, and chance does not explain it: by the binomial tail at the sample's share of toxic documents, with
+the threshold of Benjamini and Hochberg over all features. In a toxic document, the words are labelled toxic whose evidence is supported by a fair share
 of the documents that support the document's best evidence; chance features of one group of
 copies are thereby left out. Every other word is labelled clean.
 
@@ -33,8 +34,8 @@ COUNTED, SAMPLE = 10_000, 1_500
 #: Most features of words kept as evidence.
 EVIDENCE = 100_000
 PRECISION, SUPPORT, SHARE = 0.97, 3, 0.15
-#: Evidence must be held by this share of the toxic documents, and chance must explain it less often than this.
-LEAST_SHARE, CHANCE = 0.02, 0.05
+#: Share of the evidence that chance may be expected to explain.
+CHANCE = 0.05
 FLOOR, THRESHOLD = 0.1, 0.7
 #: Words around a toxic word, and words of a stretch, that go into the fit.
 AROUND, STRETCH = 12, 150
@@ -171,17 +172,37 @@ def _drawn(known: DataFrame, most: int, seed: str) -> DataFrame:
     return known.filter(draw < share)
 
 
+def _tail(bad: int, n: int, share: float) -> float:
+    """Logarithm of the probability that ``bad`` or more of ``n`` documents are toxic by chance."""
+    terms = [
+        math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(share) + (n - k) * math.log1p(-share)
+        for k in range(bad, n + 1)
+    ]
+    return max(terms) + math.log(sum(math.exp(t - max(terms)) for t in terms))
+
+
+def beyond_chance(cells: dict[tuple[int, int], int], tested: int, share: float) -> list[tuple[int, int]]:
+    """The cells (bad, n) whose features are no chance; ``cells`` has the number of features in each of interest."""
+    tails = sorted((_tail(bad, n, share), (bad, n)) for bad, n in cells)
+    total, last = 0, 0
+    for i, (tail, cell) in enumerate(tails, 1):
+        total += cells[cell]
+        if tail <= math.log(CHANCE * total / tested):
+            last = i
+    return [cell for _, cell in tails[:last]]
+
+
 def evidence(known: DataFrame) -> dict[int, int]:
     """Features nearly all of whose documents are toxic, with the number of those; EVIDENCE of them at most.
 
-    A feature needs so many documents that no feature at all would be expected to reach them by chance.
+    Each feature is judged by its own documents alone, so those of a rare language or kind count like others.
+    Copies of a text count once, with the worst label.
     """
+    known = known.groupBy("text").agg(F.max("toxic").alias("toxic"))
     sizes = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
     bad, good = sizes.get(True, 0), sizes.get(False, 0)
     if not bad or not good:
         return {}
-    chance = math.log(CHANCE / (1000 * (bad + good))) / math.log(bad / (bad + good))
-    least = max(SUPPORT, LEAST_SHARE * bad, min(chance, bad / 4))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,12 +222,18 @@ def evidence(known: DataFrame) -> dict[int, int]:
                     names=["feature", "bad", "n"],
                 )
 
-    rows = (
+    counts = kept(
         known.select("text", "toxic").mapInArrow(count, "feature bigint, bad bigint, n bigint")
         .groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
-        .filter((F.col("feature") != 0) & (F.col("bad") >= least) & (F.col("bad") >= PRECISION * F.col("n")))
-        .orderBy(F.desc("bad"), "feature").limit(EVIDENCE).collect()
+        .filter((F.col("feature") != 0) & (F.col("n") >= SUPPORT))
     )
+    pure = counts.filter((F.col("bad") >= SUPPORT) & (F.col("bad") >= PRECISION * F.col("n")))
+    cells = {(r.bad, r.n): r["count"] for r in pure.groupBy("bad", "n").count().collect()}
+    good_cells = beyond_chance(cells, counts.count(), bad / (bad + good)) if cells else []
+    if not good_cells:
+        return {}
+    chosen = known.sparkSession.createDataFrame(good_cells, "bad bigint, n bigint")
+    rows = pure.join(F.broadcast(chosen), ["bad", "n"]).orderBy(F.desc("bad"), "feature").limit(EVIDENCE).collect()
     return {r.feature: r.bad for r in rows}
 
 
