@@ -1,0 +1,58 @@
+import random
+
+import brute
+
+from tidemark.llm import paragraphs
+
+
+def words_left(docs):
+    """{doc_id: words that stay} for distinct doc_ids, by comparing all lines of 5 words and looking up all windows of 25."""
+    lines = [(d, n, brute.WORD.findall(brute.lower(line))) for d, text in sorted(docs) for n, line in enumerate((text or "").split("\n"))]
+    distinct = sorted({tuple(w) for _, _, w in lines if len(w) >= 5})
+    group = {distinct[i]: g for i, _, g in brute.near_groups([(i, " ".join(w)) for i, w in enumerate(distinct)], 5)}
+    seen, gone, text = set(), set(), {d: [] for d, _ in docs}
+    for d, n, w in lines:
+        if len(w) >= 5:
+            gone |= {(d, n)} if group[tuple(w)] in seen else set()
+            seen.add(group[tuple(w)])
+        text[d] += [(n, x) for x in w]
+    first, out = {}, {}
+    for d in sorted(text):
+        have = text[d]
+        drop = [(d, n) in gone for n, _ in have]
+        stays = [not x for x in drop]
+        for i in range(len(have) - 24):
+            if any(drop[i : i + 25]) or any((d, n) in gone for n in range(have[i][0], have[i + 24][0])):
+                continue
+            e, j = first.setdefault(tuple(x for _, x in have[i : i + 25]), (d, i))
+            if e != d or i >= j + 25:
+                stays[i : i + 25] = [False] * 25
+        out[d] = [x for (_, x), s in zip(have, stays) if s]
+    return out
+
+
+def check(frame, docs):
+    have = {r.doc_id: r for r in paragraphs.deduplicate(frame, whole=True).collect()}
+    want = words_left(docs)
+    assert set(have) == set(want)
+    for d, text in docs:
+        assert brute.WORD.findall(brute.lower(have[d].text)) == want[d], d
+        assert have[d].n_words - have[d].n_removed == len(want[d])
+        assert have[d].n_removed or (have[d].text == text and have[d].n_spans == 0)
+    return have
+
+
+def made(seed):
+    pick = random.Random(seed)
+    return pick, lambda n: ["".join(pick.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
+
+
+def test_passages_inside_other_text_go_whole(spark):
+    pick, words = made(7)
+    passages = [words(25 + k) for k in range(40)]
+    docs = []
+    for i in range(80):
+        body, at = words(60), pick.randrange(60)
+        docs.append((i, " ".join(body[:at] + passages[i % 40] + body[at:])))
+    have = check(spark.createDataFrame(docs, "doc_id long, text string").repartition(5), docs)
+    assert [have[i].n_removed for i in range(80)] == [0] * 40 + [25 + k for k in range(40)]

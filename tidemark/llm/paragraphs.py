@@ -10,6 +10,9 @@ ends), so that a passage is cut alike wherever it stands. Here similarity 1 is a
 words is the only band. A run of small paragraphs goes if each of them occurred before and the run has
 ``MIN_WORDS`` words or more; the first occurrence of each stays.
 
+With ``whole``, the second step ignores lines: a word goes if it lies in ``MIN_WORDS`` words that stood before in what the first step leaves, in any
+surroundings. Such windows are found by the smallest hash of the ``GRAM``-word grams in them, which both places share.
+
 No step needs all paragraphs side by side: hashes are counted, and a bitmap (16 MB at most) of
 those that occur more than once tells the tasks that read the documents again which places to emit.
 """
@@ -33,6 +36,7 @@ SIZE, PER_CENT = 5, 80
 ROWS, RECALL = 3, 0.999
 MIN_WORDS = 25
 CUT = 8
+GRAM = 13
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -55,11 +59,11 @@ def numbered(of: np.ndarray) -> np.ndarray:
     return np.arange(len(of)) - begin
 
 
-def long_lines(piece: bg.Slice) -> tuple[bg.Slice, np.ndarray, np.ndarray, np.ndarray]:
-    """Lines, the text of each, the hash of its words, and the numbers of lines with MIN_WORDS or more."""
+def long_lines(piece: bg.Slice, least: int = MIN_WORDS) -> tuple[bg.Slice, np.ndarray, np.ndarray, np.ndarray]:
+    """Lines, the text of each, the hash of its words, and the numbers of lines with ``least`` words or more."""
     lines, of = lines_of(piece)
     found = bg.words(lines)
-    return lines, of, bg.sequence_hash(found), np.flatnonzero(found.count >= MIN_WORDS)
+    return lines, of, bg.sequence_hash(found), np.flatnonzero(found.count >= least)
 
 
 def band_keys(values: np.ndarray, bounds: np.ndarray, bands: int) -> np.ndarray:
@@ -84,6 +88,17 @@ def pieces_of(piece: bg.Slice) -> tuple[bg.Words, np.ndarray, np.ndarray, np.nda
     return found, bounds, keys, found.text[bounds[:-1]]
 
 
+def windows_of(piece: bg.Slice) -> tuple[bg.Words, np.ndarray, np.ndarray, np.ndarray]:
+    """Words, the first word of every window of MIN_WORDS words of a text, its hash, and the first word of its least gram."""
+    found = bg.words(piece)
+    starts, grams = bg.whole(found, MIN_WORDS), bg.grams(found, GRAM)
+    at, best = starts, grams[starts]
+    for j in range(1, MIN_WORDS - GRAM + 1):
+        here = grams[starts + j]
+        at, best = np.where(here <= best, starts + j, at), np.minimum(here, best)
+    return found, starts, bg.grams(found, MIN_WORDS)[starts], at
+
+
 def _scan(docs: DataFrame, emit: Callable[[bg.Slice, pa.RecordBatch], list[pa.Array]], names: str) -> DataFrame:
     """``emit`` over slices of (doc_id, row, text)."""
     plain = [n.split()[0] for n in names.split(", ")]
@@ -101,12 +116,12 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(np.asarray(values).view(np.int64))
 
 
-def _near_lines(docs: DataFrame, kind: str) -> DataFrame:
-    """(doc_id, row, line) of the paragraphs that go because a similar one comes first."""
+def _near_lines(docs: DataFrame, kind: str, least: int = MIN_WORDS, copies: bool = False) -> DataFrame:
+    """(doc_id, row, line) of the paragraphs that go because a similar one, or with ``copies`` the same, comes first."""
     spark, bands = docs.sparkSession, bands_for()
 
     def keys_of(piece: bg.Slice) -> tuple[np.ndarray, np.ndarray, tuple]:
-        lines, of, nodes, at = long_lines(piece)
+        lines, of, nodes, at = long_lines(piece, least)
         values, bounds = shingle_sets(lines, SIZE)
         sizes = np.diff(bounds)[at]
         inside = np.repeat(bounds[:-1][at], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -147,10 +162,19 @@ def _near_lines(docs: DataFrame, kind: str) -> DataFrame:
         return kept(verified(pairs, kept(sets_for(nodes)), PER_CENT))
 
     labels = joined(buckets, links_of, sets_for, PER_CENT)
+    if copies:
+        def all_nodes(piece, _):
+            _, _, nodes, at = long_lines(piece, least)
+            names, times = np.unique(nodes[at], return_counts=True)
+            return [_signed(names), pa.array(times, type=pa.int64())]
+
+        times = _scan(docs, all_nodes, "node bigint, n bigint").groupBy("node").agg(F.sum("n").alias("n"))
+        alone = times.filter("n > 1").select("node").join(labels, "node", "left_anti")
+        labels = kept(labels.union(alone.select("node", F.col("node").alias("label"))))
     wanted = spark.sparkContext.broadcast(bitmap(labels, "node"))
 
     def places(piece, keys):
-        _, of, nodes, at = long_lines(piece)
+        _, of, nodes, at = long_lines(piece, least)
         at = at[wanted.value.has(nodes[at])]
         return [*keys.take(pa.array(of[at])).columns, pa.array(numbered(of)[at], type=pa.int32()), _signed(nodes[at])]
 
@@ -192,6 +216,76 @@ def _repeated_pieces(docs: DataFrame, gone: DataFrame, kind: str) -> DataFrame:
     return where.join(first, "key").filter(~F.struct("doc_id", "row", "piece").eqNullSafe(F.col("first"))).select("doc_id", "row", "piece")
 
 
+def _repeated_windows(docs: DataFrame, gone: DataFrame, kind: str) -> DataFrame:
+    """(doc_id, row, start) of the windows that occurred before in what ``gone`` (doc_id, row, line) leaves.
+
+    A window that overlaps its own first occurrence is not among them, so that stays.
+    """
+
+    def all_keys(piece, _):
+        found, _, _, at = windows_of(piece)
+        names, times = np.unique(bg.grams(found, GRAM)[np.unique(at)], return_counts=True)
+        return [_signed(names), pa.array(times, type=pa.int64())]
+
+    counted = _scan(docs, all_keys, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    hits: Broadcast = docs.sparkSession.sparkContext.broadcast(bitmap(kept(counted.filter("n > 1").select("key")), "key"))
+
+    def runs(piece, keys):
+        """Windows that follow each other and touch the same lines, as one row."""
+        found, starts, hashes, at = windows_of(piece)
+        good = hits.value.has(bg.grams(found, GRAM)[at])
+        starts, hashes = starts[good], hashes[good]
+        lines, of = lines_of(piece)
+        line = np.searchsorted(lines.bounds[1:], found.start, side="right")
+        text, one, last = found.text[starts], numbered(of)[line[starts]], numbered(of)[line[starts + MIN_WORDS - 1]]
+        new = np.ones(len(starts), dtype=bool)
+        new[1:] = (np.diff(starts) > 1) | (np.diff(text) > 0) | (np.diff(one) > 0) | (np.diff(last) > 0)
+        begin = np.flatnonzero(new)
+        return [
+            *keys.take(pa.array(text[begin])).columns,
+            *(pa.array(x[begin], type=pa.int32()) for x in (one, last, starts - found.of[text])),
+            bg.lists(hashes.view(np.int64), np.diff(np.append(begin, len(starts))), pa.int64()),
+        ]
+
+    where = _scan(docs, runs, f"doc_id {kind}, row bigint, line int, last int, at int, keys array<bigint>")
+    left = gone.groupBy(F.col("doc_id").alias("id"), F.col("row").alias("of")).agg(F.collect_set("line").alias("gone"))
+    where = where.join(left, F.col("row").eqNullSafe(F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id")), "left")
+    where = where.filter(F.expr("gone IS NULL OR NOT exists(gone, x -> x BETWEEN line AND last)"))
+    where = where.select("doc_id", "row", "at", F.posexplode("keys").alias("i", "key")).select("doc_id", "row", (F.col("at") + F.col("i")).alias("start"), "key")
+    first = kept(
+        where.groupBy("key").agg(F.min(F.struct("doc_id", "row", "start")).alias("first"), F.count("*").alias("n"))
+        .filter("n > 1").select("key", "first")
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("row") == F.col("first.row"))
+    return where.join(first, "key").filter(~(same & (F.col("start") < F.col("first.start") + MIN_WORDS))).select("doc_id", "row", "start")
+
+
+def _cut_windows(piece: bg.Slice, i: int, lines_gone: set[int], starts: set[int]) -> tuple[bytes, int, int, int]:
+    """As ``_cut``, for windows of MIN_WORDS words from the given words on."""
+    data = piece.data[piece.bounds[i] : piece.bounds[i + 1]]
+    one = bg.Slice(0, 1, data, np.array([0, len(data)]))
+    lines, _ = lines_of(one)
+    found = bg.words(one)
+    line = np.searchsorted(lines.bounds[1:], found.start, side="right")
+    out = np.isin(line, list(lines_gone))
+    cover = np.zeros(len(line) + 1, dtype=np.int32)
+    begin = np.array(sorted(starts), dtype=np.int64)
+    cover[begin] += 1
+    np.subtract.at(cover, begin + MIN_WORDS, 1)
+    again = (np.cumsum(cover[:-1]) > 0) & ~out
+    drop = np.zeros(len(data) + 1, dtype=np.int32)
+    for n in lines_gone:
+        drop[lines.bounds[n]] += 1
+        drop[lines.bounds[n + 1]] -= 1
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], again.astype(np.int8), [0]])))
+    for a, b in zip(edges[::2], edges[1::2]):
+        drop[found.start[a]] += 1
+        drop[found.start[b] if b < len(line) and line[b] == line[b - 1] else found.stop[b - 1]] -= 1
+    out |= again
+    spans = int((np.diff(np.concatenate([[0], out.astype(np.int8)])) > 0).sum())
+    return data[np.cumsum(drop[:-1]) == 0].tobytes(), len(line), int(out.sum()), spans
+
+
 def _cut(piece: bg.Slice, i: int, lines_gone: set[int], pieces: set[int]) -> tuple[bytes, int, int, int]:
     """The text that stays, its words before, the words removed and the removed spans of text ``i``."""
     data = piece.data[piece.bounds[i] : piece.bounds[i + 1]]
@@ -216,26 +310,31 @@ def _cut(piece: bg.Slice, i: int, lines_gone: set[int], pieces: set[int]) -> tup
     return data[stays].tobytes(), len(found.start), int(np.diff(bounds)[out].sum()), spans
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
+def deduplicate(docs: DataFrame, whole: bool = False) -> DataFrame:
     """The documents with the text that stays, and ``n_words``, ``n_removed`` (words) and ``n_spans``.
 
     Columns of these names are replaced, all others kept. A null text stays null and an empty one empty. Rows equal
-    in doc_id and text count as one document and are cut alike. A null doc_id comes before all others.
+    in doc_id and text count as one document and are cut alike. A null doc_id comes before all others. ``whole`` is explained above.
     """
     docs = docs.drop("n_words", "n_removed", "n_spans")
     columns = docs.columns
     text = F.col("text").cast("string")
     keyed = docs.select(F.col("doc_id"), F.xxhash64(F.col("doc_id").cast("string"), text).alias("row"), text.alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    gone = kept(_near_lines(keyed, kind))
-    again = _repeated_pieces(keyed, gone, kind)
+    if whole:
+        gone = kept(_near_lines(keyed, kind))
+        again = _repeated_windows(keyed, gone, kind).withColumnRenamed("start", "piece")
+    else:
+        gone = kept(_near_lines(keyed, kind))
+        again = _repeated_pieces(keyed, gone, kind)
+    cut = _cut_windows if whole else _cut
     cuts = kept(
         gone.select("doc_id", "row", "line", F.lit(None).cast("int").alias("piece"))
         .unionByName(again.select("doc_id", "row", F.lit(None).cast("int").alias("line"), "piece"))
         .groupBy("doc_id", "row").agg(F.collect_set("line").alias("lines"), F.collect_set("piece").alias("pieces"))
     )
-    whole = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"), F.xxhash64(F.col("doc_id").cast("string"), text).alias("key"))
-    joint = whole.join(cuts, F.col("key").eqNullSafe(F.col("row")) & F.col("id").eqNullSafe(F.col("doc_id")), "left")
+    every = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"), F.xxhash64(F.col("doc_id").cast("string"), text).alias("key"))
+    joint = every.join(cuts, F.col("key").eqNullSafe(F.col("row")) & F.col("id").eqNullSafe(F.col("doc_id")), "left")
     joint = joint.select(
         *[F.col("doc")[c].alias(c) for c in columns],
         *[F.col(c).alias(c + "_" * (1 + max(map(len, columns)))) for c in ("lines", "pieces")],
@@ -254,7 +353,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
                         texts.append(piece.text(i))
                         counts.append((int(sizes[i]), 0, 0))
                     else:
-                        left, *n = _cut(piece, i, set(gone[j]), set(again[j]))
+                        left, *n = cut(piece, i, set(gone[j]), set(again[j]))
                         texts.append(left)
                         counts.append(n)
             null = batch.column(at).is_null().to_numpy(zero_copy_only=False)

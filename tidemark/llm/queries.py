@@ -49,7 +49,7 @@ def op9_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def op10_paragraph_banding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What stays of every document, with the words before, the words removed and the runs removed."""
-    return paragraphs.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return paragraphs.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"), whole=True)
 
 
 QUERIES = {
