@@ -56,3 +56,13 @@ def test_passages_inside_other_text_go_whole(spark):
         docs.append((i, " ".join(body[:at] + passages[i % 40] + body[at:])))
     have = check(spark.createDataFrame(docs, "doc_id long, text string").repartition(5), docs)
     assert [have[i].n_removed for i in range(80)] == [0] * 40 + [25 + k for k in range(40)]
+
+
+def test_passages_go_however_they_are_wrapped(spark):
+    _, words = made(8)
+    passage, docs = words(300), []
+    for i, width in enumerate((300, 10, 12, 15, 20)):
+        body = words(i) + passage + words(3)
+        docs.append((i, "\n".join(" ".join(body[j : j + width]) for j in range(0, len(body), width))))
+    have = check(spark.createDataFrame(docs, "doc_id long, text string"), docs)
+    assert [have[i].n_removed for i in range(5)] == [0, 300, 300, 300, 300]
