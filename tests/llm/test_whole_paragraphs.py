@@ -1,8 +1,12 @@
 import random
+from collections import Counter
 
 import brute
 
 from tidemark.llm import paragraphs
+from tidemark.llm.frames import table
+
+SF = "/root/testdata/sf0.001"
 
 
 def words_left(docs):
@@ -42,6 +46,12 @@ def check(frame, docs):
     return have
 
 
+def test_whole_table_against_all_windows(spark):
+    docs = table(spark, SF, "documents").select("doc_id", "text")
+    have = check(docs, [(r.doc_id, r.text) for r in docs.collect()])
+    assert Counter(r.n_removed > 0 for r in have.values())[True] > 20
+
+
 def made(seed):
     pick = random.Random(seed)
     return pick, lambda n: ["".join(pick.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
@@ -66,3 +76,21 @@ def test_passages_go_however_they_are_wrapped(spark):
         docs.append((i, "\n".join(" ".join(body[j : j + width]) for j in range(0, len(body), width))))
     have = check(spark.createDataFrame(docs, "doc_id long, text string"), docs)
     assert [have[i].n_removed for i in range(5)] == [0, 300, 300, 300, 300]
+
+
+def test_short_paragraphs_go(spark):
+    _, words = made(9)
+    line, near = " ".join(words(5)), words(14)
+    docs = [(i, "\n".join([" ".join(words(6)), line, " ".join([*near, f"end{i}"]), "a b c"])) for i in range(30)]
+    have = check(spark.createDataFrame(docs, "doc_id long, text string"), docs)
+    assert [have[i].n_removed for i in range(30)] == [0] + [20] * 29
+
+
+def test_hostile_rows(spark):
+    line = " ".join(f"w{i}" for i in range(60))
+    docs = [(1, ""), (2, "\n\n"), (3, "a " * 3000), (4, line), (5, f"x\n{line}\ny\n"), (6, f"{line} {line}"), (7, "a b"), (8, "a b")]
+    check(spark.createDataFrame(docs, "doc_id long, text string"), docs)
+    twice = spark.createDataFrame([(1, line), (1, line), (None, line), (2, None)], "doc_id long, text string")
+    rows = paragraphs.deduplicate(twice, whole=True).collect()
+    assert sorted((r.doc_id or 0, r.n_removed) for r in rows) == [(0, 0), (1, 60), (1, 60), (2, 0)]
+    assert paragraphs.deduplicate(twice.limit(0), whole=True).count() == 0

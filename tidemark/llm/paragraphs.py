@@ -10,7 +10,8 @@ ends), so that a passage is cut alike wherever it stands. Here similarity 1 is a
 words is the only band. A run of small paragraphs goes if each of them occurred before and the run has
 ``MIN_WORDS`` words or more; the first occurrence of each stays.
 
-With ``whole``, the second step ignores lines: a word goes if it lies in ``MIN_WORDS`` words that stood before in what the first step leaves, in any
+With ``whole``, every paragraph of ``SIZE`` words or more is compared in this way and its later copies go, and the second
+step ignores lines: a word goes if it lies in ``MIN_WORDS`` words that stood before in what the first step leaves, in any
 surroundings. Such windows are found by the smallest hash of the ``GRAM``-word grams in them, which both places share.
 
 No step needs all paragraphs side by side: hashes are counted, and a bitmap (16 MB at most) of
@@ -322,7 +323,7 @@ def deduplicate(docs: DataFrame, whole: bool = False) -> DataFrame:
     keyed = docs.select(F.col("doc_id"), F.xxhash64(F.col("doc_id").cast("string"), text).alias("row"), text.alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     if whole:
-        gone = kept(_near_lines(keyed, kind))
+        gone = kept(_near_lines(keyed, kind, SIZE, copies=True))
         again = _repeated_windows(keyed, gone, kind).withColumnRenamed("start", "piece")
     else:
         gone = kept(_near_lines(keyed, kind))
