@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, language, mainpage, neardup, packing, paragraphs, quality, suffixes, tokencounts, toxicity
+from tidemark.llm import (
+    chat,
+    decontaminate,
+    filteraudit,
+    language,
+    mainpage,
+    neardup,
+    packing,
+    paragraphs,
+    quality,
+    suffixes,
+    tokencounts,
+    toxicity,
+    vectorcodes,
+)
 from tidemark.llm.frames import table
 from tidemark.llm.oracles import ORACLES
 
@@ -52,6 +66,19 @@ def op10_paragraph_banding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraphs.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"), whole=True)
 
 
+def op11_lehmer_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_hilbert_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op13_relational_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What can be read back from the formatted conversations, conversation -7 included."""
+    return chat.digests(chat.format_chats(chat.with_hostile_example(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES = {
     "op1_composite_density_extraction": op1_composite_density_extraction,
     "op2_hierarchical_language": op2_hierarchical_language,
@@ -63,4 +90,7 @@ QUERIES = {
     "op8_offset_token_counts": op8_offset_token_counts,
     "op9_winnowing_decontamination": op9_winnowing_decontamination,
     "op10_paragraph_banding": op10_paragraph_banding,
+    "op11_lehmer_filter_audit": op11_lehmer_filter_audit,
+    "op12_hilbert_vector_codes": op12_hilbert_vector_codes,
+    "op13_relational_chats": op13_relational_chats,
 }
