@@ -76,15 +76,34 @@ def convert(text: Column, column: ColumnSpec, policy: Policy) -> Column:
     return text if target.simpleString() == "string" else text.try_cast(target)
 
 
-def default_value(column: ColumnSpec, policy: Policy) -> Column:
-    """The value a new row gets for a column its insert does not mention."""
+def always_fits(column: ColumnSpec, policy: Policy) -> bool:
+    """Whether any text can be converted to the column's type."""
+    if column.data_type in BOOLEAN_TYPES:
+        return True
+    plain = column.data_type not in DATETIME_TYPES and column.data_type not in TIME_TYPES
+    return plain and spark_type(column, policy.dialect).simpleString() == "string"
+
+
+def fits(text: Column, column: ColumnSpec, policy: Policy) -> Column:
+    """Whether a text that is not NULL can be converted: :func:`convert` without the work that only its value needs."""
+    if always_fits(column, policy):
+        return F.lit(True)
+    if column.data_type in DATETIME_TYPES:
+        return temporal.instant(text, policy.source_zone).isNotNull()
+    if column.data_type in TIME_TYPES:
+        return ~text.rlike(temporal.WHOLE_NUMBER) | text.try_cast("bigint").isNotNull()
+    return convert(text, column, policy).isNotNull()
+
+
+def default_value(column: ColumnSpec, policy: Policy, now: Column | None = None) -> Column:
+    """The value a new row gets for a column its insert does not mention; ``now`` replaces the time of this run."""
     target = spark_type(column, policy.dialect)
     if column.default is None:
         return F.lit(None).cast(target)
     # Bit literals are written b'0' and b'1' in the source's catalog.
     text = column.default.removeprefix("b'").removesuffix("'") if column.default.startswith("b'") else column.default
     if text.lower().startswith("current_timestamp"):
-        now = F.current_timestamp()
+        now = F.current_timestamp() if now is None else now
         return temporal.target_text(now, policy.target_zone) if policy.dialect == "mysql" else now
     if column.data_type in DATETIME_TYPES or column.data_type in BOOLEAN_TYPES:
         return convert(F.lit(text), column, policy)

@@ -19,6 +19,9 @@ DOUBLE_TYPES = ("double", "double precision")
 BINARY_TYPES = ("tinyblob", "blob", "mediumblob", "longblob", "binary", "varbinary", "bytea")
 BOOLEAN_TYPES = ("bit", "bool", "boolean")
 
+# Families whose values are converted by a rule of their own; all others are cast to their Spark type.
+FAMILIES = (DATETIME_TYPES, DATE_TYPES, TIME_TYPES, BOOLEAN_TYPES, BINARY_TYPES)
+
 # What a bare DECIMAL means in the source database.
 _DEFAULT_PRECISION, _DEFAULT_SCALE = 10, 0
 _MAX_PRECISION = 38

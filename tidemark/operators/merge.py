@@ -18,8 +18,11 @@ from tidemark.operators.typed import payload_columns
 _PRESENT = "__present"
 
 
-def rows_created(changes: DataFrame, table: TableSchema, policy: Policy = Policy()) -> DataFrame:
-    """Replica rows of keys that have no row yet; keys without an insert give none."""
+def rows_created(changes: DataFrame, table: TableSchema, policy: Policy = Policy(), now: Column | None = None) -> DataFrame:
+    """Replica rows of keys that have no row yet; keys without an insert give none.
+
+    ``now`` is what a default of the current time means, if not the time of this run.
+    """
     created = changes.filter(F.col(FIRST_INSERT).isNotNull())
     order = changes.schema[FIRST_INSERT].dataType.fieldNames()
 
@@ -31,7 +34,7 @@ def rows_created(changes: DataFrame, table: TableSchema, policy: Policy = Policy
     values = [
         F.col(quoted(c.name))
         if c.name in keys
-        else F.when(counts(c.name), F.col(f"`{c.name}`.v")).otherwise(default_value(c, policy)).alias(c.name)
+        else F.when(counts(c.name), F.col(f"`{c.name}`.v")).otherwise(default_value(c, policy, now)).alias(c.name)
         for c in payload_columns(table)
     ]
     stamp = F.when(counts(DELETED_AT), F.col(f"{DELETED_AT}.v")).alias(DELETED_AT)

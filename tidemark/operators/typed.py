@@ -6,10 +6,11 @@ below the projection and parse every event a second time.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.convert import Policy, convert
+from tidemark.functions.convert import Policy, always_fits, convert, fits
 from tidemark.functions.envelope import (
     DELETE,
     INSERT,
@@ -21,7 +22,7 @@ from tidemark.functions.envelope import (
     text_of,
     topic_table,
 )
-from tidemark.functions.types import DELETED_AT, ColumnSpec, TableSchema, quoted, spark_type
+from tidemark.functions.types import DELETED_AT, FAMILIES, ColumnSpec, TableSchema, quoted, spark_type
 
 # Reject reasons, in the order they are tested.
 PARSE_ERROR = "parse_error"
@@ -114,22 +115,87 @@ def _reason(table: TableSchema, stray: Column, touched: Column, text: dict[str,
     )
 
 
+def _catalog_rows(spark: SparkSession, catalog: dict[str, TableSchema], policy: Policy) -> tuple[DataFrame, list[ColumnSpec]]:
+    """One row per table with its columns, the kind of each, and its keys; and one column of each kind.
+
+    Columns are of one kind if they are converted alike, so there are as many kinds as there are types, however
+    many tables and columns. Columns that any text fits have no kind.
+    """
+    kinds: dict[tuple[str, str], int] = {}
+    samples: list[ColumnSpec] = []
+
+    def kind(column: ColumnSpec) -> int | None:
+        if always_fits(column, policy):
+            return None
+        family = next((f for f in FAMILIES if column.data_type in f), None)
+        of = (family[0] if family else "", spark_type(column, policy.dialect).simpleString())
+        if of not in kinds:
+            kinds[of] = len(samples)
+            samples.append(column)
+        return kinds[of]
+
+    # Names match without regard to case; of two tables that differ in case only, the later one counts.
+    tables = {t.table.lower(): (name, t) for name, t in catalog.items()}
+    rows = [
+        (key, name, [c.name for c in payload_columns(t)], [kind(c) for c in payload_columns(t)], t.keys)
+        for key, (name, t) in tables.items()
+    ]
+    types = [pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.string())]
+    names = ["__table", "table_name", "__columns", "__kinds", "__keys"]
+    columns = list(zip(*rows)) or [()] * len(names)
+    found = pa.table({n: pa.array(c, t) for n, c, t in zip(names, columns, types)})
+    return spark.createDataFrame(found), samples
+
+
 def validated(events: DataFrame, catalog: dict[str, TableSchema], policy: Policy = Policy()) -> DataFrame:
     """Every parsed event once, with the catalog table it belongs to (or NULL) and the reason it cannot be applied there.
 
-    One pass over the log however many tables there are: the table picks the test.
+    The catalog is data here, not code: an event meets its table's columns by a join with one row per table, and
+    each value it carries is tested by the kind of its column. So the plan has one branch per type, and an event
+    costs what it carries, however many tables there are.
     """
-    names, texts = F.col("names"), F.col("texts")
-    where, reason = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for name, table in catalog.items():
-        text = {c.name: text_of(names, texts, c.name) for c in payload_columns(table)}
-        typed = {c.name: convert(text[c.name], c, policy) for c in payload_columns(table)}
-        mine = belongs_to(table.table)
-        where = F.when(mine, F.lit(name)).otherwise(where)
-        reason = F.when(mine, _reason(table, _stray(table, policy), _touched(table), text, typed)).otherwise(reason)
+    specs, samples = _catalog_rows(events.sparkSession, catalog, policy)
+    # One row per table of the catalog.
+    found = events.join(F.broadcast(specs), F.lower("source_table") == F.col("__table"), "left")
+    names, texts, known, keys = (F.col(c) for c in ("names", "texts", "__columns", "__keys"))
+    writes = F.col("operation").isin(INSERT, UPDATE)
+    # Made once per event, as columns: inside a lambda they would be made once per value.
+    kinds = F.transform(names, lambda n: F.get(F.col("__kinds"), F.array_position(known, n).cast("int") - 1))
+    repeats = F.size(F.array_distinct(names)) < F.size(names)
+    found = found.select(
+        *EVENT_COLUMNS, "parse_error", "names", "texts", "table_name", "__table", "__columns", "__keys",
+        F.inline(F.array(F.struct(kinds.alias("__kinds_of_names"), repeats.alias("__repeats")))),
+    )
+
+    def own(name: Column) -> Column:
+        return ~name.startswith(META_PREFIX)
+
+    def misfit(name: Column, i: Column) -> Column:
+        text, kind = F.get(texts, i), F.get(F.col("__kinds_of_names"), i)
+        bad = F.lit(False)
+        for number, sample in reversed(list(enumerate(samples))):
+            bad = F.when(kind == number, ~fits(text, sample, policy)).otherwise(bad)
+        # Of a repeated name the last value counts, which comes first; a delete uses its key only.
+        counts = kind.isNotNull() & text.isNotNull() & (writes | F.array_contains(keys, name))
+        return F.when(counts & (~F.col("__repeats") | (F.array_position(names, name) == i + 1)), bad).otherwise(F.lit(False))
+
+    stray = F.exists(names, lambda n: ~F.array_contains(known, n) & (n != DELETED_AT) & own(n))
+    stray = F.lit(False) if policy.unknown_columns == "ignore" else writes & stray
+    missing = F.exists(keys, lambda k: F.get(texts, F.array_position(names, k).cast("int") - 1).isNull())
+    touched = F.exists(names, lambda n: ~F.array_contains(keys, n) & own(n))
+    reason = (
+        F.when(F.col("__table").isNull(), F.lit(None).cast("string"))
+        .when(F.col("parse_error"), F.lit(PARSE_ERROR))
+        .when(F.col("operation") == UNKNOWN, F.lit(UNKNOWN_OPERATION))
+        .when(F.size(keys) == 0, F.lit(NO_PRIMARY_KEY))
+        .when(missing, F.lit(MISSING_KEY))
+        .when((F.col("operation") == UPDATE) & ~touched, F.lit(NO_COLUMNS_TO_UPDATE))
+        .when(stray, F.lit(UNKNOWN_COLUMN))
+        .when(F.array_contains(F.transform(names, misfit), F.lit(True)), F.lit(CAST_ERROR))
+    )
     # The outcome goes through a generated row, so that a filter on it does not make every event be converted twice.
-    outcome = F.struct(where.alias("table_name"), reason.alias("reason"))
-    return events.select(*EVENT_COLUMNS, "parse_error", F.inline(F.array(outcome)))
+    outcome = F.struct(F.col("table_name"), reason.alias("reason"))
+    return found.select(*EVENT_COLUMNS, "parse_error", F.inline(F.array(outcome)))
 
 
 def typed_events(events: DataFrame, table: TableSchema, policy: Policy = Policy()) -> DataFrame:

@@ -51,6 +51,14 @@ MESSAGES = TableSchema(
     ),
 )
 AUDIT = TableSchema("audit", (ColumnSpec("c_name", "varchar", 1, precision=64),))
+ACTIVITY = TableSchema(
+    "activity",
+    (
+        ColumnSpec("event_id", "bigint", 1, nullable=False, pk_pos=1),
+        ColumnSpec("user_id", "bigint", 2),
+        ColumnSpec("kind", "varchar", 3, precision=16),
+    ),
+)
 CATALOG = {t.table: t for t in (USER_STATE, ORDERS, MESSAGES, AUDIT)}
 
 
@@ -103,6 +111,21 @@ def user_state_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def activity_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as inserts of activity, a child table of user_state, with the times of its parent's changes."""
+    ts_ms = epoch_ms(F.col("ts"))
+    meta = _meta(F.lit("c"), ts_ms, "activity")
+    return _log(
+        table(spark, sf_dir, "events"),
+        F.lit(PREFIX + "activity"),
+        F.pmod("event_id", F.lit(4)),
+        F.col("event_id"),
+        ts_ms,
+        _json("event_id"),
+        _json("event_id", "user_id", F.col("event_type").alias("kind"), *meta),
+    )
+
+
 def orders_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders as changes of a mixed-case table: snapshot or insert, then up to three more.
 

@@ -354,3 +354,18 @@ ORACLES["cdc_stream_resume"] = _STATE_ROWS
 ORACLES["cdc_rebuild_then_stream"] = _STATE_ROWS
 ORACLES["cdc_stream_tables"] = f"""{ORACLES["cdc_multi_table"]}
     UNION ALL SELECT 'dead_letters', count(*), count(*) FROM hostile WHERE {_REJECTED}"""
+ORACLES["cdc_delta_replica"] = f"SELECT * FROM ({_STATE_ROWS}), (VALUES (FALSE), (TRUE)) c(compacted)"
+ORACLES["cdc_out_of_order"] = _STATE_ROWS
+_AT_ONCE = f"""SELECT '{{0}}' AS moment, count(*) AS n_users, count(*) FILTER (deleted_ms IS NULL) AS n_live,
+    (SELECT count(*) FROM ev WHERE {{1}}) AS n_activities, (SELECT max(pos) FROM ev WHERE {{1}}) AS last_event FROM (
+      SELECT user_id, arg_max_null(CASE WHEN operation = 'DELETE' THEN ts_ms END, pos) FILTER (operation <> 'UPDATE') AS deleted_ms
+      FROM ev WHERE {{1}} GROUP BY user_id HAVING count(*) FILTER (operation = 'INSERT') > 0)"""
+ORACLES["cdc_consistent_snapshot"] = (
+    f"WITH {_EV} {_AT_ONCE.format('stopped', 'ts_ms < 1704931200000')} UNION ALL {_AT_ONCE.format('resumed', 'TRUE')}"
+)
+ORACLES["cdc_late_table"] = f"""{ORACLES["cdc_multi_table"]}
+    UNION ALL SELECT 'orders_with_note', count(*), count(*) FROM orders
+    UNION ALL SELECT 'waiting', count(*), count(*) FROM hostile WHERE kind IN (5, 10)
+    UNION ALL SELECT 'dead_letters', count(*), count(*) FROM hostile WHERE {_REJECTED} AND kind NOT IN (5, 10)"""
+ORACLES["cdc_rebucket"] = ORACLES["cdc_upsert"].replace("SELECT o_orderkey,", f"SELECT {_DELETED} AS deleted_ms, o_orderkey,", 1)
+ORACLES["stats_observed"] = ORACLES["stats_processed"]

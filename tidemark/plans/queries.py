@@ -15,6 +15,7 @@ from tidemark.operators.typed import typed_events, typed_rows, validated
 from tidemark.plans import changelogs as logs
 from tidemark.session import shared_dir
 from tidemark.sources import catalog, changelog
+from tidemark.streaming.lake import ReplicaTable
 from tidemark.streaming.replicate import Replication
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -510,7 +511,7 @@ def cdc_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     _arrive(log, f"{root}/log", 2)
     job = _job(root)
     _drain(spark, job, root)
-    for source, last in job.replica("user_state").applied(spark).items():
+    for source, last in job.epoch(spark).applied.items():
         job.apply_batch(changelog.read_files(spark, f"{root}/log"), last, source)
     return _user_state(job.read(spark, "user_state"))
 
@@ -547,7 +548,140 @@ def cdc_stream_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-STREAM_QUERIES: dict[str, Query] = {f.__name__: f for f in (cdc_stream_replica, cdc_stream_resume, cdc_rebuild_then_stream, cdc_stream_tables)}
+def _slice(log: DataFrame, i: int) -> DataFrame:
+    """Slice i of a log whose rows all have a time."""
+    at = F.unix_millis("timestamp")
+    start, end = (_SLICE_ENDS[i - 1] if i else None), _SLICE_ENDS[i]
+    mine = log if start is None else log.filter(at >= start)
+    return mine if end is None else mine.filter(at < end)
+
+
+def _user_state_replica(spark: SparkSession, purpose: str, **settings) -> ReplicaTable:
+    return ReplicaTable(shared_dir(spark, purpose), logs.USER_STATE, POLICY, **settings)
+
+
+def cdc_delta_replica(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches appended to a replica as deltas: its rows merged on read, and after compaction."""
+    replica = _user_state_replica(spark, "deltas", buckets=8, compact_share=None)
+    log = logs.user_state_log(spark, sf_dir)
+    replica.replace(replay.changes(_slice(log, 0), logs.USER_STATE, POLICY))
+    for i in (1, 2):
+        replica.append(replay.changes(_slice(log, i), logs.USER_STATE, POLICY), i)
+    merged = replica.read(spark, replica.version(spark)).withColumn("compacted", F.lit(False))
+    replica.compact(spark)
+    whole = replica.read(spark).withColumn("compacted", F.lit(True))
+    rows = merged.unionByName(whole)
+    return rows.select("compacted", "user_id", "value", "props", "last_type", _stamp())
+
+
+def cdc_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slices delivered last to first, each with every tenth event of all others: the rows are those of the log in order."""
+    replica = _user_state_replica(spark, "unordered", compact_share=None)
+    log = logs.user_state_log(spark, sf_dir)
+    again = log.filter(F.col("offset") % 10 == 0)
+    for batch, i in enumerate((2, 0, 1)):
+        replica.append(replay.changes(_slice(log, i).unionByName(again), logs.USER_STATE, POLICY), batch)
+        if batch == 1:
+            replica.compact(spark)
+    return _user_state(replica.read(spark))
+
+
+def cdc_consistent_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A parent and a child table; the job stops between the two, is read, and resumed."""
+    root = shared_dir(spark, "epochs")
+    tables = {t.table: t for t in (logs.USER_STATE, logs.ACTIVITY)}
+    job = Replication(f"{root}/target", tables, POLICY)
+    log = logs.user_state_log(spark, sf_dir).unionByName(logs.activity_log(spark, sf_dir))
+    early, late = log.filter(F.unix_millis("timestamp") < _SLICE_ENDS[0]), log.filter(F.unix_millis("timestamp") >= _SLICE_ENDS[0])
+    job.apply_batch(early, 0)
+    # What is left when a driver ends after the first of two tables: its files and its own version.
+    job.replica("activity", logs.ACTIVITY).append(replay.changes(late, logs.ACTIVITY, POLICY), 1)
+
+    def seen(moment: str) -> DataFrame:
+        epoch = job.epoch(spark)
+        parents = job.read(spark, "user_state", epoch).agg(
+            F.count(F.lit(1)).alias("n_users"), F.count_if(F.col(DELETED_AT).isNull()).alias("n_live")
+        )
+        children = job.read(spark, "activity", epoch).agg(F.count(F.lit(1)).alias("n_activities"), F.max("event_id").alias("last_event"))
+        both = parents.unionByName(children, allowMissingColumns=True)
+        return both.agg(*[F.max(c).alias(c) for c in both.columns]).withColumn("moment", F.lit(moment))
+
+    stopped = seen("stopped")
+    job.apply_batch(late, 1)
+    return stopped.unionByName(seen("resumed"))
+
+
+def cdc_late_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog gets a table and a column after their events have come: rows per replica, and what still waits or is rejected."""
+    root = shared_dir(spark, "late")
+    known = dict(logs.CATALOG)
+    early = [t for t in known.values() if t.table != "messages"]
+    early = [TableSchema(t.table, tuple(c for c in t.columns if c.name != "o_note")) for t in early]
+    current = [f"{root}/catalog-1"]
+    catalog.catalog_of(spark, early).write.parquet(current[0])
+
+    def read(session: SparkSession) -> dict[str, TableSchema]:
+        return catalog.compile_catalog(session.read.parquet(current[0]))
+
+    job = Replication(f"{root}/target", read, POLICY, tuple(logs.EXCLUDED))
+    for i in range(len(_SLICE_ENDS)):
+        _arrive(logs.shop_log(spark, sf_dir), f"{root}/log", i)
+        _drain(spark, job, root)
+        if not i:
+            current[0] = f"{root}/catalog-2"
+            catalog.catalog_of(spark, list(known.values())).write.parquet(current[0])
+
+    def counted(rows: DataFrame, name: str, live: Column) -> DataFrame:
+        return rows.select(F.lit(name).alias("table_name"), live.alias("live"))
+
+    every = counted(job.parked(spark), "waiting", F.lit(True))
+    every = every.unionByName(counted(spark.read.json(job.dead_letter_path), "dead_letters", F.lit(True)))
+    for name in ("user_state", "orders", "messages"):
+        every = every.unionByName(counted(job.read(spark, name), name, F.col(DELETED_AT).isNull()))
+    every = every.unionByName(counted(job.read(spark, "orders").filter("o_note IS NOT NULL"), "orders_with_note", F.lit(True)))
+    return every.groupBy("table_name").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("live").alias("n_live"))
+
+
+def cdc_rebucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A replica that outgrows its two buckets: rows after its buckets were split."""
+    replica = ReplicaTable(shared_dir(spark, "rebucket"), logs.ORDERS, POLICY, buckets=2, compact_share=None)
+    log = logs.orders_log(spark, sf_dir)
+    first = F.col("offset") % 4 == 0
+    replica.replace(replay.changes(log.filter(first), logs.ORDERS, POLICY))
+    replica.append(replay.changes(log.filter(~first), logs.ORDERS, POLICY), 0)
+    replica.bucket_bytes = replica.manifest(spark).base_bytes // 8
+    replica.compact(spark)
+    if replica.manifest(spark).depth < 2:
+        raise RuntimeError("no bucket was split")
+    return replica.read(spark).select(*_order_columns(), _stamp())
+
+
+def stats_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Applied events by table and operation, as counted while the replicas were written."""
+    job = _job(shared_dir(spark, "observed"))
+    log = logs.shop_log(spark, sf_dir)
+    at = F.unix_millis("timestamp")
+    job.apply_batch(log.filter(at < _SLICE_ENDS[0]), 0)
+    job.apply_batch(log.filter(at.isNull() | (at >= _SLICE_ENDS[0])), 1)
+    recorded = spark.read.parquet(job.statistics_path)
+    return recorded.groupBy("source_table", "operation").agg(F.sum("events").alias("events"))
+
+
+STREAM_QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        cdc_stream_replica,
+        cdc_stream_resume,
+        cdc_rebuild_then_stream,
+        cdc_stream_tables,
+        cdc_delta_replica,
+        cdc_out_of_order,
+        cdc_consistent_snapshot,
+        cdc_late_table,
+        cdc_rebucket,
+        stats_observed,
+    )
+}
 
 BATCH_QUERIES: dict[str, Query] = {
     f.__name__: f

@@ -1,80 +1,168 @@
-"""Replica tables as bucketed parquet folders with a version per applied batch.
-
-A batch rewrites only the buckets its changes fall into and leaves all older files
-alone; it becomes visible when its one-file manifest is written. A batch that is run
-again, after a lost driver or executor, writes the same folder and changes nothing once
-its manifest exists.
-
-``path/data/batch=<version>/__bucket=<n>`` holds rows, ``path/commits/batch=<version>`` the version
-whose folder has the current rows of each bucket. Versions are the replica's own count. A commit also
-names the last batch applied of each source, so a batch is known by its stream and its number
-in that stream, and no stream's numbers hide another's batches.
+"""Replica tables that take a batch by appending it, and merge when they are read.
+
+What is stored is change rows, not replica rows: per key the position of its first insert and, per column,
+the last value written with the position of that write in the log. Change rows combine by least and greatest
+position, so it does not matter in which batch, how often or in which order events arrive: an older offset
+never overwrites a newer one, a re-sent one changes nothing, and an update that comes before its insert waits
+for it. A replica row is what the combined change row of its key makes of nothing.
+
+A batch is one *delta*: its change rows, appended in files sorted by bucket. It reads nothing of what is
+stored. Readers combine the base with the deltas. A bucket whose deltas have grown to a share of its
+base is *compacted*: its base and deltas become a new base, and no other bucket is touched. A bucket that has
+outgrown ``bucket_bytes`` is split in two as it is compacted, and again if need be, so a table starts small and gets more
+buckets as it grows. A bucket is a range of *places*: the key's hash with its bits reversed, so
+that the parts of a bucket stay neighbours in a sorted delta file, whose row groups are skipped by their bounds.
+
+``path/commits/<version>.json`` lists what a version consists of, and ``path/data/__version=<version>`` holds the
+files that it added. A version is visible once its list is written. A list also names the last batch applied of
+each source, with its counts, so a batch is known by its stream and its number in that stream. A batch that is
+run again, after a lost driver or executor, writes the same folder and changes nothing once its list exists.
+One writer at a time: a second one that makes the same version gets an error.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable
+from dataclasses import dataclass, field, replace as changed
+from typing import Any
 
-import pyarrow as pa
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.convert import Policy
-from tidemark.functions.types import TableSchema, quoted, replica_schema
-from tidemark.operators.fold import FIRST_INSERT, FIRST_SLOT, LAST_SLOT
-from tidemark.operators.merge import empty_replica, merge, merge_broadcast, rows_created
+from tidemark.functions.types import DELETED_AT, TableSchema, quoted, replica_schema
+from tidemark.operators.fold import (
+    EVENTS,
+    FIRST_INSERT,
+    FIRST_SLOT,
+    INSERTS,
+    LAST_SLOT,
+    LOG_ORDER,
+    UPDATES,
+    keys_in_one_place,
+)
+from tidemark.operators.merge import empty_replica, rows_created
+from tidemark.operators.typed import payload_columns
+from tidemark.streaming import files
 
 # Internal, so that a source column may be called anything.
 BUCKET = "__bucket"
-_MANIFEST = f"{BUCKET} int, data_batch long, source string"
-_BATCH_FOLDER = re.compile(r"/batch=(\d+)/")
-# Room for a cell's position and row overhead, on top of its text.
-_CELL_BYTES = 32
+PLACE = "__place"
+VERSION = "__version"
+#: When a key's first change row was stored: what ``current_timestamp`` means as a default.
+CREATED = "__created"
+PLACE_BITS = 32
+_DELTA = "delta"
+_POSITION_TYPES = {"ts_ms": T.LongType(), "partition": T.IntegerType(), "offset": T.LongType()}
+#: Position of rows that were loaded from a snapshot: before any event.
+_BEFORE = -1
 
 
 class SplitKeyError(ValueError):
     """A key's events came from two log partitions, so their log order is undefined."""
 
 
-def _after(version: int | None) -> int:
-    return 0 if version is None else version + 1
+@dataclass(frozen=True)
+class Bucket:
+    """The keys whose place begins with ``depth`` bits of value ``prefix``.
+
+    ``version`` is the one that wrote its base (None if it has no rows); later deltas than ``since`` are not in it.
+    """
+
+    depth: int
+    prefix: int
+    version: int | None = None
+    since: int = -1
+    size: int = 0
+
+    @property
+    def name(self) -> str:
+        return f"{self.depth}_{self.prefix}"
+
+    @property
+    def first(self) -> int:
+        """Its least place."""
+        return self.prefix << (PLACE_BITS - self.depth)
+
+
+@dataclass(frozen=True)
+class Counts:
+    """Of a batch: events applied, inserts and updates among them, and keys from more than one log partition."""
+
+    batch: int
+    events: int = 0
+    inserts: int = 0
+    updates: int = 0
+    split: int = 0
+
+
+@dataclass(frozen=True)
+class Manifest:
+    """What a version consists of. ``deltas`` maps the version of a delta to its bytes."""
+
+    version: int = -1
+    buckets: tuple[Bucket, ...] = (Bucket(0, 0),)
+    deltas: dict[int, int] = field(default_factory=dict)
+    applied: dict[str, Counts] = field(default_factory=dict)
+
+    @property
+    def depth(self) -> int:
+        return max(b.depth for b in self.buckets)
 
+    @property
+    def base_bytes(self) -> int:
+        return sum(b.size for b in self.buckets)
+
+    def to_json(self) -> dict[str, Any]:
+        return {
+            "version": self.version,
+            "buckets": [[b.depth, b.prefix, b.version, b.since, b.size] for b in self.buckets],
+            "deltas": list(self.deltas.items()),
+            "applied": {source: list(c.__dict__.values()) for source, c in self.applied.items()},
+        }
+
+    @staticmethod
+    def from_json(value: dict[str, Any]) -> Manifest:
+        return Manifest(
+            value["version"],
+            tuple(Bucket(*b) for b in value["buckets"]),
+            {version: size for version, size in value["deltas"]},
+            {source: Counts(*c) for source, c in value["applied"].items()},
+        )
 
-def bucket_of(keys: list[str], buckets: int) -> Column:
-    """Bucket of a row. It equals the partition that ``repartition(buckets, *keys)`` puts
-    the row in, so a frame partitioned by key is already laid out by bucket."""
-    return F.pmod(F.hash(*map(quoted, keys)), F.lit(buckets)).alias(BUCKET)
 
+def place_of(keys: list[str]) -> Column:
+    """Place of a key: its hash, the one that ``repartition(n, *keys)`` uses, with the 32 bits reversed.
 
-def _row_bytes(frame: DataFrame) -> Column:
-    """Upper estimate of the size of a change row."""
-    total = F.lit(0).cast("long")
-    for field in frame.schema.fields:
-        value, kind = F.col(quoted(field.name)), field.dataType
-        if isinstance(kind, T.StructType) and "v" in kind.fieldNames():
-            value, kind = value["v"], kind["v"].dataType
-        total = total + _CELL_BYTES
-        if isinstance(kind, (T.StringType, T.BinaryType)):
-            total = total + F.coalesce(F.octet_length(value), F.lit(0))
-    return total
+    A frame in 2**d partitions by key then has whole buckets of depth d or less in each.
+    """
+    bits = F.hash(*map(quoted, keys)).cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
+    for width, mask in ((1, 0x55555555), (2, 0x33333333), (4, 0x0F0F0F0F), (8, 0x00FF00FF), (16, 0x0000FFFF)):
+        left = F.shiftleft(bits.bitwiseAND(F.lit(mask)), width)
+        bits = left.bitwiseOR(F.shiftright(bits, width).bitwiseAND(F.lit(mask)))
+    return bits
 
 
 class ReplicaTable:
-    """One replica. ``buckets`` is fixed for the life of a table; aim at some hundred
-    megabytes per bucket. Change sets up to ``broadcast_bytes`` are sent to the replica's
-    tasks, larger ones are joined by key."""
+    """One replica.
+
+    ``buckets`` is how many the table is laid out in when it is replaced whole; it gets more as it grows.
+    ``compact_share`` is the share of the base that deltas may reach before the next batch compacts; None leaves
+    compaction to the caller. Deltas up to ``broadcast_bytes`` are sent to the base's tasks by readers.
+    """
 
     def __init__(
         self,
         path: str,
         table: TableSchema,
         policy: Policy = Policy(),
-        buckets: int = 64,
+        buckets: int = 1,
         broadcast_bytes: int = 64 << 20,
         allow_split_keys: bool = False,
+        order: tuple[str, ...] = LOG_ORDER,
+        bucket_bytes: int = 256 << 20,
+        compact_share: float | None = 0.25,
+        most_deltas: int = 64,
     ) -> None:
         self.path = path.rstrip("/")
         self.table = table
@@ -82,151 +170,353 @@ class ReplicaTable:
         self.buckets = buckets
         self.broadcast_bytes = broadcast_bytes
         self.allow_split_keys = allow_split_keys
+        self.order = order
+        self.bucket_bytes = bucket_bytes
+        self.compact_share = compact_share
+        self.most_deltas = most_deltas
+
+    # --- versions ---------------------------------------------------------------------
+
+    def version(self, spark: SparkSession) -> int | None:
+        return files.last_version(spark, f"{self.path}/commits")
 
-    def manifest(self, spark: SparkSession) -> tuple[int | None, dict[int, int]]:
-        """Last version, and the version that wrote each bucket; at most one entry per bucket."""
-        version, buckets, _ = self._state(spark)
-        return version, buckets
+    def manifest(self, spark: SparkSession, version: int | None = None) -> Manifest:
+        """What a version, or else the last one, consists of."""
+        version = self.version(spark) if version is None else version
+        if version is None or version < 0:
+            return Manifest()
+        return Manifest.from_json(files.read_json(spark, f"{self.path}/commits/{version}.json"))
 
     def applied(self, spark: SparkSession) -> dict[str, int]:
         """Number of the last batch applied of each source."""
-        return self._state(spark)[2]
-
-    def _state(self, spark: SparkSession) -> tuple[int | None, dict[int, int], dict[str, int]]:
-        try:
-            commits = spark.read.schema(_MANIFEST).parquet(f"{self.path}/commits")
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None, {}, {}
-            raise
-        versions = [int(found) for file in commits.inputFiles() for found in _BATCH_FOLDER.findall(file)]
-        if not versions:
-            return None, {}, {}
-        last = max(versions)
-        rows = spark.read.schema(_MANIFEST).parquet(f"{self.path}/commits/batch={last}").collect()
-        buckets = {row[BUCKET]: row.data_batch for row in rows if row[BUCKET] >= 0}
-        return last, buckets, {row.source: row.data_batch for row in rows if row[BUCKET] < 0}
-
-    def read(self, spark: SparkSession) -> DataFrame:
-        """The current rows."""
-        return self._rows(spark, self.manifest(spark)[1]).drop(BUCKET)
+        return {source: counts.batch for source, counts in self.manifest(spark).applied.items()}
+
+    def _commit(self, spark: SparkSession, state: Manifest) -> None:
+        files.commit_json(spark, f"{self.path}/commits/{state.version}.json", state.to_json())
+
+    # --- writing ----------------------------------------------------------------------
 
     def apply(self, changes: DataFrame, batch_id: int, source: str = "") -> bool:
-        """Merge the change rows of a batch; False if this batch of this source was applied before.
+        """Append the change rows of a batch; False if this batch of this source was applied before.
 
-        A source counts its batches upwards and repeats none but its last. The changes are read several times, so persist them if they are costly to compute.
+        A source counts its batches upwards and repeats none but its last. Keys from several log partitions are an error.
         """
-        spark = changes.sparkSession
-        last, current, applied = self._state(spark)
-        if batch_id <= applied.get(source, -1):
+        before = self.manifest(changes.sparkSession).applied.get(source)
+        if before and batch_id <= before.batch:
             return False
-        version = _after(last)
-        marked = changes.withColumn(BUCKET, self._bucket())
-        # At most one row per bucket.
-        touched = (
-            marked.groupBy(BUCKET)
-            .agg(
-                F.sum(_row_bytes(changes)).alias("size"),
-                F.count_if(F.col(FIRST_SLOT) != F.col(LAST_SLOT)).alias("split"),
-                F.count(FIRST_INSERT).alias("inserted"),
-            )
-            .collect()
-        )
-        if not touched:
-            self._commit(spark, version, current, [], {**applied, source: batch_id})
-            return True
-        if any(row.split for row in touched) and not self.allow_split_keys:
-            raise SplitKeyError(f"{self.table.table}: keys moved between log partitions; fold in TIME_ORDER")
-        old = {row[BUCKET]: current[row[BUCKET]] for row in touched if row[BUCKET] in current}
-        size = sum(row.size for row in touched)
-        # A bucket without rows gets some only from inserts.
-        filled = [row[BUCKET] for row in touched if row[BUCKET] in old or row.inserted]
-        if filled:
-            self._write(self._merged(spark, changes, old, size, len(touched)), version)
-        self._commit(spark, version, current, filled, {**applied, source: batch_id})
+        self.append(changes, batch_id, source, strict=True)
         return True
 
-    def _merged(self, spark: SparkSession, changes: DataFrame, old: dict[int, int], size: int, touched: int) -> DataFrame:
-        keys = self.table.keys
-        if not old:
-            return rows_created(changes, self.table, self.policy).repartition(min(touched, self.buckets), self._bucket())
-        rows = self._rows(spark, old).drop(BUCKET)
-        if size <= self.broadcast_bytes:
-            merged = merge_broadcast(rows, changes, self.table, self.policy)
-            return merged.repartition(min(touched, self.buckets), self._bucket())
-        # Both sides arrive laid out by bucket, so neither the join nor the write moves a row again.
-        left, right = (side.repartition(self.buckets, *map(quoted, keys)) for side in (rows, changes))
-        return merge(left, right, self.table, self.policy)
+    def append(self, changes: DataFrame, batch_id: int, source: str = "", strict: bool = False) -> Counts:
+        """Append the change rows of a batch, and give its counts; again the same if it was applied before.
+
+        One pass: the counts are observed while the rows are written. Keys whose events came from several log
+        partitions are left out and counted, or an error if ``strict``.
+        """
+        spark = changes.sparkSession
+        state = self.manifest(spark)
+        known = state.applied.get(source)
+        if known and batch_id <= known.batch:
+            return known
+        version = state.version + 1
+        seen, kept = Observation(), Observation()
+        split = F.count_if(F.col(FIRST_SLOT) != F.col(LAST_SLOT)).alias("split")
+        rows = changes if self.allow_split_keys else keys_in_one_place(changes.observe(seen, split))
+        tallied = rows.observe(
+            kept, F.count(F.lit(1)).alias("rows"), *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in (EVENTS, INSERTS, UPDATES)]
+        )
+        folder = self._folder(version)
+        placed = self._storable(tallied)
+        placed.sortWithinPartitions(PLACE).write.mode("overwrite").parquet(f"{folder}/{BUCKET}={_DELTA}")
+        found, moved = kept.get, 0 if self.allow_split_keys else seen.get["split"]
+        if moved and strict:
+            raise SplitKeyError(f"{self.table.table}: keys moved between log partitions; fold in TIME_ORDER")
+        counts = Counts(batch_id, found[EVENTS], found[INSERTS], found[UPDATES], moved)
+        deltas = state.deltas
+        if found["rows"]:
+            deltas = {**deltas, version: files.size(spark, f"{folder}/{BUCKET}={_DELTA}")}
+        state = changed(state, version=version, deltas=deltas, applied={**state.applied, source: counts})
+        self._commit(spark, state)
+        if self.compact_share is not None and self._due(state):
+            self.compact(spark, self.compact_share)
+        return counts
+
+    def replace(self, changes: DataFrame) -> int:
+        """Replace all rows by what these change rows make; gives the new version. Older ones stay until expired.
+
+        What was applied of each source stays known, and positions are kept, so running streams go on, and what
+        they bring of events that are in these rows already changes nothing.
+        """
+        return self._replace(self._storable(changes))
 
     def overwrite(self, rows: DataFrame) -> int:
-        """Replace all rows, for a replay; gives the new version. Older ones stay readable until expired.
+        """Replace all rows by replica rows without positions, such as a snapshot: any event counts as later."""
+        origin = F.struct(*[F.lit(_BEFORE).cast(_POSITION_TYPES[p]).alias(p) for p in self.order])
 
-        What was applied of each source stays known, so running streams go on with their next batch.
-        """
+        def cell(name: str) -> Column:
+            value = F.col(quoted(name)).alias("v")
+            return F.struct(*[F.lit(_BEFORE).cast(_POSITION_TYPES[p]).alias(p) for p in self.order], value).alias(name)
+
+        slots = [F.lit(None).cast("long").alias(slot) for slot in (FIRST_SLOT, LAST_SLOT)]
+        keys = [F.col(quoted(k)) for k in self.table.keys]
+        snapshot = rows.select(*keys, *slots, origin.alias(FIRST_INSERT), *[cell(c) for c in self._cells()])
+        return self._replace(self._storable(snapshot))
+
+    def _replace(self, rows: DataFrame) -> int:
         spark = rows.sparkSession
-        last, _, applied = self._state(spark)
-        version = _after(last)
-        folder = self._write(rows.repartition(self.buckets, *map(quoted, self.table.keys)), version)
-        filled = spark.read.schema(self._stored()).parquet(folder).select(BUCKET).distinct().collect()
-        self._commit(spark, version, {}, [row[BUCKET] for row in filled], applied)
+        state = self.manifest(spark)
+        version, depth = state.version + 1, (self.buckets - 1).bit_length()
+        buckets = [Bucket(depth, prefix) for prefix in range(1 << depth)]
+        # A fold with as many shuffle partitions is laid out so already, and moves no row again.
+        laid_out = rows.repartition(1 << depth, *map(quoted, self.table.keys))
+        sizes = self._write_base(laid_out, buckets, version)
+        filled = tuple(self._filled(b, sizes, version) for b in buckets)
+        self._commit(spark, Manifest(version, filled, {}, state.applied))
         return version
 
-    def expired(self, spark: SparkSession, keep: int) -> list[str]:
-        """Folders that none of the last ``keep`` versions needs.
+    def _due(self, state: Manifest) -> bool:
+        pending = sum(state.deltas.values())
+        return len(state.deltas) > self.most_deltas or pending > max(self.compact_share * state.base_bytes, self.broadcast_bytes)
+
+    def compact(self, spark: SparkSession, share: float = 0.0) -> list[str]:
+        """Merge the deltas into the buckets where they exceed ``share`` of the base; gives the buckets written.
 
-        At most one per bucket and version written since they were last deleted.
+        If there are too many deltas, all buckets that have some are merged, so that the oldest can go.
         """
-        commits = spark.read.schema(f"{_MANIFEST}, batch long").parquet(f"{self.path}/commits")
-        batches = sorted(row.batch for row in commits.select("batch").distinct().collect())
-        kept = batches[-keep:]
-        parts = ["data_batch", BUCKET]
-        needed = commits.filter(F.col("batch") >= kept[0]).select(*parts).distinct()
-        older = commits.filter((F.col("batch") < kept[0]) & (F.col(BUCKET) >= 0)).select(*parts).distinct()
-        data = [
-            f"{self.path}/data/batch={row.data_batch}/{BUCKET}={row[BUCKET]}"
-            for row in older.join(needed, parts, "left_anti").collect()
-        ]
-        return data + [f"{self.path}/commits/batch={batch}" for batch in batches if batch < kept[0]]
+        state = self.manifest(spark)
+        if not state.deltas:
+            return []
+        depth = state.depth
+        # One row per smallest bucket; only the place column of the deltas is read.
+        pending = self._pending(spark, state).groupBy(self._slot(depth).alias("slot")).count().collect()
+        by_bucket: dict[Bucket, int] = {}
+        slots = self._directory(state.buckets, depth)
+        for row in pending:
+            bucket = state.buckets[slots[row.slot]]
+            by_bucket[bucket] = by_bucket.get(bucket, 0) + row["count"]
+        per_row = sum(state.deltas.values()) / max(sum(by_bucket.values()), 1)
+        sizes = {b: n * per_row for b, n in by_bucket.items()}
+        share = 0.0 if len(state.deltas) > self.most_deltas else share
+        chosen = {b: size for b, size in sizes.items() if size > share * b.size}
+        version = state.version + 1
+        parts = {b: self._parts(b, size + b.size) for b, size in chosen.items()}
+        if chosen:
+            written = self._write_merged(spark, state, parts, version)
+            parts = {b: [self._filled(p, written, version, state.version) for p in mine] for b, mine in parts.items()}
+        idle = {b: changed(b, since=state.version) for b in state.buckets if b not in sizes}
+        buckets = tuple(p for b in state.buckets for p in parts.get(b, [idle.get(b, b)]))
+        oldest = min(b.since for b in buckets)
+        deltas = {v: size for v, size in state.deltas.items() if v > oldest}
+        self._commit(spark, changed(state, version=version, buckets=buckets, deltas=deltas))
+        return sorted(b.name for mine in parts.values() for b in mine)
+
+    def _parts(self, bucket: Bucket, size: float) -> list[Bucket]:
+        """The bucket, or its halves, quarters and so on, each small enough."""
+        more = 0
+        while size / (1 << more) > self.bucket_bytes and bucket.depth + more < PLACE_BITS - 1:
+            more += 1
+        return [Bucket(bucket.depth + more, (bucket.prefix << more) + i) for i in range(1 << more)]
+
+    def _write_merged(self, spark: SparkSession, state: Manifest, parts: dict[Bucket, list[Bucket]], version: int) -> dict[str, int]:
+        """Write the new base of some buckets; gives the bytes by name."""
+        fresh = [p for mine in parts.values() for p in mine]
+        spans = [(b.first, b.first + (1 << (PLACE_BITS - b.depth)) - 1) for b in _joined(list(parts))]
+        mine = F.lit(False)
+        for first, last in spans:
+            mine = mine | F.col(PLACE).between(first, last)
+        stored = self._base(spark, [b for b in parts if b.version is not None])
+        # The test on places is pushed to the files, whose row groups are in this order.
+        rows = stored.unionByName(self._pending(spark, state).filter(mine).drop(VERSION))
+        n = 1 << max(p.depth for p in fresh)
+        keys = [quoted(k) for k in self.table.keys]
+        if n <= 4 * len(fresh):
+            # One move: a partition by key lies in one bucket.
+            merged = self._combined(rows.repartition(n, *keys))
+        else:
+            merged = self._combined(rows)
+            merged = merged.repartition(self._bucket_name(fresh))
+        return self._write_base(merged, fresh, version)
+
+    def _write_base(self, rows: DataFrame, buckets: list[Bucket], version: int) -> dict[str, int]:
+        folder = self._folder(version)
+        named = rows.withColumn(BUCKET, self._bucket_name(buckets))
+        named.write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
+        spark = rows.sparkSession
+        found = [name.removeprefix(f"{BUCKET}=") for name in files.names(spark, folder) if name.startswith(f"{BUCKET}=")]
+        return {name: files.size(spark, f"{folder}/{BUCKET}={name}") for name in found}
+
+    @staticmethod
+    def _filled(bucket: Bucket, sizes: dict[str, int], version: int, since: int | None = None) -> Bucket:
+        since = version if since is None else since
+        if bucket.name not in sizes:
+            return changed(bucket, since=since)
+        return changed(bucket, version=version, since=since, size=sizes[bucket.name])
+
+    # --- reading ----------------------------------------------------------------------
+
+    def read(self, spark: SparkSession, version: int | None = None) -> DataFrame:
+        """The rows of a version, or else the current ones."""
+        state = self.manifest(spark, version)
+        if not state.deltas and all(b.version is None for b in state.buckets):
+            return empty_replica(spark, self.table, self.policy)
+        return rows_created(self.changes(spark, state.version), self.table, self.policy, F.col(CREATED))
+
+    def split_keys(self, spark: SparkSession) -> DataFrame:
+        """Keys whose events came from several log partitions in different batches, so that their order is undefined."""
+        return self.changes(spark).filter(F.col(FIRST_SLOT) != F.col(LAST_SLOT)).select(*map(quoted, self.table.keys))
+
+    def changes(self, spark: SparkSession, version: int | None = None) -> DataFrame:
+        """One change row per key: base and deltas combined."""
+        state = self.manifest(spark, version)
+        base = self._base(spark, [b for b in state.buckets if b.version is not None])
+        if not state.deltas:
+            return base
+        deltas = self._pending(spark, state).drop(VERSION)
+        if sum(state.deltas.values()) > self.broadcast_bytes or not state.base_bytes:
+            return self._combined(base.unionByName(deltas))
+        return self._combined_broadcast(base, self._combined(deltas))
+
+    def _combined_broadcast(self, base: DataFrame, deltas: DataFrame) -> DataFrame:
+        """The base's rows with the deltas' greater cells, and the deltas' new keys; the base does not move."""
+        keys = [quoted(k) for k in self.table.keys]
+        old, new = base.alias("old"), F.broadcast(deltas.alias("new"))
+        same = [F.col(f"old.{k}") == F.col(f"new.{k}") for k in keys]
+
+        def of(name: str, pick) -> Column:
+            return pick(F.col(f"old.{quoted(name)}"), F.col(f"new.{quoted(name)}")).alias(name)
+
+        lower, upper = (FIRST_SLOT, FIRST_INSERT, CREATED), (LAST_SLOT, *self._cells())
+        joined = old.join(new, same, "left").select(
+            *[F.col(f"old.{k}") for k in keys],
+            *[of(name, F.least) for name in lower],
+            *[of(name, F.greatest) for name in upper],
+            F.col(f"old.{PLACE}"),
+        )
+        # The second scan of the base reads its keys only.
+        hits = base.select(*keys).join(F.broadcast(deltas.select(*keys)), self.table.keys, "left_semi")
+        fresh = deltas.join(F.broadcast(hits), self.table.keys, "left_anti")
+        return joined.select(*map(quoted, self._names())).unionByName(fresh.select(*map(quoted, self._names())))
+
+    def _combined(self, rows: DataFrame) -> DataFrame:
+        """One row per key: the least first insert, and of every column the cell with the greatest position."""
+        return rows.groupBy(*map(quoted, self.table.keys)).agg(
+            F.min(FIRST_SLOT).alias(FIRST_SLOT),
+            F.max(LAST_SLOT).alias(LAST_SLOT),
+            F.min(FIRST_INSERT).alias(FIRST_INSERT),
+            F.min(CREATED).alias(CREATED),
+            *[F.max(quoted(c)).alias(c) for c in self._cells()],
+            F.min(PLACE).alias(PLACE),
+        )
+
+    def _base(self, spark: SparkSession, buckets: list[Bucket]) -> DataFrame:
+        if not buckets:
+            return spark.createDataFrame([], self._stored())
+        folders = [f"{self._folder(b.version)}/{BUCKET}={b.name}" for b in buckets]
+        rows = spark.read.schema(self._stored()).option("basePath", f"{self.path}/data").parquet(*folders)
+        return rows.select(*map(quoted, self._names()))
+
+    def _pending(self, spark: SparkSession, state: Manifest) -> DataFrame:
+        """Rows of deltas that are not in the base of their bucket yet."""
+        folders = [f"{self._folder(v)}/{BUCKET}={_DELTA}" for v in state.deltas]
+        schema = T.StructType([*self._stored().fields, T.StructField(VERSION, T.LongType())])
+        rows = spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*folders)
+        rows = rows.select(*map(quoted, schema.fieldNames()))
+        since = {b.since for b in state.buckets}
+        if min(state.deltas) > max(since):
+            return rows
+        slots = self._directory(state.buckets, state.depth)
+        marks = F.array(*[F.lit(state.buckets[slots[slot]].since) for slot in range(1 << state.depth)])
+        return rows.filter(F.col(VERSION) > F.get(marks, self._slot(state.depth)))
+
+    # --- housekeeping -----------------------------------------------------------------
+
+    def expired(self, spark: SparkSession, keep: int) -> list[str]:
+        """Folders and lists that none of the last ``keep`` versions needs."""
+        versions = sorted(int(n.removesuffix(".json")) for n in files.names(spark, f"{self.path}/commits") if n.endswith(".json"))
+        kept = versions[-keep:]
+        needed = set()
+        for version in kept:
+            state = self.manifest(spark, version)
+            needed |= {(b.version, b.name) for b in state.buckets if b.version is not None}
+            needed |= {(v, _DELTA) for v in state.deltas}
+        found = []
+        for name in files.names(spark, f"{self.path}/data"):
+            version = int(name.removeprefix(f"{VERSION}="))
+            if versions and version > versions[-1]:  # being written
+                continue
+            parts = [p for p in files.names(spark, f"{self.path}/data/{name}") if p.startswith(f"{BUCKET}=")]
+            unused = [p for p in parts if (version, p.removeprefix(f"{BUCKET}=")) not in needed]
+            if len(unused) == len(parts):
+                found.append(f"{self.path}/data/{name}")
+            else:
+                found += [f"{self.path}/data/{name}/{p}" for p in unused]
+        return found + [f"{self.path}/commits/{version}.json" for version in versions if version < kept[0]]
 
     def expire(self, spark: SparkSession, keep: int = 2) -> int:
         """Delete what :meth:`expired` lists; readers of the last ``keep`` versions go on."""
         if keep < 1:
             raise ValueError("the current version cannot expire")
-        folders = self.expired(spark, keep)
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        for folder in folders:
-            path = hadoop(folder)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-        return len(folders)
-
-    def _bucket(self) -> Column:
-        return bucket_of(self.table.keys, self.buckets)
-
-    def _write(self, rows: DataFrame, version: int) -> str:
-        folder = f"{self.path}/data/batch={version}"
-        rows.withColumn(BUCKET, self._bucket()).write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
-        return folder
-
-    def _commit(
-        self, spark: SparkSession, version: int, current: dict[int, int], filled: Iterable[int], applied: dict[str, int]
-    ) -> None:
-        """Make a version visible. It also says which batches it includes, even one without rows."""
-        buckets = {**current, **dict.fromkeys(filled, version)}
-        numbers = [*buckets, *[-1] * len(applied)]
-        entries = {
-            BUCKET: pa.array(numbers, pa.int32()),
-            "data_batch": pa.array([*buckets.values(), *applied.values()], pa.int64()),
-            "source": pa.array([*[None] * len(buckets), *applied], pa.string()),
-        }
-        commit = spark.createDataFrame(pa.table(entries)).coalesce(1)
-        commit.write.mode("overwrite").parquet(f"{self.path}/commits/batch={version}")
+        gone = self.expired(spark, keep)
+        for path in gone:
+            files.delete(spark, path)
+        return len(gone)
 
-    def _stored(self) -> T.StructType:
-        return T.StructType([*replica_schema(self.table, self.policy.dialect).fields, T.StructField(BUCKET, T.IntegerType())])
+    # --- layout -----------------------------------------------------------------------
 
-    def _rows(self, spark: SparkSession, buckets: dict[int, int]) -> DataFrame:
-        if not buckets:
-            return empty_replica(spark, self.table, self.policy).withColumn(BUCKET, F.lit(None).cast("int"))
-        folders = [f"{self.path}/data/batch={batch}/{BUCKET}={bucket}" for bucket, batch in sorted(buckets.items())]
-        reader = spark.read.schema(self._stored()).option("basePath", f"{self.path}/data")
-        return reader.parquet(*folders).select(*map(quoted, self._stored().fieldNames()))
+    def _folder(self, version: int) -> str:
+        return f"{self.path}/data/{VERSION}={version}"
+
+    def _cells(self) -> list[str]:
+        keys = set(self.table.keys)
+        return [*[c.name for c in payload_columns(self.table) if c.name not in keys], DELETED_AT]
+
+    def _names(self) -> list[str]:
+        return [*self.table.keys, FIRST_SLOT, LAST_SLOT, FIRST_INSERT, CREATED, *self._cells(), PLACE]
+
+    def _stored(self) -> T.StructType:
+        kinds = {f.name: f.dataType for f in replica_schema(self.table, self.policy.dialect)}
+        position = [T.StructField(p, _POSITION_TYPES[p]) for p in self.order]
+        fixed = {FIRST_SLOT: T.LongType(), LAST_SLOT: T.LongType(), FIRST_INSERT: T.StructType(position)}
+        fixed |= {CREATED: T.TimestampType(), PLACE: T.LongType()}
+        fixed |= {k: kinds[k] for k in self.table.keys}
+        cells = {c: T.StructType([*position, T.StructField("v", kinds[c])]) for c in self._cells()}
+        return T.StructType([T.StructField(n, (fixed | cells)[n]) for n in self._names()])
+
+    def _storable(self, changes: DataFrame) -> DataFrame:
+        """Change rows as they are stored."""
+        extra = {CREATED: F.current_timestamp(), PLACE: place_of(self.table.keys)}
+        schema = self._stored()
+        return changes.select(*[
+            (extra[f.name] if f.name in extra else F.col(quoted(f.name))).cast(f.dataType).alias(f.name) for f in schema
+        ])
+
+    def _slot(self, depth: int) -> Column:
+        """The first ``depth`` bits of a row's place."""
+        return F.shiftright(F.col(PLACE), PLACE_BITS - depth).cast("int")
+
+    @staticmethod
+    def _directory(buckets: tuple[Bucket, ...] | list[Bucket], depth: int) -> dict[int, int]:
+        """Which bucket each value of the first ``depth`` bits lies in."""
+        found = {}
+        for i, bucket in enumerate(buckets):
+            width = 1 << (depth - bucket.depth)
+            found.update({bucket.prefix * width + j: i for j in range(width)})
+        return found
+
+    def _bucket_name(self, buckets: list[Bucket]) -> Column:
+        depth = max(b.depth for b in buckets)
+        slots = self._directory(buckets, depth)
+        if len({b.depth for b in buckets}) == 1:
+            return F.concat(F.lit(f"{depth}_"), self._slot(depth).cast("string"))
+        names = F.array(*[F.lit(buckets[slots[i]].name if i in slots else None) for i in range(1 << depth)])
+        return F.get(names, self._slot(depth))
+
+
+def _joined(buckets: list[Bucket]) -> list[Bucket]:
+    """The fewest buckets that cover the same places."""
+    found = set((b.depth, b.prefix) for b in buckets)
+    for depth in range(max(b.depth for b in buckets), 0, -1):
+        for prefix in [p for d, p in found if d == depth and p % 2 == 0 and (d, p + 1) in found]:
+            found -= {(depth, prefix), (depth, prefix + 1)}
+            found.add((depth - 1, prefix // 2))
+    return [Bucket(d, p) for d, p in sorted(found)]

@@ -1,12 +1,24 @@
-"""The replication job: one stream of log rows, fanned out to many replica tables."""
+"""The replication job: one stream of log rows, fanned out to many replica tables.
+
+Tables are written one by one, each with versions of its own, and become visible together: an *epoch* lists the
+version of every table after a batch, and readers take the versions of one epoch. A job that stops between two
+tables leaves the last epoch as it was; its batch comes again, tables that have it already skip it, and then
+the epoch follows. ``root/epochs/<n>.json`` is an epoch.
+
+The catalog may be read anew for every batch. Events of a table or with a column that it does not have yet are
+parked instead of rejected, and go through again with the first batch that sees another catalog. Replicas
+keep the position of every value, so it does not matter that they come late.
+"""
 
 from __future__ import annotations
 
+import hashlib
 import json
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from typing import Any
 
 import pyarrow as pa
 from pyspark import StorageLevel
@@ -15,14 +27,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.convert import Policy
+from tidemark.functions.envelope import DELETE, INSERT, UPDATE
 from tidemark.functions.types import TableSchema
 from tidemark.operators import rejects, replay
 from tidemark.operators.fold import LOG_ORDER, fold, keys_in_one_place, keys_in_two_places, operation_counts
-from tidemark.operators.typed import table_events, typed_events
-from tidemark.streaming.lake import ReplicaTable
+from tidemark.operators.typed import UNKNOWN_COLUMN, UNKNOWN_TABLE, table_events, typed_events
+from tidemark.sources.changelog import LOG_SCHEMA
+from tidemark.streaming import files
+from tidemark.streaming.lake import Counts, ReplicaTable
 from tidemark.streaming.retry import SinkFailure
 
-Sink = Callable[[TableSchema, DataFrame, int, str], bool]
+Catalog = dict[str, TableSchema]
+Sink = Callable[[TableSchema, DataFrame, int, str], Any]
 Counted = tuple[str, str, int]
 BATCH_STATISTICS = pa.schema(
     [
@@ -33,6 +49,8 @@ BATCH_STATISTICS = pa.schema(
         ("seconds", pa.float64()),
     ]
 )
+#: Reasons that a later catalog may lift.
+WAITING = (UNKNOWN_TABLE, UNKNOWN_COLUMN)
 
 
 @dataclass
@@ -43,34 +61,54 @@ class Applied:
     split: bool
 
 
+@dataclass
+class Epoch:
+    """What is visible: versions by table, the last batch of each source, folders of parked events, and the catalog used."""
+
+    number: int = -1
+    tables: dict[str, int] = field(default_factory=dict)
+    applied: dict[str, int] = field(default_factory=dict)
+    parked: list[str] = field(default_factory=list)
+    catalog: str = ""
+
+
 @dataclass
 class Replication:
     """Settings of a job, and what it does with one micro-batch.
 
     Replicas, dead letters and statistics are written below ``root``, all of them keyed
     by batch, so that a repeated micro-batch leaves no second trace. ``sink`` replaces the
-    parquet replicas by another target. A batch is known by the id of its checkpoint and its
+    parquet replicas by another target, which has no epochs. A batch is known by the id of its checkpoint and its
     number there, so streams with new checkpoints, old ones and rebuilds can follow each other.
+    ``catalog`` is the tables, or a function that reads them, which is called for every batch. ``buckets`` is the number that a
+    rebuilt replica starts with, for all tables or by name; replicas get more as they grow.
     ``keep_versions`` is how many versions of a replica stay after a batch that changed it; None keeps all.
     """
 
     root: str
-    catalog: dict[str, TableSchema]
+    catalog: Catalog | Callable[[SparkSession], Catalog]
     policy: Policy = field(default_factory=Policy)
     excluded: tuple[str, ...] = ()
     order: tuple[str, ...] = LOG_ORDER
-    buckets: int = 64
+    buckets: int | dict[str, int] = 1
     tables_at_once: int = 4
     sink: Sink | None = None
     keep_versions: int | None = None
 
-    def replica(self, name: str) -> ReplicaTable:
+    def _tables(self, spark: SparkSession) -> Catalog:
+        return self.catalog(spark) if callable(self.catalog) else self.catalog
+
+    def replica(self, name: str, table: TableSchema | None = None) -> ReplicaTable:
+        """A table's replica; ``table`` is its schema, which a catalog that is read anew must be given."""
+        if table is None:
+            table = self._tables(SparkSession.active())[name]
         return ReplicaTable(
             f"{self.root.rstrip('/')}/replicas/{name}",
-            self.catalog[name],
+            table,
             self.policy,
-            self.buckets,
+            self.buckets.get(name, 1) if isinstance(self.buckets, dict) else self.buckets,
             allow_split_keys=self.order != LOG_ORDER,
+            order=self.order,
         )
 
     @property
@@ -81,44 +119,90 @@ class Replication:
     def statistics_path(self) -> str:
         return f"{self.root.rstrip('/')}/statistics"
 
+    @property
+    def _epoch_path(self) -> str:
+        return f"{self.root.rstrip('/')}/epochs"
+
+    def epoch(self, spark: SparkSession, number: int | None = None) -> Epoch:
+        """What was visible at an epoch, or else what is now."""
+        number = files.last_version(spark, self._epoch_path) if number is None else number
+        return Epoch() if number is None else Epoch(**files.read_json(spark, f"{self._epoch_path}/{number}.json"))
+
+    def _publish(self, spark: SparkSession, epoch: Epoch) -> None:
+        files.commit_json(spark, f"{self._epoch_path}/{epoch.number}.json", epoch.__dict__)
+
     def apply_batch(self, log: DataFrame, batch_id: int, source: str = "") -> None:
         """Apply one micro-batch to every table it has events of. A batch that comes again leaves what it left before."""
         started = time.time()
+        spark = log.sparkSession
+        tables, epoch = self._tables(spark), self.epoch(spark)
+        if self.sink is None and batch_id <= epoch.applied.get(source, -1):
+            return
+        catalog = _fingerprint(tables)
+        parked = epoch.parked
+        if parked and catalog != epoch.catalog:
+            log, parked = log.unionByName(spark.read.schema(LOG_SCHEMA).parquet(*parked)), []
         # Read by every table, so parsed once; spills to disk, recomputed if lost. Sorted,
         # so that a table skips the cached blocks of the others by their bounds.
         events = replay.parsed(log, self.excluded)
-        if len(self.catalog) > 1:
+        if len(tables) > 1:
             events = events.sortWithinPartitions("source_table")
         events = events.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            present = self._tables_in(events)
+            present = self._tables_in(events, tables)
             with ThreadPoolExecutor(max(1, self.tables_at_once)) as pool:
-                outcomes = dict(zip(present, pool.map(lambda n: self._apply_table(present[n], n, batch_id, source), present)))
-            refused = rejects.unroutable(events, self.catalog)
-            for name, outcome in outcomes.items():
-                table = self.catalog[name]
-                if isinstance(outcome, SinkFailure):
-                    lost = rejects.sink_failure(table_events(present[name], table), outcome.reason)
-                else:
-                    typed = typed_events(present[name], table, self.policy)
-                    lost = rejects.rejected_of(typed)
-                    if outcome.split:
-                        lost = lost.unionByName(rejects.split_keys(typed, fold(typed, table, self.order), table))
-                refused = refused.unionByName(lost)
-            rejects.append_dead_letters(refused, self.dead_letter_path, _folder(batch_id, source))
+                outcomes = dict(zip(present, pool.map(lambda n: self._apply_table(present[n], tables[n], n, batch_id, source), present)))
+            _raise_if_all_broke(outcomes)
+            refused = self._refused(events, present, outcomes, tables).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                waits = F.col("reason").isin(*WAITING) if callable(self.catalog) else F.lit(False)
+                if callable(self.catalog):
+                    folder = f"{self.root.rstrip('/')}/parked/batch={_folder(batch_id, source)}"
+                    held = refused.filter(waits)
+                    if not held.isEmpty():
+                        _as_log(held).write.mode("overwrite").parquet(folder)
+                        parked = [*parked, folder]
+                rejects.append_dead_letters(refused.filter(~waits), self.dead_letter_path, _folder(batch_id, source))
+            finally:
+                refused.unpersist()
             counts = [row for outcome in outcomes.values() if isinstance(outcome, Applied) for row in outcome.counts]
-            self._record(events.sparkSession, counts, batch_id, source, time.time() - started)
-            if self.keep_versions and self.sink is None:
-                for name, outcome in outcomes.items():
-                    if isinstance(outcome, Applied) and self.catalog[name].keys:
-                        self.replica(name).expire(events.sparkSession, self.keep_versions)
+            self._record(spark, counts, batch_id, source, time.time() - started)
+            if self.sink is None:
+                done = [n for n, outcome in outcomes.items() if isinstance(outcome, Applied) and tables[n].keys]
+                versions = {n: self.replica(n, tables[n]).version(spark) for n in done}
+                self._publish(spark, Epoch(
+                    epoch.number + 1, {**epoch.tables, **versions}, {**epoch.applied, source: batch_id}, parked, catalog
+                ))
+                if self.keep_versions:
+                    for name in done:
+                        self.replica(name, tables[name]).expire(spark, self.keep_versions)
+                    for number in range(epoch.number + 1 - self.keep_versions, -1, -1):
+                        if not files.exists(spark, f"{self._epoch_path}/{number}.json"):
+                            break
+                        files.delete(spark, f"{self._epoch_path}/{number}.json")
         finally:
             events.unpersist()
 
-    def _tables_in(self, events: DataFrame) -> dict[str, DataFrame]:
+    def _refused(self, events: DataFrame, present: dict[str, DataFrame], outcomes: dict[str, Any], tables: Catalog) -> DataFrame:
+        """All events that were not applied: those that cannot be, in one pass, split keys, and failed tables' whole batches."""
+        refused = rejects.rejected(events, tables, self.policy)
+        broken = {n: outcome for n, outcome in outcomes.items() if isinstance(outcome, SinkFailure)}
+        if broken:
+            lower = [tables[n].table.lower() for n in broken]
+            refused = refused.filter(F.col("source_table").isNull() | ~F.lower("source_table").isin(lower))
+        for name, outcome in outcomes.items():
+            table = tables[name]
+            if name in broken:
+                refused = refused.unionByName(rejects.sink_failure(table_events(present[name], table), outcome.reason))
+            elif outcome.split:
+                typed = typed_events(present[name], table, self.policy)
+                refused = refused.unionByName(rejects.split_keys(typed, fold(typed, table, self.order), table))
+        return refused
+
+    def _tables_in(self, events: DataFrame, tables: Catalog) -> dict[str, DataFrame]:
         """Events by catalog table they name; the driver sees at most one row per table."""
         name = F.lower("source_table")
-        by_name = {known.lower(): known for known in self.catalog}
+        by_name = {known.lower(): known for known in tables}
         found = (
             events.filter(name.isin(list(by_name)))
             .groupBy(name.alias("name"))
@@ -132,26 +216,34 @@ class Replication:
 
         return {by_name[row["name"]]: of(row) for row in sorted(found, key=lambda row: row["name"])}
 
-    def _apply_table(self, events: DataFrame, name: str, batch_id: int, source: str) -> SinkFailure | Applied:
+    def _apply_table(self, events: DataFrame, table: TableSchema, name: str, batch_id: int, source: str) -> SinkFailure | Applied:
         """Apply one table's events; gives the number applied by operation, at most three rows.
 
+        A replica is written in one pass, which also counts. A table that fails for whatever reason does not stop the others.
         A sink that skips has applied this very batch before, in an attempt that may have ended before
         its counts were recorded, so they are given again: the same numbers, in the same place.
         """
-        table = self.catalog[name]
         if not table.keys:
             return Applied([], False)
-        sink = self.sink or (lambda _, rows, batch, of: self.replica(name).apply(rows, batch, of))
         changes = fold(typed_events(events, table, self.policy), table, self.order)
+        try:
+            if self.sink is None:
+                return _applied(name, self.replica(name, table).append(changes, batch_id, source))
+            return self._send(changes, table, name, batch_id, source)
+        except SinkFailure as failure:
+            return failure
+        except Exception as error:
+            return SinkFailure(rejects.SINK_ERROR, error, 0, named=False)
+
+    def _send(self, changes: DataFrame, table: TableSchema, name: str, batch_id: int, source: str) -> Applied:
+        """Give a table's change rows to the sink."""
         changes = changes.persist(StorageLevel.MEMORY_AND_DISK)
         # Keys whose order the log does not give are rejected; the others go on.
         sound = keys_in_one_place(changes) if self.order == LOG_ORDER else changes
         try:
-            sink(table, sound, batch_id, source)
+            self.sink(table, sound, batch_id, source)
             split = self.order == LOG_ORDER and not keys_in_two_places(changes).isEmpty()
             return Applied([(name, row.operation, row.events) for row in operation_counts(sound).collect()], split)
-        except SinkFailure as failure:
-            return failure
         finally:
             changes.unpersist()
 
@@ -176,20 +268,52 @@ class Replication:
         return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
     def rebuild(self, log: DataFrame) -> dict[str, int]:
-        """Replace every replica by what the retained log gives; returns the new versions.
+        """Replace every replica by what the retained log gives; returns the new versions, which become visible together.
 
-        Streams go on from where they are, so give it the part of the log that they have read.
+        Streams go on from where they are. What they still bring of the log's events changes nothing.
         """
-        versions = {}
-        for name, table in self.catalog.items():
+        spark = log.sparkSession
+        versions, tables = {}, self._tables(spark)
+        for name, table in tables.items():
             if table.keys:
-                rows = replay.rebuild(log, table, self.policy, self.excluded, self.order)
-                versions[name] = self.replica(name).overwrite(rows)
+                changes = replay.changes(log, table, self.policy, self.excluded, self.order)
+                versions[name] = self.replica(name, table).replace(changes)
+        epoch = self.epoch(spark)
+        self._publish(spark, Epoch(epoch.number + 1, {**epoch.tables, **versions}, epoch.applied, epoch.parked, epoch.catalog))
         return versions
 
-    def read(self, spark: SparkSession, name: str) -> DataFrame:
-        """Current rows of a replica."""
-        return self.replica(name).read(spark)
+    def read(self, spark: SparkSession, name: str, epoch: Epoch | None = None) -> DataFrame:
+        """Rows of a replica at an epoch, or else now. Tables read at one epoch have the same batches in them."""
+        epoch = epoch or self.epoch(spark)
+        return self.replica(name, self._tables(spark)[name]).read(spark, epoch.tables.get(name, -1))
+
+    def parked(self, spark: SparkSession) -> DataFrame:
+        """Log rows that wait for their table or column to appear in the catalog."""
+        folders = self.epoch(spark).parked
+        return spark.read.schema(LOG_SCHEMA).parquet(*folders) if folders else spark.createDataFrame([], LOG_SCHEMA)
+
+
+def _fingerprint(tables: Catalog) -> str:
+    """Changes when a table or column does."""
+    return hashlib.sha256(repr(sorted(tables.items())).encode()).hexdigest()
+
+
+def _as_log(events: DataFrame) -> DataFrame:
+    """Rejected events as the log rows they came from; the row's key is not kept, as nothing reads it."""
+    values = {"key": F.lit(None), "value": F.col("raw")}
+    return events.select(*[values.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in LOG_SCHEMA])
+
+
+def _applied(name: str, counts: Counts) -> Applied:
+    by_operation = {INSERT: counts.inserts, UPDATE: counts.updates, DELETE: counts.events - counts.inserts - counts.updates}
+    return Applied([(name, operation, n) for operation, n in by_operation.items() if n], counts.split > 0)
+
+
+def _raise_if_all_broke(outcomes: dict[str, SinkFailure | Applied]) -> None:
+    """If no table of several took the batch, for reasons no sink named, it is the cluster: the batch should come again."""
+    broken = [o for o in outcomes.values() if isinstance(o, SinkFailure) and o.reason == rejects.SINK_ERROR and not o.named]
+    if broken and len(broken) == len(outcomes):
+        raise broken[0]
 
 
 def _folder(batch_id: int, source: str) -> str:

@@ -18,12 +18,13 @@ BACKOFF_MS = 1000
 
 
 class SinkFailure(Exception):
-    """A batch the sink would not take; ``reason`` is its reject reason."""
+    """A batch the sink would not take; ``reason`` is its reject reason, ``named`` whether the sink gave it."""
 
-    def __init__(self, reason: str, cause: BaseException, deadlocks: int) -> None:
+    def __init__(self, reason: str, cause: BaseException, deadlocks: int, named: bool = True) -> None:
         super().__init__(f"{reason}: {cause}")
         self.reason = reason
         self.deadlocks = deadlocks
+        self.named = named
 
 
 def is_deadlock(error: BaseException, dialect: str) -> bool:
