@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import itertools
 import math
 import tempfile
 import uuid
@@ -59,10 +61,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Results that are kept between two calls of ``release``.
+RELEASE_EVERY = 3
+_kept = itertools.count(1)
+
+
+def release(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files and checkpoints that nothing refers to any more.
+
+    Spark deletes them when the driver's objects are collected, which in a driver that is mostly idle happens too
+    late: the files of all steps of a job would lie on disk together.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def _count(spark: SparkSession) -> None:
+    if next(_kept) % RELEASE_EVERY == 0:
+        release(spark)
+
+
 def kept(frame: DataFrame) -> DataFrame:
     """The rows, written to the shared checkpoint folder: computed once, and safe from lost executors."""
-    prepare(frame.sparkSession)
-    return frame.checkpoint(eager=True)
+    spark = prepare(frame.sparkSession)
+    written = frame.checkpoint(eager=True)
+    _count(spark)
+    return written
 
 
 def stored(frame: DataFrame) -> DataFrame:
@@ -70,9 +94,19 @@ def stored(frame: DataFrame) -> DataFrame:
     spark = prepare(frame.sparkSession)
     path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}"
     frame.write.parquet(path)
+    _count(spark)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete what ``stored`` wrote, once nothing reads it any more."""
+    spark = table.sparkSession
+    folders = {file.rsplit("/", 1)[0] for file in table.inputFiles()}
+    for folder in folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 class Bitmap:
     """Which hashed values may be in a set. A value in the set always passes; the size has a fixed bound."""
 
@@ -109,11 +143,11 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(node, label) of every node with a link; the label is the smallest node reachable.
 
-    Links have columns ``a`` and ``b``. Large and small stars alternate until nothing changes;
-    each round moves one row per link and no group is gathered.
+    Links have columns ``a`` and ``b``. Large and small stars alternate until nothing changes, however many rounds
+    that takes (about the logarithm of the longest path); each round moves one row per link and no group is gathered.
     """
     edges = kept(
         links.filter("a <> b")
@@ -121,7 +155,7 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         .distinct()
     )
     before = _fingerprint(edges)
-    for _ in range(rounds if before[0] else 0):
+    while before[0]:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
