@@ -1,16 +1,20 @@
 """Quality rules whose cutoffs carry a guarantee.
 
-Each rule compares one ratio of a document with a cutoff. Labelled documents choose the cutoffs:
-the tuning half (crc32 of the key, even) says which cutoff would separate bad from good best, and
-the holdout half says whether it may be used. A cutoff may be used in a stratum if the exact
-binomial upper bound of the share of good documents it rejects stays within the rule's part of
-``risk``. Within a rule the cutoffs are tested from the loosest on and testing ends at the first
-that fails, which needs no correction; across rules and strata the error probability is divided by
-their number (Bonferroni). So with probability ``1 - delta`` no stratum loses more than ``risk``
-of its good documents, whatever the number of rules.
+Each rule compares one ratio of a document with a cutoff, and a document goes if any rule rejects it. In each stratum
+the rules are tightened along one *path*: a sequence of (rule, cutoff) that begins with no cutoffs at all and goes on with
+the step that rejects most bad documents for the good ones it costs. The labelled documents of the tuning half (crc32 of the
+key, even) give the path, and it ends where a step costs more than it brings.
+
+The holdout half says how far the path may be followed. A point of it may be used if the exact binomial upper bound
+of the share of good documents that all rules together reject there stays within ``risk``. The points are tested
+from the loosest on, and testing ends at the first that fails (fixed sequence), which needs no correction; across strata the error
+probability is divided by their number (Bonferroni). So with probability ``1 - delta`` no stratum loses more than
+``risk`` of its good documents to the rules, however many rules and cutoffs there are. Documents that fail the base rule are
+no matter of these rules and are left out on both sides.
 
 Strata are the languages with most labelled documents, all others together, and documents
-without a language: ``MAX_STRATA`` at most, which bounds the histogram that the driver reads.
+without a language: ``MAX_STRATA`` at most, which bounds the histograms that the driver reads. With no good held-out document
+rejected, a stratum of four needs 217 of them for a first cutoff.
 """
 
 from __future__ import annotations
@@ -170,56 +174,96 @@ def upper_bound(k: int, n: int, error: float) -> float:
     return high
 
 
-def choose_cutoff(tuning: np.ndarray, holdout: np.ndarray, risk: float, error: float) -> int | None:
-    """The cutoff of one rule in one stratum, or None.
+def path(bad: np.ndarray, good: np.ndarray) -> list[tuple[int, int]]:
+    """The order in which cutoffs are tightened: (rule, cutoff) pairs, from tuning counts by (rule, bin).
 
-    Both arrays count documents by (quality, bin). Cutoffs are tested on the holdout's good
-    documents from the loosest on. Of those that pass before the first failure, the one is taken that
-    rejects most bad documents of the tuning half less ten times the good ones, the loosest of equals.
+    Each pair is the step, of any rule to any lower cutoff, that rejects the largest share of bad documents for the share of good
+    ones, the first rule and loosest cutoff of equals. Steps that bring no more than ten times their cost are left out.
     """
-    rejected = lambda x: x[::-1].cumsum()[::-1]  # noqa: E731  by cutoff
-    good, n = rejected(holdout[1]), int(holdout[1].sum())
-    gain = rejected(tuning[0]) / max(1, tuning[0].sum()) - 10 * rejected(tuning[1]) / max(1, tuning[1].sum())
-    best = None
-    for cutoff in range(BINS, 0, -1):
-        if not n or upper_bound(int(good[cutoff]), n, error) > risk:
-            break
-        if gain[cutoff] > (gain[best] if best else 0):
-            best = cutoff
-    return best
+    tails = [np.concatenate([x[:, ::-1].cumsum(axis=1)[:, ::-1], np.zeros((len(x), 1), dtype=np.int64)], axis=1) for x in (bad, good)]
+    n_bad, n_good = max(1, int(bad[0].sum())), max(1, int(good[0].sum()))
+    now, out = [BINS + 1] * len(bad), []
+    while True:
+        best, best_ratio = None, 10.0
+        for rule, at in enumerate(now):
+            lower = np.arange(at - 1, 0, -1)
+            if not len(lower):
+                continue
+            gain = (tails[0][rule, lower] - tails[0][rule, at]) / n_bad
+            cost = (tails[1][rule, lower] - tails[1][rule, at] + 0.5) / n_good
+            ratio = gain / cost
+            i = int(ratio.argmax())
+            if ratio[i] > best_ratio:
+                best, best_ratio = (rule, int(lower[i])), float(ratio[i])
+        if best is None:
+            return out
+        out.append(best)
+        now[best[0]] = best[1]
+
+
+def steps_of_bins(steps: list[tuple[int, int]]) -> list[list[int]]:
+    """By rule and bin: the number of the first step that rejects it, or the number of steps if none does."""
+    out = [[len(steps)] * (BINS + 1) for _ in RULES]
+    for number, (rule, cutoff) in reversed(list(enumerate(steps))):
+        out[rule][cutoff:] = [number] * (BINS + 1 - cutoff)
+    return out
+
+
+def certified(rejected: np.ndarray, n: int, risk: float, error: float) -> int:
+    """How many steps may be used: ``rejected`` counts the good held-out documents, of ``n``, that go first at each step."""
+    for number, k in enumerate(np.cumsum(rejected)):
+        if not n or upper_bound(int(k), n, error) > risk:
+            return number
+    return len(rejected)
+
+
+def _strata_rows(frame: DataFrame, paths: dict[str, list[tuple[int, int]]]) -> DataFrame:
+    """The rows with ``step``: the first step of their stratum's path that rejects them, null if no stratum or step does."""
+    known = [(name, *steps_of_bins(steps)) for name, steps in paths.items() if steps]
+    fields = ", ".join(f"s{i} array<int>" for i in range(len(RULES)))
+    # One row per stratum.
+    tables = F.broadcast(frame.sparkSession.createDataFrame(known, f"in_stratum string, {fields}"))
+    joined = frame.join(tables, F.col("stratum") == F.col("in_stratum"), "left")
+    step = F.least(*[F.get(F.col(f"s{i}"), F.col(rule)) for i, rule in enumerate(RULES)])
+    return joined.withColumn("step", step).drop("in_stratum", *[f"s{i}" for i in range(len(RULES))])
+
 
+def fit(measured: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> dict[str, list[tuple[int, int]]]:
+    """{stratum: the part of its path that may be used}, with every language that is a stratum.
 
-def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> dict[str, dict[str, int]]:
-    """{stratum: {rule: cutoff}}, with every language that is a stratum. The driver reads a histogram of at most strata x rules x bins x 4 rows."""
+    The driver reads histograms of at most strata x rules x bins and strata x steps rows.
+    """
     judged = (
         labels.filter(F.col("quality").isNotNull())
         .groupBy(F.col("doc_id").alias("labelled"))
-        .agg(F.min("quality").cast("int").alias("quality"))
+        .agg((F.min("quality") > 0).alias("good"))
     )
-    known = measured.join(judged, measured.doc_id == judged.labelled)
-    histogram = (
-        known.select("lang", "quality", in_third("doc_id", 2, 0).alias("held"), F.explode(F.map_from_arrays(
-            F.array(*[F.lit(r) for r in RULES]), F.array(*ratios())
-        )).alias("rule", "bin"))
-        .groupBy("lang", "quality", "held", "rule", "bin")
-        .count()
+    known = kept(
+        measured.filter(~base_failed()).join(judged, measured.doc_id == judged.labelled)
+        .select("lang", "good", in_third("doc_id", 2, 0).alias("held"), *ratios())
     )
-    histogram = kept(histogram)
-    top = histogram.filter("rule = 'symbols' AND lang IS NOT NULL").groupBy("lang").agg(F.sum("count").alias("n"))
+    top = known.filter("lang IS NOT NULL").groupBy("lang").agg(F.count("*").alias("n"))
     langs = [r.lang for r in top.orderBy(F.desc("n"), "lang").limit(MAX_STRATA).collect()]
-    rows = histogram.withColumn("stratum", stratum(langs)).groupBy("stratum", "quality", "held", "rule", "bin").agg(
-        F.sum("count").alias("n")
-    )
-    tables: dict[tuple[str, str], np.ndarray] = {}
-    for r in rows.collect():
-        found = tables.setdefault((r.stratum, r.rule), np.zeros((2, 2, BINS + 1), dtype=np.int64))
-        found[int(r.held), int(r.quality > 0), r.bin] += r.n
-    out: dict[str, dict[str, int]] = {}
-    for (name, rule), found in tables.items():
-        cutoff = choose_cutoff(found[0], found[1], risk / len(RULES), delta / max(1, len(tables)))
-        if cutoff is not None:
-            out.setdefault(name, {})[rule] = cutoff
-    return {**{f"={lang}": {} for lang in langs}, **out}
+    known = known.withColumn("stratum", stratum(langs))
+    bins = F.explode(F.map_from_arrays(F.array(*[F.lit(i) for i in range(len(RULES))]), F.array(*RULES))).alias("rule", "bin")
+    tables: dict[str, np.ndarray] = {}
+    for r in known.filter("NOT held").select("stratum", "good", bins).groupBy("stratum", "good", "rule", "bin").count().collect():
+        found = tables.setdefault(r.stratum, np.zeros((2, len(RULES), BINS + 1), dtype=np.int64))
+        found[int(r.good), r.rule, r.bin] += r["count"]
+    paths = {name: path(found[0], found[1]) for name, found in tables.items()}
+    held = _strata_rows(known.filter("held AND good"), paths).groupBy("stratum", "step").count().collect()
+    error = delta / max(1, len({*tables, *[r.stratum for r in held]}))
+    out = {f"={lang}": [] for lang in langs}
+    for name, steps in paths.items():
+        counts = {r.step: r["count"] for r in held if r.stratum == name}
+        rejected = np.array([counts.get(i, 0) for i in range(len(steps))], dtype=np.int64)
+        out[name] = steps[: certified(rejected, sum(counts.values()), risk, error)]
+    return out
+
+
+def base_failed() -> Column:
+    """The base rule: too few words, or too many of them in repeated windows."""
+    return (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
 
 
 def stratum(langs: list[str]) -> Column:
@@ -237,14 +281,13 @@ def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float =
     used and ``kept`` is the opposite of ``base_failed``. Several labels of a document count as the worst.
     """
     measured = kept(measure(docs))
-    found = cutoffs(measured, labels, risk, delta)
+    found = fit(measured, labels, risk, delta)
     langs = [name[1:] for name in found if name.startswith("=")]
-    own = dict(zip(RULES, ratios()))
-    fails = F.lit(False)
-    for name, rules in found.items():
-        for rule, cutoff in rules.items():
-            fails = fails | ((stratum(langs) == name) & (own[rule] >= cutoff))
-    base = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    return measured.select(
-        "doc_id", *COUNTS[:5], base.alias("base_failed"), (~base & ~fails).alias("kept")
-    )
+    ruled = measured.select("doc_id", "lang", *COUNTS[:5], base_failed().alias("base_failed"), *ratios())
+    ruled = _strata_rows(ruled.withColumn("stratum", stratum(langs)), found)
+    # A step past the last one stands for no rejection.
+    last = F.lit(0)
+    for name, steps in found.items():
+        last = F.when(F.col("stratum") == name, F.lit(len(steps))).otherwise(last)
+    fails = F.coalesce(F.col("step") < last, F.lit(False))
+    return ruled.select("doc_id", *COUNTS[:5], "base_failed", (~F.col("base_failed") & ~fails).alias("kept"))
