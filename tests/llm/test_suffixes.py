@@ -52,3 +52,24 @@ def test_repeated_rows_and_empty_tables(spark):
     rows = sorted((r.doc_id or 0, r.n_removed, r.n_spans) for r in suffixes.deduplicate(docs).collect())
     assert rows == [(0, 0, 0), (1, 150, 1), (1, 150, 1), (2, 150, 1)]
     assert suffixes.deduplicate(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("n", [40, 20_000])
+def test_many_texts_under_one_key(spark, n):
+    """So many that 24 bits of a hash do not tell them apart; the texts' own hashes give their order."""
+    from pyspark.sql import functions as F
+
+    pick = random.Random(n)
+    passages = ["".join(pick.choice("abcdefghij") for _ in range(m)) for m in (120, 150, 260)]
+    filler = lambda m: "".join(pick.choice("klmnopqrstuvwxyz") for _ in range(m))
+    rows = [(None if i % 4 else 5, filler(pick.randrange(2, 60)) + pick.choice(passages) + filler(pick.randrange(2, 30))) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    hashed = docs.select("doc_id", "text", F.xxhash64(F.col("doc_id").cast("string"), "text").alias("h")).collect()
+    low = (1 << suffixes.TAG_BITS) - 1
+    clash = len({(r.doc_id, r.h & low) for r in hashed}) < len({(r.doc_id, r.h) for r in hashed})
+    assert clash == (n > 1000)
+    order = sorted(hashed, key=lambda r: (r.doc_id is not None, r.h if clash else r.h & low))
+    want = brute.byte_repeats([(i, r.text) for i, r in enumerate(order)])
+    have = sorted((r.doc_id or 0, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixes.deduplicate(docs).collect())
+    assert have == sorted((r.doc_id or 0, *want[i]) for i, r in enumerate(order))
+    assert sum(x[1] > 0 for x in want.values()) > n * 0.9

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import bytegrams as bg
-from tidemark.llm.frames import bitmap, kept, stored
+from tidemark.llm.frames import bitmap, kept, prepare, stored
 
 LENGTH, GRAM = 100, 32
 WIDTH = LENGTH - GRAM + 1
@@ -233,7 +233,9 @@ def _sorted_spans(strings: DataFrame, kind: str) -> DataFrame:
             yield from spans(pa.Table.from_batches(waiting))
 
     def spans(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        order = pc.sort_indices(table, sort_keys=[(c, "ascending") for c in columns[:3]], null_placement="at_start")
+        # A key that is a struct is sorted by its fields.
+        flat = table.select(columns[:3]).flatten()
+        order = pc.sort_indices(flat, sort_keys=[(c, "ascending") for c in flat.column_names], null_placement="at_start")
         table = table.take(order).combine_chunks()
         strings, (_, groups) = table["bytes"].to_pylist(), np.unique(table["core"].to_numpy(), return_inverse=True)
         bounds, done = np.concatenate([[0], np.cumsum([len(x) for x in strings])]), 0
@@ -343,21 +345,47 @@ def _digest(docs: DataFrame, kind: str) -> DataFrame:
         digest, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
 
+def _tags_clash(keyed: DataFrame) -> bool:
+    """Whether two different texts of one doc_id have the same tag.
+
+    Texts are read only if some doc_id is shared, and then those of shared ones alone.
+    """
+    times = keyed.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = kept(times.select(F.col("doc_id").alias("shared")))
+    if shared.isEmpty():
+        return False
+    mine = keyed.join(shared, F.col("doc_id").eqNullSafe(F.col("shared")), "left_semi")
+    tag = F.col("row").bitwiseAND((1 << TAG_BITS) - 1).alias("tag")
+    by_tag = mine.groupBy("doc_id", tag).agg(F.min("row").alias("low"), F.max("row").alias("high"))
+    return not by_tag.filter("low < high").isEmpty()
+
+
 def deduplicate(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans and kept_sha256.
 
     A null text counts as empty. Rows equal in doc_id and text are one document and have the same result; rows with one
-    doc_id and different texts are documents of their own, in the order of 24 bits of the texts' hashes. A null doc_id comes
+    doc_id and different texts are documents of their own, in the order of 24 bits of the texts' hashes, or of 64 bits if
+    24 do not tell all texts of each doc_id apart. A null doc_id comes
     first. Other columns are not read. ``repeats`` gives the spans themselves.
     """
+    prepare(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.select("doc_id", F.xxhash64(F.col("doc_id").cast("string"), text).alias("row"), text.alias("text"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    if _tags_clash(keyed):
+        # The whole hash becomes a part of the key, which is a struct from here on.
+        found = _deduplicated(keyed.withColumn("doc_id", F.struct("doc_id", "row")))
+        return found.withColumn("doc_id", F.col("doc_id.doc_id"))
+    return _deduplicated(keyed)
+
+
+def _deduplicated(keyed: DataFrame) -> DataFrame:
+    """The result for documents (doc_id, row, text) whose doc_id and tag tell them apart."""
+    kind = keyed.schema["doc_id"].dataType.simpleString()
     spans = stored(repeats(keyed))
     # Only texts that may have spans are moved to them; the bitmap lets others through by chance, and they find none.
     key = F.xxhash64(F.col("doc_id").cast("string"), "tag")
     keyed = keyed.withColumn("tag", F.col("row").bitwiseAND((1 << TAG_BITS) - 1)).withColumn("key", key)
-    sent = docs.sparkSession.sparkContext.broadcast(bitmap(spans.select(key.alias("key")), "key"))
+    sent = keyed.sparkSession.sparkContext.broadcast(bitmap(spans.select(key.alias("key")), "key"))
 
     def part(cut: bool) -> DataFrame:
         def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
