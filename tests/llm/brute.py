@@ -80,3 +80,29 @@ def byte_repeats(docs, length=100):
         spans = len(re.findall(rb"\x01+", bytes(gone)))
         out[doc] = (len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest())
     return out
+
+
+def words_left(docs):
+    """{doc_id: words that stay} for distinct doc_ids, by comparing all lines of 5 words and looking up all windows of 25."""
+    lines = [(d, n, WORD.findall(lower(line))) for d, text in sorted(docs) for n, line in enumerate((text or "").split("\n"))]
+    distinct = sorted({tuple(w) for _, _, w in lines if len(w) >= 5})
+    group = {distinct[i]: g for i, _, g in near_groups([(i, " ".join(w)) for i, w in enumerate(distinct)], 5)}
+    seen, gone, text = set(), set(), {d: [] for d, _ in docs}
+    for d, n, w in lines:
+        if len(w) >= 5:
+            gone |= {(d, n)} if group[tuple(w)] in seen else set()
+            seen.add(group[tuple(w)])
+        text[d] += [(n, x) for x in w]
+    first, out = {}, {}
+    for d in sorted(text):
+        have = text[d]
+        drop = [(d, n) in gone for n, _ in have]
+        stays = [not x for x in drop]
+        for i in range(len(have) - 24):
+            if any(drop[i : i + 25]) or any((d, n) in gone for n in range(have[i][0], have[i + 24][0])):
+                continue
+            e, j = first.setdefault(tuple(x for _, x in have[i : i + 25]), (d, i))
+            if e != d or i >= j + 25:
+                stays[i : i + 25] = [False] * 25
+        out[d] = [x for (_, x), s in zip(have, stays) if s]
+    return out

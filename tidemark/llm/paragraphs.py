@@ -1,18 +1,13 @@
-"""Repeated passages: paragraphs by MinHash bands, and the pieces of paragraphs that stand in other surroundings.
+"""Repeated passages: paragraphs by MinHash bands, and passages that stand in other surroundings.
 
-A paragraph is a line. Paragraphs of ``MIN_WORDS`` words or more whose shingles collide in a band are joined and their
-Jaccard similarity is verified exactly; of each component the first paragraph (smallest doc_id, then
-place) stays and the others go. The number of bands follows from the recall asked for.
+A paragraph is a line. Paragraphs of ``SIZE`` words or more whose shingles collide in a band are joined and their
+Jaccard similarity is verified exactly; of each component, copies included, the first paragraph (smallest doc_id, then
+place) stays and the others go. The number of bands follows from the recall asked for. Equal paragraphs are one node: they
+are counted, and bands, sets and links are made for nodes only.
 
-A passage may also stand inside different paragraphs. What such a step leaves is therefore cut into small
-paragraphs at places that depend on the words alone (after a word whose hash is 0 modulo ``CUT``, and at line
-ends), so that a passage is cut alike wherever it stands. Here similarity 1 is asked for, and the hash of all
-words is the only band. A run of small paragraphs goes if each of them occurred before and the run has
-``MIN_WORDS`` words or more; the first occurrence of each stays.
-
-With ``whole``, every paragraph of ``SIZE`` words or more is compared in this way and its later copies go, and the second
-step ignores lines: a word goes if it lies in ``MIN_WORDS`` words that stood before in what the first step leaves, in any
-surroundings. Such windows are found by the smallest hash of the ``GRAM``-word grams in them, which both places share.
+A passage may also stand inside different paragraphs. So in what the first step leaves, a word goes if it lies in
+``MIN_WORDS`` words that stood before, in any surroundings and however they are wrapped. Such windows are found by the
+smallest hash of the ``GRAM``-word grams in them, which both places share.
 
 No step needs all paragraphs side by side: hashes are counted, and a bitmap (16 MB at most) of
 those that occur more than once tells the tasks that read the documents again which places to emit.
@@ -28,15 +23,16 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidemark.functions.types import quoted
 from tidemark.llm import bytegrams as bg
-from tidemark.llm.frames import bitmap, kept
+from tidemark.llm.frames import bitmap, discard, kept, prepare, stored
 from tidemark.llm.neardup import joined, shingle_sets, verified
 
 SIZE, PER_CENT = 5, 80
 ROWS, RECALL = 3, 0.999
 MIN_WORDS = 25
-CUT = 8
 GRAM = 13
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -60,11 +56,19 @@ def numbered(of: np.ndarray) -> np.ndarray:
     return np.arange(len(of)) - begin
 
 
-def long_lines(piece: bg.Slice, least: int = MIN_WORDS) -> tuple[bg.Slice, np.ndarray, np.ndarray, np.ndarray]:
-    """Lines, the text of each, the hash of its words, and the numbers of lines with ``least`` words or more."""
+def long_lines(piece: bg.Slice) -> tuple[bg.Slice, np.ndarray, np.ndarray, np.ndarray]:
+    """Lines, the text of each, the hash of its words, and the numbers of lines with ``SIZE`` words or more."""
     lines, of = lines_of(piece)
     found = bg.words(lines)
-    return lines, of, bg.sequence_hash(found), np.flatnonzero(found.count >= least)
+    return lines, of, bg.sequence_hash(found), np.flatnonzero(found.count >= SIZE)
+
+
+def chosen(lines: bg.Slice, at: np.ndarray) -> bg.Slice:
+    """Some of the texts of a slice, as a slice."""
+    sizes = np.diff(lines.bounds)[at]
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    places = np.repeat(lines.bounds[:-1][at] - bounds[:-1], sizes) + np.arange(bounds[-1])
+    return bg.Slice(0, len(at), lines.data[places], bounds)
 
 
 def band_keys(values: np.ndarray, bounds: np.ndarray, bands: int) -> np.ndarray:
@@ -78,17 +82,6 @@ def band_keys(values: np.ndarray, bounds: np.ndarray, bands: int) -> np.ndarray:
     return out
 
 
-def pieces_of(piece: bg.Slice) -> tuple[bg.Words, np.ndarray, np.ndarray, np.ndarray]:
-    """Words, the words' bounds of the small paragraphs, the hash of each and the line it lies in."""
-    lines, _ = lines_of(piece)
-    found = bg.words(lines)
-    cut = found.hash % np.uint64(CUT) == 0
-    cut[found.of[1:][found.count > 0] - 1] = True
-    bounds = np.concatenate([[0], np.flatnonzero(cut) + 1])
-    keys = bg.span_hash(bg.sums(found.hash, bg._WORD_PRIME), bounds[:-1], bounds[1:], bg._WORD_PRIME)
-    return found, bounds, keys, found.text[bounds[:-1]]
-
-
 def windows_of(piece: bg.Slice) -> tuple[bg.Words, np.ndarray, np.ndarray, np.ndarray]:
     """Words, the first word of every window of MIN_WORDS words of a text, its hash, and the first word of its least gram."""
     found = bg.words(piece)
@@ -117,252 +110,287 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(np.asarray(values).view(np.int64))
 
 
-def _near_lines(docs: DataFrame, kind: str, least: int = MIN_WORDS, copies: bool = False) -> DataFrame:
-    """(doc_id, row, line) of the paragraphs that go because a similar one, or with ``copies`` the same, comes first."""
-    spark, bands = docs.sparkSession, bands_for()
+def _marked_lines(docs: DataFrame, kind: str) -> DataFrame:
+    """(doc_id, row, line, node, keys) of every paragraph; the keys of its bands stand at the node's first place in a slice."""
+    bands = bands_for()
+
+    def mark(piece, keys):
+        lines, of, nodes, at = long_lines(piece)
+        _, first = np.unique(nodes[at], return_index=True)
+        first.sort()
+        found = band_keys(*shingle_sets(chosen(lines, at[first]), SIZE), bands)
+        count = np.zeros(len(at), dtype=np.int64)
+        count[first] = bands
+        values = bg.lists(found.ravel().view(np.int64), count, pa.int64())
+        return [*keys.take(pa.array(of[at])).columns, pa.array(numbered(of)[at], type=pa.int32()), _signed(nodes[at]), values]
 
-    def keys_of(piece: bg.Slice) -> tuple[np.ndarray, np.ndarray, tuple]:
-        lines, of, nodes, at = long_lines(piece, least)
-        values, bounds = shingle_sets(lines, SIZE)
-        sizes = np.diff(bounds)[at]
-        inside = np.repeat(bounds[:-1][at], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        return nodes[at], np.concatenate([[0], np.cumsum(sizes)]), (values[inside], of, at)
+    return _scan(docs, mark, f"doc_id {kind}, row bigint, line int, node bigint, keys array<bigint>")
 
-    def all_keys(piece, _):
-        nodes, bounds, (values, _, _) = keys_of(piece)
-        return [_signed(band_keys(values, bounds, bands).ravel()), _signed(np.repeat(nodes, bands))]
 
-    counted = _scan(docs, all_keys, "key bigint, node bigint").groupBy("key").agg(
+def _near_lines(docs: DataFrame, kind: str) -> DataFrame:
+    """(doc_id, row, line) of the paragraphs that go because a similar one or the same comes first."""
+    spark = docs.sparkSession
+    lines = stored(_marked_lines(docs, kind))
+    place = F.struct("doc_id", "row", "line")
+    nodes = stored(lines.groupBy("node").agg(F.count("*").alias("n"), F.min(place).alias("first"), F.max("keys").alias("keys")))
+    counted = nodes.select("node", F.explode("keys").alias("key")).groupBy("key").agg(
         F.min("node").alias("least"), F.max("node").alias("most"))
     shared = kept(counted.filter("least < most").select("key", "least"))
     hits: Broadcast = spark.sparkContext.broadcast(bitmap(shared, "key"))
 
-    def shared_keys(piece, _):
-        nodes, bounds, (values, _, _) = keys_of(piece)
-        keys, nodes = band_keys(values, bounds, bands).ravel(), np.repeat(nodes, bands)
-        good = hits.value.has(keys)
-        return [_signed(keys[good]), _signed(nodes[good])]
+    def colliding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(1).flatten().to_numpy()
+            good = hits.value.has(keys)
+            of = np.repeat(batch.column(0).to_numpy(), np.diff(batch.column(1).offsets.to_numpy()))
+            yield pa.RecordBatch.from_arrays([pa.array(keys[good]), pa.array(of[good])], names=["key", "node"])
 
-    members = _scan(docs, shared_keys, "key bigint, node bigint").distinct()
+    members = nodes.select("node", "keys").mapInArrow(colliding, "key bigint, node bigint")
     buckets = kept(members.join(shared, "key"))
+    hits.unpersist()
 
-    def sets_for(nodes: DataFrame) -> DataFrame:
-        nodes = kept(nodes)
-        wanted = spark.sparkContext.broadcast(bitmap(nodes, "node"))
+    def sets_for(some: DataFrame) -> DataFrame:
+        """The sets of nodes, read from the documents that hold their first places."""
+        some = kept(nodes.select("node", F.col("first.row").alias("row")).join(some, "node", "left_semi"))
+        rows = spark.sparkContext.broadcast(bitmap(some, "row"))
+        wanted = spark.sparkContext.broadcast(bitmap(some, "node"))
 
-        def sets(piece, _):
-            nodes, bounds, (values, _, _) = keys_of(piece)
-            good = np.flatnonzero(wanted.value.has(nodes))
-            return [_signed(nodes[good]), pa.array([values[bounds[i] : bounds[i + 1]].tobytes() for i in good], type=pa.binary())]
+        def here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(rows.value.has(batch.column(1).to_numpy())))
 
-        read = _scan(docs, sets, "node bigint, shingles binary").join(nodes, "node", "left_semi")
+        def sets(piece, _):
+            lines, _, nodes, at = long_lines(piece)
+            names, first = np.unique(nodes[at], return_index=True)
+            good = wanted.value.has(names)
+            values, bounds = shingle_sets(chosen(lines, at[first[good]]), SIZE)
+            return [_signed(names[good]), pa.array([values[a:b].tobytes() for a, b in zip(bounds, bounds[1:])], type=pa.binary())]
+
+        some_docs = docs.select("doc_id", "row", "text").mapInArrow(here, f"doc_id {kind}, row bigint, text string")
+        read = _scan(some_docs, sets, "node bigint, shingles binary").join(some.select("node"), "node", "left_semi")
         return read.dropDuplicates(["node"]).select("node", F.lit(None).cast("binary").alias("signature"), "shingles")
 
     def links_of(pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        return kept(verified(pairs, kept(sets_for(nodes)), PER_CENT))
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        return kept(verified(pairs, kept(sets_for(ends)), PER_CENT))
 
     labels = joined(buckets, links_of, sets_for, PER_CENT)
-    if copies:
-        def all_nodes(piece, _):
-            _, _, nodes, at = long_lines(piece, least)
-            names, times = np.unique(nodes[at], return_counts=True)
-            return [_signed(names), pa.array(times, type=pa.int64())]
-
-        times = _scan(docs, all_nodes, "node bigint, n bigint").groupBy("node").agg(F.sum("n").alias("n"))
-        alone = times.filter("n > 1").select("node").join(labels, "node", "left_anti")
-        labels = kept(labels.union(alone.select("node", F.col("node").alias("label"))))
-    wanted = spark.sparkContext.broadcast(bitmap(labels, "node"))
-
-    def places(piece, keys):
-        _, of, nodes, at = long_lines(piece, least)
-        at = at[wanted.value.has(nodes[at])]
-        return [*keys.take(pa.array(of[at])).columns, pa.array(numbered(of)[at], type=pa.int32()), _signed(nodes[at])]
-
-    found = kept(_scan(docs, places, f"doc_id {kind}, row bigint, line int, node bigint").join(labels, "node"))
-    first = found.groupBy("label").agg(F.min(F.struct("doc_id", "row", "line")).alias("first"))
-    return found.join(first, "label").filter(~F.struct("doc_id", "row", "line").eqNullSafe(F.col("first"))).select("doc_id", "row", "line")
-
-
-def _repeated_pieces(docs: DataFrame, gone: DataFrame, kind: str) -> DataFrame:
-    """(doc_id, row, piece) of the small paragraphs that occurred before in what ``gone`` (doc_id, row, line) leaves."""
-
-    def all_keys(piece, _):
-        names, times = np.unique(pieces_of(piece)[2], return_counts=True)
-        return [_signed(names), pa.array(times, type=pa.int64())]
-
-    counted = _scan(docs, all_keys, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
-    repeated = kept(counted.filter("n > 1").select("key"))
-    hits: Broadcast = docs.sparkSession.sparkContext.broadcast(bitmap(repeated, "key"))
-
-    def places(piece, keys):
-        found, bounds, hashes, line = pieces_of(piece)
-        _, of = lines_of(piece)
-        text, line_number = of[line], numbered(of)[line]
-        at = np.flatnonzero(hits.value.has(hashes))
-        return [
-            *keys.take(pa.array(text[at])).columns,
-            pa.array(line_number[at], type=pa.int32()),
-            pa.array(numbered(text)[at], type=pa.int32()),
-            _signed(hashes[at]),
-        ]
-
-    where = _scan(docs, places, f"doc_id {kind}, row bigint, line int, piece int, key bigint")
-    same_line = [F.col(f"o.{c}").eqNullSafe(F.col(f"g.{c}")) for c in ("doc_id", "row", "line")]
-    where = where.join(repeated, "key", "left_semi").alias("o").join(gone.alias("g"), same_line, "left_anti")
-    first = kept(
-        where.groupBy("key").agg(F.min(F.struct("doc_id", "row", "piece")).alias("first"), F.count("*").alias("n"))
-        .filter("n > 1").select("key", "first")
-    )
-    return where.join(first, "key").filter(~F.struct("doc_id", "row", "piece").eqNullSafe(F.col("first"))).select("doc_id", "row", "piece")
-
-
-def _repeated_windows(docs: DataFrame, gone: DataFrame, kind: str) -> DataFrame:
-    """(doc_id, row, start) of the windows that occurred before in what ``gone`` (doc_id, row, line) leaves.
+    named = nodes.select("node", "n", "first").join(labels, "node", "left").filter("label IS NOT NULL OR n > 1")
+    named = kept(named.select("node", "first", F.coalesce("label", "node").alias("label")))
+    stays = named.groupBy("label").agg(F.min("first").alias("stays"))
+    going = named.select("node", "label").join(stays, "label").select("node", "stays")
+    found = lines.select("doc_id", "row", "line", "node").join(going, "node")
+    gone = kept(found.filter(~place.eqNullSafe(F.col("stays"))).select("doc_id", "row", "line"))
+    for table in (lines, nodes):
+        discard(table)
+    return gone
+
+
+def _segments(piece: bg.Slice, gone: list[list[int] | None]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The texts' segments between the lines that go, one more than there are of these; the words before; and those that go."""
+    lines, of = lines_of(piece)
+    first = np.searchsorted(of, np.arange(len(gone)))
+    count = np.array([len(g or ()) for g in gone], dtype=np.int64)
+    at = np.array([n for g in gone for n in sorted(g or ())], dtype=np.int64) + np.repeat(first, count)
+    words = bg.words(lines).count
+    out = np.zeros(len(of), dtype=bool)
+    out[at] = True
+    start = np.sort(np.concatenate([piece.bounds[:-1], lines.bounds[1:][at]]), kind="stable")
+    stop = np.sort(np.concatenate([piece.bounds[1:], lines.bounds[:-1][at]]), kind="stable")
+    data = piece.data[~np.repeat(out, np.diff(lines.bounds))]
+    bounds = np.concatenate([[0], np.cumsum(stop - start)]).astype(np.int64)
+    values = pa.Array.from_buffers(pa.large_string(), len(start), [None, pa.py_buffer(bounds), pa.py_buffer(data)]).cast(pa.string())
+    offsets = np.concatenate([[0], np.cumsum(count + 1)]).astype(np.int32)
+    found = pa.ListArray.from_arrays(pa.array(offsets), values)
+    per_text = lambda x: np.bincount(of, x, minlength=len(gone)).astype(np.int64)
+    return found, per_text(words), per_text(words * out)
+
+
+def _without_lines(docs: DataFrame, others: list[str], gone: DataFrame) -> DataFrame:
+    """(doc, doc_id, row, segments, n_words, n_gone): the documents cut at the lines that go. A null text has null segments."""
+    lists = gone.groupBy(F.col("doc_id").alias("id"), F.col("row").alias("of")).agg(F.collect_set("line").alias("gone"))
+    joint = docs.join(lists, F.col("row").eqNullSafe(F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id")), "left")
+    joint = joint.select("doc", "doc_id", "row", "text", "gone")
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(4).to_pylist()
+            for piece in bg.slices(batch.column(3)):
+                part = batch.slice(piece.first, piece.last - piece.first)
+                found, n_words, n_gone = _segments(piece, lists[piece.first : piece.last])
+                found = pa.array(found.to_pylist(), mask=part.column(3).is_null().to_numpy(zero_copy_only=False), type=pa.list_(pa.string())) if part.column(3).null_count else found
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:3], found, pa.array(n_words), pa.array(n_gone)],
+                    names=["doc", "doc_id", "row", "segments", "n_words", "n_gone"])
+
+    schema = T.StructType([
+        *joint.schema.fields[:3],
+        T.StructField("segments", T.ArrayType(T.StringType())),
+        T.StructField("n_words", T.LongType()),
+        T.StructField("n_gone", T.LongType()),
+    ])
+    return joint.mapInArrow(split, schema)
+
+
+def _whole_documents(segments: pa.Array) -> Iterator[tuple[int, int, bg.Slice, np.ndarray]]:
+    """Slices of whole documents: the first and last of them, their segments as texts, and each segment's document."""
+    sizes = np.asarray(segments.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)).astype(np.int64)
+    values = segments.flatten().cast(pa.large_string())
+    if isinstance(values, pa.ChunkedArray):
+        values = values.combine_chunks()
+    _, raw_bounds, raw = values.buffers()
+    bounds = np.frombuffer(raw_bounds, dtype=np.int64, count=len(values) + 1, offset=values.offset * 8)
+    data = np.frombuffer(raw, dtype=np.uint8) if raw is not None and raw.size else np.zeros(0, dtype=np.uint8)
+    last_segment = np.concatenate([[0], np.cumsum(sizes)])
+    ends = bounds[last_segment]
+    first = 0
+    while first < len(sizes):
+        last = int(np.searchsorted(ends, ends[first] + bg.SLICE_BYTES, side="right")) - 1
+        last = min(len(sizes), max(first + 1, last))
+        a, b = last_segment[first], last_segment[last]
+        piece = bg.Slice(0, int(b - a), data[ends[first] : ends[last]], bounds[a : b + 1] - bounds[a])
+        yield first, last, piece, np.repeat(np.arange(last - first), sizes[first:last])
+        first = last
+
+
+#: A place is one number: the segment in the document, and the word in the segment.
+_WORD_BITS = 32
+
+
+def _repeated_windows(docs: DataFrame, kind: str) -> DataFrame:
+    """(doc_id, row, start) of the windows of segments that occurred before.
 
     A window that overlaps its own first occurrence is not among them, so that stays.
     """
+    source = docs.select("doc_id", "row", "segments")
 
-    def all_keys(piece, _):
-        found, _, _, at = windows_of(piece)
-        names, times = np.unique(bg.grams(found, GRAM)[np.unique(at)], return_counts=True)
-        return [_signed(names), pa.array(times, type=pa.int64())]
+    def all_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, piece, _ in _whole_documents(batch.column(2)):
+                found, _, _, at = windows_of(piece)
+                names, times = np.unique(bg.grams(found, GRAM)[np.unique(at)], return_counts=True)
+                yield pa.RecordBatch.from_arrays([_signed(names), pa.array(times, type=pa.int64())], names=["key", "n"])
 
-    counted = _scan(docs, all_keys, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    counted = source.mapInArrow(all_keys, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
     hits: Broadcast = docs.sparkSession.sparkContext.broadcast(bitmap(kept(counted.filter("n > 1").select("key")), "key"))
 
-    def runs(piece, keys):
-        """Windows that follow each other and touch the same lines, as one row."""
-        found, starts, hashes, at = windows_of(piece)
-        good = hits.value.has(bg.grams(found, GRAM)[at])
-        starts, hashes = starts[good], hashes[good]
-        lines, of = lines_of(piece)
-        line = np.searchsorted(lines.bounds[1:], found.start, side="right")
-        text, one, last = found.text[starts], numbered(of)[line[starts]], numbered(of)[line[starts + MIN_WORDS - 1]]
-        new = np.ones(len(starts), dtype=bool)
-        new[1:] = (np.diff(starts) > 1) | (np.diff(text) > 0) | (np.diff(one) > 0) | (np.diff(last) > 0)
-        begin = np.flatnonzero(new)
-        return [
-            *keys.take(pa.array(text[begin])).columns,
-            *(pa.array(x[begin], type=pa.int32()) for x in (one, last, starts - found.of[text])),
-            bg.lists(hashes.view(np.int64), np.diff(np.append(begin, len(starts))), pa.int64()),
-        ]
-
-    where = _scan(docs, runs, f"doc_id {kind}, row bigint, line int, last int, at int, keys array<bigint>")
-    left = gone.groupBy(F.col("doc_id").alias("id"), F.col("row").alias("of")).agg(F.collect_set("line").alias("gone"))
-    where = where.join(left, F.col("row").eqNullSafe(F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id")), "left")
-    where = where.filter(F.expr("gone IS NULL OR NOT exists(gone, x -> x BETWEEN line AND last)"))
-    where = where.select("doc_id", "row", "at", F.posexplode("keys").alias("i", "key")).select("doc_id", "row", (F.col("at") + F.col("i")).alias("start"), "key")
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Windows that follow each other, as one row."""
+        for batch in batches:
+            for first, last, piece, doc in _whole_documents(batch.column(2)):
+                found, starts, hashes, at = windows_of(piece)
+                good = hits.value.has(bg.grams(found, GRAM)[at])
+                starts, hashes = starts[good], hashes[good]
+                segment = found.text[starts]
+                new = np.ones(len(starts), dtype=bool)
+                new[1:] = (np.diff(starts) > 1) | (np.diff(segment) > 0)
+                begin = np.flatnonzero(new)
+                text = segment[begin]
+                place = numbered(doc)[text] << _WORD_BITS | starts[begin] - found.of[text]
+                keys = batch.select([0, 1]).slice(first, last - first)
+                yield pa.RecordBatch.from_arrays(
+                    [*keys.take(pa.array(doc[text])).columns, pa.array(place),
+                     bg.lists(hashes.view(np.int64), np.diff(np.append(begin, len(starts))), pa.int64())],
+                    names=["doc_id", "row", "at", "keys"])
+
+    where = stored(source.mapInArrow(runs, f"doc_id {kind}, row bigint, at bigint, keys array<bigint>"))
+    each = where.select("doc_id", "row", "at", F.posexplode("keys").alias("i", "key")).select(
+        "doc_id", "row", (F.col("at") + F.col("i")).alias("start"), "key")
     first = kept(
-        where.groupBy("key").agg(F.min(F.struct("doc_id", "row", "start")).alias("first"), F.count("*").alias("n"))
+        each.groupBy("key").agg(F.min(F.struct("doc_id", "row", "start")).alias("first"), F.count("*").alias("n"))
         .filter("n > 1").select("key", "first")
     )
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("row") == F.col("first.row"))
-    return where.join(first, "key").filter(~(same & (F.col("start") < F.col("first.start") + MIN_WORDS))).select("doc_id", "row", "start")
+    # In another segment the difference is larger than any window.
+    overlaps = same & (F.col("start") < F.col("first.start") + MIN_WORDS)
+    later = stored(each.join(first, "key").filter(~overlaps).groupBy("doc_id", "row").agg(F.collect_list("start").alias("starts")))
+    discard(where)
+    return later
+
 
+def _cut(piece: bg.Slice, doc: np.ndarray, starts: list[list[int] | None]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """What stays of documents whose segments are the texts of a slice; the words removed, and the runs of removed words.
 
-def _cut_windows(piece: bg.Slice, i: int, lines_gone: set[int], starts: set[int]) -> tuple[bytes, int, int, int]:
-    """As ``_cut``, for windows of MIN_WORDS words from the given words on."""
-    data = piece.data[piece.bounds[i] : piece.bounds[i + 1]]
-    one = bg.Slice(0, 1, data, np.array([0, len(data)]))
-    lines, _ = lines_of(one)
-    found = bg.words(one)
+    ``doc`` has the document of each segment. Between two segments of a document lies a line that went.
+    """
+    n_docs = len(starts)
+    found = bg.words(piece)
+    lines, _ = lines_of(piece)
     line = np.searchsorted(lines.bounds[1:], found.start, side="right")
-    out = np.isin(line, list(lines_gone))
-    cover = np.zeros(len(line) + 1, dtype=np.int32)
-    begin = np.array(sorted(starts), dtype=np.int64)
-    cover[begin] += 1
+    count = np.array([len(x or ()) for x in starts], dtype=np.int64)
+    flat = np.array([x for mine in starts for x in mine or ()], dtype=np.int64)
+    segment = np.searchsorted(doc, np.repeat(np.arange(n_docs), count)) + (flat >> _WORD_BITS)
+    begin = found.of[segment] + (flat & ((1 << _WORD_BITS) - 1))
+    cover = np.zeros(len(line) + 1, dtype=np.int64)
+    np.add.at(cover, begin, 1)
     np.subtract.at(cover, begin + MIN_WORDS, 1)
-    again = (np.cumsum(cover[:-1]) > 0) & ~out
-    drop = np.zeros(len(data) + 1, dtype=np.int32)
-    for n in lines_gone:
-        drop[lines.bounds[n]] += 1
-        drop[lines.bounds[n + 1]] -= 1
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], again.astype(np.int8), [0]])))
-    for a, b in zip(edges[::2], edges[1::2]):
-        drop[found.start[a]] += 1
-        drop[found.start[b] if b < len(line) and line[b] == line[b - 1] else found.stop[b - 1]] -= 1
-    out |= again
-    spans = int((np.diff(np.concatenate([[0], out.astype(np.int8)])) > 0).sum())
-    return data[np.cumsum(drop[:-1]) == 0].tobytes(), len(line), int(out.sum()), spans
-
-
-def _cut(piece: bg.Slice, i: int, lines_gone: set[int], pieces: set[int]) -> tuple[bytes, int, int, int]:
-    """The text that stays, its words before, the words removed and the removed spans of text ``i``."""
-    data = piece.data[piece.bounds[i] : piece.bounds[i + 1]]
-    one = bg.Slice(0, 1, data, np.array([0, len(data)]))
-    lines, _ = lines_of(one)
-    found, bounds, _, line = pieces_of(one)
-    out = np.isin(line, list(lines_gone))
-    again = np.isin(np.arange(len(line)), list(pieces)) & ~out
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], again.astype(np.int8), [0]])))
-    drop = np.zeros(len(data) + 1, dtype=np.int32)
-    for n in lines_gone:
-        drop[lines.bounds[n]] += 1
-        drop[lines.bounds[n + 1]] -= 1
-    for a, b in zip(edges[::2], edges[1::2]):
-        if bounds[b] - bounds[a] >= MIN_WORDS:
-            out[a:b] = True
-            end = found.start[bounds[b]] if bounds[b] < len(found.start) and line[b] == line[b - 1] else found.stop[bounds[b] - 1]
-            drop[found.start[bounds[a]]] += 1
-            drop[end] -= 1
-    spans = int((np.diff(np.concatenate([[0], out.astype(np.int8)])) > 0).sum())
+    out = np.cumsum(cover[:-1]) > 0
+    drop = np.zeros(len(piece.data) + 1, dtype=np.int64)
+    before = np.concatenate([[-1], found.text[:-1]]) if len(out) else found.text
+    opens = out & (~np.concatenate([[False], out[:-1]]) | (found.text != before))
+    after = np.concatenate([found.text[1:], [-1]]) if len(out) else found.text
+    closes = out & (~np.concatenate([out[1:], [False]]) | (found.text != after))
+    a, b = np.flatnonzero(opens), np.flatnonzero(closes)
+    # A cut within a line goes on to the next word; else the line's end stays.
+    follows = np.minimum(b + 1, max(0, len(line) - 1))
+    inside = (b + 1 < len(line)) & (line[follows] == line[b]) if len(b) else np.zeros(0, dtype=bool)
+    np.add.at(drop, found.start[a], 1)
+    np.subtract.at(drop, np.where(inside, found.start[follows], found.stop[b]), 1)
     stays = np.cumsum(drop[:-1]) == 0
-    return data[stays].tobytes(), len(found.start), int(np.diff(bounds)[out].sum()), spans
-
-
-def deduplicate(docs: DataFrame, whole: bool = False) -> DataFrame:
+    ends = np.concatenate([[0], np.cumsum(stays)])[piece.bounds]
+    last = np.searchsorted(doc, np.arange(n_docs + 1))
+    bounds = ends[last].astype(np.int64)
+    texts = pa.Array.from_buffers(pa.large_string(), n_docs, [None, pa.py_buffer(bounds), pa.py_buffer(piece.data[stays])]).cast(pa.string())
+    # The line that went before a segment counts as one removed word, to count runs across it.
+    gap = np.flatnonzero(np.concatenate([[False], doc[1:] == doc[:-1]])) if len(doc) else np.zeros(0, dtype=np.int64)
+    marks = np.insert(out, found.of[gap], True)
+    owner = np.insert(doc[found.text] if len(doc) else found.text, found.of[gap], doc[gap])
+    new = marks.copy()
+    new[1:] &= ~(marks[:-1] & (owner[1:] == owner[:-1]))
+    removed = np.bincount(doc[found.text[out]], minlength=n_docs) if len(doc) else np.zeros(n_docs, dtype=np.int64)
+    return texts, removed, np.bincount(owner[new], minlength=n_docs)
+
+
+def deduplicate(docs: DataFrame) -> DataFrame:
     """The documents with the text that stays, and ``n_words``, ``n_removed`` (words) and ``n_spans``.
 
     Columns of these names are replaced, all others kept. A null text stays null and an empty one empty. Rows equal
-    in doc_id and text count as one document and are cut alike. A null doc_id comes before all others. ``whole`` is explained above.
+    in doc_id and text count as one document and are cut alike. A null doc_id comes before all others. An empty table
+    gives no rows.
     """
+    prepare(docs.sparkSession)
     docs = docs.drop("n_words", "n_removed", "n_spans")
     columns = docs.columns
+    others = [c for c in columns if c != "text"]
     text = F.col("text").cast("string")
-    keyed = docs.select(F.col("doc_id"), F.xxhash64(F.col("doc_id").cast("string"), text).alias("row"), text.alias("text"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    if whole:
-        gone = kept(_near_lines(keyed, kind, SIZE, copies=True))
-        again = _repeated_windows(keyed, gone, kind).withColumnRenamed("start", "piece")
-    else:
-        gone = kept(_near_lines(keyed, kind))
-        again = _repeated_pieces(keyed, gone, kind)
-    cut = _cut_windows if whole else _cut
-    cuts = kept(
-        gone.select("doc_id", "row", "line", F.lit(None).cast("int").alias("piece"))
-        .unionByName(again.select("doc_id", "row", F.lit(None).cast("int").alias("line"), "piece"))
-        .groupBy("doc_id", "row").agg(F.collect_set("line").alias("lines"), F.collect_set("piece").alias("pieces"))
-    )
-    every = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"), F.xxhash64(F.col("doc_id").cast("string"), text).alias("key"))
-    joint = every.join(cuts, F.col("key").eqNullSafe(F.col("row")) & F.col("id").eqNullSafe(F.col("doc_id")), "left")
-    joint = joint.select(
-        *[F.col("doc")[c].alias(c) for c in columns],
-        *[F.col(c).alias(c + "_" * (1 + max(map(len, columns)))) for c in ("lines", "pieces")],
+    keyed = docs.select(
+        F.struct(*[F.col(quoted(c)) for c in others]).alias("doc"), "doc_id",
+        F.xxhash64(F.col("doc_id").cast("string"), text).alias("row"), text.alias("text"),
     )
-    at = columns.index("text")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    gone = _near_lines(keyed.select("doc_id", "row", "text"), kind)
+    left = stored(_without_lines(keyed, others, gone))
+    again = _repeated_windows(left, kind)
+    again = again.select(F.col("doc_id").alias("id"), F.col("row").alias("of"), "starts")
+    joint = left.join(again, F.col("row").eqNullSafe(F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id")), "left")
+    joint = joint.select("doc", "segments", "n_words", "n_gone", "starts")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            gone, again = (batch.column(len(columns) + k).to_pylist() for k in (0, 1))
-            texts, counts = [], []
-            for piece in bg.slices(batch.column(at)):
-                sizes = bg.words(piece).count
-                for i in range(piece.last - piece.first):
-                    j = piece.first + i
-                    if gone[j] is None:
-                        texts.append(piece.text(i))
-                        counts.append((int(sizes[i]), 0, 0))
-                    else:
-                        left, *n = cut(piece, i, set(gone[j]), set(again[j]))
-                        texts.append(left)
-                        counts.append(n)
-            null = batch.column(at).is_null().to_numpy(zero_copy_only=False)
-            out = pa.array(texts, type=pa.binary(), mask=null).cast(pa.string())
-            arrays = [*batch.columns[:at], out, *batch.columns[at + 1 : len(columns)]]
-            numbers = list(zip(*counts)) or [[], [], []]
-            yield pa.RecordBatch.from_arrays(
-                arrays + [pa.array(n, type=pa.int64()) for n in numbers], names=[*columns, "n_words", "n_removed", "n_spans"])
-
-    kinds = ", ".join(f"`{f.name}` {'string' if f.name == 'text' else f.dataType.simpleString()}" for f in docs.schema)
-    return joint.mapInArrow(apply, f"{kinds}, n_words bigint, n_removed bigint, n_spans bigint")
+            starts = batch.column(4).to_pylist()
+            for first, last, piece, doc in _whole_documents(batch.column(1)):
+                part = batch.slice(first, last - first)
+                texts, removed, spans = _cut(piece, doc, starts[first:last])
+                null = part.column(1).is_null()
+                if part.column(1).null_count:
+                    texts = pa.array(texts.to_pylist(), mask=null.to_numpy(zero_copy_only=False), type=pa.string())
+                n_removed = part.column(3).to_numpy() + removed
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), texts, part.column(2), pa.array(n_removed), pa.array(spans.astype(np.int64))],
+                    names=["doc", "text", "n_words", "n_removed", "n_spans"])
+
+    counts = [T.StructField(c, T.LongType()) for c in ("n_words", "n_removed", "n_spans")]
+    schema = T.StructType([joint.schema["doc"], T.StructField("text", T.StringType()), *counts])
+    result = joint.mapInArrow(apply, schema)
+    kept_columns = [F.col("text") if c == "text" else F.col("doc")[c].alias(c) for c in columns]
+    return result.select(*kept_columns, "n_words", "n_removed", "n_spans")

@@ -8,8 +8,8 @@ of the documents that support the document's best evidence; chance features of o
 copies are thereby left out. Every other word is labelled clean.
 
 The field has two states. Its unary weights are on hashed features of a word, its pair weights on the
-transitions; they maximise the likelihood of the labelled words (``SAMPLE`` documents at most, toxic
-words with the words around them, and stretches of clean documents). Forward and backward
+transitions; they maximise the likelihood of the labelled words (``SAMPLE`` documents of each label at most, toxic
+words with the words around them, ``MARKED`` of a document at most, and stretches of clean documents). Forward and backward
 passes give each word's marginal probability. A document's score is the probability that one of
 its words is toxic, as if words with a marginal over ``FLOOR`` were independent; runs of words over one half are
 its spans, with character offsets.
@@ -25,9 +25,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm import bytegrams as bg
-from tidemark.llm.frames import in_third, kept
+from tidemark.llm.frames import in_third, kept, prepare
 
 #: Most documents of each label that evidence is counted on, and that the field is fitted on.
 COUNTED, SAMPLE = 10_000, 1_500
@@ -39,6 +40,8 @@ CHANCE = 0.05
 FLOOR, THRESHOLD = 0.1, 0.7
 #: Words around a toxic word, and words of a stretch, that go into the fit.
 AROUND, STRETCH = 12, 150
+#: Most toxic words of a document that go into the fit, drawn by hash over the whole document.
+MARKED = 50
 #: Slots of the weight table. A slot keeps the feature with the largest weight, and its whole hash.
 SLOTS = 1 << 18
 #: Beginnings of words, and one ending, in bytes.
@@ -132,8 +135,9 @@ def forward_backward(e: np.ndarray, first: np.ndarray, last: np.ndarray, transit
 
 def fit_field(rows: np.ndarray, y: np.ndarray, first: np.ndarray, steps: int = 80) -> Field:
     """Maximum likelihood with a small ridge, by adaptive gradient steps over all words."""
-    names, index = np.unique(rows, return_inverse=True)
-    index = index.reshape(rows.shape)
+    names = np.unique(rows)
+    # Column by column and in 32 bits: the driver holds the words of all sampled documents.
+    index = [np.searchsorted(names, rows[:, k]).astype(np.int32) for k in range(rows.shape[1])]
     last = np.append(first[1:], True)
     w, seen = np.zeros(len(names)), np.full(len(names), 1e-6)
     shared = np.zeros(7)  # constant, transitions, start
@@ -144,10 +148,10 @@ def fit_field(rows: np.ndarray, y: np.ndarray, first: np.ndarray, steps: int = 8
     begun = np.bincount(y[first], minlength=2)
     zero = names == 0
     for _ in range(steps):
-        e = shared[0] + w[index].sum(axis=1)
+        e = shared[0] + sum(w[column] for column in index)
         p, pair = forward_backward(e, first, last, shared[1:5].reshape(2, 2), shared[5:])
         wrong = y - p
-        g = np.bincount(index.ravel(), np.repeat(wrong, rows.shape[1]), minlength=len(names)) - 0.02 * w
+        g = sum(np.bincount(column, wrong, minlength=len(names)) for column in index) - 0.02 * w
         g[zero] = 0
         gs = np.concatenate([[wrong.sum()], (told - pair.sum(axis=0)).ravel(), begun - np.array([(1 - p[first]).sum(), p[first].sum()])])
         gs -= 0.02 * shared
@@ -275,7 +279,11 @@ def train(docs: DataFrame, labels: DataFrame) -> Field | None:
                 out = []
                 for i, (a, b) in enumerate(zip(words.of, words.of[1:])):
                     near = np.zeros(b - a, dtype=bool)
-                    for t in np.flatnonzero(y[a:b])[:50]:
+                    marked = np.flatnonzero(y[a:b])
+                    if len(marked) > MARKED:
+                        draw = bg.mix(words.hash[a + marked] ^ marked.astype(np.uint64))
+                        marked = marked[np.argsort(draw, kind="stable")[:MARKED]]
+                    for t in marked:
                         near[max(0, t - AROUND) : t + AROUND + 1] = True
                     if not toxic[piece.first + i] and b > a:
                         begin = int(words.hash[a] % np.uint64(max(1, b - a - STRETCH)))
@@ -293,6 +301,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Field | None:
     rows = np.concatenate([np.frombuffer(r.rows, dtype=np.uint64) for r in got]).reshape(-1, COLUMNS)
     y = np.concatenate([np.frombuffer(r.y, dtype=np.int8) for r in got]).astype(np.int64)
     first = np.concatenate([np.frombuffer(r["first"], dtype=np.int8) for r in got]) > 0
+    del got
     return fit_field(rows, y, first) if y.any() else None
 
 
@@ -325,6 +334,7 @@ def tag(piece: bg.Slice, field: Field | None) -> tuple[np.ndarray, pa.Array]:
 
 def score(docs: DataFrame, field: Field | None) -> DataFrame:
     """The documents with ``toxic_score`` and ``toxic_spans``; columns of these names are replaced. Null and empty texts score 0."""
+    prepare(docs.sparkSession)
     docs = docs.drop("toxic_score", "toxic_spans")
     sent = docs.sparkSession.sparkContext.broadcast(field)
     names, at = list(docs.columns), docs.columns.index("text")
@@ -339,8 +349,9 @@ def score(docs: DataFrame, field: Field | None) -> DataFrame:
                     names=[*names, "toxic_score", "toxic_spans"],
                 )
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(scan, f"{kinds}, toxic_score double, toxic_spans array<struct<start:int,stop:int>>")
+    span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType())])
+    found = [T.StructField("toxic_score", T.DoubleType()), T.StructField("toxic_spans", T.ArrayType(span))]
+    return docs.mapInArrow(scan, T.StructType([*docs.schema.fields, *found]))
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
