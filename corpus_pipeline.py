@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.types import quoted
 from tidemark.llm import decontaminate, neardup, packing, paragraphs, toxicity
 from tidemark.llm.frames import table
 from tidemark.session import shared_dir
@@ -22,10 +23,21 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
 
 
+def _aside(docs: DataFrame) -> DataFrame:
+    """Key, text and, in one column, all others, so that no operator's own column takes the name of one of theirs."""
+    others = [F.col(quoted(c)) for c in docs.columns if c != "text"]
+    return docs.select("doc_id", F.col("text").cast("string").alias("text"), F.struct(*others).alias("others"))
+
+
+def _back(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.select(*[F.col("text") if c == "text" else F.col("others")[c].alias(c) for c in columns])
+
+
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity operator does not reject. Null and empty texts stay."""
     field = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, field).filter(F.col("toxic_score") < toxicity.THRESHOLD).select(docs.columns)
+    scored = toxicity.score(_aside(docs), field)
+    return _back(scored.filter(F.col("toxic_score") < toxicity.THRESHOLD), docs.columns)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,8 +55,8 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the paragraphs and passages that an earlier document has; n_chars follows the text."""
-    left = paragraphs.deduplicate(docs)
-    return left.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    left = _back(paragraphs.deduplicate(_aside(docs)), docs.columns)
+    return left.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
