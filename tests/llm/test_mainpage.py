@@ -3,6 +3,7 @@ import re
 
 import pytest
 
+from tidemark.llm import mainpage
 from tidemark.llm.frames import table
 from tidemark.llm.mainpage import extract, main_text
 
@@ -69,3 +70,83 @@ def test_hostile_tables(spark):
     out = sorted((r.n_chars, r.text[:8]) for r in extract(pages).collect())
     assert out == [(0, ""), (0, ""), (1, "x"), (4, "deep"), (499_999, "word wor")]
     assert extract(pages.limit(0)).count() == 0
+
+
+PROSE = "word " * 60
+
+
+@pytest.mark.parametrize("wrapper", [
+    "<div class='layout has-sidebar'>{}</div>", "<div id='page-with-menu'>{}</div>", "<div class='social-sciences'>{}</div>",
+    "<div class='no-popup'>{}</div>", "<div class='search-for-meaning'>{}</div>", "<section class='related-work'>{}</section>",
+])
+def test_a_word_in_a_wrappers_name_is_no_hint(wrapper):
+    for body in ("<article><p>" + PROSE + "</p></article>", "<p>" + PROSE + "</p>"):
+        assert mainpage.main_text(wrapper.format(body)) == PROSE.strip()
+
+
+def test_hinted_parts_go_but_for_those_round_the_article():
+    page = ("<div class='sidebar-layout'><article><p>" + PROSE + "</p></article><div class='sidebar'><p>aside " + PROSE + "</p></div>"
+            "<section id='comments'><article><p>a reader says</p></article></section><div class='social-share'>share</div></div>")
+    assert mainpage.main_text(page) == PROSE.strip()
+
+
+def test_blocks_of_links_within_the_article_go():
+    links = "<{0}>" + "".join(f"<li><a href='{i}'>another page {i}</a></li>" for i in range(8)) + "</{0}>"
+    for name in ("ul", "div"):
+        page = "<main><p>" + PROSE + "</p>" + links.format(name) + "<p>The <a href='x'>end</a> of it.</p></main>"
+        assert mainpage.main_text(page) == PROSE + "The end of it."
+
+
+def test_densities_against_a_plain_recursion():
+    """Composite density by its definition, subtree by subtree."""
+    import math
+    import random
+
+    for seed in range(20):
+        pick = random.Random(seed)
+
+        def make(depth):
+            inner = "".join(make(depth - 1) if depth and pick.random() < 0.7 else "text " * pick.randrange(4) for _ in range(pick.randrange(4)))
+            name = pick.choice(["div", "section", "span", "a", "b"])
+            return f"<{name}>{inner}</{name}>"
+
+        tree = mainpage._Tree("<body>" + "".join(make(4) for _ in range(4)) + "</body>")
+        density, total, _, _ = mainpage._densities(tree)
+        children = [[j for j in range(len(tree.name)) if tree.parent[j] == i] for i in range(len(tree.name))]
+        own = [sum(len(t.replace(" ", "")) for t, node in tree.pieces if node == i) for i in range(len(tree.name))]
+
+        def under(i, linked=False):
+            """(characters, of them linked, tags, of them links) below a node, and its own characters."""
+            linked = linked or tree.name[i] == "a"
+            c, lc, t, lt = own[i], own[i] * linked, 0, 0
+            for j in children[i]:
+                x = under(j, linked)
+                c, lc, t, lt = c + x[0], lc + x[1], t + x[2] + 1, lt + x[3] + (tree.name[j] == "a")
+            return c, lc, t, lt
+
+        def above(i):
+            return i > 0 and (tree.name[i] == "a" or above(tree.parent[i]))
+
+        page = under(0)
+        share = page[1] / max(1, page[0])
+        for i in range(len(tree.name)):
+            c, lc, t, lt = under(i, above(i))
+            want = 0.0
+            if c:
+                base = math.log(c / max(1, c - lc) * lc + share * c + math.e)
+                want = c / max(1, t) * max(0.0, math.log(max(1.0, c / max(1, lc) * max(1, t) / max(1, lt))) / (math.log(base) if base > math.e else 1.0))
+            assert density[i] == pytest.approx(want, rel=1e-6)
+        for i, mine in enumerate(children):
+            assert total[i] == pytest.approx(sum(density[j] for j in mine))
+
+
+def test_deep_pages_take_time_in_proportion():
+    import time
+
+    def seconds(n):
+        begin = time.perf_counter()
+        mainpage.main_text("<div>" * n + "x" + "</section>" * n)
+        return time.perf_counter() - begin
+
+    seconds(1000)
+    assert seconds(40_000) < 40 * max(seconds(4_000), 0.01)

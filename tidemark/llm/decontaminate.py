@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import bytegrams as bg
-from tidemark.llm.frames import Bitmap, bitmap, kept
+from tidemark.llm.frames import Bitmap, bitmap, kept, prepare
 
 WINDOW, GRAM = 13, 8
 WIDTH = WINDOW - GRAM + 1
@@ -141,6 +141,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, per_cent: int = 5) -> DataF
     items every document is clean. Rows that share a doc_id are judged one by one. Columns other
     than doc_id, item_id and text are ignored.
     """
+    prepare(docs.sparkSession)
     scanned, pairs = hits(docs, items)
     found = pairs.groupBy("row").agg(
         covered(F.collect_set(F.struct("at", "length"))).alias("n_hit"),

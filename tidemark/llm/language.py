@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import bytegrams as bg
-from tidemark.llm.frames import in_third
+from tidemark.llm.frames import in_third, prepare
 
 #: Documents that the machines are fitted on, all languages together, and per language.
 SAMPLE, PER_LANGUAGE = 4000, 600
@@ -158,8 +158,8 @@ def identify(docs: DataFrame) -> DataFrame:
     The language is ``und`` with score 0 where the text is null or has no letter, and everywhere if
     there is nothing to learn from. Repeated rows are classified alike; other columns are ignored.
     """
+    spark = prepare(docs.sparkSession)
     model = fit(docs)
-    spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(model)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,11 +1,15 @@
 """Main text of web pages by composite text density.
 
-A page becomes a tree. Parts that are never main text (scripts, navigation, forms, elements whose
-class, id or role names an advert, a menu, a notice, comments, ...) are cut. For each node that is
+A page becomes a tree. Parts that are never main text (scripts, navigation, forms) are cut, and elements whose
+class, id or role names an advert, a menu, a notice, comments and the like, but for those that hold the page's main
+element or its longest article: a layout may be named after a sidebar that it has. For each node that is
 left, the composite text density is its characters per tag, adjusted by its share of link
 characters and link tags. The sum over a node's children of their densities is largest for the node that directly holds
 the text. The smallest density on the path from that node up to the body is the page's threshold; every
-part that reaches it gives its own subtree with the largest sum.
+part that reaches it gives its own subtree with the largest sum. Within those, lists and blocks that are mostly links go if
+they stay below the threshold.
+
+Reading a page takes time in proportion to its length, however deep its elements are nested.
 
 A page is one row and a small tree; Spark spreads the pages.
 """
@@ -15,12 +19,15 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.frames import prepare
+
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(?:/?>|\Z)"
     r"|<[A-Za-z/][^<>]*(?:>|\Z)",  # an attribute whose quote never ends
@@ -62,30 +69,66 @@ OUTSIDE = frozenset(
     "related recommended recommendations comment comments disqus respond replies reply pagination pager widget "
     "toolbar search contentinfo complementary copyright skip".split()
 )
+#: Of these, the ones that also name subjects: they count only among words that name parts of pages.
+VAGUE = frozenset(
+    "social related notice search share sharing skip rail reply replies alert notification recommended login overlay "
+    "subscribe subscription promotion copyright complementary".split()
+)
+COMPANIONS = frozenset(
+    "links link icons icon bar box list posts post articles stories section block container wrapper widget buttons button "
+    "items item top bottom left right header area panel inner outer content form field input media site page main primary "
+    "secondary to for us on by row col column group module component small large".split()
+)
+#: With one of these, a name says what a layout has or lacks.
+ABOUT = frozenset("has have with without no not hide hides hidden is show shows".split())
 PLAIN = frozenset("html body article main".split())
+LINK_BLOCKS = frozenset("div ul ol dl section table".split())
+_P_BARRIERS = PLAIN | NEVER | frozenset("div section td th li dd blockquote table ul ol header".split())
 NO_HINT = frozenset("h1 h2 h3 h4 h5 h6 b i em strong code pre a".split())
 
 
-def _outside(name: str, attributes: str, in_article: bool) -> bool:
+def _names_outside(value: str) -> bool:
+    """Whether one of the names in an attribute stands for a part outside the main text."""
+    for token in value.split():
+        parts = _NAME_PART.findall(token)
+        hints = OUTSIDE.intersection(parts)
+        if not hints or not ABOUT.isdisjoint(parts):
+            continue
+        if not hints <= VAGUE or all(x in OUTSIDE or x in COMPANIONS for x in parts):
+            return True
+    return False
+
+
+def _never(name: str, attributes: str, in_article: bool) -> bool:
+    """Whether an element is no main text whatever it holds."""
     if name in NEVER or (name == "header" and not in_article):
         return True
     if not attributes.strip() or name in PLAIN or name in NO_HINT:
         return False
     for key, a, b, c in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), (a or b or c).lower()
-        if key in ("class", "id", "role") and (not OUTSIDE.isdisjoint(_NAME_PART.findall(value)) or value == "header"):
-            return True
         if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and "display:none" in value.replace(" ", "")):
             return True
     return False
 
 
+def _hinted(name: str, attributes: str) -> bool:
+    """Whether an element's class, id or role says that it is no main text."""
+    if not attributes.strip() or name in ("html", "body", "main") or name in NO_HINT:
+        return False
+    found = ((key.lower(), (a or b or c).lower()) for key, a, b, c in _ATTRIBUTE.findall(attributes))
+    return any(key in ("class", "id", "role") and (value == "header" or _names_outside(value)) for key, value in found)
+
+
 class _Tree:
     """Nodes in page order: name, parent, the texts between their tags (text, node or -1 for a break)."""
 
     def __init__(self, page: str):
         self.name, self.parent, self.pieces = ["#page"], [-1], []
+        self.in_article, self.hinted = [False], [False]
+        self.open: Counter[str] = Counter()
         self._read(page)
+        self._cut_hinted()
 
     def _text(self, node: int, raw: str) -> None:
         if raw:
@@ -110,8 +153,8 @@ class _Tree:
                 cut = 0
             if name not in INLINE and not cut:
                 self.pieces.append(("", -1))
-            in_article = any(self.name[i] in ("article", "main") for i in stack)
-            outside = not cut and _outside(name, match[3], in_article)
+            outside = not cut and _never(name, match[3], self.in_article[stack[-1]])
+            hinted = not cut and not outside and name not in RAW and name not in VOID and _hinted(name, match[3])
             if name in RAW:
                 lower = lower or page.lower()
                 end = lower.find("</" + name, at)
@@ -125,28 +168,67 @@ class _Tree:
                 if not cut and not outside:
                     self._node(name, stack[-1])
                 continue
-            stack.append(self._node(name, stack[-1]))
+            stack.append(self._node(name, stack[-1], hinted))
+            self.open[name] += 1
             if outside:
                 cut = len(stack)
         if not cut:
             self._text(stack[-1], page[at:])
 
-    def _node(self, name: str, parent: int) -> int:
+    def _node(self, name: str, parent: int, hinted: bool = False) -> int:
         self.name.append(name)
         self.parent.append(parent)
+        self.in_article.append(self.in_article[parent] or name in ("article", "main"))
+        self.hinted.append(hinted)
         return len(self.name) - 1
 
+    def _cut_hinted(self) -> None:
+        """Leave out the texts of hinted parts, but for those round the page's main element or longest article."""
+        n = len(self.name)
+        if not any(self.hinted):
+            return
+        chars, linked = [0] * n, [False] * n
+        for i in range(1, n):
+            linked[i] = linked[self.parent[i]] or self.name[i] == "a"
+        for text, node in self.pieces:
+            if node >= 0 and not linked[node]:
+                chars[node] += len(text)
+        for i in range(n - 1, 0, -1):
+            chars[self.parent[i]] += chars[i]
+        mains = [i for i in range(1, n) if self.name[i] == "main"]
+        holders = mains or [i for i in range(1, n) if self.name[i] == "article" and not self.hinted[i]]
+        at = max(holders, key=lambda i: (chars[i], -i), default=0)
+        while at > 0:
+            self.hinted[at] = False
+            at = self.parent[at]
+        gone = self.hinted[:]
+        for i in range(1, n):
+            gone[i] = gone[i] or gone[self.parent[i]]
+        # A node that is left out holds no text and is no tag to the densities.
+        number, kept = [-1] * n, [i for i in range(n) if not gone[i]]
+        for new, old in enumerate(kept):
+            number[old] = new
+        self.pieces = [(text, number[node] if node >= 0 else -1) for text, node in self.pieces if node < 0 or not gone[node]]
+        self.name, self.parent = [self.name[i] for i in kept], [number[self.parent[i]] if i else -1 for i in kept]
+
+    def _close(self, stack: list[int], depth: int) -> None:
+        for i in stack[depth:]:
+            self.open[self.name[i]] -= 1
+        del stack[depth:]
+
     def _imply_ends(self, name: str, stack: list[int]) -> None:
         if name in ENDS_PARAGRAPH:
-            self._pop_to(("p",), PLAIN | NEVER | {"div", "section", "td", "th", "li", "dd", "blockquote", "table", "ul", "ol", "header"}, stack)
+            self._pop_to(("p",), _P_BARRIERS, stack)
         if name in SIBLINGS:
             self._pop_to(*SIBLINGS[name], stack)
 
     def _pop_to(self, names, barriers, stack: list[int]) -> None:
+        if not any(self.open[name] for name in names):
+            return
         for depth in range(len(stack) - 1, 0, -1):
             here = self.name[stack[depth]]
             if here in names:
-                del stack[depth:]
+                self._close(stack, depth)
                 return
             if here in barriers:
                 return
@@ -154,10 +236,10 @@ class _Tree:
     def _end(self, name: str, stack: list[int], cut: int) -> int:
         if not cut and name not in INLINE:
             self.pieces.append(("", -1))
-        for depth in range(len(stack) - 1, 0, -1):
+        for depth in range(len(stack) - 1, 0, -1) if self.open[name] else ():
             here = self.name[stack[depth]]
             if here == name:
-                del stack[depth:]
+                self._close(stack, depth)
                 break
             # An inline end never closes a block, and a paragraph's end nothing around it.
             if name in INLINE and here not in INLINE or name == "p" and here in ENDS_PARAGRAPH:
@@ -165,8 +247,8 @@ class _Tree:
         return 0 if cut and len(stack) < cut else cut
 
 
-def _densities(tree: _Tree) -> tuple[list[float], list[float], list[int]]:
-    """Composite density of each node, the sum over its children, and its characters."""
+def _densities(tree: _Tree) -> tuple[list[float], list[float], list[int], list[bool]]:
+    """Composite density of each node, the sum over its children, its characters, and whether it is mostly links."""
     n = len(tree.name)
     chars, tags, link_chars, link_tags, own = ([0] * n for _ in range(5))
     for text, node in tree.pieces:
@@ -195,7 +277,8 @@ def _densities(tree: _Tree) -> tuple[list[float], list[float], list[int]]:
             density[i] = c / t * max(0.0, math.log(max(1.0, c / lc * t / lt)) / max(1e-9, math.log(base + 1e-9) if base > math.e else 1.0))
         if i:
             total[tree.parent[i]] += density[i]
-    return density, total, chars
+    mostly_links = [link_tags[i] >= 3 and 2 * link_chars[i] > chars[i] for i in range(n)]
+    return density, total, chars, mostly_links
 
 
 def main_text(page: str | None) -> str:
@@ -203,7 +286,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     tree = _Tree(page)
-    density, total, chars = _densities(tree)
+    density, total, chars, mostly_links = _densities(tree)
     if not chars[0]:
         return ""
     n = len(tree.name)
@@ -218,27 +301,28 @@ def main_text(page: str | None) -> str:
         p = tree.parent[i]
         if total[top[i]] > total[top[p]]:
             top[p] = top[i]
+    whole = _wholes(tree)
     content = [False] * n
-    content[_whole(tree, best)] = True
+    content[whole[best]] = True
     for i in range(1, n):
         if tree.name[i] in ("article", "main", "section", "div") and density[i] >= threshold and chars[i] > 0:
-            content[_whole(tree, top[i])] = True
+            content[whole[top[i]]] = True
     for i in range(1, n):
-        content[i] = content[i] or content[tree.parent[i]]
+        links = tree.name[i] in LINK_BLOCKS and mostly_links[i] and density[i] < threshold
+        content[i] = (content[i] or content[tree.parent[i]]) and not links
     out = "".join(" " if node < 0 else text if content[node] else "" for text, node in tree.pieces)
     return " ".join(out.split())
 
 
-def _whole(tree: _Tree, node: int) -> int:
-    """The article that holds a node, or the nearest element that is no mere paragraph or phrase."""
-    at, block = node, node
-    while at > 0:
-        if tree.name[at] in ("article", "main"):
-            return at
-        if tree.name[block] in INLINE or tree.name[block] in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6"):
-            block = tree.parent[at]
-        at = tree.parent[at]
-    return block
+def _wholes(tree: _Tree) -> list[int]:
+    """For each node, the article that holds it, or the nearest element that is no mere paragraph or phrase."""
+    small = INLINE | {"p", "li", "h1", "h2", "h3", "h4", "h5", "h6"}
+    article, block = [0] * len(tree.name), [0] * len(tree.name)
+    for i in range(1, len(tree.name)):
+        p, name = tree.parent[i], tree.name[i]
+        article[i] = i if name in ("article", "main") else article[p]
+        block[i] = block[p] if name in small else i
+    return [a or b for a, b in zip(article, block)]
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -253,6 +337,7 @@ def extract(pages: DataFrame) -> DataFrame:
             sizes = pa.array([len(x) for x in texts.to_pylist()], type=pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts, sizes], names=["page_id", "url", "text", "n_chars"])
 
+    prepare(pages.sparkSession)
     source = pages.select("page_id", "url", F.col("html").cast("string").alias("html"))
     kinds = {f.name: f.dataType.simpleString() for f in source.schema}
     return source.mapInArrow(scan, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars bigint")

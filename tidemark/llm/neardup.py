@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import bytegrams as bg
-from tidemark.llm.frames import bitmap, components, kept, stored
+from tidemark.llm.frames import bitmap, components, kept, prepare, stored
 
 #: Bands x rows hashes. A pair of similarity 0.8 shares no band with probability (1 - 0.8**4)**28 < 4e-7.
 BANDS, ROWS = 28, 4
@@ -314,6 +314,7 @@ def linked(docs: DataFrame, id_column: str, size: int, per_cent: int) -> tuple[D
 
     A null id counts only if nothing else is in its component. Empty sets have a null digest and no component.
     """
+    prepare(docs.sparkSession)
     rows = kept(described(docs, id_column, size))
     first = F.min_by(F.struct("id", "signature"), F.struct(F.col("id").isNull(), F.col("id")))
     classes = kept(

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import kept
+from tidemark.llm.frames import kept, prepare
 
 #: Permitted sequence lengths, in bytes (the tokens of byte-level models), the shortest first.
 LENGTHS = (2048, 4096, 8192, 16384)
@@ -64,6 +64,7 @@ def best_fit(docs: DataFrame, length: Column | None = None, lengths: Sequence[in
     has one piece of length 0 and no bin. Repeated rows are packed each for itself. Columns other than
     doc_id and those of ``length`` are not read.
     """
+    prepare(docs.sparkSession)
     lengths = sorted(set(lengths))
     top = lengths[-1]
     size = F.coalesce(F.octet_length(F.col("text").cast("string")) if length is None else length, F.lit(0)).cast("bigint")

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import bytegrams as bg
+from tidemark.llm.frames import prepare
 from tidemark.llm.paragraphs import lines_of
 
 #: A vocabulary as lines of a token in base 64 and its rank; at most MOST_TOKENS, which bounds what is sent to tasks.
@@ -68,7 +69,7 @@ def count(docs: DataFrame, rule: str = "first", vocabulary: str = VOCABULARY, pa
         data = file.read()
     if data.count(b"\n") > MOST_TOKENS:
         raise ValueError(f"the vocabulary has more than {MOST_TOKENS} tokens")
-    sent = docs.sparkSession.sparkContext.broadcast(data)
+    sent = prepare(docs.sparkSession).sparkContext.broadcast(data)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, sizes = _encoder(sent.value, pattern)
