@@ -105,3 +105,18 @@ def test_bands():
 def test_lines(text):
     lines, of = paragraphs.lines_of(slice_of(text))
     assert [lines.text(i).decode().rstrip("\n") for i in range(len(of))] == text.split("\n")
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_periodic_texts_and_shared_edges(spark, seed):
+    """Few different words, so that windows overlap their own repeats, share grams, and meet at passages' edges."""
+    pick = random.Random(seed)
+    word = lambda: pick.choice("abc" if seed else "abcdefghijklmnopqrst")
+    passages = [[word() for _ in range(n)] for n in (26, 30, 45, 90)]
+    docs = []
+    for i in range(50):
+        parts = [pick.choice([*passages, [word() for _ in range(20)], ["x", "y", "z"] * 25, ["q"] * 40]) for _ in range(4)]
+        body = [w for p in parts for w in p[pick.randrange(4) :]]
+        cuts = sorted(pick.sample(range(len(body)), pick.choice([0, 1, 3])))
+        docs.append((i, "\n".join(" ".join(body[a:b]) for a, b in zip([0, *cuts], [*cuts, len(body)]))))
+    check(spark.createDataFrame(docs, "doc_id long, text string").repartition(5), docs)

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.types import quoted
 from tidemark.llm import bytegrams as bg
-from tidemark.llm.frames import bitmap, discard, kept, prepare, stored
+from tidemark.llm.frames import bitmap, discard, kept, prepare, release, stored
 from tidemark.llm.neardup import joined, shingle_sets, verified
 
 SIZE, PER_CENT = 5, 80
@@ -82,17 +82,6 @@ def band_keys(values: np.ndarray, bounds: np.ndarray, bands: int) -> np.ndarray:
     return out
 
 
-def windows_of(piece: bg.Slice) -> tuple[bg.Words, np.ndarray, np.ndarray, np.ndarray]:
-    """Words, the first word of every window of MIN_WORDS words of a text, its hash, and the first word of its least gram."""
-    found = bg.words(piece)
-    starts, grams = bg.whole(found, MIN_WORDS), bg.grams(found, GRAM)
-    at, best = starts, grams[starts]
-    for j in range(1, MIN_WORDS - GRAM + 1):
-        here = grams[starts + j]
-        at, best = np.where(here <= best, starts + j, at), np.minimum(here, best)
-    return found, starts, bg.grams(found, MIN_WORDS)[starts], at
-
-
 def _scan(docs: DataFrame, emit: Callable[[bg.Slice, pa.RecordBatch], list[pa.Array]], names: str) -> DataFrame:
     """``emit`` over slices of (doc_id, row, text)."""
     plain = [n.split()[0] for n in names.split(", ")]
@@ -183,6 +172,7 @@ def _near_lines(docs: DataFrame, kind: str) -> DataFrame:
     gone = kept(found.filter(~place.eqNullSafe(F.col("stays"))).select("doc_id", "row", "line"))
     for table in (lines, nodes):
         discard(table)
+    release(spark)
     return gone
 
 
@@ -257,73 +247,137 @@ def _whole_documents(segments: pa.Array) -> Iterator[tuple[int, int, bg.Slice, n
 _WORD_BITS = 32
 
 
-def _repeated_windows(docs: DataFrame, kind: str) -> DataFrame:
-    """(doc_id, row, start) of the windows of segments that occurred before.
+def stretches_of(piece: bg.Slice) -> tuple[bg.Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words, and of every stretch its first window, its windows, its gram, and the hash of all its words.
 
-    A window that overlaps its own first occurrence is not among them, so that stays.
+    A stretch is the windows of MIN_WORDS words that follow each other and have their least gram in the same place.
     """
-    source = docs.select("doc_id", "row", "segments")
+    found = bg.words(piece)
+    starts, grams = bg.whole(found, MIN_WORDS), bg.grams(found, GRAM)
+    at, best = starts, grams[starts]
+    for j in range(1, MIN_WORDS - GRAM + 1):
+        here = grams[starts + j]
+        at, best = np.where(here <= best, starts + j, at), np.minimum(here, best)
+    new = np.ones(len(starts), dtype=bool)
+    new[1:] = (np.diff(at) != 0) | (np.diff(starts) > 1)
+    begin = np.flatnonzero(new)
+    n = np.diff(np.append(begin, len(starts)))
+    first = starts[begin]
+    running = bg.sums(found.hash, bg._WORD_PRIME)
+    return found, first, n, best[begin], bg.span_hash(running, first, first + n - 1 + MIN_WORDS, bg._WORD_PRIME)
 
-    def all_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, _, piece, _ in _whole_documents(batch.column(2)):
-                found, _, _, at = windows_of(piece)
-                names, times = np.unique(bg.grams(found, GRAM)[np.unique(at)], return_counts=True)
-                yield pa.RecordBatch.from_arrays([_signed(names), pa.array(times, type=pa.int64())], names=["key", "n"])
 
-    counted = source.mapInArrow(all_keys, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
-    hits: Broadcast = docs.sparkSession.sparkContext.broadcast(bitmap(kept(counted.filter("n > 1").select("key")), "key"))
+def _per_document(docs: DataFrame, emit, names: str) -> DataFrame:
+    """``emit`` over slices of whole documents (doc_id, row, segments)."""
+    plain = [n.split()[0] for n in names.split(", ")]
 
-    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Windows that follow each other, as one row."""
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, last, piece, doc in _whole_documents(batch.column(2)):
-                found, starts, hashes, at = windows_of(piece)
-                good = hits.value.has(bg.grams(found, GRAM)[at])
-                starts, hashes = starts[good], hashes[good]
-                segment = found.text[starts]
-                new = np.ones(len(starts), dtype=bool)
-                new[1:] = (np.diff(starts) > 1) | (np.diff(segment) > 0)
-                begin = np.flatnonzero(new)
-                text = segment[begin]
-                place = numbered(doc)[text] << _WORD_BITS | starts[begin] - found.of[text]
                 keys = batch.select([0, 1]).slice(first, last - first)
-                yield pa.RecordBatch.from_arrays(
-                    [*keys.take(pa.array(doc[text])).columns, pa.array(place),
-                     bg.lists(hashes.view(np.int64), np.diff(np.append(begin, len(starts))), pa.int64())],
-                    names=["doc_id", "row", "at", "keys"])
-
-    where = stored(source.mapInArrow(runs, f"doc_id {kind}, row bigint, at bigint, keys array<bigint>"))
-    each = where.select("doc_id", "row", "at", F.posexplode("keys").alias("i", "key")).select(
-        "doc_id", "row", (F.col("at") + F.col("i")).alias("start"), "key")
-    first = kept(
-        each.groupBy("key").agg(F.min(F.struct("doc_id", "row", "start")).alias("first"), F.count("*").alias("n"))
-        .filter("n > 1").select("key", "first")
-    )
+                yield pa.RecordBatch.from_arrays(emit(piece, doc, keys), names=plain)
+
+    return docs.select("doc_id", "row", "segments").mapInArrow(scan, names)
+
+
+def _repeated_windows(docs: DataFrame, kind: str) -> DataFrame:
+    """(doc_id, row, at, n) of runs of n windows of segments that occurred before.
+
+    A window that overlaps its own first occurrence is not among them, so that stays. Equal windows have their least gram in
+    the same place, so they lie in stretches round the same gram. Equal stretches are one class, and all but
+    its first go whole. Only where several classes share a gram are the windows of their firsts compared.
+    """
+    spark = docs.sparkSession
+
+    def all_keys(piece, *_):
+        names, times = np.unique(stretches_of(piece)[3], return_counts=True)
+        return [_signed(names), pa.array(times, type=pa.int64())]
+
+    counted = _per_document(docs, all_keys, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
+    hits: Broadcast = spark.sparkContext.broadcast(bitmap(kept(counted.filter("n > 1").select("gram")), "gram"))
+    release(spark)
+
+    def place_of(found: bg.Words, doc: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        segment = found.text[first]
+        return doc[segment], numbered(doc)[segment] << _WORD_BITS | first - found.of[segment]
+
+    def stretches(piece, doc, keys):
+        found, first, n, gram, whole = stretches_of(piece)
+        good = hits.value.has(gram)
+        of, at = place_of(found, doc, first[good])
+        return [*keys.take(pa.array(of)).columns, pa.array(at), pa.array(n[good].astype(np.int32)), _signed(gram[good]), _signed(whole[good])]
+
+    where = stored(_per_document(docs, stretches, f"doc_id {kind}, row bigint, at bigint, n int, gram bigint, whole bigint"))
+    same_class = ["gram", "whole", "n"]
+    classes = stored(where.groupBy(*same_class).agg(F.min(F.struct("doc_id", "row", "at")).alias("first"), F.count("*").alias("copies")))
+    several = kept(classes.groupBy("gram").agg(F.count("*").alias("k")).filter("k > 1").select("gram"))
+    copies = where.join(classes.filter("copies > 1").drop("copies"), same_class)
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("row") == F.col("first.row"))
     # In another segment the difference is larger than any window.
-    overlaps = same & (F.col("start") < F.col("first.start") + MIN_WORDS)
-    later = stored(each.join(first, "key").filter(~overlaps).groupBy("doc_id", "row").agg(F.collect_list("start").alias("starts")))
-    discard(where)
-    return later
+    near = same & (F.col("at") < F.col("first.at") + MIN_WORDS)
+    far = copies.filter(~near).select("doc_id", "row", "at", "n")
+    close = copies.filter(near & (F.col("at") > F.col("first.at"))).select("gram", "doc_id", "row", "at")
+    firsts = classes.select("gram", "first.*")
+    wanted = kept(_with_place(firsts.unionByName(close).join(several, "gram", "left_semi"), kind))
+    sent: Broadcast = spark.sparkContext.broadcast(bitmap(wanted, "place"))
+
+    def windows(piece, doc, keys):
+        found, first, n, _, _ = stretches_of(piece)
+        of, at = place_of(found, doc, first)
+        good = sent.value.has(_mixed(keys.column(1).to_numpy()[of], at))
+        first, n, of, at = first[good], n[good], of[good], at[good]
+        running = bg.sums(found.hash, bg._WORD_PRIME)
+        begin = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        hashes = bg.span_hash(running, begin, begin + MIN_WORDS, bg._WORD_PRIME)
+        return [*keys.take(pa.array(of)).columns, pa.array(at), bg.lists(hashes.view(np.int64), n, pa.int64())]
+
+    read = _per_document(docs, windows, f"doc_id {kind}, row bigint, at bigint, hashes array<bigint>")
+    keys = ["row", "at"]
+    exact = read.join(wanted.select(F.col("doc_id").alias("id"), *keys), keys).filter(F.col("doc_id").eqNullSafe(F.col("id")))
+    each = stored(exact.select("doc_id", "row", "at", F.posexplode("hashes").alias("i", "key")).select(
+        "doc_id", "row", (F.col("at") + F.col("i")).alias("at"), "key").distinct())
+    first = each.groupBy("key").agg(F.min(F.struct("doc_id", "row", "at")).alias("first"), F.count("*").alias("times")).filter("times > 1")
+    later = each.join(first, "key").filter(~near).select("doc_id", "row", "at", F.lit(1).alias("n"))
+    found = stored(far.unionByName(later).groupBy("doc_id", "row").agg(F.collect_set(F.struct("at", "n")).alias("windows")))
+    for table in (where, classes, each):
+        discard(table)
+    release(spark)
+    return found
+
+
+def _with_place(places: DataFrame, kind: str) -> DataFrame:
+    """(doc_id, row, at) with the hash by which tasks know them again."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = _signed(_mixed(batch.column(1).to_numpy(), batch.column(2).to_numpy()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, place], names=["doc_id", "row", "at", "place"])
+
+    return places.select("doc_id", "row", "at").mapInArrow(hashed, f"doc_id {kind}, row bigint, at bigint, place bigint")
+
+
+def _mixed(row: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A hash of places."""
+    return bg.mix(bg.mix(row.view(np.uint64)) ^ at.view(np.uint64))
 
 
-def _cut(piece: bg.Slice, doc: np.ndarray, starts: list[list[int] | None]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+def _cut(piece: bg.Slice, doc: np.ndarray, windows: list[list[dict] | None]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """What stays of documents whose segments are the texts of a slice; the words removed, and the runs of removed words.
 
     ``doc`` has the document of each segment. Between two segments of a document lies a line that went.
     """
-    n_docs = len(starts)
+    n_docs = len(windows)
     found = bg.words(piece)
     lines, _ = lines_of(piece)
     line = np.searchsorted(lines.bounds[1:], found.start, side="right")
-    count = np.array([len(x or ()) for x in starts], dtype=np.int64)
-    flat = np.array([x for mine in starts for x in mine or ()], dtype=np.int64)
+    count = np.array([len(x or ()) for x in windows], dtype=np.int64)
+    flat = np.array([x["at"] for mine in windows for x in mine or ()], dtype=np.int64)
+    n = np.array([x["n"] for mine in windows for x in mine or ()], dtype=np.int64)
     segment = np.searchsorted(doc, np.repeat(np.arange(n_docs), count)) + (flat >> _WORD_BITS)
     begin = found.of[segment] + (flat & ((1 << _WORD_BITS) - 1))
     cover = np.zeros(len(line) + 1, dtype=np.int64)
     np.add.at(cover, begin, 1)
-    np.subtract.at(cover, begin + MIN_WORDS, 1)
+    np.subtract.at(cover, begin + n - 1 + MIN_WORDS, 1)
     out = np.cumsum(cover[:-1]) > 0
     drop = np.zeros(len(piece.data) + 1, dtype=np.int64)
     before = np.concatenate([[-1], found.text[:-1]]) if len(out) else found.text
@@ -370,17 +424,18 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     gone = _near_lines(keyed.select("doc_id", "row", "text"), kind)
     left = stored(_without_lines(keyed, others, gone))
+    release(docs.sparkSession)
     again = _repeated_windows(left, kind)
-    again = again.select(F.col("doc_id").alias("id"), F.col("row").alias("of"), "starts")
+    again = again.select(F.col("doc_id").alias("id"), F.col("row").alias("of"), "windows")
     joint = left.join(again, F.col("row").eqNullSafe(F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id")), "left")
-    joint = joint.select("doc", "segments", "n_words", "n_gone", "starts")
+    joint = joint.select("doc", "segments", "n_words", "n_gone", "windows")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            starts = batch.column(4).to_pylist()
+            windows = batch.column(4).to_pylist()
             for first, last, piece, doc in _whole_documents(batch.column(1)):
                 part = batch.slice(first, last - first)
-                texts, removed, spans = _cut(piece, doc, starts[first:last])
+                texts, removed, spans = _cut(piece, doc, windows[first:last])
                 null = part.column(1).is_null()
                 if part.column(1).null_count:
                     texts = pa.array(texts.to_pylist(), mask=null.to_numpy(zero_copy_only=False), type=pa.string())
