@@ -44,6 +44,9 @@ def instants(spark, inputs, zone):
         ("UTC", "-1500", "1969-12-31 23:59:58"),
         ("UTC", "99999999999999999999", None),
         ("UTC", "9223372036854775807", None),
+        ("UTC", "1735689600000.0", "2025-01-01 00:00:00"),
+        ("UTC", "1.735689600999E12", "2025-01-01 00:00:00"),
+        ("UTC", "1e300", None),
     ],
 )
 def test_datetime(spark, zone, text, want):
@@ -70,8 +73,8 @@ def test_datetime_as_text_in_target_zone(spark):
 
 
 def test_date(spark):
-    got = run(spark, ["19358", "0", "2023-06-15", "99999999", "later", None], ColumnSpec("c", "date"))
-    assert got == [dt.date(2023, 1, 1), dt.date(1970, 1, 1), dt.date(2023, 6, 15), None, None, None]
+    got = run(spark, ["19358", "0", "2023-06-15", "99999999", "later", None, "19358.0"], ColumnSpec("c", "date"))
+    assert got == [dt.date(2023, 1, 1), dt.date(1970, 1, 1), dt.date(2023, 6, 15), None, None, None, dt.date(2023, 1, 1)]
 
 
 def test_time(spark):
@@ -85,6 +88,7 @@ def test_time(spark):
         "-1000": "00:00:00",
         "360000000": "100:00:00",
         "12:34:56": "12:34:56",
+        "1000.0": "00:00:01",
     }
     assert run(spark, list(cases), ColumnSpec("c", "time")) == list(cases.values())
 
@@ -97,6 +101,8 @@ def test_bool(spark):
 
 def test_numbers_and_text(spark):
     assert run(spark, ["9223372036854775807", "1.5", "x"], ColumnSpec("c", "bigint")) == [2**63 - 1, None, None]
+    assert run(spark, ["5.0", "1e3", "1e30", "-0.0", "5.5", "9007199254740993.0"], ColumnSpec("c", "bigint")) == [5, 1000, None, 0, None, 2**53]
+    assert run(spark, ["70000.0", "7.0"], ColumnSpec("c", "smallint")) == [None, 7]
     assert run(spark, ["18446744073709551615"], ColumnSpec("c", "bigint", unsigned=True)) == [Decimal(2**64 - 1)]
     assert run(spark, ["4294967295"], ColumnSpec("c", "int", unsigned=True)) == [2**32 - 1]
     assert run(spark, ["123.45", "1e2"], ColumnSpec("c", "decimal", precision=10, scale=2)) == [

@@ -171,3 +171,46 @@ def test_stream_replay_and_a_new_stream_agree(spark, tmp_path):
     assert len(job.replica("pairs").applied(spark)) == 2
     sources = {row.batch.rsplit("-", 1)[0] for row in spark.read.parquet(job.statistics_path).select("batch").collect()}
     assert sources == set(job.replica("pairs").applied(spark))
+
+
+def test_every_attempt_is_recorded(spark, tmp_path):
+    """A database that deadlocks twice, one that never ends to, and one that cannot be reached."""
+    class Database(jdbc.DatabaseSink):
+        def __init__(self, errors):
+            super().__init__(None, "", Policy())
+            self.errors, self.done = errors, []
+
+        def already_applied(self, *_):
+            return False
+
+        def stage(self, rows, name):
+            if self.errors and self.errors[0] == "unreachable":
+                raise ConnectionError(self.errors[0])
+
+        def transact(self, statements):
+            if self.errors:
+                raise RuntimeError(self.errors.pop(0))
+            self.done.append(statements)
+
+    seen = {}
+    for name, errors in (("twice", ["40P01"] * 2), ("always", ["deadlock detected"] * 9), ("down", ["unreachable"])):
+        sink = Database(errors)
+        job = Replication(str(tmp_path / name), {"pairs": PAIRS}, sink=sink)
+        job.apply_batch(log_frame(spark, [("pairs", 0, 0, event("c", 1, a=1, b=1))]), 0)
+        seen[name] = {(r.error_type, r.attempts) for r in spark.read.parquet(job.failures_path).collect()}
+        assert len(sink.done) == (name == "twice")
+        assert spark.read.json(f"{job.dead_letter_path}/batch=0").count() == 1 if name != "twice" else True
+    assert seen == {"twice": {("deadlock", 2)}, "always": {("deadlock", 4), ("deadlock_exhausted", 1)}, "down": {("sink_error", 1)}}
+
+
+def test_staging_columns_are_free_and_values_are_cast(spark):
+    from tidemark.functions.types import ColumnSpec, TableSchema
+
+    table = TableSchema("t", (ColumnSpec("id", "int", 1, pk_pos=1), ColumnSpec("status", "json", 2), ColumnSpec("status_new", "time", 3)))
+    row = [("t", 0, 0, event("c", 1, id=1, status={"a": 1}, status_new=1000))]
+    staged = jdbc.staged(replay.changes(log_frame(spark, row), table), table, Policy())
+    assert len(set(staged.columns)) == len(staged.columns)
+    assert staged.first()["status_new"] == "00:00:01"
+    _, update, insert = jdbc.merge_statements(table, "t_changes", 0, "postgres")
+    assert 'CAST(s."status" AS JSONB)' in update and 'CAST(s."__new_status_new" AS TIME)' in insert
+    assert "AS JSON)" in jdbc.merge_statements(table, "t_changes", 0, "mysql")[2]

@@ -14,13 +14,15 @@ from tidemark.functions.types import (
     DATE_TYPES,
     DATETIME_TYPES,
     TIME_TYPES,
+    WHOLE_TYPES,
     ColumnSpec,
     spark_type,
 )
 
 # The texts that count as true; any other text is false.
 TRUE_TEXTS = ("1", "true", "TRUE")
-_NUMBER = r"^-?\d+(\.\d+)?([eE][+-]?\d+)?$"
+# Up to here every whole number is a double.
+_EXACT = float(1 << 53)
 
 
 @dataclass(frozen=True)
@@ -52,7 +54,7 @@ def _one_of(setting: str, value: str, allowed: tuple[str, ...]) -> None:
 
 def boolean(text: Column) -> Column:
     """Numbers are true unless zero; of the texts only 1, true and TRUE are."""
-    number = F.when(text.rlike(_NUMBER), text.try_cast("double") != 0)
+    number = F.when(text.rlike(temporal.NUMBER), text.try_cast("double") != 0)
     return F.when(text.isin(*TRUE_TEXTS), F.lit(True)).otherwise(
         F.coalesce(number, F.when(text.isNotNull(), F.lit(False)))
     )
@@ -73,7 +75,17 @@ def convert(text: Column, column: ColumnSpec, policy: Policy) -> Column:
     if name in BINARY_TYPES:
         return F.try_to_binary(text, F.lit("base64"))
     target = spark_type(column, policy.dialect)
-    return text if target.simpleString() == "string" else text.try_cast(target)
+    if target.simpleString() == "string":
+        return text
+    if name in WHOLE_TYPES:
+        return F.coalesce(text.try_cast(target), _whole_double(text).try_cast(target))
+    return text.try_cast(target)
+
+
+def _whole_double(text: Column) -> Column:
+    """A whole number that is written with a fraction of zero or with an exponent, as 5.0 is."""
+    value = F.when(text.rlike(temporal.NUMBER), text.try_cast("double"))
+    return F.when((F.abs(value) <= _EXACT) & (value == F.floor(value)), value)
 
 
 def always_fits(column: ColumnSpec, policy: Policy) -> bool:
@@ -91,7 +103,7 @@ def fits(text: Column, column: ColumnSpec, policy: Policy) -> Column:
     if column.data_type in DATETIME_TYPES:
         return temporal.instant(text, policy.source_zone).isNotNull()
     if column.data_type in TIME_TYPES:
-        return ~text.rlike(temporal.WHOLE_NUMBER) | text.try_cast("bigint").isNotNull()
+        return ~text.rlike(temporal.NUMBER) | temporal.whole_of(text).isNotNull()
     return convert(text, column, policy).isNotNull()
 
 

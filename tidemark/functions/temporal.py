@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 # The accepted text layouts of a date and time, without and with a zone.
 LOCAL_TEXT = r"^\d{4}-\d{2}-\d{2}[T ]\d{1,2}:\d{2}:\d{2}([.,]\d+)?$"
 ZONED_TEXT = r"^\d{4}-\d{2}-\d{2}T\d{1,2}:\d{2}:\d{2}([.,]\d+)?(Z|[+-]\d{2}:\d{2})$"
-WHOLE_NUMBER = r"^-?\d+$"
+NUMBER = r"^-?\d+(\.\d+)?([eE][+-]?\d+)?$"
 
 # Microseconds are 64 bit, so this is the largest millisecond count that fits.
 _MAX_MILLIS = 9223372036854775
@@ -20,6 +20,11 @@ _MAX_MILLIS = 9223372036854775
 _MIN_DAY, _MAX_DAY = -719162, 2932896
 
 
+def whole_of(text: Column) -> Column:
+    """The whole number of a JSON number's text, which may have a fraction, that is dropped, or an exponent."""
+    return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+
+
 def instant_of_millis(ms: Column, source_zone: str) -> Column:
     """Epoch milliseconds of a source wall clock, as the instant it stands for."""
     in_range = F.when(ms.between(-_MAX_MILLIS, _MAX_MILLIS), ms)
@@ -35,8 +40,7 @@ def instant_of_text(text: Column, source_zone: str) -> Column:
 
 def instant(text: Column, source_zone: str) -> Column:
     """A date-and-time field, sent as epoch milliseconds or as ISO text, as an instant."""
-    ms = text.try_cast("bigint")
-    by_number = F.when(text.rlike(WHOLE_NUMBER), instant_of_millis(ms, source_zone))
+    by_number = F.when(text.rlike(NUMBER), instant_of_millis(whole_of(text), source_zone))
     return F.coalesce(by_number, instant_of_text(text, source_zone))
 
 
@@ -49,10 +53,10 @@ def target_text(at: Column, target_zone: str) -> Column:
 
 def date_of(text: Column) -> Column:
     """A date field, sent as days since 1970-01-01 or as text. Dates never shift with a zone."""
-    days = text.try_cast("int")
-    in_range = F.when(days.between(_MIN_DAY, _MAX_DAY), days)
+    days = whole_of(text)
+    in_range = F.when(days.between(_MIN_DAY, _MAX_DAY), days).cast("int")
     epoch = F.lit("1970-01-01").cast("date")
-    return F.when(text.rlike(WHOLE_NUMBER), F.date_add(epoch, in_range)).otherwise(text.try_cast("date"))
+    return F.when(text.rlike(NUMBER), F.date_add(epoch, in_range)).otherwise(text.try_cast("date"))
 
 
 def time_of_millis(ms: Column) -> Column:
@@ -65,5 +69,5 @@ def time_of_millis(ms: Column) -> Column:
 
 def time_of(text: Column) -> Column:
     """A time field, sent as milliseconds or as text, which is kept."""
-    ms = text.try_cast("bigint")
-    return F.when(text.rlike(WHOLE_NUMBER), F.when(ms.isNotNull(), time_of_millis(ms))).otherwise(text)
+    ms = whole_of(text)
+    return F.when(text.rlike(NUMBER), F.when(ms.isNotNull(), time_of_millis(ms))).otherwise(text)

@@ -13,6 +13,7 @@ TIME_TYPES = ("time", "time with time zone", "time without time zone", "timetz")
 SMALL_TYPES = ("tinyint", "smallint")
 INTEGER_TYPES = ("mediumint", "int", "integer")
 BIGINT_TYPES = ("bigint",)
+WHOLE_TYPES = (*SMALL_TYPES, *INTEGER_TYPES, *BIGINT_TYPES)
 DECIMAL_TYPES = ("decimal", "numeric")
 FLOAT_TYPES = ("float", "real")
 DOUBLE_TYPES = ("double", "double precision")

@@ -22,12 +22,24 @@ BATCHES = "applied_batches"
 CREATES = "__row_created"
 
 
+# Types that a staging table holds as text, and what the target casts them to.
+CASTS = {"postgres": {"json": "JSONB", "jsonb": "JSONB", "time": "TIME"}, "mysql": {"json": "JSON", "time": "TIME"}}
+
+
+def _set(name: str) -> str:
+    return f"__set_{name}"
+
+
+def _new(name: str) -> str:
+    return f"__new_{name}"
+
+
 def staged(changes: DataFrame, table: TableSchema, policy: Policy) -> DataFrame:
     """Change rows flattened for a staging table.
 
-    Per column: its last value, ``<c>_set`` whether an existing row takes it, and
-    ``<c>_new`` the value a created row gets. ``__row_created`` is set where an insert may
-    create the row.
+    Per column: its last value, ``__set_<c>`` whether an existing row takes it, and
+    ``__new_<c>`` the value a created row gets. ``__row_created`` is set where an insert may
+    create the row. Source columns do not begin with ``__``, so these names are free.
     """
     order = changes.schema[FIRST_INSERT].dataType.fieldNames()
     kinds = {f.name: f.dataType for f in replica_schema(table, policy.dialect)}
@@ -39,8 +51,8 @@ def staged(changes: DataFrame, table: TableSchema, policy: Policy) -> DataFrame:
         value = F.col(f"`{name}`.v").cast(kinds[name])
         columns += [
             value.alias(name),
-            F.col(f"`{name}`").isNotNull().cast("int").alias(f"{name}_set"),
-            F.when(after, value).otherwise(defaults.get(name, F.lit(None))).cast(kinds[name]).alias(f"{name}_new"),
+            F.col(f"`{name}`").isNotNull().cast("int").alias(_set(name)),
+            F.when(after, value).otherwise(defaults.get(name, F.lit(None))).cast(kinds[name]).alias(_new(name)),
         ]
     created = F.col(FIRST_INSERT).isNotNull().cast("int").alias(CREATES)
     return changes.select(*map(quoted, table.keys), created, *columns)
@@ -72,7 +84,12 @@ def merge_statements(table: TableSchema, staging: str, batch_id: int, dialect: s
     values = [c.name for c in payload_columns(table) if c.pk_pos is None] + [DELETED_AT]
     target, source = q(table.table), q(staging)
     same = " AND ".join(f"t.{q(k)} = s.{q(k)}" for k in table.keys)
-    taken = {c: f"CASE WHEN s.{q(c + '_set')} = 1 THEN s.{q(c)} ELSE t.{q(c)} END" for c in values}
+    kinds = {c.name: CASTS[dialect].get(c.data_type) for c in payload_columns(table)}
+
+    def cast(column: str, name: str) -> str:
+        return f"CAST(s.{q(column)} AS {kinds[name]})" if kinds.get(name) else f"s.{q(column)}"
+
+    taken = {c: f"CASE WHEN s.{q(_set(c))} = 1 THEN {cast(c, c)} ELSE t.{q(c)} END" for c in values}
     if dialect == "mysql":
         sets = ", ".join(f"t.{q(c)} = {taken[c]}" for c in values)
         update = f"UPDATE {target} t JOIN {source} s ON {same} SET {sets}"
@@ -80,7 +97,7 @@ def merge_statements(table: TableSchema, staging: str, batch_id: int, dialect: s
         sets = ", ".join(f"{q(c)} = {taken[c]}" for c in values)
         update = f"UPDATE {target} AS t SET {sets} FROM {source} AS s WHERE {same}"
     columns = ", ".join(q(c) for c in [*table.keys, *values])
-    fresh = ", ".join([f"s.{q(k)}" for k in table.keys] + [f"s.{q(c + '_new')}" for c in values])
+    fresh = ", ".join([f"s.{q(k)}" for k in table.keys] + [cast(_new(c), c) for c in values])
     insert = (
         f"INSERT INTO {target} ({columns}) SELECT {fresh} FROM {source} s WHERE s.{q(CREATES)} = 1"
         f" AND NOT EXISTS (SELECT 1 FROM {target} t WHERE {same})"
@@ -112,15 +129,28 @@ class DatabaseSink:
         self.policy = policy
         self.options = options or {}
 
-    def __call__(self, table: TableSchema, changes: DataFrame, batch_id: int, source: str = "") -> bool:
-        if self.already_applied(table, batch_id, source):
-            return False
+    def __call__(self, table: TableSchema, changes: DataFrame, batch_id: int, source: str = "") -> int:
+        """Apply a batch unless it was applied before; gives the deadlocks it took.
+
+        Whatever fails, connecting and staging included, is a :class:`SinkFailure`, which dead-letters the batch.
+        """
         staging = f"{table.table}_changes"
-        rows = staged(changes, table, self.policy)
-        rows.write.format("jdbc").mode("overwrite").options(url=self.url, dbtable=staging, **self.options).save()
         statements = merge_statements(table, staging, batch_id, self.policy.dialect, source)
-        with_retry(lambda: self.transact(statements), self.policy.dialect)
-        return True
+
+        def stage() -> None:
+            if not self.already_applied(table, batch_id, source):
+                self.stage(staged(changes, table, self.policy), staging)
+                waiting.append(statements)
+
+        waiting: list[list[str]] = []
+        deadlocks = with_retry(stage, self.policy.dialect)
+        for one in waiting:
+            deadlocks += with_retry(lambda: self.transact(one), self.policy.dialect)
+        return deadlocks
+
+    def stage(self, rows: DataFrame, name: str) -> None:
+        """Write the staging table, in parallel."""
+        rows.write.format("jdbc").mode("overwrite").options(url=self.url, dbtable=name, **self.options).save()
 
     def already_applied(self, table: TableSchema, batch_id: int, source: str = "") -> bool:
         connection = self.connect()

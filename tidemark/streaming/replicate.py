@@ -38,6 +38,7 @@ from tidemark.streaming.lake import Counts, ReplicaTable
 from tidemark.streaming.retry import SinkFailure
 
 Catalog = dict[str, TableSchema]
+#: Takes the change rows of a table, batch and source; may give the number of deadlocks that took.
 Sink = Callable[[TableSchema, DataFrame, int, str], Any]
 Counted = tuple[str, str, int]
 BATCH_STATISTICS = pa.schema(
@@ -49,16 +50,19 @@ BATCH_STATISTICS = pa.schema(
         ("seconds", pa.float64()),
     ]
 )
+#: A failed attempt that was repeated.
+DEADLOCK = "deadlock"
 #: Reasons that a later catalog may lift.
 WAITING = (UNKNOWN_TABLE, UNKNOWN_COLUMN)
 
 
 @dataclass
 class Applied:
-    """What a batch did to a table: events by operation, and whether keys came from several log partitions."""
+    """What a batch did to a table: events by operation, whether keys came from several log partitions, and deadlocks on the way."""
 
     counts: list[Counted]
     split: bool
+    deadlocks: int = 0
 
 
 @dataclass
@@ -119,6 +123,10 @@ class Replication:
     def statistics_path(self) -> str:
         return f"{self.root.rstrip('/')}/statistics"
 
+    @property
+    def failures_path(self) -> str:
+        return f"{self.root.rstrip('/')}/failures"
+
     @property
     def _epoch_path(self) -> str:
         return f"{self.root.rstrip('/')}/epochs"
@@ -167,6 +175,7 @@ class Replication:
                 refused.unpersist()
             counts = [row for outcome in outcomes.values() if isinstance(outcome, Applied) for row in outcome.counts]
             self._record(spark, counts, batch_id, source, time.time() - started)
+            self._record_failures(spark, outcomes, batch_id, source)
             if self.sink is None:
                 done = [n for n, outcome in outcomes.items() if isinstance(outcome, Applied) and tables[n].keys]
                 versions = {n: self.replica(n, tables[n]).version(spark) for n in done}
@@ -241,9 +250,9 @@ class Replication:
         # Keys whose order the log does not give are rejected; the others go on.
         sound = keys_in_one_place(changes) if self.order == LOG_ORDER else changes
         try:
-            self.sink(table, sound, batch_id, source)
+            deadlocks = self.sink(table, sound, batch_id, source)
             split = self.order == LOG_ORDER and not keys_in_two_places(changes).isEmpty()
-            return Applied([(name, row.operation, row.events) for row in operation_counts(sound).collect()], split)
+            return Applied([(name, row.operation, row.events) for row in operation_counts(sound).collect()], split, int(deadlocks or 0))
         finally:
             changes.unpersist()
 
@@ -255,6 +264,18 @@ class Replication:
         rows = spark.createDataFrame(frame).coalesce(1)
         rows.write.mode("overwrite").parquet(f"{self.statistics_path}/batch={_folder(batch_id, source)}")
 
+    def _record_failures(self, spark: SparkSession, outcomes: dict[str, SinkFailure | Applied], batch_id: int, source: str) -> None:
+        """Failed attempts by table and kind: every deadlock counts, also of a batch that went through in the end."""
+        rows = []
+        for name, outcome in outcomes.items():
+            if outcome.deadlocks:
+                rows.append((batch_id, name, DEADLOCK, outcome.deadlocks))
+            if isinstance(outcome, SinkFailure):
+                rows.append((batch_id, name, outcome.reason, 1))
+        if rows:
+            frame = spark.createDataFrame(rows, "batch_id long, source_table string, error_type string, attempts long").coalesce(1)
+            frame.write.mode("overwrite").parquet(f"{self.failures_path}/batch={_folder(batch_id, source)}")
+
     def start(self, stream: DataFrame, checkpoint: str, every: str | None = None) -> StreamingQuery:
         """Run on a stream. Without an interval it takes all that is there and stops."""
         source: list[str] = []
