@@ -146,3 +146,14 @@ def test_lookups_take_names_in_any_case_and_unreadable_defaults_are_errors(spark
     bad = catalog.build_catalog(spark.createDataFrame([*rows[:1], (*rows[1][:8], catalog.UNREADABLE + "f()")], COLUMNS), keys)
     with pytest.raises(ValueError, match="t.v"):
         catalog.table_schema(bad, "t")
+
+
+def test_a_value_that_does_not_fit_does_not_end_the_load(spark):
+    from tidemark.functions.types import ColumnSpec, TableSchema
+
+    table = TableSchema("t", (ColumnSpec("id", "int", 1, pk_pos=1), ColumnSpec("n", "int", 2), ColumnSpec("d", "decimal", 3, precision=4, scale=2)))
+    rows = spark.createDataFrame([(1, "7", 1.5), (2, "many", 99999.0), (3, None, None)], "ID int, n string, d double")
+    out = {r.id: (r.n, r.d and float(r.d)) for r in bootstrap.bootstrap(rows, table).collect()}
+    assert out == {1: (7, 1.5), 2: (None, None), 3: (None, None)}
+    found = {tuple(r) for r in bootstrap.misfits(rows, table).collect()}
+    assert found == {("2", "n", "many"), ("2", "d", "99999.0")}

@@ -169,3 +169,17 @@ def test_policy_rejects_unknown_settings():
         Policy(dialect="oracle")
     with pytest.raises(ValueError, match="delete_time"):
         Policy(delete_time="never")
+
+
+def test_numbers_in_quotes_are_texts_to_a_bool(spark):
+    from helpers import log_frame
+
+    from tidemark.operators.typed import typed_events, typed_rows
+
+    table = TableSchema("t", (ColumnSpec("id", "int", 1, pk_pos=1), ColumnSpec("flag", "bit", 2)))
+    values = ['"2"', "2", '"1"', "1", '"0"', "0", "0.5", '"0.5"', "true", '"true"', '"TRUE"', '"True"', "null", '"-1"', "-1"]
+    rows = [("t", 0, i, f'{{"ID":{i},"Flag":{v},"note":"Flag\\": 7","__op":"c"}}') for i, v in enumerate(values)]
+    events = typed_events(envelope.parse(log_frame(spark, rows)), table)
+    got = {r.offset: r.flag for r in typed_rows(events, table).collect()}
+    assert [got[i] for i in range(len(values))] == [
+        False, True, True, True, False, False, True, False, True, True, True, False, None, False, True]

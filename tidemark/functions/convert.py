@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -52,16 +53,29 @@ def _one_of(setting: str, value: str, allowed: tuple[str, ...]) -> None:
         raise ValueError(f"invalid {setting} {value!r}: must be one of {', '.join(allowed)}")
 
 
-def boolean(text: Column) -> Column:
-    """Numbers are true unless zero; of the texts only 1, true and TRUE are."""
-    number = F.when(text.rlike(temporal.NUMBER), text.try_cast("double") != 0)
-    return F.when(text.isin(*TRUE_TEXTS), F.lit(True)).otherwise(
-        F.coalesce(number, F.when(text.isNotNull(), F.lit(False)))
-    )
+def boolean(text: Column, quoted: Column | None = None) -> Column:
+    """Numbers are true unless zero; of the texts only 1, true and TRUE are.
 
+    ``quoted`` says whether a number stood in quotes, which makes it a text. It is only looked at for numbers that are
+    neither zero nor one.
+    """
+    number = text.rlike(temporal.NUMBER) & (text.try_cast("double") != 0)
+    number = number if quoted is None else number & ~quoted
+    return F.when(text.isin(*TRUE_TEXTS), F.lit(True)).otherwise(F.when(text.isNotNull(), F.coalesce(number, F.lit(False))))
+
+
+def quoted_in(raw: Column, name: str) -> Column:
+    """Whether a field of a JSON object, named without regard to case, is a text."""
+    # Lower case throughout: the names' own spelling is not known, and quotes stay quotes.
+    value = F.try_variant_get(F.try_parse_json(F.lower(raw)), "$[" + json.dumps(name) + "]", "variant")
+    return F.coalesce(F.schema_of_variant(value) == "STRING", F.lit(False))
 
-def convert(text: Column, column: ColumnSpec, policy: Policy) -> Column:
-    """Typed value of a payload text; NULL if it is NULL or does not fit the column."""
+
+def convert(text: Column, column: ColumnSpec, policy: Policy, raw: Column | None = None) -> Column:
+    """Typed value of a payload text; NULL if it is NULL or does not fit the column.
+
+    With the event's raw text, numbers in quotes are told from numbers where that matters.
+    """
     name = column.data_type
     if name in DATETIME_TYPES:
         at = temporal.instant(text, policy.source_zone)
@@ -71,7 +85,7 @@ def convert(text: Column, column: ColumnSpec, policy: Policy) -> Column:
     if name in TIME_TYPES:
         return temporal.time_of(text)
     if name in BOOLEAN_TYPES:
-        return boolean(text)
+        return boolean(text, None if raw is None else quoted_in(raw, column.name))
     if name in BINARY_TYPES:
         return F.try_to_binary(text, F.lit("base64"))
     target = spark_type(column, policy.dialect)

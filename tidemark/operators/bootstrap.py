@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.convert import Policy
@@ -25,9 +25,29 @@ def bootstrap(frame: DataFrame, table: TableSchema, policy: Policy = Policy()) -
     """A source table as replica rows: types from the catalog, delete stamp added.
 
     Wall-clock columns (timestamps without zone) are read in the source zone. The plan is
-    one projection over the scan.
+    one projection over the scan. A value that does not fit its column becomes NULL instead of ending the load;
+    :func:`misfits` lists such values.
     """
     source = lower_names(frame)
+    stamp = F.col(DELETED_AT) if DELETED_AT in source.columns else F.lit(None)
+    return source.select(*_typed(source, table, policy), stamp.cast("timestamp").alias(DELETED_AT))
+
+
+def misfits(frame: DataFrame, table: TableSchema, policy: Policy = Policy()) -> DataFrame:
+    """(keys, column_name, text) of the values of a source table that do not fit the replica's column."""
+    source = lower_names(frame)
+    keys = [F.col(f"`{k}`").cast("string").alias(k) for k in table.keys]
+    typed = source.select("*", F.struct(*_typed(source, table, policy)).alias("__typed"))
+    bad = [
+        F.when(F.col(f"`{c.name}`").isNotNull() & F.col("__typed")[c.name].isNull(),
+               F.struct(F.lit(c.name).alias("column_name"), F.col(f"`{c.name}`").cast("string").alias("text")))
+        for c in table.columns if c.name != DELETED_AT
+    ]
+    return typed.select(*keys, F.inline(F.filter(F.array(*bad), lambda x: x.isNotNull())))
+
+
+def _typed(source: DataFrame, table: TableSchema, policy: Policy) -> list[Column]:
+    """The source's columns with the replica's types."""
     kinds = dict(source.dtypes)
     columns = []
     for column, field in zip([c for c in table.columns if c.name != DELETED_AT], replica_schema(table, policy.dialect)):
@@ -38,9 +58,10 @@ def bootstrap(frame: DataFrame, table: TableSchema, policy: Policy = Policy()) -
                 value = F.to_utc_timestamp(F.concat(value.cast("string"), F.lit("Z")).cast("timestamp"), policy.source_zone)
             if policy.dialect == "mysql":
                 value = target_text(value, policy.target_zone)
-        columns.append(value.cast(field.dataType).alias(field.name))
-    stamp = F.col(DELETED_AT) if DELETED_AT in source.columns else F.lit(None)
-    return source.select(*columns, stamp.cast("timestamp").alias(DELETED_AT))
+        # Only texts and numbers may fail to fit.
+        fits = kinds[column.name] in ("string", "double", "float", "int", "bigint", "smallint", "tinyint") or kinds[column.name].startswith("decimal")
+        columns.append((value.try_cast(field.dataType) if fits else value.cast(field.dataType)).alias(field.name))
+    return columns
 
 
 def table_list(tables: DataFrame, excluded: Iterable[str] = ()) -> DataFrame:

@@ -218,7 +218,7 @@ def typed_events(events: DataFrame, table: TableSchema, policy: Policy = Policy(
         *[has(names, c.name).alias(f"__has_{c.name}") for c in columns if c.name not in keys],
     )
     converted = mentioned.select(
-        "*", *[convert(F.col(quoted(f"__text_{c.name}")), c, policy).alias(f"__typed_{c.name}") for c in columns]
+        "*", *[convert(F.col(quoted(f"__text_{c.name}")), c, policy, F.col("raw")).alias(f"__typed_{c.name}") for c in columns]
     )
     reason = _reason(
         table,

@@ -369,3 +369,5 @@ ORACLES["cdc_late_table"] = f"""{ORACLES["cdc_multi_table"]}
     UNION ALL SELECT 'dead_letters', count(*), count(*) FROM hostile WHERE {_REJECTED} AND kind NOT IN (5, 10)"""
 ORACLES["cdc_rebucket"] = ORACLES["cdc_upsert"].replace("SELECT o_orderkey,", f"SELECT {_DELETED} AS deleted_ms, o_orderkey,", 1)
 ORACLES["stats_observed"] = ORACLES["stats_processed"]
+ORACLES["cdc_redelivered"] = f"""WITH {_EV} SELECT 'user_state' AS source_table, operation, count(*) AS events
+    FROM ev GROUP BY operation"""

@@ -667,6 +667,24 @@ def stats_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recorded.groupBy("source_table", "operation").agg(F.sum("events").alias("events"))
 
 
+def cdc_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log whose slices bring every tenth row twice, and again with the next slice: events counted by the job."""
+    root = shared_dir(spark, "redelivered")
+    job = _job(root)
+    log = logs.user_state_log(spark, sf_dir)
+    tenth = F.col("offset") % 10 == 0
+    for i in range(len(_SLICE_ENDS)):
+        mine = _slice(log, i)
+        sent = mine.unionByName(mine.filter(tenth))
+        sent = sent if not i else sent.unionByName(_slice(log, i - 1).filter(tenth))
+        sent.write.mode("append").parquet(f"{root}/log")
+        # The log spans a month; nothing in it is later than two.
+        stream = changelog.delivered_once(changelog.stream_files(spark, f"{root}/log"), "60 days")
+        job.start(stream, f"{root}/checkpoint").awaitTermination()
+    recorded = spark.read.parquet(job.statistics_path)
+    return recorded.groupBy("source_table", "operation").agg(F.sum("events").alias("events"))
+
+
 STREAM_QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -680,6 +698,7 @@ STREAM_QUERIES: dict[str, Query] = {
         cdc_late_table,
         cdc_rebucket,
         stats_observed,
+        cdc_redelivered,
     )
 }
 

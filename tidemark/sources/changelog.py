@@ -94,6 +94,16 @@ def with_prefix(log: DataFrame, prefix: str) -> DataFrame:
     return log.filter(F.col("topic").startswith(prefix))
 
 
+def delivered_once(stream: DataFrame, within: str) -> DataFrame:
+    """A stream without the rows that were sent again, by topic, partition and offset.
+
+    Replicas need no such thing, since a repeated event changes nothing there; counts and dead letters do. A row is
+    known again for ``within`` of its log time, which bounds the state. Rows that are later than that behind the
+    newest are taken for repeats and dropped, so it must be longer than any delay of delivery.
+    """
+    return stream.withWatermark("timestamp", within).dropDuplicatesWithinWatermark(["topic", "partition", "offset"])
+
+
 def after_positions(log: DataFrame, positions: DataFrame) -> DataFrame:
     """Rows past the position recorded for their topic and partition.
 
