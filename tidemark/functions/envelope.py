@@ -101,7 +101,7 @@ def parse(log: DataFrame) -> DataFrame:
     # A generated row, not a projection: filters on what was parsed stay above it, so
     # that no event is parsed again to decide whether to keep it.
     arrays = parsed.select(
-        "topic", "partition", "offset", "timestamp", F.col("value").alias("raw"), F.inline(F.array(found))
+        "topic", "partition", "offset", "timestamp", "key", F.col("value").alias("raw"), F.inline(F.array(found))
     )
     names, texts = F.col("names"), F.col("texts")
     tombstone = F.col("raw").isNull()
@@ -112,6 +112,7 @@ def parse(log: DataFrame) -> DataFrame:
         "partition",
         "offset",
         "timestamp",
+        "key",
         "raw",
         "parse_error",
         op.alias("op"),

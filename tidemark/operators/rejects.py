@@ -19,6 +19,7 @@ from tidemark.operators.typed import (
     cell_of,
     validated,
 )
+from tidemark.sources.changelog import LOG_SCHEMA
 
 # Stages an event can be rejected in.
 STAGE_PARSE = "parse"
@@ -99,6 +100,8 @@ def dead_letters(rejects: DataFrame, at: Column | None = None, retries: int = 0)
         "topic",
         "partition",
         "offset",
+        F.col("timestamp").alias("logged"),
+        "key",
         "raw",
         _stage().alias("stage"),
         F.col("reason").alias("error"),
@@ -118,9 +121,8 @@ def dead_letter_count(entries: DataFrame) -> DataFrame:
 
 
 def replayable(entries: DataFrame) -> DataFrame:
-    """Dead-letter entries back as log rows."""
-    return entries.select(
-        "topic", "partition", "offset", "timestamp", F.lit(None).cast("string").alias("key"), F.col("raw").alias("value")
-    )
+    """Dead-letter entries, also ones read back from JSON lines, as the log rows they were."""
+    values = {"timestamp": F.col("logged"), "value": F.col("raw")}
+    return entries.select(*[values.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in LOG_SCHEMA])
 
 

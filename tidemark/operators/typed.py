@@ -39,6 +39,7 @@ EVENT_COLUMNS = (
     "partition",
     "offset",
     "timestamp",
+    "key",
     "raw",
     "op",
     "operation",

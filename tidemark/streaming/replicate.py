@@ -320,8 +320,8 @@ def _fingerprint(tables: Catalog) -> str:
 
 
 def _as_log(events: DataFrame) -> DataFrame:
-    """Rejected events as the log rows they came from; the row's key is not kept, as nothing reads it."""
-    values = {"key": F.lit(None), "value": F.col("raw")}
+    """Rejected events as the log rows they came from."""
+    values = {"value": F.col("raw")}
     return events.select(*[values.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in LOG_SCHEMA])
 
 
