@@ -9,15 +9,30 @@ from tidemark.llm.frames import table
 SF = "/root/testdata/sf0.01"
 
 
-def plain_pack(sizes, lengths, least):
+def plain_least(least):
+    return lambda sizes, i, lengths: min(c for c in lengths if c >= max(sizes[i], least))
+
+
+def plain_per_token(sizes, i, lengths):
+    """Fills every length with what is to come, by looking at every piece."""
+    shares = []
+    for c in (c for c in lengths if c >= sizes[i]):
+        used = sizes[i]
+        for s in sizes[i + 1 :]:
+            used += s if used + s <= c else 0
+        shares.append((packing.cost(min(x for x in lengths if x >= used)) / used, c))
+    return min(shares)[1]
+
+
+def plain_pack(sizes, lengths, opens):
     """Best fit by looking at every open bin."""
     bins = []
-    for s in sizes:
+    for i, s in enumerate(sizes):
         fits = [b for b in bins if b[0] - sum(b[1]) >= s]
         if fits:
             min(fits, key=lambda b: b[0] - sum(b[1]))[1].append(s)
         else:
-            bins.append((min(c for c in lengths if c >= max(s, least)), [s]))
+            bins.append((opens(sizes, i, lengths), [s]))
     return sum(packing.cost(min(c for c in lengths if c >= sum(b))) for _, b in bins)
 
 
@@ -31,10 +46,22 @@ def test_cost_equals_plain_best_fit(seed):
     for s, b in zip(sizes, bins):
         used[b] += s
     assert all(used[b] <= c and all(x >= c or x < used[b] for x in lengths) for b, c in enumerate(capacity))
-    costs = [plain_pack(sizes, lengths, least) for least in lengths]
+    costs = [plain_pack(sizes, lengths, opens) for opens in (plain_per_token, *map(plain_least, lengths))]
     assert sum(map(packing.cost, capacity)) == pytest.approx(min(costs))
 
 
+def test_openings_by_cost_per_token_save():
+    """Sizes about as large as the shorter lengths: no single least length is best for all bins."""
+    better = 0
+    for seed in range(10):
+        pick = random.Random(seed)
+        sizes = sorted((pick.randint(1000, 5000) for _ in range(300)), reverse=True)
+        cost = lambda p: sum(map(packing.cost, p[1]))
+        fixed = min(cost(packing.pack_once(sizes, packing.LENGTHS, packing.least_from(x))) for x in packing.LENGTHS)
+        better += cost(packing.pack(sizes)) < fixed
+    assert better >= 3
+
+
 def check(frame, docs, **options):
     parts, bins = defaultdict(list), defaultdict(list)
     for r in packing.best_fit(frame, **options).collect():

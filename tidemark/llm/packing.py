@@ -5,8 +5,9 @@ dropped. Pieces are spread over shards at random, and each shard is packed on it
 longest on into the open bin that they fill best, and if none has room a new one is opened. At the end every bin
 shrinks to the smallest permitted length that holds what is in it.
 
-Which length to open is chosen jointly for all lengths: a shard is packed once for each permitted length
-as the least to open, and the packing whose shrunken bins cost least is kept. A bin of c tokens costs
+Which length to open is chosen jointly for all lengths, bin by bin: for each permitted length that has room, the pieces still to
+come show how far it could be filled, and the length opens whose cost per token it would then hold is least. A shard is
+also packed once for each permitted length as the least to open, and the packing whose shrunken bins cost least is kept. A bin of c tokens costs
 c + c * c / KNEE: the part that grows with its tokens, and attention, which grows with their square.
 
 A shard has about ``PIECES`` pieces whatever the table's size, so more documents mean more shards, not larger ones.
@@ -15,7 +16,7 @@ A shard has about ``PIECES`` pieces whatever the table's size, so more documents
 from __future__ import annotations
 
 from bisect import bisect_left, insort
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -34,27 +35,55 @@ def cost(length: int) -> float:
     return length + length * length / KNEE
 
 
-def pack_once(sizes: Sequence[int], lengths: Sequence[int], least: int) -> tuple[list[int], list[int]]:
-    """Bin of each piece and length of each bin, shrunk, if no bin is opened shorter than ``least``. Sizes descend."""
+def shrunk(used: int, lengths: Sequence[int]) -> int:
+    """The shortest permitted length that holds so much."""
+    return lengths[bisect_left(lengths, used)]
+
+
+def least_from(least: int) -> Callable:
+    """Opens the shortest length that fits, but none shorter than ``least``."""
+    return lambda sizes, at, lengths: shrunk(max(sizes[at], least), lengths)
+
+
+def cheapest_per_token(sizes: Sequence[int], at: int, lengths: Sequence[int]) -> int:
+    """The length whose cost per token would be least, filled with the largest pieces to come that go in, one after another."""
+    best = None
+    for length in lengths[bisect_left(lengths, sizes[at]):]:
+        used, begin = sizes[at], at + 1
+        while begin < len(sizes):
+            # Sizes descend: the first one from here on that has room.
+            begin = bisect_left(sizes, used - length, lo=begin, key=lambda size: -size)
+            if begin == len(sizes):
+                break
+            used, begin = used + sizes[begin], begin + 1
+        share = cost(shrunk(used, lengths)) / used
+        if best is None or share < best[0]:
+            best = (share, length)
+    return best[1]
+
+
+def pack_once(sizes: Sequence[int], lengths: Sequence[int], opens: Callable) -> tuple[list[int], list[int]]:
+    """Bin of each piece and length of each bin, shrunk, if ``opens`` says which length a new bin gets. Sizes descend."""
     rooms: list[tuple[int, int]] = []  # (free, bin), sorted
     bins, used = [], []
-    for size in sizes:
+    for i, size in enumerate(sizes):
         at = bisect_left(rooms, (size, -1))
         if at < len(rooms):
             free, number = rooms.pop(at)
         else:
-            free, number = min((c for c in lengths if c >= max(size, least)), key=cost), len(used)
+            free, number = opens(sizes, i, lengths), len(used)
             used.append(0)
         used[number] += size
         bins.append(number)
         if free > size:
             insort(rooms, (free - size, number))
-    return bins, [min(c for c in lengths if c >= n) for n in used]
+    return bins, [shrunk(n, lengths) for n in used]
 
 
 def pack(sizes: Sequence[int], lengths: Sequence[int] = LENGTHS) -> tuple[list[int], list[int]]:
-    """The cheapest of the packings that ``pack_once`` gives for each permitted length; the shortest of equals."""
-    return min((pack_once(sizes, lengths, least) for least in lengths), key=lambda p: sum(map(cost, p[1])))
+    """The cheapest of the packings that the ways to open a bin give; the first of equals. Sizes descend, lengths ascend."""
+    ways = [cheapest_per_token, *map(least_from, lengths)]
+    return min((pack_once(sizes, lengths, opens) for opens in ways), key=lambda p: sum(map(cost, p[1])))
 
 
 def best_fit(docs: DataFrame, length: Column | None = None, lengths: Sequence[int] = LENGTHS, pieces: int = PIECES) -> DataFrame:
