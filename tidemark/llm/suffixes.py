@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import bytegrams as bg
-from tidemark.llm.frames import bitmap, kept, prepare, stored
+from tidemark.llm.frames import bitmap, discard, kept, prepare, release, stored
 
 LENGTH, GRAM = 100, 32
 WIDTH = LENGTH - GRAM + 1
@@ -297,6 +297,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     keys, order = ["core", "whole"], ["doc_id", "spot"]
     found = stored(_stretches(docs, kind))
+    release(docs.sparkSession)
     classes = stored(_first(found, keys, order))
     more = F.col("spot").bitwiseAND((1 << MORE_BITS) - 1)
     copies = _later(found, keys, order, classes).select("doc_id", "spot", F.lit(0).cast("bigint").alias("start"), (more + LENGTH).alias("stop"))
@@ -306,8 +307,12 @@ def repeats(docs: DataFrame) -> DataFrame:
     strings = stored(_strings(docs, wanted, kind).join(hot, "core", "left"))
     spans = copies.union(_sorted_spans(strings.filter("hot IS NULL"), kind)).union(_grouped_spans(strings.filter("hot"), kind))
     begin = F.shiftright("spot", MORE_BITS).bitwiseAND((1 << START_BITS) - 1)
-    return spans.groupBy("doc_id", F.shiftright("spot", START_BITS + MORE_BITS).alias("tag")).agg(
-        F.collect_set(F.struct((begin + F.col("start")).alias("start"), (begin + F.col("stop")).alias("stop"))).alias("spans"))
+    result = stored(spans.groupBy("doc_id", F.shiftright("spot", START_BITS + MORE_BITS).alias("tag")).agg(
+        F.collect_set(F.struct((begin + F.col("start")).alias("start"), (begin + F.col("stop")).alias("stop"))).alias("spans")))
+    for table in (found, classes, wanted, strings):
+        discard(table)
+    release(docs.sparkSession)
+    return result
 
 
 def removed(size: int, spans: list[dict] | None) -> np.ndarray:
@@ -381,7 +386,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
 def _deduplicated(keyed: DataFrame) -> DataFrame:
     """The result for documents (doc_id, row, text) whose doc_id and tag tell them apart."""
     kind = keyed.schema["doc_id"].dataType.simpleString()
-    spans = stored(repeats(keyed))
+    spans = repeats(keyed)
     # Only texts that may have spans are moved to them; the bitmap lets others through by chance, and they find none.
     key = F.xxhash64(F.col("doc_id").cast("string"), "tag")
     keyed = keyed.withColumn("tag", F.col("row").bitwiseAND((1 << TAG_BITS) - 1)).withColumn("key", key)
