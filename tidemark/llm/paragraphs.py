@@ -82,12 +82,16 @@ def band_keys(values: np.ndarray, bounds: np.ndarray, bands: int) -> np.ndarray:
     return out
 
 
-def _scan(docs: DataFrame, emit: Callable[[bg.Slice, pa.RecordBatch], list[pa.Array]], names: str) -> DataFrame:
-    """``emit`` over slices of (doc_id, row, text)."""
+def _scan(
+    docs: DataFrame, emit: Callable[[bg.Slice, pa.RecordBatch], list[pa.Array]], names: str, rows: Broadcast | None = None
+) -> DataFrame:
+    """``emit`` over slices of (doc_id, row, text); with a bitmap of rows, only over those that may be in it."""
     plain = [n.split()[0] for n in names.split(", ")]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if rows is not None:
+                batch = batch.filter(pa.array(rows.value.has(batch.column(1).to_numpy())))
             for piece in bg.slices(batch.column(2)):
                 keys = batch.select([0, 1]).slice(piece.first, piece.last - piece.first)
                 yield pa.RecordBatch.from_arrays(emit(piece, keys), names=plain)
@@ -144,10 +148,6 @@ def _near_lines(docs: DataFrame, kind: str) -> DataFrame:
         rows = spark.sparkContext.broadcast(bitmap(some, "row"))
         wanted = spark.sparkContext.broadcast(bitmap(some, "node"))
 
-        def here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield batch.filter(pa.array(rows.value.has(batch.column(1).to_numpy())))
-
         def sets(piece, _):
             lines, _, nodes, at = long_lines(piece)
             names, first = np.unique(nodes[at], return_index=True)
@@ -155,8 +155,7 @@ def _near_lines(docs: DataFrame, kind: str) -> DataFrame:
             values, bounds = shingle_sets(chosen(lines, at[first[good]]), SIZE)
             return [_signed(names[good]), pa.array([values[a:b].tobytes() for a, b in zip(bounds, bounds[1:])], type=pa.binary())]
 
-        some_docs = docs.select("doc_id", "row", "text").mapInArrow(here, f"doc_id {kind}, row bigint, text string")
-        read = _scan(some_docs, sets, "node bigint, shingles binary").join(some.select("node"), "node", "left_semi")
+        read = _scan(docs, sets, "node bigint, shingles binary", rows).join(some.select("node"), "node", "left_semi")
         return read.dropDuplicates(["node"]).select("node", F.lit(None).cast("binary").alias("signature"), "shingles")
 
     def links_of(pairs: DataFrame) -> DataFrame:
