@@ -19,8 +19,9 @@ from tidemark.session import shared_dir
 
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents whose key is not in ``ids`` (gone)."""
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
+    """The documents whose key is not in ``ids`` (gone), whatever other columns they have."""
+    docs, ids = docs.alias("docs"), ids.alias("ids")
+    return docs.join(ids, F.col("docs.doc_id").eqNullSafe(F.col("ids.gone")), "left_anti")
 
 
 def _aside(docs: DataFrame) -> DataFrame:
