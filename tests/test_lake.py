@@ -295,3 +295,23 @@ def test_small_deltas_are_sent_and_the_base_does_not_move(spark, tmp_path):
     assert "Join" not in plan()
     table.compact(spark)
     assert "Exchange" not in plan() and "Join" not in plan()
+
+
+@pytest.fixture
+def small_tasks(spark):
+    """Shuffles of some hundred bytes a task."""
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "300", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name in settings:
+        spark.conf.unset(name)
+
+
+def test_few_buckets_are_replaced_by_many_tasks(spark, tmp_path, small_tasks):
+    table = replica(tmp_path, buckets=2, compact_share=None)
+    events = random_events(18, 120)
+    table.replace(changes(spark, events))
+    assert len(table.manifest(spark).buckets) == 2
+    assert len(opened(table.changes(spark))) > 2
+    assert as_dict(table.read(spark)) == interpret(events)

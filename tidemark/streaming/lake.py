@@ -267,9 +267,7 @@ class ReplicaTable:
         state = self.manifest(spark)
         version, depth = state.version + 1, (self.buckets - 1).bit_length()
         buckets = [Bucket(depth, prefix) for prefix in range(1 << depth)]
-        # A fold with as many shuffle partitions is laid out so already, and moves no row again.
-        laid_out = rows.repartition(1 << depth, *map(quoted, self.table.keys))
-        sizes = self._write_base(laid_out, buckets, version)
+        sizes = self._write_base(rows, buckets, version, dealt=True)
         filled = tuple(self._filled(b, sizes, version) for b in buckets)
         self._commit(spark, Manifest(version, filled, {}, state.applied))
         return version
@@ -327,19 +325,18 @@ class ReplicaTable:
         stored = self._base(spark, [b for b in parts if b.version is not None])
         # The test on places is pushed to the files, whose row groups are in this order.
         rows = stored.unionByName(self._pending(spark, state).filter(mine).drop(VERSION))
-        n = 1 << max(p.depth for p in fresh)
-        keys = [quoted(k) for k in self.table.keys]
-        if n <= 4 * len(fresh):
+        depth = max(p.depth for p in fresh)
+        if 1 << depth <= 4 * len(fresh):
             # One move: a partition by key lies in one bucket.
-            merged = self._combined(rows.repartition(n, *keys))
-        else:
-            merged = self._combined(rows)
-            merged = merged.repartition(self._bucket_name(fresh))
-        return self._write_base(merged, fresh, version)
+            merged = self._combined(rows.repartition(1 << depth, *map(quoted, self.table.keys)))
+            return self._write_base(merged, fresh, version)
+        return self._write_base(self._combined(rows), fresh, version, dealt=True)
 
-    def _write_base(self, rows: DataFrame, buckets: list[Bucket], version: int) -> dict[str, int]:
+    def _write_base(self, rows: DataFrame, buckets: list[Bucket], version: int, dealt: bool = False) -> dict[str, int]:
+        """Write rows as the base of their buckets. Dealt, the rows of a bucket meet in one task, or in several if they are many."""
         folder = self._folder(version)
         named = rows.withColumn(BUCKET, self._bucket_name(buckets))
+        named = named.hint("rebalance", BUCKET) if dealt else named
         named.write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
         spark = rows.sparkSession
         found = [name.removeprefix(f"{BUCKET}=") for name in files.names(spark, folder) if name.startswith(f"{BUCKET}=")]
