@@ -315,3 +315,14 @@ def test_few_buckets_are_replaced_by_many_tasks(spark, tmp_path, small_tasks):
     assert len(table.manifest(spark).buckets) == 2
     assert len(opened(table.changes(spark))) > 2
     assert as_dict(table.read(spark)) == interpret(events)
+
+
+def test_a_large_bucket_is_compacted_by_many_tasks(spark, tmp_path, monkeypatch):
+    table = replica(tmp_path, compact_share=None)
+    events = random_events(19, 120)
+    for batch, start in enumerate((0, 60)):
+        table.apply(changes(spark, events[start : start + 60], start), batch)
+    monkeypatch.setattr("tidemark.streaming.lake.TASK_BYTES", 1000)
+    assert table.compact(spark) == ["0_0"]
+    assert len(opened(table.changes(spark))) > 1
+    assert as_dict(table.read(spark)) == interpret(events)

@@ -52,6 +52,8 @@ VERSION = "__version"
 #: When a key's first change row was stored: what ``current_timestamp`` means as a default.
 CREATED = "__created"
 PLACE_BITS = 32
+#: Stored bytes that a task of a compaction merges. As rows in memory they are many times as large.
+TASK_BYTES = 16 << 20
 _DELTA = "delta"
 _POSITION_TYPES = {"ts_ms": T.LongType(), "partition": T.IntegerType(), "offset": T.LongType()}
 #: Position of rows that were loaded from a snapshot: before any event.
@@ -299,7 +301,8 @@ class ReplicaTable:
         version = state.version + 1
         parts = {b: self._parts(b, size + b.size) for b, size in chosen.items()}
         if chosen:
-            written = self._write_merged(spark, state, parts, version)
+            largest = max((size + b.size) / len(parts[b]) for b, size in chosen.items())
+            written = self._write_merged(spark, state, parts, version, largest)
             parts = {b: [self._filled(p, written, version, state.version) for p in mine] for b, mine in parts.items()}
         idle = {b: changed(b, since=state.version) for b in state.buckets if b not in sizes}
         buckets = tuple(p for b in state.buckets for p in parts.get(b, [idle.get(b, b)]))
@@ -315,8 +318,10 @@ class ReplicaTable:
             more += 1
         return [Bucket(bucket.depth + more, (bucket.prefix << more) + i) for i in range(1 << more)]
 
-    def _write_merged(self, spark: SparkSession, state: Manifest, parts: dict[Bucket, list[Bucket]], version: int) -> dict[str, int]:
-        """Write the new base of some buckets; gives the bytes by name."""
+    def _write_merged(
+        self, spark: SparkSession, state: Manifest, parts: dict[Bucket, list[Bucket]], version: int, largest: float
+    ) -> dict[str, int]:
+        """Write the new base of some buckets, of which the largest has so many bytes; gives the bytes by name."""
         fresh = [p for mine in parts.values() for p in mine]
         spans = [(b.first, b.first + (1 << (PLACE_BITS - b.depth)) - 1) for b in _joined(list(parts))]
         mine = F.lit(False)
@@ -327,7 +332,8 @@ class ReplicaTable:
         rows = stored.unionByName(self._pending(spark, state).filter(mine).drop(VERSION))
         depth = max(p.depth for p in fresh)
         if 1 << depth <= 4 * len(fresh):
-            # One move: a partition by key lies in one bucket.
+            # One move: a partition by key lies in one bucket. A large bucket has several.
+            depth = min(depth + int(largest / TASK_BYTES).bit_length(), PLACE_BITS - 2)
             merged = self._combined(rows.repartition(1 << depth, *map(quoted, self.table.keys)))
             return self._write_base(merged, fresh, version)
         return self._write_base(self._combined(rows), fresh, version, dealt=True)
