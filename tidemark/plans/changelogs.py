@@ -66,6 +66,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _dealt(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:
+    """A table for a log, its rows dealt over tasks by size.
+
+    A compact row becomes a JSON text many times as long, and a file of few row groups is read by as few tasks.
+    """
+    return table(spark, sf_dir, name).hint("rebalance", *keys)
+
+
 def epoch_ms(at: Column) -> Column:
     """Milliseconds of a wall clock without zone."""
     return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), at)
@@ -101,7 +109,7 @@ def user_state_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     blank = _json("user_id", F.lit(None).cast("double").alias("value"), kind.alias("last_type"), *meta)
     value = F.when(kind.isin("signup", "error"), full).when(kind == "purchase", blank).otherwise(short)
     return _log(
-        table(spark, sf_dir, "events"),
+        _dealt(spark, sf_dir, "events", "event_id"),
         F.lit(PREFIX + "user_state"),
         F.pmod("user_id", F.lit(4)),
         F.col("event_id"),
@@ -116,7 +124,7 @@ def activity_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts_ms = epoch_ms(F.col("ts"))
     meta = _meta(F.lit("c"), ts_ms, "activity")
     return _log(
-        table(spark, sf_dir, "events"),
+        _dealt(spark, sf_dir, "events", "event_id"),
         F.lit(PREFIX + "activity"),
         F.pmod("event_id", F.lit(4)),
         F.col("event_id"),
@@ -135,7 +143,7 @@ def orders_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
     midnight = epoch_ms(F.col("o_orderdate"))
-    base = table(spark, sf_dir, "orders").select(
+    base = _dealt(spark, sf_dir, "orders", "o_orderkey").select(
         key,
         "o_custkey",
         "o_orderstatus",
@@ -215,7 +223,7 @@ def messages_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     steps = F.array(
         F.lit(0), F.when(F.col("role") == "assistant", F.lit(1)), F.when(F.col("turn") % 3 == 0, F.lit(2))
     )
-    base = table(spark, sf_dir, "conversations").select(
+    base = _dealt(spark, sf_dir, "conversations", "conv_id", "turn").select(
         "*", F.explode(F.filter(steps, lambda s: s.isNotNull())).alias("step")
     )
     step = F.col("step")
@@ -254,7 +262,7 @@ HOSTILE_FIRST_ID = 1_000_000_000
 
 def hostile_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer as log rows of which all but one kind cannot be applied."""
-    base = table(spark, sf_dir, "customer").select(
+    base = _dealt(spark, sf_dir, "customer", "c_custkey").select(
         (F.col("c_custkey") + HOSTILE_FIRST_ID).alias("user_id"),
         "c_name",
         F.get(F.array(*[F.lit(k) for k in HOSTILE_KINDS]), F.col("c_nationkey") % len(HOSTILE_KINDS)).alias("kind"),
@@ -292,7 +300,7 @@ def supplier_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts_ms = F.lit(1720000000000)
     value = _json("s_suppkey", "s_name", "s_acctbal", *_meta(F.lit("c"), ts_ms, "supplier"))
     return _log(
-        table(spark, sf_dir, "supplier"),
+        _dealt(spark, sf_dir, "supplier", "s_suppkey"),
         F.lit("mysql_src.crm.supplier"),
         F.pmod("s_suppkey", F.lit(2)),
         F.col("s_suppkey"),
