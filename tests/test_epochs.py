@@ -4,7 +4,7 @@ from helpers import PAIRS, event, log_frame
 from pyspark.sql import functions as F
 
 from tidemark.functions.types import ColumnSpec, TableSchema
-from tidemark.operators import replay
+from tidemark.operators import rejects, replay
 from tidemark.streaming.lake import ReplicaTable
 from tidemark.streaming.replicate import Replication
 
@@ -101,3 +101,26 @@ def test_events_wait_for_their_table_and_column(spark, tmp_path):
     found = job.read(spark, "pairs").filter("a = 1").first()
     assert (found.x, found.z) == (1, 5)
     assert {r.error for r in spark.read.json(job.dead_letter_path).collect()} == {"parse_error"}
+
+
+def test_a_table_that_took_all_its_events_is_not_validated_again(spark, tmp_path, monkeypatch):
+    given, plans, rejected = [], [], rejects.rejected
+
+    def seen(events, *others):
+        given.append({(r.source_table, r.offset) for r in events.collect()})
+        plans.append(events._jdf.queryExecution().executedPlan().toString())
+        return rejected(events, *others)
+
+    monkeypatch.setattr(rejects, "rejected", seen)
+    job = Replication(str(tmp_path), BOTH)
+    bad = [("pairs", 0, 50, event("c", 1, a="many", b=0)), ("nosuch", 0, 51, "{}"), ("src.notes", 0, 52, "{bad")]
+    # Spelled in two ways, and the other table refuses one of its events.
+    notes = [("NOTES", 0, 60, event("c", 1, id=60))]
+    job.apply_batch(log_frame(spark, rows_of(0, 3) + bad + notes), 0)
+    assert counts(spark, job) == (3, 4)
+    assert given == [{("pairs", 0), ("pairs", 1), ("pairs", 2), ("pairs", 50), ("nosuch", 51), (None, 52)}]
+    assert "InMemoryRelation" in plans[0] and "Sort [" not in plans[0]
+    letters = {(r.offset, r.error) for r in spark.read.json(job.dead_letter_path).collect()}
+    assert letters == {(50, "cast_error"), (51, "unknown_table"), (52, "parse_error")}
+    job.apply_batch(log_frame(spark, rows_of(10, 2)), 1)
+    assert given[1] == set() and counts(spark, job) == (5, 6)

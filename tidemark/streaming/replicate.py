@@ -22,7 +22,7 @@ from typing import Any
 
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -58,11 +58,38 @@ WAITING = (UNKNOWN_TABLE, UNKNOWN_COLUMN)
 
 @dataclass
 class Applied:
-    """What a batch did to a table: events by operation, whether keys came from several log partitions, and deadlocks on the way."""
+    """What a batch did to a table: events by operation, whether keys came from several log partitions, and deadlocks on the way.
+
+    ``batch`` is the one that the counts are of, if it is known.
+    """
 
     counts: list[Counted]
     split: bool
     deadlocks: int = 0
+    batch: int | None = None
+
+
+@dataclass(frozen=True)
+class Present:
+    """Of a table that a batch names: its name in lower case, its first and last spelling, and the number of its events.
+
+    Spelled in one way, the name can be compared with the bounds of a cached block.
+    """
+
+    name: str
+    first: str
+    last: str
+    events: int
+
+    def rows(self, events: DataFrame) -> DataFrame:
+        """The table's events, or all if it is spelled in several ways."""
+        return events.filter(F.col("source_table") == self.first) if self.first == self.last else events
+
+    def others(self) -> Column:
+        """Whether an event is of another table, or of none."""
+        spelled = F.col("source_table")
+        apart = (spelled < self.first) | (spelled > self.first) if self.first == self.last else F.lower(spelled) != self.name
+        return spelled.isNull() | apart
 
 
 @dataclass
@@ -150,18 +177,16 @@ class Replication:
         parked = epoch.parked
         if parked and catalog != epoch.catalog:
             log, parked = log.unionByName(spark.read.schema(LOG_SCHEMA).parquet(*parked)), []
-        # Read by every table, so parsed once; spills to disk, recomputed if lost. Sorted,
-        # so that a table skips the cached blocks of the others by their bounds.
-        events = replay.parsed(log, self.excluded)
-        if len(tables) > 1:
-            events = events.sortWithinPartitions("source_table")
-        events = events.persist(StorageLevel.MEMORY_AND_DISK)
+        # Read by every table, so parsed once; spills to disk, recomputed if lost. Not sorted: topics and files bring
+        # long runs of one table, so a table skips most cached blocks of the others by their bounds.
+        events = replay.parsed(log, self.excluded).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             present = self._tables_in(events, tables)
             with ThreadPoolExecutor(max(1, self.tables_at_once)) as pool:
-                outcomes = dict(zip(present, pool.map(lambda n: self._apply_table(present[n], tables[n], n, batch_id, source), present)))
+                mine = {n: of.rows(events) for n, of in present.items()}
+                outcomes = dict(zip(mine, pool.map(lambda n: self._apply_table(mine[n], tables[n], n, batch_id, source), mine)))
             _raise_if_all_broke(outcomes)
-            refused = self._refused(events, present, outcomes, tables).persist(StorageLevel.MEMORY_AND_DISK)
+            refused = self._refused(events, present, outcomes, tables, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 waits = F.col("reason").isin(*WAITING) if callable(self.catalog) else F.lit(False)
                 if callable(self.catalog):
@@ -192,9 +217,21 @@ class Replication:
         finally:
             events.unpersist()
 
-    def _refused(self, events: DataFrame, present: dict[str, DataFrame], outcomes: dict[str, Any], tables: Catalog) -> DataFrame:
-        """All events that were not applied: those that cannot be, in one pass, split keys, and failed tables' whole batches."""
-        refused = rejects.rejected(events, tables, self.policy)
+    def _refused(
+        self, events: DataFrame, present: dict[str, Present], outcomes: dict[str, Any], tables: Catalog, batch_id: int
+    ) -> DataFrame:
+        """All events that were not applied: those that cannot be, in one pass, split keys, and failed tables' whole batches.
+
+        A table whose events were all counted as applied has none, so its events are not validated again.
+        """
+        whole = [
+            present[n] for n, outcome in outcomes.items()
+            if isinstance(outcome, Applied) and outcome.batch == batch_id and sum(c for _, _, c in outcome.counts) == present[n].events
+        ]
+        unsettled = events
+        for of in whole:
+            unsettled = unsettled.filter(of.others())
+        refused = rejects.rejected(unsettled, tables, self.policy)
         broken = {n: outcome for n, outcome in outcomes.items() if isinstance(outcome, SinkFailure)}
         if broken:
             lower = [tables[n].table.lower() for n in broken]
@@ -202,28 +239,23 @@ class Replication:
         for name, outcome in outcomes.items():
             table = tables[name]
             if name in broken:
-                refused = refused.unionByName(rejects.sink_failure(table_events(present[name], table), outcome.reason))
+                refused = refused.unionByName(rejects.sink_failure(table_events(present[name].rows(events), table), outcome.reason))
             elif outcome.split:
-                typed = typed_events(present[name], table, self.policy)
+                typed = typed_events(present[name].rows(events), table, self.policy)
                 refused = refused.unionByName(rejects.split_keys(typed, fold(typed, table, self.order), table))
         return refused
 
-    def _tables_in(self, events: DataFrame, tables: Catalog) -> dict[str, DataFrame]:
-        """Events by catalog table they name; the driver sees at most one row per table."""
+    def _tables_in(self, events: DataFrame, tables: Catalog) -> dict[str, Present]:
+        """The catalog tables that events name; the driver sees at most one row per table."""
         name = F.lower("source_table")
         by_name = {known.lower(): known for known in tables}
         found = (
             events.filter(name.isin(list(by_name)))
             .groupBy(name.alias("name"))
-            .agg(F.min("source_table").alias("first"), F.max("source_table").alias("last"))
+            .agg(F.min("source_table").alias("first"), F.max("source_table").alias("last"), F.count(F.lit(1)).alias("events"))
             .collect()
         )
-
-        def of(row: Row) -> DataFrame:
-            # Spelled in one way, the name can be compared with the bounds of a cached block.
-            return events.filter(F.col("source_table") == row["first"]) if row["first"] == row["last"] else events
-
-        return {by_name[row["name"]]: of(row) for row in sorted(found, key=lambda row: row["name"])}
+        return {by_name[row["name"]]: Present(**row.asDict()) for row in sorted(found, key=lambda row: row["name"])}
 
     def _apply_table(self, events: DataFrame, table: TableSchema, name: str, batch_id: int, source: str) -> SinkFailure | Applied:
         """Apply one table's events; gives the number applied by operation, at most three rows.
@@ -252,7 +284,7 @@ class Replication:
         try:
             deadlocks = self.sink(table, sound, batch_id, source)
             split = self.order == LOG_ORDER and not keys_in_two_places(changes).isEmpty()
-            return Applied([(name, row.operation, row.events) for row in operation_counts(sound).collect()], split, int(deadlocks or 0))
+            return Applied([(name, row.operation, row.events) for row in operation_counts(sound).collect()], split, int(deadlocks or 0), batch_id)
         finally:
             changes.unpersist()
 
@@ -327,7 +359,7 @@ def _as_log(events: DataFrame) -> DataFrame:
 
 def _applied(name: str, counts: Counts) -> Applied:
     by_operation = {INSERT: counts.inserts, UPDATE: counts.updates, DELETE: counts.events - counts.inserts - counts.updates}
-    return Applied([(name, operation, n) for operation, n in by_operation.items() if n], counts.split > 0)
+    return Applied([(name, operation, n) for operation, n in by_operation.items() if n], counts.split > 0, batch=counts.batch)
 
 
 def _raise_if_all_broke(outcomes: dict[str, SinkFailure | Applied]) -> None:
