@@ -9,6 +9,7 @@ from tidemark.functions.convert import Policy
 from tidemark.functions.types import ColumnSpec, TableSchema
 from tidemark.operators import rejects, replay
 from tidemark.operators.typed import typed_events, typed_rows
+from tidemark.sources.changelog import LOG_SCHEMA
 
 GOOD = ['{"a":1}', '  {"a":1}  ', "{}", '{"a":1,"a":2}', '{"a":{"b":[1,2]}}', "null", " null "]
 BAD = [
@@ -74,6 +75,17 @@ def test_exclusion_is_exact(spark):
     assert envelope.exclude_tables(envelope.parse(log), []).count() == 4
 
 
+def test_the_table_of_a_topic_needs_no_split(spark):
+    topics = ["a.b.c", "a.b.c.d", "a.b", "a.b.", "a..c", "..c", "a", "", ".", "..", "...", "é.ü.ß", "a.b. ", None]
+    rows = spark.createDataFrame([(t, 0, i, None, None, "{}") for i, t in enumerate(topics)], LOG_SCHEMA)
+    want = {t: (t.split(".") + ["", ""])[2] or None if t is not None else None for t in topics}
+    want.update({t: None for t in topics if t is not None and t.count(".") < 2})
+    assert {r.topic: r.named for r in rows.select("topic", envelope.topic_table(F.col("topic")).alias("named")).collect()} == want
+    # A split compiles a pattern for every row, and a generator's own expressions are interpreted.
+    plan = envelope.parse(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert "split" not in plan and "Generate inline(array(__found" in plan
+
+
 REASONS = [
     ("pairs", "{bad", "parse_error"),
     ("pairs", None, "missing_key"),

@@ -43,8 +43,12 @@ def event_time(ts_ms: Column) -> Column:
 
 
 def topic_table(topic: Column) -> Column:
-    """Table a topic is named after: its third dot-part, NULL if it has fewer parts."""
-    return F.nullif(F.split_part(topic, F.lit("."), F.lit(3)), F.lit(""))
+    """Table a topic is named after: its third dot-part, NULL if it has fewer parts.
+
+    Cut out between two prefixes: a split would compile its pattern anew for every row.
+    """
+    before, upto = F.substring_index(topic, ".", 2), F.substring_index(topic, ".", 3)
+    return F.nullif(F.substring(upto, F.length(before) + 2, F.length(upto)), F.lit(""))
 
 
 def routed_table(topic: Column, source_table: Column) -> Column:
@@ -99,10 +103,11 @@ def parse(log: DataFrame) -> DataFrame:
         F.when(usable, F.reverse(F.map_values(body))).otherwise(empty).alias("texts"),
     )
     # A generated row, not a projection: filters on what was parsed stay above it, so
-    # that no event is parsed again to decide whether to keep it.
-    arrays = parsed.select(
-        "topic", "partition", "offset", "timestamp", "key", F.col("value").alias("raw"), F.inline(F.array(found))
-    )
+    # that no event is parsed again to decide whether to keep it. Its fields are made before, since
+    # Spark interprets a generator's own expressions in a stage too large to compile.
+    log_columns = [F.col(c) for c in ("topic", "partition", "offset", "timestamp", "key")] + [F.col("value").alias("raw")]
+    made = parsed.select(*log_columns, found.alias("__found"))
+    arrays = made.select(*made.columns[:-1], F.inline(F.array("__found")))
     names, texts = F.col("names"), F.col("texts")
     tombstone = F.col("raw").isNull()
     op = F.when(tombstone, F.lit("d")).otherwise(text_of(names, texts, "__op"))
