@@ -124,3 +124,24 @@ def test_a_table_that_took_all_its_events_is_not_validated_again(spark, tmp_path
     assert letters == {(50, "cast_error"), (51, "unknown_table"), (52, "parse_error")}
     job.apply_batch(log_frame(spark, rows_of(10, 2)), 1)
     assert given[1] == set() and counts(spark, job) == (5, 6)
+
+
+def test_what_a_batch_caches_is_not_the_parsed_copy(spark, tmp_path, monkeypatch):
+    cached, kind = [], type(spark.range(1))
+    persist = kind.persist
+
+    def seen(frame, *level):
+        if "names" in frame.columns:
+            cached.append(sorted(r.offset for r in frame.collect()))
+        return persist(frame, *level)
+
+    monkeypatch.setattr(kind, "persist", seen)
+    job = Replication(str(tmp_path), BOTH)
+    # A topic of two parts names no table, so its events are routed by what they say.
+    told = [("src.all", 0, 90 + i, event("c", 1, __source_table=table, **row)) for i, (table, row) in enumerate(
+        [("pairs", {"a": 90, "b": 0}), ("NOTES", {"id": 91}), ("nosuch", {"id": 92})])]
+    job.apply_batch(log_frame(spark, rows_of(0, 3) + told), 0)
+    assert counts(spark, job) == (4, 4)
+    assert cached == [[90, 91, 92]]
+    letters = {(r.offset, r.error) for r in spark.read.json(job.dead_letter_path).collect()}
+    assert letters == {(92, "unknown_table")}

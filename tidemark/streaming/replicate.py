@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.convert import Policy
-from tidemark.functions.envelope import DELETE, INSERT, UPDATE
+from tidemark.functions.envelope import DELETE, INSERT, UPDATE, exclude_topics, topic_table
 from tidemark.functions.types import TableSchema
 from tidemark.operators import rejects, replay
 from tidemark.operators.fold import LOG_ORDER, fold, keys_in_one_place, keys_in_two_places, operation_counts
@@ -71,25 +71,76 @@ class Applied:
 
 @dataclass(frozen=True)
 class Present:
-    """Of a table that a batch names: its name in lower case, its first and last spelling, and the number of its events.
+    """Of a table that a batch names: its name in lower case, its first and last topic, and the number of its events.
 
-    Spelled in one way, the name can be compared with the bounds of a cached block.
+    With one topic, a row's topic can be compared with the bounds of a cached block. No topic: none names the table.
     """
 
     name: str
-    first: str
-    last: str
+    first: str | None
+    last: str | None
     events: int
 
-    def rows(self, events: DataFrame) -> DataFrame:
-        """The table's events, or all if it is spelled in several ways."""
-        return events.filter(F.col("source_table") == self.first) if self.first == self.last else events
 
-    def others(self) -> Column:
-        """Whether an event is of another table, or of none."""
-        spelled = F.col("source_table")
-        apart = (spelled < self.first) | (spelled > self.first) if self.first == self.last else F.lower(spelled) != self.name
-        return spelled.isNull() | apart
+@dataclass(frozen=True)
+class Batch:
+    """The log rows of a batch, cached, and how they are parsed.
+
+    A topic that names its table is routed before the parse: each table parses its own rows, and what is cached is the
+    text alone, not its parsed copy of several times the size. Rows of other topics may be of any table, so their events,
+    if there are any, are parsed once and cached.
+    """
+
+    rows: DataFrame
+    excluded: tuple[str, ...]
+    #: Rows by topic: few rows, counted once.
+    topics: DataFrame
+    strays: DataFrame | None
+
+    @staticmethod
+    def of(log: DataFrame, excluded: tuple[str, ...]) -> Batch:
+        # Read by every table; spills to disk, recomputed if lost. Not sorted: topics and files bring long runs of one
+        # table, so a table skips most cached blocks of the others by their bounds.
+        rows = exclude_topics(log, excluded).persist(StorageLevel.MEMORY_AND_DISK)
+        # The greatest and least of texts are found by sorting, so rows are counted by topic first.
+        topics = rows.groupBy("topic").count().withColumn("source_table", topic_table(F.col("topic"))).persist()
+        lost = F.col("source_table").isNull()
+        strays = None
+        if not topics.filter(lost).isEmpty():
+            strays = replay.parsed(rows.filter(topic_table(F.col("topic")).isNull()), excluded).persist(StorageLevel.MEMORY_AND_DISK)
+        return Batch(rows, excluded, topics, strays)
+
+    def unpersist(self) -> None:
+        for frame in (self.strays, self.topics, self.rows):
+            if frame is not None:
+                frame.unpersist()
+
+    def named(self) -> DataFrame:
+        """Rows whose topic names a table, with its name."""
+        return self.rows.withColumn("source_table", topic_table(F.col("topic"))).filter("source_table IS NOT NULL")
+
+    def _parsed(self, rows: DataFrame, strays: Column) -> DataFrame:
+        found = replay.parsed(rows.select(*self.rows.columns), self.excluded)
+        return found if self.strays is None else found.unionByName(self.strays.filter(strays))
+
+    def table(self, of: Present) -> DataFrame:
+        """The events of a table."""
+        same = F.lower("source_table") == of.name
+        mine = self.named().filter(same)
+        mine = mine.filter(F.col("topic") == of.first) if of.first is not None and of.first == of.last else mine
+        return self._parsed(mine, same)
+
+    def without(self, tables: list[Present]) -> DataFrame:
+        """The events of other tables, or of none."""
+        names = [of.name for of in tables]
+        rest, strays = self.named(), F.lit(True)
+        for of in tables:
+            if of.first is not None and of.first == of.last:
+                rest = rest.filter((F.col("topic") < of.first) | (F.col("topic") > of.first))
+        if names:
+            rest = rest.filter(~F.lower("source_table").isin(names))
+            strays = F.col("source_table").isNull() | ~F.lower("source_table").isin(names)
+        return self._parsed(rest, strays)
 
 
 @dataclass
@@ -177,13 +228,11 @@ class Replication:
         parked = epoch.parked
         if parked and catalog != epoch.catalog:
             log, parked = log.unionByName(spark.read.schema(LOG_SCHEMA).parquet(*parked)), []
-        # Read by every table, so parsed once; spills to disk, recomputed if lost. Not sorted: topics and files bring
-        # long runs of one table, so a table skips most cached blocks of the others by their bounds.
-        events = replay.parsed(log, self.excluded).persist(StorageLevel.MEMORY_AND_DISK)
+        events = Batch.of(log, self.excluded)
         try:
             present = self._tables_in(events, tables)
             with ThreadPoolExecutor(max(1, self.tables_at_once)) as pool:
-                mine = {n: of.rows(events) for n, of in present.items()}
+                mine = {n: events.table(of) for n, of in present.items()}
                 outcomes = dict(zip(mine, pool.map(lambda n: self._apply_table(mine[n], tables[n], n, batch_id, source), mine)))
             _raise_if_all_broke(outcomes)
             refused = self._refused(events, present, outcomes, tables, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
@@ -218,7 +267,7 @@ class Replication:
             events.unpersist()
 
     def _refused(
-        self, events: DataFrame, present: dict[str, Present], outcomes: dict[str, Any], tables: Catalog, batch_id: int
+        self, events: Batch, present: dict[str, Present], outcomes: dict[str, Any], tables: Catalog, batch_id: int
     ) -> DataFrame:
         """All events that were not applied: those that cannot be, in one pass, split keys, and failed tables' whole batches.
 
@@ -228,10 +277,7 @@ class Replication:
             present[n] for n, outcome in outcomes.items()
             if isinstance(outcome, Applied) and outcome.batch == batch_id and sum(c for _, _, c in outcome.counts) == present[n].events
         ]
-        unsettled = events
-        for of in whole:
-            unsettled = unsettled.filter(of.others())
-        refused = rejects.rejected(unsettled, tables, self.policy)
+        refused = rejects.rejected(events.without(whole), tables, self.policy)
         broken = {n: outcome for n, outcome in outcomes.items() if isinstance(outcome, SinkFailure)}
         if broken:
             lower = [tables[n].table.lower() for n in broken]
@@ -239,20 +285,24 @@ class Replication:
         for name, outcome in outcomes.items():
             table = tables[name]
             if name in broken:
-                refused = refused.unionByName(rejects.sink_failure(table_events(present[name].rows(events), table), outcome.reason))
+                refused = refused.unionByName(rejects.sink_failure(table_events(events.table(present[name]), table), outcome.reason))
             elif outcome.split:
-                typed = typed_events(present[name].rows(events), table, self.policy)
+                typed = typed_events(events.table(present[name]), table, self.policy)
                 refused = refused.unionByName(rejects.split_keys(typed, fold(typed, table, self.order), table))
         return refused
 
-    def _tables_in(self, events: DataFrame, tables: Catalog) -> dict[str, Present]:
+    def _tables_in(self, events: Batch, tables: Catalog) -> dict[str, Present]:
         """The catalog tables that events name; the driver sees at most one row per table."""
+        every = events.topics.filter("source_table IS NOT NULL")
+        if events.strays is not None:
+            strays = events.strays.groupBy("source_table").count()
+            every = every.unionByName(strays.withColumn("topic", F.lit(None).cast("string")))
         name = F.lower("source_table")
         by_name = {known.lower(): known for known in tables}
         found = (
-            events.filter(name.isin(list(by_name)))
+            every.filter(name.isin(list(by_name)))
             .groupBy(name.alias("name"))
-            .agg(F.min("source_table").alias("first"), F.max("source_table").alias("last"), F.count(F.lit(1)).alias("events"))
+            .agg(F.min("topic").alias("first"), F.max("topic").alias("last"), F.sum("count").alias("events"))
             .collect()
         )
         return {by_name[row["name"]]: Present(**row.asDict()) for row in sorted(found, key=lambda row: row["name"])}
