@@ -103,7 +103,8 @@ class Batch:
         # table, so a table skips most cached blocks of the others by their bounds.
         rows = exclude_topics(log, excluded).persist(StorageLevel.MEMORY_AND_DISK)
         # The greatest and least of texts are found by sorting, so rows are counted by topic first.
-        topics = rows.groupBy("topic").count().withColumn("source_table", topic_table(F.col("topic"))).persist()
+        # They are few: cached, the partitions of the shuffle would not be joined.
+        topics = rows.groupBy("topic").count().coalesce(1).withColumn("source_table", topic_table(F.col("topic"))).persist()
         lost = F.col("source_table").isNull()
         strays = None
         if not topics.filter(lost).isEmpty():
