@@ -8,9 +8,11 @@ import math
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,6 +65,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 #: Links that a task of ``components`` may have.
 LINKS_PER_TASK = 100_000
+#: Pieces of 4 KB of a bitmap that a task gathers.
+PARTS_PER_TASK = 16
 #: Results that are kept between two calls of ``release``.
 RELEASE_EVERY = 3
 _kept = itertools.count(1)
@@ -133,6 +137,8 @@ def bitmap(values: DataFrame, column: str, max_bits: int = MAX_BITS) -> Bitmap:
         values.select(F.shiftright(bit, 15).alias("part"), (bit.bitwiseAND(F.lit(32767))).alias("bit"))
         .groupBy("part")
         .agg(F.expr("bitmap_construct_agg(bit)").alias("map"))
+        # The driver runs a job for each task here, and a small bitmap has few pieces.
+        .coalesce(max(1, (1 << bits - 15) // PARTS_PER_TASK))
         .toLocalIterator()
     )
     data = np.zeros((1 << bits) // 8, dtype=np.uint8)
@@ -145,19 +151,46 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
+def least_reachable(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of some links, sorted, and the smallest node that each reaches."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    one, two = at[: len(a)], at[len(a) :]
+    root = np.arange(len(nodes))
+    while True:
+        x, y = root[one], root[two]
+        if (x == y).all():
+            return nodes, nodes[root]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root != root[root]).any():
+            root = root[root]
+
+
+def _in_one_task(edges: DataFrame) -> DataFrame:
+    """Components of so few links that a task holds them all."""
+
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [[batch.column(c).to_numpy() for c in (0, 1)] for batch in batches]
+        if held:
+            found = least_reachable(*[np.concatenate(side) for side in zip(*held)])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["node", "label"])
+
+    return edges.coalesce(1).mapInArrow(label, "node bigint, label bigint")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of every node with a link; the label is the smallest node reachable.
 
-    Links have columns ``a`` and ``b``. Large and small stars alternate until nothing changes, however many rounds
-    that takes (about the logarithm of the longest path); each round moves one row per link and no group is gathered.
+    Links have columns ``a`` and ``b`` and are read twice. Large and small stars alternate until nothing changes, however
+    many rounds that takes (about the logarithm of the longest path); each round moves one row per link and no group is
+    gathered. Up to ``LINKS_PER_TASK`` links, from the start or left by a round, need no rounds over all partitions: one
+    task labels them.
     """
-    edges = kept(
-        links.filter("a <> b")
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .distinct()
-    )
+    edges = links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    if edges.count() <= LINKS_PER_TASK:
+        return _in_one_task(edges)
+    edges = kept(edges.distinct())
     before = _fingerprint(edges)
-    while before[0]:
+    while before[0] > LINKS_PER_TASK:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -173,6 +206,8 @@ def components(links: DataFrame) -> DataFrame:
         if now == before:
             break
         before = now
+    else:
+        return _in_one_task(edges)
     roots = edges.select("b").distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).union(
         roots.select(F.col("b").alias("node"), F.col("b").alias("label"))
