@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.types import ColumnSpec, TableSchema
 from tidemark.operators import rejects, replay
+from tidemark.streaming import replicate
 from tidemark.streaming.lake import ReplicaTable
 from tidemark.streaming.replicate import Replication
 
@@ -145,3 +146,33 @@ def test_what_a_batch_caches_is_not_the_parsed_copy(spark, tmp_path, monkeypatch
     assert cached == [[90, 91, 92]]
     letters = {(r.offset, r.error) for r in spark.read.json(job.dead_letter_path).collect()}
     assert letters == {(92, "unknown_table")}
+
+
+def _watch_persist(spark, monkeypatch):
+    """Columns of every frame that is cached."""
+    cached, kind = [], type(spark.range(1))
+    persist = kind.persist
+
+    def seen(frame, *level):
+        cached.append(set(frame.columns))
+        return persist(frame, *level)
+
+    monkeypatch.setattr(kind, "persist", seen)
+    return cached
+
+
+def test_a_batch_is_read_from_files_cut_by_rows(spark, tmp_path, monkeypatch):
+    cached, files, rejected = _watch_persist(spark, monkeypatch), [], rejects.rejected
+
+    def seen(events, *others):
+        files.extend(spark.read.parquet(str(p)).count() for p in tmp_path.glob("staged/*/log/*.parquet"))
+        return rejected(events, *others)
+
+    monkeypatch.setattr(rejects, "rejected", seen)
+    monkeypatch.setattr(replicate, "STAGED_ROWS", 2, raising=False)
+    job = Replication(str(tmp_path), BOTH)
+    job.apply_batch(log_frame(spark, [*rows_of(0, 20), ("pairs", 0, 50, "{bad")]), 0)
+    assert counts(spark, job) == (20, 20)
+    assert sum(files) == 41 and max(files) == 2
+    assert not any("value" in columns for columns in cached)
+    assert not list(tmp_path.glob("staged/*"))

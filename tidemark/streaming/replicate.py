@@ -54,6 +54,8 @@ BATCH_STATISTICS = pa.schema(
 DEADLOCK = "deadlock"
 #: Reasons that a later catalog may lift.
 WAITING = (UNKNOWN_TABLE, UNKNOWN_COLUMN)
+#: Rows of a staged file, so that readers share the files of few large tasks.
+STAGED_ROWS = 100_000
 
 
 @dataclass
@@ -73,7 +75,7 @@ class Applied:
 class Present:
     """Of a table that a batch names: its name in lower case, its first and last topic, and the number of its events.
 
-    With one topic, a row's topic can be compared with the bounds of a cached block. No topic: none names the table.
+    With one topic, a row's topic can be compared with the bounds of a file's row groups. No topic: none names the table.
     """
 
     name: str
@@ -84,11 +86,11 @@ class Present:
 
 @dataclass(frozen=True)
 class Batch:
-    """The log rows of a batch, cached, and how they are parsed.
+    """The log rows of a batch, staged as files, and how they are parsed.
 
-    A topic that names its table is routed before the parse: each table parses its own rows, and what is cached is the
+    A topic that names its table is routed before the parse: each table parses its own rows, and what is kept is the
     text alone, not its parsed copy of several times the size. Rows of other topics may be of any table, so their events,
-    if there are any, are parsed once and cached.
+    if there are any, are parsed once and cached, on disk.
     """
 
     rows: DataFrame
@@ -98,21 +100,21 @@ class Batch:
     strays: DataFrame | None
 
     @staticmethod
-    def of(log: DataFrame, excluded: tuple[str, ...]) -> Batch:
-        # Read by every table; spills to disk, recomputed if lost. Not sorted: topics and files bring long runs of one
-        # table, so a table skips most cached blocks of the others by their bounds.
-        rows = exclude_topics(log, excluded).persist(StorageLevel.MEMORY_AND_DISK)
+    def of(log: DataFrame, excluded: tuple[str, ...], folder: str) -> Batch:
+        # Read by every table. Not sorted: topics and files bring long runs of one table, so a table skips most files
+        # of the others by their bounds.
+        rows = _staged(exclude_topics(log.select(*LOG_SCHEMA.fieldNames()), excluded), folder)
         # The greatest and least of texts are found by sorting, so rows are counted by topic first.
         # They are few: cached, the partitions of the shuffle would not be joined.
         topics = rows.groupBy("topic").count().coalesce(1).withColumn("source_table", topic_table(F.col("topic"))).persist()
         lost = F.col("source_table").isNull()
         strays = None
         if not topics.filter(lost).isEmpty():
-            strays = replay.parsed(rows.filter(topic_table(F.col("topic")).isNull()), excluded).persist(StorageLevel.MEMORY_AND_DISK)
+            strays = replay.parsed(rows.filter(topic_table(F.col("topic")).isNull()), excluded).persist(StorageLevel.DISK_ONLY)
         return Batch(rows, excluded, topics, strays)
 
     def unpersist(self) -> None:
-        for frame in (self.strays, self.topics, self.rows):
+        for frame in (self.strays, self.topics):
             if frame is not None:
                 frame.unpersist()
 
@@ -229,7 +231,8 @@ class Replication:
         parked = epoch.parked
         if parked and catalog != epoch.catalog:
             log, parked = log.unionByName(spark.read.schema(LOG_SCHEMA).parquet(*parked)), []
-        events = Batch.of(log, self.excluded)
+        staged = f"{self.root.rstrip('/')}/staged/batch={_folder(batch_id, source)}"
+        events = Batch.of(log, self.excluded, f"{staged}/log")
         try:
             present = self._tables_in(events, tables)
             with ThreadPoolExecutor(max(1, self.tables_at_once)) as pool:
@@ -266,6 +269,7 @@ class Replication:
                         files.delete(spark, f"{self._epoch_path}/{number}.json")
         finally:
             events.unpersist()
+            files.delete(spark, staged)
 
     def _refused(
         self, events: Batch, present: dict[str, Present], outcomes: dict[str, Any], tables: Catalog, batch_id: int
@@ -402,6 +406,16 @@ def _fingerprint(tables: Catalog) -> str:
     return hashlib.sha256(repr(sorted(tables.items())).encode()).hexdigest()
 
 
+def _staged(rows: DataFrame, folder: str) -> DataFrame:
+    """Rows written once, to be read as often as needed by tasks that hold few of them at a time.
+
+    A cached partition is one block, written and sent as a whole: of a log file it is a gigabyte and more of text, and
+    a task keeps hundreds of megabytes of it beside the memory that Spark counts.
+    """
+    rows.write.mode("overwrite").option("maxRecordsPerFile", STAGED_ROWS).parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
 def _as_log(events: DataFrame) -> DataFrame:
     """Rejected events as the log rows they came from."""
     values = {"value": F.col("raw")}
