@@ -176,3 +176,16 @@ def test_a_batch_is_read_from_files_cut_by_rows(spark, tmp_path, monkeypatch):
     assert sum(files) == 41 and max(files) == 2
     assert not any("value" in columns for columns in cached)
     assert not list(tmp_path.glob("staged/*"))
+
+
+def test_refused_events_are_not_cached(spark, tmp_path, monkeypatch):
+    cached, now = _watch_persist(spark, monkeypatch), {"pairs": PAIRS}
+    job = Replication(str(tmp_path), lambda _: dict(now))
+    job.apply_batch(log_frame(spark, [*rows_of(0, 9), ("pairs", 0, 50, "{bad")]), 0)
+    assert job.parked(spark).count() == 9
+    assert [r.offset for r in spark.read.json(job.dead_letter_path).collect()] == [50]
+    assert not any("reason" in columns for columns in cached)
+    now.update(BOTH)
+    job.apply_batch(log_frame(spark, rows_of(20, 1)), 1)
+    assert (job.parked(spark).count(), counts(spark, job)) == (0, (10, 10))
+    assert not list(tmp_path.glob("staged/*"))

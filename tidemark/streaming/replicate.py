@@ -239,18 +239,15 @@ class Replication:
                 mine = {n: events.table(of) for n, of in present.items()}
                 outcomes = dict(zip(mine, pool.map(lambda n: self._apply_table(mine[n], tables[n], n, batch_id, source), mine)))
             _raise_if_all_broke(outcomes)
-            refused = self._refused(events, present, outcomes, tables, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                waits = F.col("reason").isin(*WAITING) if callable(self.catalog) else F.lit(False)
-                if callable(self.catalog):
-                    folder = f"{self.root.rstrip('/')}/parked/batch={_folder(batch_id, source)}"
-                    held = refused.filter(waits)
-                    if not held.isEmpty():
-                        _as_log(held).write.mode("overwrite").parquet(folder)
-                        parked = [*parked, folder]
-                rejects.append_dead_letters(refused.filter(~waits), self.dead_letter_path, _folder(batch_id, source))
-            finally:
-                refused.unpersist()
+            refused = _staged(self._refused(events, present, outcomes, tables, batch_id), f"{staged}/refused")
+            waits = F.col("reason").isin(*WAITING) if callable(self.catalog) else F.lit(False)
+            if callable(self.catalog):
+                folder = f"{self.root.rstrip('/')}/parked/batch={_folder(batch_id, source)}"
+                held = refused.filter(waits)
+                if not held.isEmpty():
+                    _as_log(held).write.mode("overwrite").parquet(folder)
+                    parked = [*parked, folder]
+            rejects.append_dead_letters(refused.filter(~waits), self.dead_letter_path, _folder(batch_id, source))
             counts = [row for outcome in outcomes.values() if isinstance(outcome, Applied) for row in outcome.counts]
             self._record(spark, counts, batch_id, source, time.time() - started)
             self._record_failures(spark, outcomes, batch_id, source)
